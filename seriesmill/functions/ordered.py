@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Significant bits kept per refinement step; 53 is the whole double.
@@ -106,7 +106,7 @@ def exact_quantiles(
     return found.groupBy(*keys).agg(*outs)
 
 
-def _rows_before(lane: Window) -> Column:
+def _rows_before(lane: WindowSpec) -> Column:
     ahead = lane.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("_c").over(ahead), F.lit(0))
 

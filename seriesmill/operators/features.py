@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import month_cos, month_sin, next_month, year_offset
@@ -20,24 +20,25 @@ CALENDAR_CORE = ("month_num", "year", "lag1", "avg3", "avg6")
 CYCLIC = ("month_sin", "month_cos", "year_norm", "lag1", "lag2", "lag3", "avg3", "avg6", "lag12")
 CYCLIC_CORE = ("month_sin", "month_cos", "year_norm", "lag1", "lag2", "lag3", "avg3", "avg6")
 
-_series = Window.partitionBy("category").orderBy("month")
+def _series() -> WindowSpec:
+    return Window.partitionBy("category").orderBy("month")
 
 
 def rolling_mean(size: int) -> Column:
     """Mean of the ``size`` rows before this one, null until there are as many."""
-    frame = _series.rowsBetween(-size, -1)
+    frame = _series().rowsBetween(-size, -1)
     return F.when(F.count("count").over(frame) == size, F.avg("count").over(frame))
 
 
 def tail_mean(size: int) -> Column:
     """Mean of this row and the ones before it, null until there are ``size``."""
-    frame = _series.rowsBetween(1 - size, 0)
+    frame = _series().rowsBetween(1 - size, 0)
     return F.when(F.count("count").over(frame) == size, F.avg("count").over(frame))
 
 
 def lagged(steps: int) -> Column:
     """W1."""
-    return F.lag("count", steps).over(_series)
+    return F.lag("count", steps).over(_series())
 
 
 def calendar_features(monthly: DataFrame) -> DataFrame:
@@ -76,10 +77,10 @@ def series_state(monthly: DataFrame) -> DataFrame:
     """
     return monthly.select(
         "category", "month", "count",
-        F.row_number().over(_series).alias("n"),
+        F.row_number().over(_series()).alias("n"),
         F.count(F.lit(1)).over(Window.partitionBy("category")).alias("size"),
         next_month(F.col("month")).alias("next_month"),
-        F.lead("count").over(_series).alias("actual"),
+        F.lead("count").over(_series()).alias("actual"),
         F.month("month").cast("double").alias("month_num"),
         F.year("month").cast("double").alias("year"),
         month_sin(F.col("month")).alias("month_sin"),
@@ -89,7 +90,7 @@ def series_state(monthly: DataFrame) -> DataFrame:
         rolling_mean(3).alias("avg3"),
         rolling_mean(6).alias("avg6"),
         tail_mean(3).alias("mean3"),
-        F.avg("count").over(_series.rowsBetween(-2, 0)).alias("up_to_3"),
+        F.avg("count").over(_series().rowsBetween(-2, 0)).alias("up_to_3"),
         F.coalesce(tail_mean(3), F.col("count")).alias("fallback"),
     )
 

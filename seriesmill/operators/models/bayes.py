@@ -1,4 +1,10 @@
-"""Gaussian naive Bayes over demand classes (M12-M15), in Spark expressions only."""
+"""Gaussian naive Bayes over demand classes (M12-M15), in Spark expressions only.
+
+A class is a range of target values, so one pass that keeps the feature moments
+per distinct target value holds all the fit needs: bins, class statistics and
+medians are merged from that much smaller table. Like any model fit this runs
+when called; the result is four rows per fold.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.ordered import exact_quantiles
+from ...sources.shared import use_shared_folder
 from ..features import CALENDAR, CALENDAR_CORE, training_rows
 from .base import anchors, forecast_columns, training
 
@@ -16,87 +23,155 @@ MIN_ROWS = 20
 VARIANCE_SMOOTHING = 1e-9
 
 
-def target_counts(train: DataFrame) -> DataFrame:
-    """How often each target value occurs per fold; quantiles and medians start here."""
-    return train.groupBy("fold", "count").agg(F.count(F.lit(1)).alias("rows"))
+def value_moments(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
+    """Training rows, and mean and variance of each feature, per fold and target value.
+
+    ``known`` counts the rows with a lag12.
+    """
+    rows = training(state, folds).select("count", "fold", *CALENDAR)
+    return training_rows(rows, CALENDAR_CORE).groupBy("fold", "count").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("lag12").alias("known"),
+        *[F.avg(c).alias(f"mean_{c}") for c in CALENDAR],
+        *[F.var_pop(c).alias(f"var_{c}") for c in CALENDAR],
+    )
 
 
-def demand_bins(counts: DataFrame) -> DataFrame:
+def demand_bins(values: DataFrame) -> DataFrame:
     """Upper edges of the low and mid class per fold."""
-    nonzero = counts.where(F.col("count") > 0)
-    sizes = nonzero.groupBy("fold").agg(F.sum("rows").alias("nonzero"))
+    nonzero = values.where(F.col("count") > 0)
     cuts = exact_quantiles(nonzero, ["fold"], "count", [0.33, 0.66], weight="rows")
+    sizes = values.groupBy("fold").agg(
+        F.coalesce(F.sum(F.when(F.col("count") > 0, F.col("rows"))), F.lit(0)).alias("nonzero")
+    )
     low = F.greatest(F.col("q0"), F.lit(1.0))
     high = F.greatest(F.col("q1"), low + 1)
-    enough = F.coalesce(F.col("nonzero"), F.lit(0)) >= FEW_NONZERO
-    return (
-        counts.select("fold").distinct()
-        .join(sizes.join(cuts, "fold"), "fold", "left")
-        .select(
-            "fold",
-            F.coalesce("nonzero", F.lit(0)).alias("nonzero"),
-            F.when(enough, low).otherwise(F.lit(PLAIN_EDGES[0])).alias("low_edge"),
-            F.when(enough, high).otherwise(F.lit(PLAIN_EDGES[1])).alias("high_edge"),
-        )
+    enough = F.col("nonzero") >= FEW_NONZERO
+    return sizes.join(cuts, "fold", "left").select(
+        "fold",
+        "nonzero",
+        F.when(enough, low).otherwise(F.lit(PLAIN_EDGES[0])).alias("low_edge"),
+        F.when(enough, high).otherwise(F.lit(PLAIN_EDGES[1])).alias("high_edge"),
     )
 
 
-def demand_class(count: Column) -> Column:
-    """0 none, 1 low, 2 mid, 3 high; upper edges belong to the class."""
-    return (
+def with_class(values: DataFrame, bins: DataFrame) -> DataFrame:
+    """Class 0 none, 1 low, 2 mid, 3 high; upper edges belong to the class."""
+    count = F.col("count")
+    label = (
         F.when(count <= 0, 0)
         .when(count <= F.col("low_edge"), 1)
         .when(count <= F.col("high_edge"), 2)
         .otherwise(3)
     )
+    # One row of edges per fold.
+    return values.join(F.broadcast(bins), "fold").withColumn("class", label)
+
 
+def _weight(name: str) -> Column:
+    return F.col("known" if name == "lag12" else "rows")
 
-def lag12_means(train: DataFrame) -> DataFrame:
-    """M14-row constants per fold: rows, mean of known lag12, largest feature variance.
 
-    Filling lag12 with its own mean leaves the mean alone and shrinks the variance
-    by the known share, so the filled column need not exist for this.
+def _merge(values: DataFrame, keys: list[str], lag12_fill: Column | None) -> DataFrame:
+    """Rows, mean and variance of every feature per key, merged from value moments.
+
+    Means first, then squares around them, so nothing cancels. With ``lag12_fill``
+    rows without a lag12 count with that value.
     """
-    known = F.count("lag12")
-    rows = F.count(F.lit(1))
-    filled = F.coalesce(F.var_pop("lag12") * known / rows, F.lit(0.0))
-    return train.groupBy("fold").agg(
-        rows.alias("train_rows"),
-        F.coalesce(F.avg("lag12"), F.lit(0.0)).alias("lag12_mean"),
-        F.greatest(*[F.var_pop(c) for c in CALENDAR_CORE], filled).alias("top_variance"),
+    def missing(name: str) -> Column:
+        return F.col("rows") - F.col("known") if name == "lag12" and lag12_fill is not None else F.lit(0)
+
+    fill = F.lit(0.0) if lag12_fill is None else lag12_fill
+    total = {c: F.sum(_weight(c) + missing(c)) for c in CALENDAR}
+    means = values.groupBy(*keys).agg(
+        *[
+            F.try_divide(F.sum(F.coalesce(F.col(f"mean_{c}"), F.lit(0.0)) * _weight(c) + fill * missing(c)), total[c])
+            .alias(f"m_{c}")
+            for c in CALENDAR
+        ]
+    )
+    squares = {
+        c: _weight(c) * (F.col(f"var_{c}") + F.pow(F.col(f"mean_{c}") - F.col(f"m_{c}"), 2)) for c in CALENDAR
+    }
+    return (
+        values.join(F.broadcast(means), keys)  # one row per fold, or per fold and class
+        .groupBy(*keys)
+        .agg(
+            F.sum("rows").alias("rows"),
+            *[F.max(f"m_{c}").alias(f"mean_{c}") for c in CALENDAR],
+            *[
+                F.try_divide(
+                    F.sum(F.coalesce(squares[c], F.lit(0.0)) + missing(c) * F.pow(fill - F.col(f"m_{c}"), 2)), total[c]
+                ).alias(f"var_{c}")
+                for c in CALENDAR
+            ],
+        )
     )
 
 
-def class_stats(train: DataFrame, constants: DataFrame, bins: DataFrame) -> DataFrame:
-    """Rows, mean and smoothed variance of every feature per fold and class."""
-    # Constants and bins hold one row per fold.
-    rows = (
-        train.join(F.broadcast(constants), "fold")
-        .join(F.broadcast(bins), "fold")
-        .withColumn("lag12", F.coalesce("lag12", "lag12_mean"))
-        .withColumn("class", demand_class(F.col("count")))
+def fold_constants(values: DataFrame) -> DataFrame:
+    """Per fold: training rows, mean of the known lag12 and the variance smoothing.
+
+    Filling lag12 with its own mean shrinks its variance by the known share.
+    """
+    plain = _merge(values, ["fold"], None)
+    shares = values.groupBy("fold").agg((F.sum("known") / F.sum("rows")).alias("share"))
+    filled = F.coalesce(F.col("var_lag12"), F.lit(0.0)) * F.col("share")
+    return plain.join(F.broadcast(shares), "fold").select(
+        "fold",
+        F.col("rows").alias("train_rows"),
+        F.coalesce("mean_lag12", F.lit(0.0)).alias("lag12_mean"),
+        (F.greatest(*[F.col(f"var_{c}") for c in CALENDAR_CORE], filled) * VARIANCE_SMOOTHING).alias("smoothing"),
     )
-    smoothing = F.max("top_variance") * VARIANCE_SMOOTHING
-    return rows.groupBy("fold", "class").agg(
-        F.count(F.lit(1)).alias("class_rows"),
-        F.max("train_rows").alias("train_rows"),
-        *[F.avg(c).alias(f"mean_{c}") for c in CALENDAR],
-        *[(F.var_pop(c) + smoothing).alias(f"var_{c}") for c in CALENDAR],
+
+
+def class_stats(values: DataFrame, bins: DataFrame, constants: DataFrame) -> DataFrame:
+    """Rows, mean and smoothed variance of every feature per fold and class."""
+    classed = with_class(values, bins).join(F.broadcast(constants), "fold")
+    merged = _merge(classed, ["fold", "class"], F.col("lag12_mean"))
+    return merged.join(F.broadcast(constants), "fold").select(
+        "fold",
+        "class",
+        F.col("rows").alias("class_rows"),
+        "train_rows",
+        *[f"mean_{c}" for c in CALENDAR],
+        *[(F.col(f"var_{c}") + F.col("smoothing")).alias(f"var_{c}") for c in CALENDAR],
     )
 
 
-def class_medians(counts: DataFrame, bins: DataFrame) -> DataFrame:
+def present_medians(values: DataFrame, bins: DataFrame) -> DataFrame:
+    """Median target of the classes that occur."""
+    middle = exact_quantiles(with_class(values, bins), ["fold", "class"], "count", [0.5], weight="rows")
+    return middle.withColumnRenamed("q0", "median")
+
+
+def class_medians(values: DataFrame, bins: DataFrame) -> DataFrame:
     """Median target per fold and class; an empty class gets the overall one."""
-    classed = counts.join(F.broadcast(bins), "fold").withColumn("class", demand_class(F.col("count")))
-    mine = exact_quantiles(classed, ["fold", "class"], "count", [0.5], weight="rows")
-    overall = exact_quantiles(counts, ["fold"], "count", [0.5], weight="rows")
+    overall = exact_quantiles(values, ["fold"], "count", [0.5], weight="rows")
     return (
         overall.select("fold", F.col("q0").alias("_all"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("class"))
-        .join(mine, ["fold", "class"], "left")
-        .select("fold", "class", F.coalesce("q0", "_all").alias("median"))
+        .join(F.broadcast(present_medians(values, bins)), ["fold", "class"], "left")
+        .select("fold", "class", F.coalesce("median", "_all").alias("median"))
     )
 
 
+def _as_rows(small: DataFrame) -> DataFrame:
+    """A frame of at most four rows per fold as a local table."""
+    return small.sparkSession.createDataFrame(small.collect(), small.schema)
+
+
+def fit(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
+    """The fitted model, one row per fold with an array of classes. Runs jobs."""
+    use_shared_folder(state.sparkSession)
+    values = value_moments(state, folds).checkpoint()
+    bins = _as_rows(demand_bins(values))
+    constants = _as_rows(fold_constants(values))
+    stats = class_stats(values, bins, constants).join(F.broadcast(present_medians(values, bins)), ["fold", "class"])
+    fields = [c for c in stats.columns if c != "fold"]
+    classes = stats.groupBy("fold").agg(F.collect_list(F.struct(*fields)).alias("classes"))
+    return _as_rows(classes.join(F.broadcast(constants.drop("smoothing")), "fold"))
+
+
 def _log_density(c: Column) -> Column:
     total = F.log(c["class_rows"] / c["train_rows"])
     for name in CALENDAR:
@@ -109,30 +184,19 @@ def _log_density(c: Column) -> Column:
 def naive_bayes(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
     """The median count of the most likely demand class.
 
-    The fitted model is a handful of rows per fold (four classes), so it joins the
-    anchor rows as one array per fold and scoring needs no shuffle.
+    The fitted classes join the anchor rows as one small array per fold, so
+    scoring needs no shuffle. Ties go to the lower class.
     """
-    train = training_rows(
-        training(state, folds).select("category", "month", "count", "fold", *CALENDAR), CALENDAR_CORE
-    )
-    counts = target_counts(train)
-    constants = lag12_means(train)
-    bins = demand_bins(counts)
-    stats = class_stats(train, constants, bins).join(class_medians(counts, bins), ["fold", "class"])
-    fields = ["class", "class_rows", "train_rows", "median"]
-    fields += [f"{kind}_{c}" for kind in ("mean", "var") for c in CALENDAR]
-    model = (
-        stats.groupBy("fold")
-        .agg(F.collect_list(F.struct(*fields)).alias("classes"))
-        .join(constants.select("fold", "lag12_mean", F.col("train_rows").alias("fit_rows")), "fold")
-    )
-    scored = anchors(state, folds).join(F.broadcast(model), "fold", "left")
+    scored = anchors(state, folds).join(F.broadcast(fit(state, folds)), "fold", "left")
     best = F.array_max(
-        F.transform("classes", lambda c: F.struct(_log_density(c).alias("s"), (-c["class"]).alias("c"), c["median"].alias("m")))
+        F.transform(
+            "classes",
+            lambda c: F.struct(_log_density(c).alias("s"), (-c["class"]).alias("c"), c["median"].alias("m")),
+        )
     )["m"]
     short = F.when(F.col("up_to_3") > 0, F.col("up_to_3")).otherwise(F.col("count"))
     predicted = (
-        F.when(F.coalesce(F.col("fit_rows"), F.lit(0)) < MIN_ROWS, F.col("fallback"))
+        F.when(F.coalesce(F.col("train_rows"), F.lit(0)) < MIN_ROWS, F.col("fallback"))
         .when(F.col("avg6").isNull(), short)
         .otherwise(best)
     )

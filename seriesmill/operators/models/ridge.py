@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .base import OUTPUT, training
 
@@ -18,7 +19,7 @@ _X = ("x_month", "x_year", "x_lag1", "x_avg3", "x_lag12")
 _PAIRS = [(i, j) for i in range(5) for j in range(i, 5)]
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _solve(moments: pd.Series) -> pd.Series:
     m = np.stack(moments.to_numpy())
     rows, alpha, y_mean = m[:, 0], m[:, 1], m[:, 2]

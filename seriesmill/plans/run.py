@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..config import ForecastConfig
 from ..operators import backtest, combine, insights, metrics, monthly, quality
+from ..sources.shared import use_shared_folder
 from ..sources.sinks import metrics_report
 
 
-def use_shared_folder(spark: SparkSession) -> None:
-    """Make checkpoints go to the cluster's shared folder.
-
-    ``spark.checkpoint.dir`` names it; only where neither that nor a checkpoint
-    folder is set (single-machine tests) is a temporary one used.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir():
-        return
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="seriesmill-"))
-
-
 @dataclass
 class ForecastRun:
     """Results of a run, as DataFrames. Series, backtest and forecasts are stored once."""
@@ -58,7 +45,7 @@ def run(raw: DataFrame, config: ForecastConfig = ForecastConfig()) -> ForecastRu
     """Raw rows to forecasts: rollup, filters, backtest, blend, guard, repair, rank.
 
     ``rank`` is taken before the guardrail and ``final_rank`` after the repair.
-    Three tables are checkpointed because several later plans read each of them.
+    Tables that several later plans read are checkpointed.
     """
     spark = raw.sparkSession
     use_shared_folder(spark)
@@ -84,7 +71,9 @@ def run(raw: DataFrame, config: ForecastConfig = ForecastConfig()) -> ForecastRu
         scores = metrics.core_metrics(rows)
         weights = combine.inverse_error_weights(scores, config.weight_floor)
 
-    ranked = combine.multi_model(series, config.models, weights, **sizes)
+    # Ranking reads its input several times, so the models' output is stored first.
+    blended = combine.blended_forecasts(series, config.models, weights, **sizes).checkpoint()
+    ranked = combine.rank_forecasts(blended)
     means = quality.averages(series, config.recent_window)
     if config.guardrail:
         ranked = combine.guardrail(ranked, means, config.guardrail)

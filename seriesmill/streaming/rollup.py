@@ -15,10 +15,17 @@ LATENESS = "62 days"
 
 
 def read_page_stream(
-    spark: SparkSession, directory: str, schema: StructType, fmt: str = "csv", files_per_batch: int = 100
+    spark: SparkSession,
+    directory: str,
+    schema: StructType,
+    fmt: str = "csv",
+    files_per_batch: int = 100,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Page files as they land, a bounded number per micro-batch."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.format(fmt).load(directory)
@@ -45,19 +52,19 @@ def stream_rollup(
     )
 
 
-def upsert_batches(sums: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Run an update-mode rollup over all available files, one Parquet folder per batch.
+def write_batches(sums: DataFrame, target: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Run a rollup over all available files, one Parquet folder per micro-batch.
 
-    A batch folder is overwritten when a batch is replayed, so a restart after a
+    A batch folder is overwritten when its batch is replayed, so a restart after a
     lost executor or driver cannot count anything twice. ``latest_sums`` reads the
-    newest value of every key back.
+    newest value of every key back. Modes: ``update`` or ``complete``.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
-        sums.writeStream.outputMode("update")
+        sums.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(save)
@@ -66,7 +73,7 @@ def upsert_batches(sums: DataFrame, target: str, checkpoint: str) -> StreamingQu
 
 
 def latest_sums(spark: SparkSession, target: str) -> DataFrame:
-    """The current rollup behind ``upsert_batches``."""
+    """The current rollup behind ``write_batches``."""
     return (
         spark.read.parquet(target)
         .groupBy("category", "month")
