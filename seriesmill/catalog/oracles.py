@@ -472,9 +472,12 @@ q(
     STATE,
     folds("_f", None),
     nb_fit("_f"),
-    select="SELECT CAST(class AS BIGINT) AS class, CAST(class_rows AS BIGINT) AS class_rows, CAST(train_rows AS BIGINT) AS train_rows, "
-    + num(*[f"{k}_{c}" for k in ("mean", "var") for c in CALENDAR])
-    + " FROM ns_f",
+    select=" UNION ALL ".join(
+        f"""SELECT CAST(class AS BIGINT) AS class, '{c}' AS feature, CAST(class_rows AS BIGINT) AS class_rows,
+  CAST(train_rows AS BIGINT) AS train_rows, (SELECT round(lag12_mean, 6) FROM nc_f) AS lag12_mean,
+  round(mean_{c}, 6) + 0.0 AS mean, round(var_{c}, 6) + 0.0 AS var FROM ns_f"""
+        for c in CALENDAR
+    ),
 )
 q(
     "nb_medians",

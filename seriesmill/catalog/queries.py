@@ -377,7 +377,7 @@ def custom_model(spark, sf_dir):
 
 
 def _nb_values(series: DataFrame) -> DataFrame:
-    return bayes.value_moments(features.series_state(series))
+    return stored(bayes.value_moments(features.series_state(series)))
 
 
 @query
@@ -392,7 +392,7 @@ def nb_bins(spark, sf_dir):
 @query
 def nb_class_stats(spark, sf_dir):
     values = _nb_values(brand(spark, sf_dir))
-    return shown(bayes.class_stats(values, bayes.demand_bins(values), bayes.fold_constants(values)).drop("fold"))
+    return shown(bayes.class_stats(values, bayes.demand_bins(values)).drop("fold"))
 
 
 @query

@@ -13,20 +13,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Significant bits kept per refinement step; 53 is the whole double.
-_STEPS = (12, 32, 53)
+# Significant bits of a cell: values in one cell differ by less than 0.002 percent.
+_CELL_BITS = 16
 
 
-def _coarse(value: Column, bits: int) -> Column:
-    """A double rounded to ``bits`` significant bits, never reversing an order.
+def _cell(value: Column) -> Column:
+    """A double rounded to ``_CELL_BITS`` significant bits, never reversing an order.
 
     Splitting by a factor of ``2^s + 1`` rounds to the nearest shorter number, so
     it is a plain arithmetic expression and needs no look at the exponent.
     """
-    scaled = value * F.lit(float(2 ** (53 - bits) + 1))
+    scaled = value * F.lit(float(2 ** (53 - _CELL_BITS) + 1))
     return scaled - (scaled - value)
 
 
+def _rows_before(lane: WindowSpec) -> Column:
+    ahead = lane.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_c").over(ahead), F.lit(0))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,86 +42,65 @@ def exact_quantiles(
     """Linearly interpolated quantiles per key, one column ``q0, q1, ...`` each.
 
     Values are first counted (``groupBy`` with map-side combine, so a value that
-    makes up a third of the rows is one row afterwards). Then the wanted ranks are
-    located by rounding values to ever more significant bits: each step keeps only
-    the cell a rank falls into, so a window sees at most ~2^21 cells of one key
-    however long the data is. ``keys`` may be empty. Nulls are ignored. ``weight``
-    names a column saying how many times a row counts.
+    makes up a third of the rows is one row afterwards). The counts add up to
+    cells of nearby values, of which a key has some ten thousand per doubling of
+    the value range, however many rows there are. Cumulated cells tell which few
+    hold a wanted rank, and only their values are sorted. ``keys`` may be empty.
+    Nulls are ignored. ``weight`` names a column saying how often a row counts.
     """
     keys = list(keys)
-    base = df.where(F.col(value).isNotNull()).select(
-        *keys,
-        (F.col(value).cast("double") + F.lit(0.0)).alias("_v"),
-        (F.col(weight) if weight else F.lit(1)).cast("long").alias("_c"),
-    )
-    counts = base.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
-
-    # One row per key and wanted rank (lower and upper neighbour of each quantile).
-    sides = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    ((F.col("_n") - 1) * F.lit(float(p))).alias("pos"),
-                )
-                for i, p in enumerate(probs)
-            ]
+    # Never-null columns: a null check on one use of the counts would keep Spark
+    # from computing them once for both uses.
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .select(
+            *keys,
+            F.coalesce(F.col(value).cast("double") + F.lit(0.0), F.lit(0.0)).alias("_v"),
+            (F.col(weight) if weight else F.lit(1)).cast("long").alias("_c"),
         )
+        .groupBy(*keys, "_v")
+        .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_c"))
+        .withColumn("_cell", F.coalesce(_cell(F.col("_v")), F.lit(0.0)))
     )
-    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    wanted = (
-        totals.select(*keys, sides.alias("_w"))
-        .select(*keys, "_w.i", "_w.pos", F.explode(F.array(F.floor("_w.pos"), F.ceil("_w.pos"))).alias("rank"))
-        .distinct()
+    whole = Window.partitionBy(*[F.col(k) for k in keys])
+    cells = (
+        counts.groupBy(*keys, "_cell")
+        .agg(F.sum("_c").alias("_c"))
+        .withColumn("_before", _rows_before(whole.orderBy("_cell")))
+        .withColumn("_n", F.sum("_c").over(whole))
     )
-
-    # Narrow each wanted rank down to one cell of ever finer values. ``skip`` is
-    # the number of rows in front of the cell reached so far.
-    cells = counts
-    narrowed = wanted
-    known: list[str] = []
-    for step, bits in enumerate(_STEPS):
-        name = f"_b{step}"
-        cells = cells.withColumn(name, F.col("_v") if bits >= 53 else _coarse(F.col("_v"), bits))
-        if step == 0:
-            level = cells.groupBy(*keys, name).agg(F.sum("_c").alias("_c"))
-            lane = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(name)
-            level = _join_keys(level.withColumn("_before", _rows_before(lane)), wanted, keys)
-        else:
-            level = (
-                cells.join(narrowed, keys + known)
-                .groupBy(*keys, "i", "pos", "rank", "skip", *known, name)
-                .agg(F.sum("_c").alias("_c"))
+    # Per quantile, the two ranks it lies between.
+    spots = [(i, F.floor, p) for i, p in enumerate(probs)] + [(i, F.ceil, p) for i, p in enumerate(probs)]
+    ranks = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"),
+                F.lit(side is F.ceil).alias("upper"),
+                side((F.col("_n") - 1) * F.lit(float(p))).alias("rank"),
             )
-            lane = Window.partitionBy(*keys, "i", "rank").orderBy(name)
-            level = level.withColumn("_before", F.col("skip") + _rows_before(lane))
-        known.append(name)
-        narrowed = level.where(
-            (F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_before") + F.col("_c"))
-        ).select(*keys, "i", "pos", "rank", F.col("_before").alias("skip"), *known)
-
-    found = narrowed.withColumnRenamed(known[-1], "_x")
+            for i, side, p in spots
+        ]
+    )
+    needed = (
+        cells.withColumn("_w", F.explode(ranks))
+        .where((F.col("_before") <= F.col("_w.rank")) & (F.col("_w.rank") < F.col("_before") + F.col("_c")))
+        .select(*keys, "_cell", "_n", F.col("_before").alias("_skip"), "_w.*")
+    )
+    inside = Window.partitionBy(*keys, "i", "upper").orderBy("_v")
+    found = (
+        counts.join(needed, keys + ["_cell"])
+        .withColumn("_before", F.col("_skip") + _rows_before(inside))
+        .where((F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_before") + F.col("_c")))
+    )
     outs = []
-    for i in range(len(probs)):
-        mine = F.col("i") == i
-        low = F.max(F.when(mine & (F.col("rank") == F.floor("pos")), F.col("_x")))
-        high = F.max(F.when(mine & (F.col("rank") == F.ceil("pos")), F.col("_x")))
-        part = F.max(F.when(mine, F.col("pos") - F.floor("pos")))
-        outs.append((low + (high - low) * part).alias(f"q{i}"))
+    for i, p in enumerate(probs):
+        low = F.max(F.when((F.col("i") == i) & ~F.col("upper"), F.col("_v")))
+        high = F.max(F.when((F.col("i") == i) & F.col("upper"), F.col("_v")))
+        place = (F.max("_n") - 1) * F.lit(float(p))
+        outs.append((low + (high - low) * (place - F.floor(place))).alias(f"q{i}"))
     return found.groupBy(*keys).agg(*outs)
 
 
-def _rows_before(lane: WindowSpec) -> Column:
-    ahead = lane.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_c").over(ahead), F.lit(0))
-
-
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    if not keys:
-        return left.crossJoin(F.broadcast(right))  # at most two rows per quantile
-    return left.join(right, list(keys))
-
-
 def ordered_position(
     df: DataFrame,
     keys: Sequence[str],

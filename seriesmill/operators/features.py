@@ -71,7 +71,7 @@ def cyclic_features(monthly: DataFrame) -> DataFrame:
 def series_state(monthly: DataFrame) -> DataFrame:
     """Both feature sets plus what forecasting needs, one row per series month.
 
-    ``n`` rows so far, ``size`` rows in all, ``next_month`` and the count found
+    ``n`` rows so far, ``size`` rows in all and their mean ``level``, ``next_month`` and the count found
     there (``actual``, null on the last row), the value 12 months before the next
     month (``lag11``) and the short-history default (``fallback``, M4).
     """
@@ -79,6 +79,7 @@ def series_state(monthly: DataFrame) -> DataFrame:
         "category", "month", "count",
         F.row_number().over(_series()).alias("n"),
         F.count(F.lit(1)).over(Window.partitionBy("category")).alias("size"),
+        F.avg("count").over(Window.partitionBy("category")).alias("level"),
         next_month(F.col("month")).alias("next_month"),
         F.lead("count").over(_series()).alias("actual"),
         F.month("month").cast("double").alias("month_num"),

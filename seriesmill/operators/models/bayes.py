@@ -24,17 +24,27 @@ VARIANCE_SMOOTHING = 1e-9
 
 
 def value_moments(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
-    """Training rows, and mean and variance of each feature, per fold and target value.
+    """Training rows and feature moments per fold and target value.
 
-    ``known`` counts the rows with a lag12.
+    ``moments`` holds one entry per feature: rows it is known in, mean, variance.
     """
     rows = training(state, folds).select("count", "fold", *CALENDAR)
-    return training_rows(rows, CALENDAR_CORE).groupBy("fold", "count").agg(
+    wide = training_rows(rows, CALENDAR_CORE).groupBy("fold", "count").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("lag12").alias("known"),
         *[F.avg(c).alias(f"mean_{c}") for c in CALENDAR],
         *[F.var_pop(c).alias(f"var_{c}") for c in CALENDAR],
     )
+    entries = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.col("known" if c == "lag12" else "rows").alias("weight"),
+            F.coalesce(f"mean_{c}", F.lit(0.0)).alias("mean"),
+            F.coalesce(f"var_{c}", F.lit(0.0)).alias("var"),
+        )
+        for c in CALENDAR
+    ]
+    return wide.select("fold", "count", "rows", F.array(*entries).alias("moments"))
 
 
 def demand_bins(values: DataFrame) -> DataFrame:
@@ -68,74 +78,64 @@ def with_class(values: DataFrame, bins: DataFrame) -> DataFrame:
     return values.join(F.broadcast(bins), "fold").withColumn("class", label)
 
 
-def _weight(name: str) -> Column:
-    return F.col("known" if name == "lag12" else "rows")
-
-
-def _merge(values: DataFrame, keys: list[str], lag12_fill: Column | None) -> DataFrame:
-    """Rows, mean and variance of every feature per key, merged from value moments.
+def class_moments(values: DataFrame, bins: DataFrame) -> DataFrame:
+    """Known rows, mean and variance per fold, class and feature, merged from value moments.
 
-    Means first, then squares around them, so nothing cancels. With ``lag12_fill``
-    rows without a lag12 count with that value.
+    Years enter relative to 2000; every other feature spreads as wide as it is large.
     """
-    def missing(name: str) -> Column:
-        return F.col("rows") - F.col("known") if name == "lag12" and lag12_fill is not None else F.lit(0)
-
-    fill = F.lit(0.0) if lag12_fill is None else lag12_fill
-    total = {c: F.sum(_weight(c) + missing(c)) for c in CALENDAR}
-    means = values.groupBy(*keys).agg(
-        *[
-            F.try_divide(F.sum(F.coalesce(F.col(f"mean_{c}"), F.lit(0.0)) * _weight(c) + fill * missing(c)), total[c])
-            .alias(f"m_{c}")
-            for c in CALENDAR
-        ]
+    shift = F.when(F.col("feature") == "year", F.lit(2000.0)).otherwise(F.lit(0.0))
+    mean = F.col("mean") - shift
+    parts = with_class(values, bins).select("fold", "class", "rows", F.inline("moments"))
+    sums = parts.groupBy("fold", "class", "feature").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("weight").alias("known"),
+        F.sum(F.col("weight") * mean).alias("_s1"),
+        F.sum(F.col("weight") * (F.col("var") + mean * mean)).alias("_s2"),
     )
-    squares = {
-        c: _weight(c) * (F.col(f"var_{c}") + F.pow(F.col(f"mean_{c}") - F.col(f"m_{c}"), 2)) for c in CALENDAR
-    }
-    return (
-        values.join(F.broadcast(means), keys)  # one row per fold, or per fold and class
-        .groupBy(*keys)
-        .agg(
-            F.sum("rows").alias("rows"),
-            *[F.max(f"m_{c}").alias(f"mean_{c}") for c in CALENDAR],
-            *[
-                F.try_divide(
-                    F.sum(F.coalesce(squares[c], F.lit(0.0)) + missing(c) * F.pow(fill - F.col(f"m_{c}"), 2)), total[c]
-                ).alias(f"var_{c}")
-                for c in CALENDAR
-            ],
-        )
+    center = F.coalesce(F.try_divide(F.col("_s1"), F.col("known")), F.lit(0.0))
+    square = F.coalesce(F.try_divide(F.col("_s2"), F.col("known")), F.lit(0.0))
+    return sums.select(
+        "fold", "class", "feature", "rows", "known",
+        (center + shift).alias("mean"),
+        F.greatest(square - center * center, F.lit(0.0)).alias("var"),
     )
 
 
-def fold_constants(values: DataFrame) -> DataFrame:
-    """Per fold: training rows, mean of the known lag12 and the variance smoothing.
+def _merged(parts: list[tuple[float, float, float]]) -> tuple[float, float, float]:
+    """Weight, mean and variance of several (weight, mean, variance) parts."""
+    weight = sum(w for w, _, _ in parts)
+    if not weight:
+        return 0.0, 0.0, 0.0
+    mean = sum(w * m for w, m, _ in parts) / weight
+    return weight, mean, sum(w * (v + (m - mean) ** 2) for w, m, v in parts) / weight
 
-    Filling lag12 with its own mean shrinks its variance by the known share.
-    """
-    plain = _merge(values, ["fold"], None)
-    shares = values.groupBy("fold").agg((F.sum("known") / F.sum("rows")).alias("share"))
-    filled = F.coalesce(F.col("var_lag12"), F.lit(0.0)) * F.col("share")
-    return plain.join(F.broadcast(shares), "fold").select(
-        "fold",
-        F.col("rows").alias("train_rows"),
-        F.coalesce("mean_lag12", F.lit(0.0)).alias("lag12_mean"),
-        (F.greatest(*[F.col(f"var_{c}") for c in CALENDAR_CORE], filled) * VARIANCE_SMOOTHING).alias("smoothing"),
-    )
 
+def class_stats(values: DataFrame, bins: DataFrame) -> DataFrame:
+    """Rows, mean and smoothed variance per fold, class and feature. Runs a job.
 
-def class_stats(values: DataFrame, bins: DataFrame, constants: DataFrame) -> DataFrame:
-    """Rows, mean and smoothed variance of every feature per fold and class."""
-    classed = with_class(values, bins).join(F.broadcast(constants), "fold")
-    merged = _merge(classed, ["fold", "class"], F.col("lag12_mean"))
-    return merged.join(F.broadcast(constants), "fold").select(
-        "fold",
-        "class",
-        F.col("rows").alias("class_rows"),
-        "train_rows",
-        *[f"mean_{c}" for c in CALENDAR],
-        *[(F.col(f"var_{c}") + F.col("smoothing")).alias(f"var_{c}") for c in CALENDAR],
+    The driver sees one row per fold, class and feature (24 per fold). A row
+    without a lag12 counts with the mean of the known ones, so all of them
+    together are one more part with that mean and no variance.
+    """
+    by_fold: dict = {}
+    for r in class_moments(values, bins).collect():
+        by_fold.setdefault(r.fold, []).append(r)
+    out = []
+    for fold, rows in by_fold.items():
+        lag12_mean = _merged([(r.known, r.mean, r.var) for r in rows if r.feature == "lag12"])[1]
+        filled = {
+            (r["class"], r.feature): _merged([(r.known, r.mean, r.var), (r.rows - r.known, lag12_mean, 0.0)])
+            for r in rows
+        }
+        overall = {f: _merged([p for (_, g), p in filled.items() if g == f]) for f in CALENDAR}
+        smoothing = VARIANCE_SMOOTHING * max(v for _, _, v in overall.values())
+        train_rows = int(overall["year"][0])
+        for (label, feature), (weight, mean, var) in filled.items():
+            out.append((fold, label, feature, int(weight), train_rows, lag12_mean, mean, var + smoothing))
+    return values.sparkSession.createDataFrame(
+        out,
+        "fold date, class int, feature string, class_rows long, train_rows long, lag12_mean double, "
+        "mean double, var double",
     )
 
 
@@ -156,7 +156,7 @@ def class_medians(values: DataFrame, bins: DataFrame) -> DataFrame:
 
 
 def _as_rows(small: DataFrame) -> DataFrame:
-    """A frame of at most four rows per fold as a local table."""
+    """A frame of a few rows per fold as a local table."""
     return small.sparkSession.createDataFrame(small.collect(), small.schema)
 
 
@@ -165,19 +165,29 @@ def fit(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
     use_shared_folder(state.sparkSession)
     values = value_moments(state, folds).checkpoint()
     bins = _as_rows(demand_bins(values))
-    constants = _as_rows(fold_constants(values))
-    stats = class_stats(values, bins, constants).join(F.broadcast(present_medians(values, bins)), ["fold", "class"])
-    fields = [c for c in stats.columns if c != "fold"]
-    classes = stats.groupBy("fold").agg(F.collect_list(F.struct(*fields)).alias("classes"))
-    return _as_rows(classes.join(F.broadcast(constants.drop("smoothing")), "fold"))
+    # At most four classes of six features per fold from here on.
+    medians = present_medians(values, bins)
+    per_class = class_stats(values, bins).groupBy("fold", "class").agg(
+        F.max("class_rows").alias("class_rows"),
+        F.max("train_rows").alias("train_rows"),
+        F.max("lag12_mean").alias("lag12_mean"),
+        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "var")))).alias("stats"),
+    )
+    entry = F.struct("class", "class_rows", "train_rows", "median", "stats")
+    return _as_rows(
+        per_class.join(medians, ["fold", "class"])
+        .groupBy("fold", "train_rows", "lag12_mean")
+        .agg(F.collect_list(entry).alias("classes"))
+    )
 
 
 def _log_density(c: Column) -> Column:
     total = F.log(c["class_rows"] / c["train_rows"])
     for name in CALENDAR:
         x = F.coalesce(F.col("lag12"), F.col("lag12_mean")) if name == "lag12" else F.col(name)
-        spread = F.greatest(c[f"var_{name}"], F.lit(1e-300))
-        total = total - (F.log(2 * F.pi() * spread) + F.pow(x - c[f"mean_{name}"], 2) / spread) / 2
+        stats = c["stats"][name]
+        spread = F.greatest(stats["var"], F.lit(1e-300))
+        total = total - (F.log(2 * F.pi() * spread) + F.pow(x - stats["mean"], 2) / spread) / 2
     return total
 
 

@@ -1,8 +1,8 @@
 """Ridge regression per series (M6).
 
-The normal equations come from one grouped aggregation of centred moments, which
-Spark combines on the map side and merges stably; only the 5 x 5 solve is Python,
-in Arrow batches over all series.
+The normal equations come from one grouped sum of products, taken around the
+level of the series so that nothing cancels; only the 5 x 5 solve is Python, in
+Arrow batches over all series.
 """
 
 from __future__ import annotations
@@ -20,16 +20,17 @@ _PAIRS = [(i, j) for i in range(5) for j in range(i, 5)]
 
 
 @F.pandas_udf(T.DoubleType())
-def _solve(moments: pd.Series) -> pd.Series:
-    m = np.stack(moments.to_numpy())
-    rows, alpha, y_mean = m[:, 0], m[:, 1], m[:, 2]
-    x_mean, x_next, x_y, x_x = m[:, 3:8], m[:, 8:13], m[:, 13:18], m[:, 18:33]
+def _solve(sums: pd.Series) -> pd.Series:
+    m = np.stack(sums.to_numpy())
+    rows, alpha, shift, y_mean = m[:, 0], m[:, 1], m[:, 2], m[:, 3] / m[:, 0]
+    x_mean, x_next = m[:, 4:9] / rows[:, None], m[:, 9:14]
+    right = m[:, 14:19] - rows[:, None] * x_mean * y_mean[:, None]
     left = np.zeros((len(m), 5, 5))
     for k, (i, j) in enumerate(_PAIRS):
-        left[:, i, j] = left[:, j, i] = rows * x_x[:, k]
+        left[:, i, j] = left[:, j, i] = m[:, 19 + k] - rows * x_mean[:, i] * x_mean[:, j]
     left += alpha[:, None, None] * np.eye(5)
-    weights = np.linalg.solve(left, (rows[:, None] * x_y)[:, :, None])[:, :, 0]
-    return pd.Series(y_mean + ((x_next - x_mean) * weights).sum(axis=1))
+    weights = np.linalg.solve(left, right[:, :, None])[:, :, 0]
+    return pd.Series(shift + y_mean + ((x_next - x_mean) * weights).sum(axis=1))
 
 
 def ridge_design(state: DataFrame, folds: DataFrame | None = None, lag12_anchor: str = "last_row") -> DataFrame:
@@ -54,8 +55,11 @@ def ridge_design(state: DataFrame, folds: DataFrame | None = None, lag12_anchor:
     used = F.when(yearly, n >= 13).when(lags, n >= 4).otherwise(F.lit(True))
     last = n == known
 
+    # A shift of a feature leaves a fit with free intercept alone.
+    level, epoch = F.col("level"), F.lit(2000.0)
+
     def gate(on: Column, value: Column) -> Column:
-        return F.when(on, value).otherwise(F.lit(0.0)).cast("double")
+        return F.when(on, value - level).otherwise(F.lit(0.0))
 
     # The last row's lag12 is kept by default, one month older than the others.
     lag12_next = F.col("lag12") if lag12_anchor == "last_row" else F.col("lag11")
@@ -64,14 +68,15 @@ def ridge_design(state: DataFrame, folds: DataFrame | None = None, lag12_anchor:
         "fold",
         "rows_known",
         last.alias("is_last"),
-        F.col("count").alias("y"),
-        F.col("month_num").alias("x_month"),
-        F.col("year").alias("x_year"),
+        "level",
+        (F.col("count") - level).alias("y"),
+        (F.col("month_num") - 6.5).alias("x_month"),
+        (F.col("year") - epoch).alias("x_year"),
         gate(lags, F.col("lag1")).alias("x_lag1"),
         gate(lags, F.col("avg3")).alias("x_avg3"),
         gate(yearly, F.col("lag12")).alias("x_lag12"),
-        F.month("next_month").cast("double").alias("next_x_month"),
-        F.year("next_month").cast("double").alias("next_x_year"),
+        (F.month("next_month") - 6.5).cast("double").alias("next_x_month"),
+        (F.year("next_month") - epoch).alias("next_x_year"),
         gate(lags, F.col("count")).alias("next_x_lag1"),
         gate(lags, F.col("mean3")).alias("next_x_avg3"),
         gate(yearly, lag12_next).alias("next_x_lag12"),
@@ -93,25 +98,26 @@ def ridge(
     def on_last(name: str) -> Column:
         return F.max(F.when(F.col("is_last"), F.col(name))).alias(name)
 
-    moments = design.groupBy("category", "fold").agg(
+    sums = design.groupBy("category", "fold").agg(
         F.count(F.lit(1)).cast("double").alias("rows"),
-        F.avg("y").alias("y_mean"),
-        *[F.avg(x).alias(f"mean_{x}") for x in _X],
-        *[F.covar_pop(x, "y").alias(f"xy_{x}") for x in _X],
-        *[F.covar_pop(_X[i], _X[j]).alias(f"xx_{i}{j}") for i, j in _PAIRS],
+        F.sum("y").alias("y"),
+        *[F.sum(x).alias(x) for x in _X],
+        *[F.sum(F.col(x) * F.col("y")).alias(f"y_{x}") for x in _X],
+        *[F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"x_{i}{j}") for i, j in _PAIRS],
         *[on_last(f"next_{x}") for x in _X],
-        *[on_last(c) for c in ("next_month", "actual", "fallback", "rows_known")],
+        *[on_last(c) for c in ("level", "next_month", "actual", "fallback", "rows_known")],
     )
     packed = F.array(
         F.col("rows"),
         F.lit(float(alpha)),
-        F.col("y_mean"),
-        *[F.col(f"mean_{x}") for x in _X],
+        F.col("level"),
+        F.col("y"),
+        *[F.col(x) for x in _X],
         *[F.col(f"next_{x}") for x in _X],
-        *[F.col(f"xy_{x}") for x in _X],
-        *[F.col(f"xx_{i}{j}") for i, j in _PAIRS],
+        *[F.col(f"y_{x}") for x in _X],
+        *[F.col(f"x_{i}{j}") for i, j in _PAIRS],
     )
-    solved = moments.withColumn("_fit", _solve(packed))
+    solved = sums.withColumn("_fit", _solve(packed))
     return solved.select(
         "category",
         "fold",
