@@ -105,8 +105,9 @@ def brand_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(combine.blended_forecasts(brand(spark, sf_dir), SQL_MODELS))
 
 
-def brand_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(insights.prediction_view(brand_forecasts(spark, sf_dir), brand(spark, sf_dir), "ensemble"))
+def brand_view(spark: SparkSession, sf_dir: str, forecasts: DataFrame | None = None) -> DataFrame:
+    forecasts = forecasts or brand_forecasts(spark, sf_dir)
+    return stored(insights.prediction_view(forecasts, brand(spark, sf_dir), "ensemble"))
 
 
 def customer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -682,7 +683,9 @@ def sparklines(spark, sf_dir):
 
 @query
 def model_compare(spark, sf_dir):
-    return shown(insights.model_compare(brand_forecasts(spark, sf_dir), _top(spark, sf_dir, 6)))
+    forecasts = brand_forecasts(spark, sf_dir)
+    top = insights.top_rows(brand_view(spark, sf_dir, forecasts), 6)
+    return shown(insights.model_compare(forecasts, top))
 
 
 @query

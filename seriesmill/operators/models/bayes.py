@@ -110,13 +110,8 @@ def _merged(parts: list[tuple[float, float, float]]) -> tuple[float, float, floa
     return weight, mean, sum(w * (v + (m - mean) ** 2) for w, m, v in parts) / weight
 
 
-def class_stats(values: DataFrame, bins: DataFrame) -> DataFrame:
-    """Rows, mean and smoothed variance per fold, class and feature. Runs a job.
-
-    The driver sees one row per fold, class and feature (24 per fold). A row
-    without a lag12 counts with the mean of the known ones, so all of them
-    together are one more part with that mean and no variance.
-    """
+def _class_rows(values: DataFrame, bins: DataFrame) -> list[tuple]:
+    """M13 as plain rows: fold, class, feature, class and training rows, lag12 mean, mean, variance."""
     by_fold: dict = {}
     for r in class_moments(values, bins).collect():
         by_fold.setdefault(r.fold, []).append(r)
@@ -132,8 +127,18 @@ def class_stats(values: DataFrame, bins: DataFrame) -> DataFrame:
         train_rows = int(overall["year"][0])
         for (label, feature), (weight, mean, var) in filled.items():
             out.append((fold, label, feature, int(weight), train_rows, lag12_mean, mean, var + smoothing))
+    return out
+
+
+def class_stats(values: DataFrame, bins: DataFrame) -> DataFrame:
+    """Rows, mean and smoothed variance per fold, class and feature. Runs a job.
+
+    The driver sees one row per fold, class and feature (24 per fold). A row
+    without a lag12 counts with the mean of the known ones, so all of them
+    together are one more part with that mean and no variance.
+    """
     return values.sparkSession.createDataFrame(
-        out,
+        _class_rows(values, bins),
         "fold date, class int, feature string, class_rows long, train_rows long, lag12_mean double, "
         "mean double, var double",
     )
@@ -155,29 +160,32 @@ def class_medians(values: DataFrame, bins: DataFrame) -> DataFrame:
     )
 
 
-def _as_rows(small: DataFrame) -> DataFrame:
-    """A frame of a few rows per fold as a local table."""
-    return small.sparkSession.createDataFrame(small.collect(), small.schema)
+_MODEL = (
+    "fold date, train_rows long, lag12_mean double, classes array<struct<"
+    "class: int, class_rows: long, train_rows: long, median: double, "
+    "stats: map<string, struct<mean: double, var: double>>>>"
+)
 
 
 def fit(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
-    """The fitted model, one row per fold with an array of classes. Runs jobs."""
-    use_shared_folder(state.sparkSession)
+    """The fitted model, one row per fold with an array of classes. Runs jobs.
+
+    One pass over the series; the rest works on the value moments. The driver
+    sees the edges, medians and statistics of at most four classes per fold.
+    """
+    spark = state.sparkSession
+    use_shared_folder(spark)
     values = value_moments(state, folds).checkpoint()
-    bins = _as_rows(demand_bins(values))
-    # At most four classes of six features per fold from here on.
-    medians = present_medians(values, bins)
-    per_class = class_stats(values, bins).groupBy("fold", "class").agg(
-        F.max("class_rows").alias("class_rows"),
-        F.max("train_rows").alias("train_rows"),
-        F.max("lag12_mean").alias("lag12_mean"),
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "var")))).alias("stats"),
-    )
-    entry = F.struct("class", "class_rows", "train_rows", "median", "stats")
-    return _as_rows(
-        per_class.join(medians, ["fold", "class"])
-        .groupBy("fold", "train_rows", "lag12_mean")
-        .agg(F.collect_list(entry).alias("classes"))
+    edges = demand_bins(values)
+    bins = spark.createDataFrame(edges.collect(), edges.schema)
+    medians = {(r.fold, r["class"]): r.median for r in present_medians(values, bins).collect()}
+    model: dict = {}
+    for fold, label, feature, rows, train_rows, lag12_mean, mean, var in _class_rows(values, bins):
+        classes = model.setdefault((fold, train_rows, lag12_mean), {})
+        stats = classes.setdefault((label, rows, train_rows, medians[fold, label]), {})
+        stats[feature] = (mean, var)
+    return spark.createDataFrame(
+        [(*key, [(*head, stats) for head, stats in classes.items()]) for key, classes in model.items()], _MODEL
     )
 
 
