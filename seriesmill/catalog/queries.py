@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -101,23 +101,28 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def blended(series: DataFrame, models: Iterable[str] = SQL_MODELS) -> DataFrame:
+    return stored(combine.blended_forecasts(series, models))
+
+
 def brand_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(combine.blended_forecasts(brand(spark, sf_dir), SQL_MODELS))
+    return blended(stored(brand(spark, sf_dir)))
 
 
-def brand_view(spark: SparkSession, sf_dir: str, forecasts: DataFrame | None = None) -> DataFrame:
-    forecasts = forecasts or brand_forecasts(spark, sf_dir)
-    return stored(insights.prediction_view(forecasts, brand(spark, sf_dir), "ensemble"))
+def brand_view(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Series, forecasts of all models, and the prediction view of the ensemble."""
+    series = stored(brand(spark, sf_dir))
+    forecasts = blended(series)
+    return series, forecasts, stored(insights.prediction_view(forecasts, series, "ensemble"))
 
 
 def customer_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = customer(spark, sf_dir)
-    forecasts = combine.blended_forecasts(series, ["naive"])
-    return stored(insights.prediction_view(forecasts, series, "naive"))
+    series = stored(customer(spark, sf_dir))
+    return stored(insights.prediction_view(blended(series, ["naive"]), series, "naive"))
 
 
 def brand_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(backtest.backtest_rows(brand(spark, sf_dir), SQL_MODELS, FOLDS))
+    return stored(backtest.backtest_rows(stored(brand(spark, sf_dir)), SQL_MODELS, FOLDS))
 
 
 # Preparation.
@@ -230,12 +235,12 @@ def filter_sparse(spark, sf_dir):
 
 @query
 def auto_relax_kept(spark, sf_dir):
-    return shown(quality.auto_relax(customer(spark, sf_dir), 30, 3, 6, 1))
+    return shown(quality.auto_relax(stored(customer(spark, sf_dir)), 30, 3, 6, 1))
 
 
 @query
 def auto_relax_loosened(spark, sf_dir):
-    return shown(quality.auto_relax(customer(spark, sf_dir), 30, 3, 6, 6))
+    return shown(quality.auto_relax(stored(customer(spark, sf_dir)), 30, 3, 6, 6))
 
 
 @query
@@ -404,27 +409,27 @@ def nb_medians(spark, sf_dir):
 
 @query
 def nb_forecast(spark, sf_dir):
-    return _final(bayes.naive_bayes(features.series_state(brand(spark, sf_dir))))
+    return _final(bayes.naive_bayes(features.series_state(stored(brand(spark, sf_dir)))))
 
 
 @query
 def nb_forecast_cycle(spark, sf_dir):
-    return _final(bayes.naive_bayes(features.series_state(cycle(spark, sf_dir))))
+    return _final(bayes.naive_bayes(features.series_state(stored(cycle(spark, sf_dir)))))
 
 
 @query
 def random_forest(spark, sf_dir):
-    return _final(trees.random_forest(features.series_state(brand(spark, sf_dir)), trees=QUERY_TREES))
+    return _final(trees.random_forest(features.series_state(stored(brand(spark, sf_dir))), trees=QUERY_TREES))
 
 
 @query
 def gradient_boost(spark, sf_dir):
-    return _final(trees.gradient_boost(features.series_state(brand(spark, sf_dir)), rounds=QUERY_ROUNDS))
+    return _final(trees.gradient_boost(features.series_state(stored(brand(spark, sf_dir))), rounds=QUERY_ROUNDS))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return shown(trees.feature_importance(features.series_state(brand(spark, sf_dir)), QUERY_TREES, QUERY_ROUNDS))
+    return shown(trees.feature_importance(features.series_state(stored(brand(spark, sf_dir))), QUERY_TREES, QUERY_ROUNDS))
 
 
 # Combination.
@@ -432,7 +437,7 @@ def feature_importance(spark, sf_dir):
 
 @query
 def multi_model_ranked(spark, sf_dir):
-    return shown(combine.rank_forecasts(brand_forecasts(spark, sf_dir)))
+    return shown(combine.multi_model(stored(brand(spark, sf_dir)), SQL_MODELS))
 
 
 @query
@@ -440,7 +445,7 @@ def rank_with_ties(spark, sf_dir):
     state = features.series_state(customer(spark, sf_dir))
     done = naive.seasonal_naive(state).select("category", "predicted", F.lit("naive").alias("model"))
     mean = naive.recent_mean(state).select("category", "predicted", F.lit("mean").alias("model"))
-    return shown(combine.rank_forecasts(done.unionByName(mean)))
+    return shown(combine.rank_forecasts(stored(done.unionByName(mean))))
 
 
 @query
@@ -456,19 +461,18 @@ def ensemble_avg(spark, sf_dir):
     return shown(brand_forecasts(spark, sf_dir).where(F.col("model") == "ensemble"))
 
 
-def _brand_weights(spark, sf_dir):
-    return combine.inverse_error_weights(metrics.core_metrics(brand_backtest(spark, sf_dir)))
-
-
 @query
 def ensemble_weights(spark, sf_dir):
-    return shown(_brand_weights(spark, sf_dir))
+    return shown(combine.inverse_error_weights(metrics.core_metrics(brand_backtest(spark, sf_dir))))
 
 
 @query
 def ensemble_weighted(spark, sf_dir):
-    blended = combine.blended_forecasts(brand(spark, sf_dir), SQL_MODELS, _brand_weights(spark, sf_dir))
-    return shown(blended.where(F.col("model") == "ensemble_w"))
+    series = stored(brand(spark, sf_dir))
+    rows = stored(backtest.backtest_rows(series, SQL_MODELS, FOLDS))
+    weights = combine.inverse_error_weights(metrics.core_metrics(rows))
+    forecasts = combine.blended_forecasts(series, SQL_MODELS, weights)
+    return shown(forecasts.where(F.col("model") == "ensemble_w"))
 
 
 @query
@@ -506,7 +510,7 @@ def backtest_rows_brand(spark, sf_dir):
 
 @query
 def backtest_rows_customer(spark, sf_dir):
-    return shown(backtest.backtest_rows(customer(spark, sf_dir), SQL_MODELS, FOLDS, clip=True))
+    return shown(backtest.backtest_rows(stored(customer(spark, sf_dir)), SQL_MODELS, FOLDS, clip=True))
 
 
 @query
@@ -531,7 +535,9 @@ def leaderboard(spark, sf_dir):
 
 @query
 def report(spark, sf_dir):
-    one = metrics_report(brand(spark, sf_dir), metrics.core_metrics(brand_backtest(spark, sf_dir)))
+    series = stored(brand(spark, sf_dir))
+    rows = backtest.backtest_rows(series, SQL_MODELS, FOLDS)
+    one = metrics_report(series, metrics.core_metrics(rows))
     per_model = one.select("rows", "categories", "months", F.explode("models").alias("model", "m"))
     return shown(per_model.select("rows", "categories", "months", "model", "m.mae", "m.rmse", "m.mape", "m.samples"))
 
@@ -601,7 +607,7 @@ def season_by_series(spark, sf_dir):
 
 @query
 def prediction_view(spark, sf_dir):
-    return shown(brand_view(spark, sf_dir))
+    return shown(brand_view(spark, sf_dir)[2])
 
 
 @query
@@ -611,22 +617,24 @@ def prediction_view_customer(spark, sf_dir):
 
 @query
 def headline(spark, sf_dir):
-    return shown(insights.headline(brand_view(spark, sf_dir), brand(spark, sf_dir), len(SQL_MODELS)))
+    series, _, view = brand_view(spark, sf_dir)
+    return shown(insights.headline(view, series, len(SQL_MODELS)))
 
 
 @query
 def top_demand(spark, sf_dir):
-    return shown(insights.top_demand(brand_view(spark, sf_dir), 15))
+    return shown(insights.top_demand(brand_view(spark, sf_dir)[2], 15))
 
 
 @query
 def movers(spark, sf_dir):
-    return shown(insights.movers(brand_view(spark, sf_dir)))
+    return shown(insights.movers(brand_view(spark, sf_dir)[2]))
 
 
 @query
 def deep_dive(spark, sf_dir):
-    return shown(insights.deep_dive(brand(spark, sf_dir), brand_view(spark, sf_dir)))
+    series, _, view = brand_view(spark, sf_dir)
+    return shown(insights.deep_dive(series, view))
 
 
 @query
@@ -649,13 +657,10 @@ def overall_trend(spark, sf_dir):
     return shown(insights.overall_trend(monthly.exclude_latest(brand(spark, sf_dir))))
 
 
-def _top(spark, sf_dir, n):
-    return insights.top_rows(brand_view(spark, sf_dir), n).select("category")
-
-
 @query
 def concentration(spark, sf_dir):
-    return shown(insights.concentration(brand(spark, sf_dir), _top(spark, sf_dir, 8)))
+    series, _, view = brand_view(spark, sf_dir)
+    return shown(insights.concentration(series, insights.top_rows(view, 8)))
 
 
 @query
@@ -673,24 +678,25 @@ def material_share(spark, sf_dir):
 
 @query
 def heatmap_cells(spark, sf_dir):
-    return shown(insights.heatmap_cells(brand(spark, sf_dir), _top(spark, sf_dir, 20)))
+    series, _, view = brand_view(spark, sf_dir)
+    return shown(insights.heatmap_cells(series, insights.top_rows(view, 20)))
 
 
 @query
 def sparklines(spark, sf_dir):
-    return shown(insights.sparklines(brand(spark, sf_dir), _top(spark, sf_dir, 10)))
+    series, _, view = brand_view(spark, sf_dir)
+    return shown(insights.sparklines(series, insights.top_rows(view, 10)))
 
 
 @query
 def model_compare(spark, sf_dir):
-    forecasts = brand_forecasts(spark, sf_dir)
-    top = insights.top_rows(brand_view(spark, sf_dir, forecasts), 6)
-    return shown(insights.model_compare(forecasts, top))
+    _, forecasts, view = brand_view(spark, sf_dir)
+    return shown(insights.model_compare(forecasts, insights.top_rows(view, 6)))
 
 
 @query
 def planning_actions(spark, sf_dir):
-    return shown(insights.planning_actions(brand_view(spark, sf_dir)))
+    return shown(insights.planning_actions(brand_view(spark, sf_dir)[2]))
 
 
 @query

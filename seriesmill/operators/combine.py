@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordered import ordered_position
+from ..sources.shared import use_shared_folder
 from .models.registry import run_models
 
 FORECAST = ("category", "month", "predicted", "model")
@@ -69,8 +70,12 @@ def blended_forecasts(
 def multi_model(
     monthly: DataFrame, models: Iterable[str], weights: DataFrame | None = None, **sizes: int
 ) -> DataFrame:
-    """The ranked forecast table of all models and ensembles."""
-    return rank_forecasts(blended_forecasts(monthly, models, weights, **sizes))
+    """The ranked forecast table of all models and ensembles.
+
+    Ranking reads its input several times, so the models' output is stored first.
+    """
+    use_shared_folder(monthly.sparkSession)
+    return rank_forecasts(blended_forecasts(monthly, models, weights, **sizes).checkpoint())
 
 
 def guardrail(forecasts: DataFrame, recent_avg: DataFrame, multiplier: float) -> DataFrame:
