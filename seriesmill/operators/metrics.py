@@ -23,6 +23,11 @@ def core_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation, null where a column does not vary."""
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+
+
 def _share(condition: Column) -> Column:
     return F.avg(condition.cast("double")) * 100
 
@@ -37,7 +42,7 @@ def extended_metrics(rows: DataFrame) -> DataFrame:
         (F.avg("ape") * 100).alias("mape_pct"),
         F.avg("error").alias("bias"),
         F.when(spread > 0, 1 - squares / spread).alias("r2"),
-        F.corr("actual", "predicted").alias("corr"),
+        correlation("actual", "predicted").alias("corr"),
         _share(F.col("ape") <= 0.20).alias("hit20pct"),
         _share(F.col("ape") <= 0.50).alias("hit50pct"),
         F.count(F.lit(1)).alias("n"),
@@ -90,7 +95,7 @@ def model_agreement(rows: DataFrame, models: Sequence[str]) -> DataFrame:
         rows.groupBy("category", "eval_month").pivot("model", models).agg(F.avg("predicted")).dropna(subset=models)
     )
     cells = [
-        F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.corr(a, b).alias("corr"))
+        F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), correlation(a, b).alias("corr"))
         for a, b in product(models, models)
     ]
     return wide.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
