@@ -101,12 +101,16 @@ def exact_quantiles(
     return found.groupBy(*keys).agg(*outs)
 
 
+# Cuts compared at once when a row looks up its slice.
+_STRIDE = 32
+
+
 def ordered_position(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[tuple[str, bool]],
     out: str,
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """``row_number`` per key over groups of any size.
 
@@ -114,31 +118,36 @@ def ordered_position(
     ``keys`` it must identify a row. A hash-ordered sample of fixed size gives cut
     points, rows are numbered inside the slice between two cuts, and the slice
     totals in front are added. Ties may be any share of the data: the cuts use the
-    full order, so they run through tied values too.
+    full order, so they run through tied values too. There are as many slices as
+    shuffle partitions (at least 64), so a slice stays the size of a partition.
     """
     keys = list(keys)
+    if slices is None:
+        slices = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = [F.col(k) for k in keys]
     for name, descending in order:
         parts.append((-F.col(name) if descending else F.col(name)).alias(f"_o_{name}"))
     place = F.struct(*parts)
-    sample_rows = slices * 32
-    sample = (
-        df.select(place.alias("_p"), F.xxhash64(*[F.col(n) for n in keys + [o for o, _ in order]]).alias("_h"))
-        .orderBy("_h", "_p")
-        .limit(sample_rows)
-    )
+    hashed = F.xxhash64(*[F.col(n) for n in keys + [o for o, _ in order]])
+    sample = df.select(place.alias("_p"), hashed.alias("_h")).orderBy("_h", "_p").limit(slices * 32)
+    # One array of slices - 1 entries, whatever the data size.
     cuts = sample.agg(F.sort_array(F.collect_list("_p")).alias("_all")).select(
         F.transform(
             F.sequence(F.lit(1), F.lit(slices - 1)),
             lambda i: F.get("_all", F.floor(i * F.size("_all") / slices).cast("int")),
-        ).alias("_cuts")
+        )
+    )
+    # Two short comparisons instead of one long: every 32nd cut, then the 32 after it.
+    every = F.transform(
+        F.sequence(F.lit(0), F.lit((slices - 1) // _STRIDE)), lambda i: F.get("_cuts", i * _STRIDE + _STRIDE - 1)
     )
-    # The cut list is one row of slices - 1 entries, whatever the data size.
+    below = lambda cut: cut <= F.col("_p")
     sliced = (
-        df.crossJoin(F.broadcast(cuts))
+        df.withColumn("_cuts", cuts.scalar())
         .withColumn("_p", place)
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= F.col("_p"))))
-        .drop("_cuts", "_p")
+        .withColumn("_whole", F.size(F.filter(every, below)) * _STRIDE)
+        .withColumn("_slice", F.col("_whole") + F.size(F.filter(F.slice("_cuts", F.col("_whole") + 1, _STRIDE), below)))
+        .drop("_cuts", "_p", "_whole")
     )
     totals = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     ahead = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -31,8 +31,7 @@ def ensemble_average(forecasts: DataFrame) -> DataFrame:
 def inverse_error_weights(metrics: DataFrame, floor: float = 0.001) -> DataFrame:
     """``model, weight`` with weights falling with MAPE and adding up to one."""
     raw = metrics.select("model", (1 / F.greatest("mape", F.lit(float(floor)))).alias("_raw"))
-    total = raw.agg(F.sum("_raw").alias("_total"))
-    return raw.crossJoin(F.broadcast(total)).select("model", (F.col("_raw") / F.col("_total")).alias("weight"))
+    return raw.select("model", (F.col("_raw") / raw.agg(F.sum("_raw")).scalar()).alias("weight"))
 
 
 def ensemble_weighted(forecasts: DataFrame, weights: DataFrame) -> DataFrame:

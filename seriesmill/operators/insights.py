@@ -34,14 +34,11 @@ def prediction_view(forecasts: DataFrame, monthly: DataFrame, model: str) -> Dat
     Last-month counts are those of the globally last month, so a series that ended
     earlier has 0. Both lookups come from one pass over the series and one join.
     """
-    latest = monthly.agg(F.max("month").alias("_latest"))
+    latest = monthly.agg(F.max("month")).scalar()
     facts = (
-        monthly.crossJoin(F.broadcast(latest))
+        monthly.withColumn("_last", F.when(F.col("month") == latest, F.col("count")))
         .groupBy("category")
-        .agg(
-            F.sum(F.when(F.col("month") == F.col("_latest"), F.col("count"))).alias("_last"),
-            F.avg("count").alias("_mean"),
-        )
+        .agg(F.sum("_last").alias("_last"), F.avg("count").alias("_mean"))
     )
     gap = F.col("predicted") - F.col("hist_avg")
     return (
@@ -66,16 +63,16 @@ def top_rows(view: DataFrame, n: int, by: str = "predicted", descending: bool =
 
 def headline(view: DataFrame, monthly: DataFrame, models_run: int) -> DataFrame:
     """Totals, change, share of the ten largest, number of titles and models."""
-    latest = monthly.agg(F.max("month").alias("month"))
-    last = monthly.join(F.broadcast(latest), "month").agg(F.coalesce(F.sum("count"), F.lit(0.0)).alias("last_total"))
-    titles = monthly.select("category").distinct().agg(F.count(F.lit(1)).alias("titles"))
+    latest = monthly.agg(F.max("month")).scalar()
+    last = monthly.where(F.col("month") == latest).agg(F.coalesce(F.sum("count"), F.lit(0.0)))
+    titles = monthly.select("category").distinct().agg(F.count(F.lit(1)))
     total = view.agg(F.coalesce(F.sum("predicted"), F.lit(0.0)).alias("predicted_total"))
-    first_ten = top_rows(view, 10).agg(F.coalesce(F.sum("predicted"), F.lit(0.0)).alias("_ten"))
+    first_ten = top_rows(view, 10).agg(F.coalesce(F.sum("predicted"), F.lit(0.0)))
     change = F.col("predicted_total") - F.col("last_total")
     return (
-        total.crossJoin(F.broadcast(last))
-        .crossJoin(F.broadcast(first_ten))
-        .crossJoin(F.broadcast(titles))
+        total.withColumn("last_total", last.scalar())
+        .withColumn("_ten", first_ten.scalar())
+        .withColumn("titles", titles.scalar())
         .select(
             "last_total",
             "predicted_total",
@@ -170,10 +167,10 @@ def seasonal_profile(monthly: DataFrame) -> DataFrame:
         names[F.col("calendar_month") - 1].alias("name"),
         F.coalesce("_mean", F.lit(0.0)).alias("avg_total"),
     )
-    limit = full.agg(F.percentile("avg_total", F.lit(0.67)).alias("_limit"))
-    return full.crossJoin(F.broadcast(limit)).select(
+    limit = full.agg(F.percentile("avg_total", F.lit(0.67))).scalar()
+    return full.select(
         "calendar_month", "name", "avg_total",
-        F.when(F.col("avg_total") >= F.col("_limit"), "Peak").otherwise("Normal").alias("season"),
+        F.when(F.col("avg_total") >= limit, "Peak").otherwise("Normal").alias("season"),
     )
 
 

@@ -64,12 +64,10 @@ def verdict(mape: Column) -> Column:
 
 def leaderboard(metrics: DataFrame) -> DataFrame:
     """Models from best to worst MAPE, the best one flagged, with a verdict."""
-    best = metrics.agg(F.min(F.struct("mape", "model"))["model"].alias("_best"))
+    best = metrics.agg(F.min(F.struct("mape", "model"))["model"]).scalar()
     return (
-        metrics.crossJoin(F.broadcast(best))
-        .withColumn("tag", F.when(F.col("model") == F.col("_best"), "Best").otherwise("Other"))
+        metrics.withColumn("tag", F.when(F.col("model") == best, "Best").otherwise("Other"))
         .withColumn("verdict", verdict(F.col("mape")))
-        .drop("_best")
         .orderBy("mape", "model")
     )
 
@@ -150,7 +148,7 @@ def density(
     at = F.col("start") + F.col("point") * F.col("step")
     bump = F.exp(-F.pow((F.col("x") - F.col("v")) / F.col("h"), 2) / 2)
     return (
-        counted.join(scaled, key)
+        counted.join(F.broadcast(scaled), key)  # one row per key: a model or a period
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .withColumn("x", at)
         .groupBy(key, F.col("point").cast("long").alias("point"))
@@ -192,11 +190,12 @@ def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
         F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("lo"),
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("hi"),
     )
-    place = F.least(F.floor((v - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    place = F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1))
     filled = (
         rows.where(v.isNotNull())
-        .crossJoin(F.broadcast(ends))
-        .groupBy(place.cast("long").alias("bin"))
+        .select(place.cast("long").alias("bin"))
+        .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     width = (F.col("hi") - F.col("lo")) / bins
@@ -236,8 +235,5 @@ def zero_rate_histogram(monthly: DataFrame, bins: int = 20) -> DataFrame:
 def season_by_series(monthly: DataFrame) -> DataFrame:
     """Mean of all series rows per calendar month, the highest one flagged."""
     means = monthly.groupBy(F.month("month").alias("calendar_month")).agg(F.avg("count").alias("mean"))
-    # Twelve rows.
-    peak = means.agg(F.min(F.struct((-F.col("mean")).alias("m"), "calendar_month"))["calendar_month"].alias("_peak"))
-    return means.crossJoin(F.broadcast(peak)).select(
-        "calendar_month", "mean", (F.col("calendar_month") == F.col("_peak")).alias("is_peak")
-    )
+    peak = means.agg(F.min(F.struct((-F.col("mean")).alias("m"), "calendar_month"))["calendar_month"]).scalar()
+    return means.select("calendar_month", "mean", (F.col("calendar_month") == peak).alias("is_peak"))

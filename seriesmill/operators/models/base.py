@@ -22,14 +22,13 @@ def last_folds(monthly: DataFrame, months: int) -> DataFrame:
     A table with fewer than two months has nothing to train on and gives none.
     """
     distinct = monthly.select(F.col("month").alias("fold")).distinct()
-    spread = distinct.agg((F.count(F.lit(1)) >= 2).alias("_enough"))
-    return (
-        distinct.orderBy(F.desc("fold"))
-        .limit(max(int(months), 0))
-        .crossJoin(F.broadcast(spread))
-        .where("_enough")
-        .select("fold")
-    )
+    enough = distinct.agg(F.count(F.lit(1)) >= 2).scalar()
+    return distinct.orderBy(F.desc("fold")).limit(max(int(months), 0)).where(enough)
+
+
+def fold_list(folds: DataFrame) -> Column:
+    """The at most K folds as one array value."""
+    return folds.agg(F.sort_array(F.collect_list("fold"))).scalar()
 
 
 def anchors(state: DataFrame, folds: DataFrame | None) -> DataFrame:
@@ -41,9 +40,9 @@ def anchors(state: DataFrame, folds: DataFrame | None) -> DataFrame:
     """
     if folds is None:
         return state.where(F.col("n") == F.col("size")).withColumn("fold", F.lit(FINAL))
-    # The fold table has at most K rows.
-    return state.join(F.broadcast(folds), F.col("next_month") == F.col("fold")).where(
-        F.col("actual").isNotNull()
+    return (
+        state.where(F.col("actual").isNotNull() & F.array_contains(fold_list(folds), F.col("next_month")))
+        .withColumn("fold", F.col("next_month"))
     )
 
 
@@ -51,7 +50,8 @@ def training(state: DataFrame, folds: DataFrame | None) -> DataFrame:
     """The rows each fold may learn from, all series, including ended ones."""
     if folds is None:
         return state.withColumn("fold", F.lit(FINAL))
-    return state.join(F.broadcast(folds), F.col("month") < F.col("fold"))
+    later = F.filter("_folds", lambda fold: fold > F.col("month"))
+    return state.withColumn("_folds", fold_list(folds)).withColumn("fold", F.explode(later)).drop("_folds")
 
 
 def forecast_columns(frame: DataFrame, predicted: Column) -> DataFrame:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import FINAL
+from .base import FINAL, fold_list
 
 Kernel = Callable[[np.ndarray], "np.ndarray | None"]
 
@@ -37,7 +37,8 @@ def series_prefixes(monthly: DataFrame, folds: DataFrame | None = None) -> DataF
         )
     length = F.months_between("fold", "_first").cast("int")
     return (
-        whole.join(F.broadcast(folds), F.col("_first") < F.col("fold"))
+        whole.withColumn("_folds", fold_list(folds))
+        .withColumn("fold", F.explode(F.filter("_folds", lambda fold: fold > F.col("_first"))))
         .withColumn("_n", length)
         .where(F.col("_n") < F.size("values"))
         .select(

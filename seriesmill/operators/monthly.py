@@ -29,13 +29,9 @@ def filter_material(df: DataFrame, column: str, words: Material = Material(), st
     loose = text.contains(words.contains)
     for word in words.excludes:
         loose = loose & ~text.contains(word)
-    # One row: did any row of the table match exactly? Reads this column only.
-    found = df.agg(F.coalesce(F.bool_or(exact), F.lit(False)).alias("_exact_found"))
-    return (
-        df.crossJoin(F.broadcast(found))
-        .where(F.when(F.col("_exact_found"), exact).otherwise(loose))
-        .drop("_exact_found")
-    )
+    # Did any row of the table match exactly? Reads this column only.
+    found = df.agg(F.coalesce(F.bool_or(exact), F.lit(False))).scalar()
+    return df.where(F.when(found, exact).otherwise(loose))
 
 
 def require_material(df: DataFrame, filtered: DataFrame, column: str) -> None:
@@ -133,7 +129,4 @@ def gap_fill(monthly: DataFrame) -> DataFrame:
 
 def exclude_latest(monthly: DataFrame) -> DataFrame:
     """Drop the globally latest month, which is usually partial."""
-    latest = monthly.agg(F.max("month").alias("_latest"))
-    return (
-        monthly.crossJoin(F.broadcast(latest)).where(F.col("month") < F.col("_latest")).drop("_latest")
-    )
+    return monthly.where(F.col("month") < monthly.agg(F.max("month")).scalar())

@@ -75,24 +75,20 @@ def auto_relax(
 ) -> DataFrame:
     """P10: the strict filters, or loosened ones if fewer than five series survive.
 
-    The choice depends on the whole table, so the number of survivors joins in as
-    one row and the plan stays lazy. Adds the column ``relaxed``.
+    The choice depends on the whole table, so the number of survivors comes in as
+    a scalar subquery and the plan stays lazy. Adds the column ``relaxed``.
     """
     # The recent window is never longer than the table has months.
-    span = monthly.select("month").distinct().agg(
-        F.greatest(F.count(F.lit(1)), F.lit(1)).cast("int").alias("_span")
-    )
-    spanned = monthly.crossJoin(F.broadcast(span))
-    newest_first = Window.partitionBy("category").orderBy(F.desc("month"))
-    in_window = F.col("back") <= F.least(F.lit(window), F.col("_span"))
+    span = monthly.select("month").distinct().agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    in_window = F.col("back") <= F.least(F.lit(window), span)
     facts = (
-        spanned.withColumn("back", F.row_number().over(newest_first))
+        with_recency(monthly)
+        .withColumn("_active", F.when(in_window & (F.col("count") > 0), 1).otherwise(0))
         .groupBy("category")
         .agg(
             F.sum("count").alias("total"),
             F.count(F.lit(1)).alias("months"),
-            F.max("_span").alias("_span"),
-            F.sum(F.when(in_window & (F.col("count") > 0), 1).otherwise(0)).alias("active"),
+            F.sum("_active").alias("active"),
         )
     )
     candidates = facts
@@ -101,14 +97,14 @@ def auto_relax(
     strict = candidates.where(
         (F.col("months") >= months) & ((F.col("active") >= min_nonzero) | F.lit(min_nonzero <= 0))
     ).select("category")
-    survivors = strict.agg((F.count(F.lit(1)) < relax_below).alias("relaxed"))
+    few = strict.agg(F.count(F.lit(1)) < relax_below).scalar()
     strict_set = strict.withColumn("_strict", F.lit(True))
     # Loosened: no top list, at least two months (one if the table has only one).
     chosen = (
         facts.join(strict_set, "category", "left")
-        .crossJoin(F.broadcast(survivors))
+        .withColumn("relaxed", few)
         .where(
-            F.when(F.col("relaxed"), F.col("months") >= F.least(F.lit(2), F.col("_span"))).otherwise(
+            F.when(F.col("relaxed"), F.col("months") >= F.least(F.lit(2), span)).otherwise(
                 F.col("_strict").isNotNull()
             )
         )
@@ -146,10 +142,8 @@ def averages(monthly: DataFrame, window: int) -> DataFrame:
 
 def last_month_counts(monthly: DataFrame) -> DataFrame:
     """Counts in the globally last month, as ``category, month, last_month``."""
-    latest = monthly.agg(F.max("month").alias("month"))
-    return monthly.join(F.broadcast(latest), "month").select(
-        "category", "month", F.col("count").alias("last_month")
-    )
+    latest = monthly.agg(F.max("month")).scalar()
+    return monthly.where(F.col("month") == latest).select("category", "month", F.col("count").alias("last_month"))
 
 
 def run_summary(monthly: DataFrame) -> DataFrame:
@@ -163,8 +157,7 @@ def run_summary(monthly: DataFrame) -> DataFrame:
         F.min("lo").alias("first_month"),
         F.max("hi").alias("last_month"),
     )
-    months = monthly.select("month").distinct().agg(F.count(F.lit(1)).alias("months"))
-    return totals.crossJoin(F.broadcast(months))
+    return totals.withColumn("months", monthly.select("month").distinct().agg(F.count(F.lit(1))).scalar())
 
 
 def count_stats(monthly: DataFrame) -> DataFrame:
@@ -176,5 +169,4 @@ def count_stats(monthly: DataFrame) -> DataFrame:
         F.sum("count").alias("total"),
         F.avg((F.col("count") == 0).cast("double")).alias("sparsity"),
     )
-    middle = exact_quantiles(monthly, [], "count", [0.5]).select(F.col("q0").alias("median"))
-    return plain.crossJoin(F.broadcast(middle))
+    return plain.withColumn("median", exact_quantiles(monthly, [], "count", [0.5]).scalar())

@@ -25,21 +25,17 @@ def metrics_report(monthly: DataFrame, metrics: DataFrame) -> DataFrame:
     sizes = per_category.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("categories")
     )
-    months = monthly.select("month").distinct().agg(F.count(F.lit(1)).alias("months"))
+    months = monthly.select("month").distinct().agg(F.count(F.lit(1)))
     # One entry per model name: bounded by the list of models.
     models = metrics.agg(
         F.map_from_entries(
             F.collect_list(F.struct("model", F.struct("mae", "rmse", "mape", "samples")))
-        ).alias("models")
-    )
-    return (
-        sizes.crossJoin(F.broadcast(months))
-        .crossJoin(F.broadcast(models))
-        .select(
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"),
-            "rows", "categories", "months", "models",
         )
     )
+    return sizes.select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"),
+        "rows", "categories", months.scalar().alias("months"), models.scalar().alias("models"),
+    )
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -40,7 +40,7 @@ def test_quantile_input_is_counted_once(spark):
 def test_positions_with_most_rows_tied(spark):
     rows = [(m, f"c{i:04d}", 0.0 if i % 3 else float(i)) for m in ("x", "y") for i in range(3000)]
     df = spark.createDataFrame(rows, "model string, category string, predicted double").repartition(9)
-    out = ordered_position(df, ["model"], [("predicted", True), ("category", False)], "rank", slices=16).collect()
+    out = ordered_position(df, ["model"], [("predicted", True), ("category", False)], "rank", slices=100).collect()
     for model in ("x", "y"):
         want = sorted((r for r in rows if r[0] == model), key=lambda r: (-r[2], r[1]))
         got = {r.category: r["rank"] for r in out if r.model == model}
