@@ -6,6 +6,7 @@ while the plan is built, since the trees are part of the plan afterwards.
 
 from __future__ import annotations
 
+import datetime
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
@@ -13,8 +14,9 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ...sources.shared import use_shared_folder
 from ..features import CYCLIC, CYCLIC_CORE, training_rows
-from .base import FINAL, anchors, forecast_columns, training
+from .base import FINAL, anchors, forecast_columns
 
 # Model sizes, and the fewest rows worth fitting.
 FOREST_TREES, FOREST_DEPTH, FOREST_LEAF = 300, 8, 3
@@ -48,27 +50,33 @@ def _vectors(frame: DataFrame, lag12: Column, flagged: bool) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(ready)
 
 
-def _fold_training(state: DataFrame, folds: DataFrame | None, fold) -> DataFrame:
-    rows = training_rows(training(state, folds), CYCLIC_CORE).where(F.col("fold") == F.lit(fold))
+def _fold_training(state: DataFrame, fold: datetime.date) -> DataFrame:
+    rows = training_rows(state.where(F.col("month") < F.lit(fold)), CYCLIC_CORE)
     # Splits depend on which rows share a partition; fix that by key.
     return rows.select("category", "month", "count", *CYCLIC).repartition("category").sortWithinPartitions(
         "category", "month"
     )
 
 
-def _fold_values(folds: DataFrame | None) -> list:
-    # At most K rows.
-    return [FINAL] if folds is None else [r.fold for r in folds.orderBy("fold").collect()]
-
-
-def _predict_per_fold(state, folds, estimator, train_fill, flagged, mean_fill):
+def _predict_per_fold(
+    state: DataFrame,
+    folds: DataFrame | None,
+    estimator: RandomForestRegressor | GBTRegressor,
+    train_fill: float,
+    flagged: bool,
+    mean_fill: bool,
+) -> DataFrame:
+    use_shared_folder(state.sparkSession)
+    targets = anchors(state, folds)
+    # The list of folds has at most K entries.
+    months = [FINAL] if folds is None else sorted(r.fold for r in folds.collect())
     outs = []
-    for fold in _fold_values(folds):
-        train = _fold_training(state, folds, fold)
+    for fold in months:
+        train = _fold_training(state, fold)
         size, mean = train.agg(
             F.count(F.lit(1)), F.coalesce(F.avg(F.coalesce("lag12", F.lit(0.0))), F.lit(0.0))
         ).first()
-        target = anchors(state, folds).where(F.col("fold") == F.lit(fold))
+        target = targets.where(F.col("fold") == F.lit(fold))
         if size < MIN_ROWS:
             outs.append(forecast_columns(target, F.col("fallback")))
             continue
@@ -80,7 +88,7 @@ def _predict_per_fold(state, folds, estimator, train_fill, flagged, mean_fill):
         outs.append(forecast_columns(scored, F.col("prediction")))
         outs.append(forecast_columns(short, F.col("fallback")))
     if not outs:
-        return forecast_columns(anchors(state, folds), F.lit(None)).limit(0)
+        return forecast_columns(targets, F.lit(None)).limit(0)
     return reduce(DataFrame.unionByName, outs)
 
 
@@ -96,7 +104,8 @@ def gradient_boost(state: DataFrame, folds: DataFrame | None = None, rounds: int
 
 def feature_importance(state: DataFrame, trees: int = FOREST_TREES, rounds: int = BOOST_ROUNDS) -> DataFrame:
     """Importance of every feature in both models fitted on all rows."""
-    train = _fold_training(state, None, FINAL)
+    use_shared_folder(state.sparkSession)
+    train = _fold_training(state, FINAL)
     vectors = _vectors(train, F.lit(0.0), flagged=False)
     rows = []
     for name, estimator in (("random_forest", _forest(trees)), ("gradient_boost", _boosting(rounds))):
