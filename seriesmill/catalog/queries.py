@@ -18,6 +18,7 @@ from ..operators.models import base, bayes, naive, registry, ridge, trees
 from ..operators.models.kernels import apply_kernel, series_prefixes
 from ..operators.models.smoothing import smooth
 from ..operators.models.arima import sarima as sarima_kernel
+from ..sources.readers import is_folder
 from ..sources.shared import new_shared_path, use_shared_folder
 from ..sources.sinks import metrics_report
 from ..streaming.rollup import latest_sums, read_page_stream, stream_rollup, write_batches
@@ -711,7 +712,8 @@ def planning_bands(spark, sf_dir):
 def stream_monthly(spark, sf_dir):
     """The orders table as a stream; complete mode keeps late rows, so it equals the batch."""
     path = os.path.join(sf_dir, "orders.parquet")
-    rows = read_page_stream(spark, sf_dir, spark.read.parquet(path).schema, "parquet", pattern="orders.parquet")
+    folder, only = (path, None) if is_folder(spark, path) else (sf_dir, "orders.parquet")
+    rows = read_page_stream(spark, folder, spark.read.parquet(path).schema, "parquet", pattern=only)
     target, state = new_shared_path(spark, "sums"), new_shared_path(spark, "state")
     write_batches(stream_rollup(rows, CUSTOMER), target, state, "complete").awaitTermination()
     return shown(latest_sums(spark, target))

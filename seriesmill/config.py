@@ -39,10 +39,10 @@ class RoleError(ValueError):
     """A column role could not be bound to a column."""
 
 
-def _known_columns(columns: Sequence[str], shown: int = 25) -> str:
-    head = ", ".join(columns[:shown])
-    hidden = len(columns) - shown
-    return head if hidden <= 0 else f"{head}, ... (+{hidden} more)"
+def _role_error(problem: str, columns: Sequence[str]) -> RoleError:
+    """An error that also lists the table's columns, at most 25 of them."""
+    rest = f" and {len(columns) - 25} others" if len(columns) > 25 else ""
+    return RoleError(f"{problem}; the table has {', '.join(columns[:25])}{rest}")
 
 
 def resolve_role(
@@ -64,11 +64,8 @@ def resolve_role(
         if folded:
             return folded[0]
         close = difflib.get_close_matches(requested, columns, n=5, cutoff=0.6)
-        hint = f" Did you mean: {', '.join(close)}?" if close else ""
-        raise RoleError(
-            f"{label} column not found: {requested}.{hint} "
-            f"Available columns: {_known_columns(columns)}."
-        )
+        hint = f" (similar: {', '.join(close)})" if close else ""
+        raise _role_error(f"no {label} column named {requested}{hint}", columns)
     exact = [c for c in candidates if c in columns]
     loose = [by_lower[c.lower()] for c in candidates if c.lower() in by_lower]
     return next(iter(exact + loose), None)
@@ -123,24 +120,18 @@ class ForecastConfig:
         """P1 for every role; a date column wins over year + month."""
         material = None
         if self.only_material is not None:
-            material = resolve_role(columns, self.material, MATERIAL_NAMES, "Material filter")
+            material = resolve_role(columns, self.material, MATERIAL_NAMES, "material")
             if material is None:
-                raise RoleError(
-                    "No material type column found. "
-                    f"Available columns: {_known_columns(columns)}."
-                )
-        category = resolve_role(columns, self.category, CATEGORY_NAMES, "Category")
+                raise _role_error("no material column to filter by", columns)
+        category = resolve_role(columns, self.category, CATEGORY_NAMES, "category")
         if category is None:
-            raise RoleError(f"No category column found. Available columns: {_known_columns(columns)}.")
-        count = resolve_role(columns, self.count, COUNT_NAMES, "Count")
-        date = resolve_role(columns, self.date, DATE_NAMES, "Date")
+            raise _role_error("no category column", columns)
+        count = resolve_role(columns, self.count, COUNT_NAMES, "count")
+        date = resolve_role(columns, self.date, DATE_NAMES, "date")
         if date:
             return Roles(category, date=date, count=count, material=material)
-        year = resolve_role(columns, self.year, YEAR_NAMES, "Year")
-        month = resolve_role(columns, self.month, MONTH_NAMES, "Month")
+        year = resolve_role(columns, self.year, YEAR_NAMES, "year")
+        month = resolve_role(columns, self.month, MONTH_NAMES, "month")
         if not (year and month):
-            raise RoleError(
-                "No date column found, nor year and month columns. "
-                f"Available columns: {_known_columns(columns)}."
-            )
+            raise _role_error("neither a date column nor year and month columns", columns)
         return Roles(category, year=year, month=month, count=count, material=material)

@@ -83,7 +83,7 @@ def mape_by_category(rows: DataFrame, models: Sequence[str]) -> DataFrame:
     known = [F.col(m) for m in models]
     total = sum((F.coalesce(c, F.lit(0.0)) for c in known), F.lit(0.0))
     filled = sum((c.isNotNull().cast("int") for c in known), F.lit(0))
-    return wide.withColumn("mean_mape", total / filled).orderBy("mean_mape", "category")
+    return wide.withColumn("mean_mape", F.try_divide(total, filled)).orderBy("mean_mape", "category")
 
 
 def model_agreement(rows: DataFrame, models: Sequence[str]) -> DataFrame:

@@ -40,10 +40,7 @@ def require_material(df: DataFrame, filtered: DataFrame, column: str) -> None:
         return
     values = df.select(F.btrim(F.col(column).cast("string")).alias("v")).where("v is not null")
     sample = [r.v for r in values.distinct().orderBy("v").limit(15).collect()]
-    raise ValueError(
-        f"Material filter removed all rows. Check values in {column}. "
-        f"Sample values: {', '.join(sample)}"
-    )
+    raise ValueError(f"no row of {column} fits the material words; it holds {', '.join(sample)}")
 
 
 def month_from_date(column: Column, dtype: T.DataType, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:

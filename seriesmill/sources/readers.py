@@ -15,6 +15,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder on its file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
+
+
 def normalise_headers(df: DataFrame) -> DataFrame:
     """Header names trimmed, unquoted and lower-cased."""
     return df.toDF(*[c.strip().strip('"').strip("'").lower() for c in df.columns])

@@ -11,14 +11,16 @@ from pyspark.sql import SparkSession
 def use_shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session, set if it was not.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where neither that nor a
-    checkpoint folder exists (single-machine tests) is a temporary one made.
+    ``spark.checkpoint.dir`` names it on a cluster. Only in local mode without it
+    (single-machine tests) is a temporary one made.
     """
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not context.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="seriesmill-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    return named or context.getCheckpointDir()
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:

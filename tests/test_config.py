@@ -15,12 +15,12 @@ def test_candidates_in_priority_order():
 
 
 def test_unknown_name_gives_hint_and_columns():
-    with pytest.raises(RoleError, match=r"Did you mean: checkoutyear\?.*Available columns: checkoutyear, title"):
+    with pytest.raises(RoleError, match=r"similar: checkoutyear\).*has checkoutyear, title"):
         resolve_role(["checkoutyear", "title"], "checkoutyer", (), "Year")
 
 
 def test_long_column_list_is_cut():
-    with pytest.raises(RoleError, match=r"c24, \.\.\. \(\+5 more\)"):
+    with pytest.raises(RoleError, match="c24 and 5 others"):
         resolve_role([f"c{i}" for i in range(30)], "zzz", (), "Year")
 
 

@@ -27,7 +27,7 @@ def test_material_fallback_stage(spark):
 
 def test_material_nothing_left(spark):
     df = spark.createDataFrame([("DVD",), ("CD",)], "m string")
-    with pytest.raises(ValueError, match="Sample values: CD, DVD"):
+    with pytest.raises(ValueError, match="it holds CD, DVD"):
         monthly.require_material(df, monthly.filter_material(df, "m"), "m")
 
 
@@ -126,3 +126,32 @@ def test_labels(spark):
         scalars.one_decimal(F.lit(2.25)).alias("f"),
     ).first()
     assert tuple(row) == ("1,234", "+1,234", "-5", "Jan 2020", "abc…", 2.2)
+
+
+def test_one_category_with_a_third_of_the_rows(spark):
+    raw = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("c"),
+        F.date_add(F.lit("2020-01-01"), (F.col("id") % 700).cast("int")).alias("d"),
+        F.lit(2).alias("n"),
+    )
+    series = monthly.gap_fill(monthly.monthly_series(raw, Roles("c", date="d", count="n")))
+    totals = {r.category: r.total for r in quality.category_totals(series).collect()}
+    assert totals["hot"] == 20000.0 and sum(totals.values()) == 60000.0
+    row = quality.run_summary(series).first()
+    assert row.months == 23 and row.rows == series.count()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_gap_fill_properties(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    seen = {(f"c{rng.randrange(8)}", rng.randrange(60)): rng.randrange(1, 50) for _ in range(90)}
+    rows = [(c, D(2015 + m // 12, m % 12 + 1, 1), float(v)) for (c, m), v in seen.items()]
+    raw = spark.createDataFrame(rows, "category string, month date, count double").repartition(5)
+    filled = {(r.category, r.month): r["count"] for r in monthly.gap_fill(raw).collect()}
+    assert all(filled[c, m] == v for c, m, v in rows) and sum(filled.values()) == sum(v for _, _, v in rows)
+    for c in {c for c, _, _ in rows}:
+        span = [m for k, m, _ in rows if k == c]
+        months = (max(span).year - min(span).year) * 12 + max(span).month - min(span).month + 1
+        assert sum(k == c for k, _ in filled) == months

@@ -93,7 +93,7 @@ def test_run_without_backtest_relaxes_and_reports(spark, pages):
 
 def test_run_names_materials_when_none_fit(spark, pages):
     raw = readers.read_pages(spark, pages).where("MaterialType = 'DVD'")
-    with pytest.raises(ValueError, match="Sample values: DVD"):
+    with pytest.raises(ValueError, match="it holds DVD"):
         run(raw, ForecastConfig(category="title"))
 
 
