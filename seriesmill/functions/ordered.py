@@ -9,6 +9,7 @@ from grouped counts and bounded windows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -101,10 +102,6 @@ def exact_quantiles(
     return found.groupBy(*keys).agg(*outs)
 
 
-# Cuts compared at once when a row looks up its slice.
-_STRIDE = 32
-
-
 def ordered_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -135,19 +132,19 @@ def ordered_position(
         F.transform(
             F.sequence(F.lit(1), F.lit(slices - 1)),
             lambda i: F.get("_all", F.floor(i * F.size("_all") / slices).cast("int")),
-        )
-    )
-    # Two short comparisons instead of one long: every 32nd cut, then the 32 after it.
-    every = F.transform(
-        F.sequence(F.lit(0), F.lit((slices - 1) // _STRIDE)), lambda i: F.get("_cuts", i * _STRIDE + _STRIDE - 1)
+        ).alias("_cuts")
     )
+    # Two short lookups instead of one long: every stride-th cut, then those after it.
+    stride = isqrt(slices)
+    marks = F.sequence(F.lit(stride - 1), F.lit(slices + stride - 1), F.lit(stride))
+    both = cuts.select(F.struct("_cuts", F.transform(marks, lambda i: F.get("_cuts", i)).alias("marks")))
     below = lambda cut: cut <= F.col("_p")
     sliced = (
-        df.withColumn("_cuts", cuts.scalar())
+        df.withColumn("_at", both.scalar())
         .withColumn("_p", place)
-        .withColumn("_whole", F.size(F.filter(every, below)) * _STRIDE)
-        .withColumn("_slice", F.col("_whole") + F.size(F.filter(F.slice("_cuts", F.col("_whole") + 1, _STRIDE), below)))
-        .drop("_cuts", "_p", "_whole")
+        .withColumn("_whole", F.size(F.filter("_at.marks", below)) * stride)
+        .withColumn("_slice", F.col("_whole") + F.size(F.filter(F.slice("_at._cuts", F.col("_whole") + 1, stride), below)))
+        .drop("_at", "_p", "_whole")
     )
     totals = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     ahead = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
