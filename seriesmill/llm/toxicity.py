@@ -101,7 +101,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, delta: np.ndarray, ridge: float = 2e-3, swap_penalty: float = 1.0, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, delta: np.ndarray, ridge: float = 2e-4, swap_penalty: float = 1.0, steps: int = 800) -> tuple[np.ndarray, float]:
     """Logistic loss, plus a ridge, plus ``swap_penalty`` times the mean square of the score changes ``delta @ w``.
 
     Gradient steps with momentum from zero; the step width follows from the data.
