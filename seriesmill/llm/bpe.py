@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from seriesmill.llm.common import PIECE_BYTES, flat, pieces, prefix_sums, span_hashes, word_spans
+from seriesmill.llm.common import flat, pieces, prefix_sums, span_hashes, word_spans
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if it is printable Latin-1, else 256 and up."""
@@ -146,7 +146,7 @@ class Encoder:
     in the task are looked up, new ones are encoded together.
     """
 
-    def __init__(self, v: Vocabulary, most: int = 3_000_000):
+    def __init__(self, v: Vocabulary, most: int = 600_000):
         self.v, self.most = v, most
         self.split = regex.compile(v.pattern)
         self.lines = regex.compile(v.pattern + r"|\n")
@@ -260,7 +260,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(shared.value))
         for batch in batches:
-            for part in pieces(batch, text, 4 * PIECE_BYTES):
+            for part in pieces(batch, text):
                 packed, decoded, n = encoder.encode(part.column(text))
                 columns = [part.column(f.name) for f in kept] + [pa.array(n), pa.array(packed, pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + ["n_tokens", "ids", "decoded"])

@@ -14,7 +14,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from seriesmill.llm.common import PIECE_BYTES, flat, pieces, prefix_sums, span_hashes
+from seriesmill.llm.common import flat, pieces, prefix_sums, span_hashes
 
 #: The mark that stands for a space.
 SPACE = "▁"
@@ -125,7 +125,7 @@ def surviving(sym: np.ndarray, size: np.ndarray, v: PieceVocabulary) -> np.ndarr
 class Counter:
     """Tokens of whole texts; words seen before in the task are looked up."""
 
-    def __init__(self, v: PieceVocabulary, most: int = 3_000_000):
+    def __init__(self, v: PieceVocabulary, most: int = 600_000):
         self.v, self.most = v, most
         self.known, self.tokens = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
@@ -195,7 +195,7 @@ def token_counts(docs: DataFrame, model: bytes, text: str = "text", out: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(PieceVocabulary(shared.value))
         for batch in batches:
-            for part in pieces(batch, text, 4 * PIECE_BYTES):
+            for part in pieces(batch, text):
                 columns = [part.column(f.name) for f in kept] + [pa.array(counter.count(part.column(text)))]
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + [out])
 
