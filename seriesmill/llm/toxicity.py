@@ -101,24 +101,26 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, delta: np.ndarray, ridge: float = 2e-4, swap_penalty: float = 1.0, steps: int = 800) -> tuple[np.ndarray, float]:
-    """Logistic loss, plus a ridge, plus ``swap_penalty`` times the mean square of the score changes ``delta @ w``.
+def fit_logistic(x: np.ndarray, y: np.ndarray, delta: np.ndarray, ridge: float = 1e-3, swap_penalty: float = 1.0, steps: int = 800, weight: float = 2.0) -> tuple[np.ndarray, float]:
+    """Logistic loss (label 1 counts ``weight`` times), plus a ridge, plus ``swap_penalty`` times the mean square of the score changes ``delta @ w``.
 
     Gradient steps with momentum from zero; the step width follows from the data.
     """
     n, m = x.shape
+    each = np.where(y == 1, weight, 1.0)
     w, b = np.zeros(m, np.float32), 0.0
     v, c = w.copy(), b
     rows = max(1, len(delta))
     curve = np.ones(m, np.float32)
     for _ in range(12):  # largest curvature
         curve /= max(np.linalg.norm(curve), 1e-9)
-        curve = x.T @ (x @ curve) / (4 * n) + swap_penalty * (delta.T @ (delta @ curve)) / rows
-    width = 1 / (1.2 * np.linalg.norm(curve) + ridge + 0.5)
+        curve = x.T @ (x @ curve) * np.float32(weight / (4 * n)) + swap_penalty * (delta.T @ (delta @ curve)) / rows
+    width = 1 / (1.2 * np.linalg.norm(curve) + ridge + weight / 4)
     for k in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ v + c, -30, 30)))
-        g = x.T @ (p - y).astype(np.float32) / n + ridge * v + swap_penalty * (delta.T @ (delta @ v)) / rows
-        w2, b2 = v - width * g, c - width * float((p - y).mean())
+        off = ((p - y) * each).astype(np.float32)
+        g = x.T @ off / n + ridge * v + swap_penalty * (delta.T @ (delta @ v)) / rows
+        w2, b2 = v - width * g, c - width * float(off.mean())
         pull = k / (k + 3)
         v, c = w2 + pull * (w2 - w), b2 + pull * (b2 - b)
         w, b = w2, b2
@@ -152,14 +154,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int
     if not pos or not neg:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -2.0 if neg or not pos else 2.0)
 
-    def part(seen, group):
-        share = (seen + F.lit(0.5)) / (group + 1.0)
-        return share
-
-    p1, p0 = part(F.col("hit"), pos), part(F.col("miss"), neg)
-    lift = p1 * F.abs(F.log(p1 / p0)) + p0 * F.abs(F.log(p1 / p0))
-    best = counted.filter("rows = 0 AND hit + miss >= 3").select("h", lift.alias("lift")).orderBy(F.desc("lift"), "h").limit(most_features).select("h").collect()
-    hashes = np.sort(np.array([r["h"] for r in best], np.int64).view(np.uint64))
+    p1, p0 = (F.col("hit") + 0.5) / (pos + 1.0), (F.col("miss") + 0.5) / (neg + 1.0)
+    lift = (p1 + p0) * F.abs(F.log(p1 / p0))
+    best = counted.filter("rows = 0 AND hit + miss >= 3").select("h", lift.alias("lift"), F.abs(F.log(p1 / p0)).alias("odds")).orderBy(F.desc("lift"), "h").limit(most_features).collect()
+    hashes = np.array([r["h"] for r in best], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, odds = hashes[order], np.array([r["odds"] for r in best], np.float32)[order]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = Chosen(hashes)
@@ -188,8 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int
         delta[i] = -x[place[r["doc_id"]]]
         delta[i, r["at"]] += 1
     delta = delta[np.abs(delta).sum(1) > 0]
-    w, b = fit_logistic(x, np.array([r["y"] for r in real], np.float32), delta, swap_penalty=swap_penalty)
-    return ToxicityModel(hashes, w, b)
+    # Columns are scaled by their log odds: the ridge costs telling features less.
+    w, b = fit_logistic(x * odds, np.array([r["y"] for r in real], np.float32), delta * odds, swap_penalty=swap_penalty)
+    return ToxicityModel(hashes, w * odds, b)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
