@@ -75,6 +75,14 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, starts - starts[0]
 
 
+_MASK = (1 << 64) - 1
+
+
+def u64(x: int) -> np.uint64:
+    """The integer modulo 2 ** 64."""
+    return np.uint64(x & _MASK)
+
+
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -159,7 +167,7 @@ def shingles(words: np.ndarray, owner: np.ndarray, size: int, n_texts: int) -> t
     """
     count = np.bincount(owner, minlength=n_texts)
     first = np.concatenate(([0], np.cumsum(count)))[:-1]
-    odd = [np.uint64(2 * k + 1) * np.uint64(0xD6E8FEB86659FD93) for k in range(size)]
+    odd = [u64((2 * k + 1) * 0xD6E8FEB86659FD93) for k in range(size)]
     n = max(0, len(words) - size + 1)
     value = np.zeros(n, np.uint64)
     for k in range(size):
@@ -169,10 +177,10 @@ def shingles(words: np.ndarray, owner: np.ndarray, size: int, n_texts: int) -> t
     short = np.flatnonzero((count > 0) & (count < size))
     extra = np.zeros(len(short), np.uint64)
     for i, d in enumerate(short):
-        x = np.uint64(count[d])
+        x = count[d : d + 1].astype(np.uint64)
         for w in words[first[d] : first[d] + count[d]]:
-            x = mixed(np.array([x * np.uint64(5) + w]))[0]
-        extra[i] = x
+            x = mixed(x * np.uint64(5) + w)
+        extra[i] = x[0]
     value, of = np.concatenate((value, extra)), np.concatenate((of, short))
     order = np.lexsort((value, of))
     value, of = value[order], of[order]

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, quality, token_counts, toxicity
+from seriesmill.llm import bpe, near_dups, quality, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -51,11 +51,17 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, quality.score(docs, model), 0.3)
 
 
+def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), words=4)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": bpe_round_trip,
     "op5_toxicity": toxicity_scores,
     "op6_token_counts": token_count,
     "op7_quality": quality_scores,
+    "op10_near_duplicates": near_duplicate_groups,
 }
 
 ORACLES: dict[str, str] = {}
