@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, near_dups, quality, token_counts, toxicity
+from seriesmill.llm import bpe, html_main, near_dups, quality, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -51,6 +51,13 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, quality.score(docs, model), 0.3)
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_shared_folder(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_main.main_text(pages, html_main.fit_pages(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), words=4)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": toxicity_scores,
     "op6_token_counts": token_count,
     "op7_quality": quality_scores,
+    "op8_main_text": page_text,
     "op10_near_duplicates": near_duplicate_groups,
 }
 
