@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, html_main, near_dups, quality, token_counts, toxicity
+from seriesmill.llm import bpe, html_main, line_dedup, near_dups, quality, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -63,8 +63,14 @@ def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": bpe_round_trip,
+    "op4_line_dedup": repeated_lines,
     "op5_toxicity": toxicity_scores,
     "op6_token_counts": token_count,
     "op7_quality": quality_scores,
