@@ -122,6 +122,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def rolling(data: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of every stretch of ``size`` bytes."""
+    sums, n = prefix_sums(data), max(0, len(data) - size + 1)
+    return mixed((sums[size : size + n] - sums[:n]) * powers(len(sums))[1][:n] + u64(size))
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)

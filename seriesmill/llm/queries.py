@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, html_main, line_dedup, near_dups, quality, token_counts, toxicity
+from seriesmill.llm import bpe, decontamination, html_main, line_dedup, near_dups, quality, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -22,6 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of document and benchmark item; documents without a passage are not in it."""
+    return decontamination.passages(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     coded = bpe.encode_decode(docs, Path(WORD_VOCABULARY).read_text())
@@ -69,6 +74,7 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_benchmark_leaks": benchmark_leaks,
     "op3_bpe_round_trip": bpe_round_trip,
     "op4_line_dedup": repeated_lines,
     "op5_toxicity": toxicity_scores,
