@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from seriesmill.llm.common import flat, lower_ascii, mixed, pieces, prefix_sums, span_hashes, u64, word_spans, written
 
 #: Tokens are counted in so many buckets; any order is right, the counts make it a rare-first one.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 23
 #: Pairs looked at at once.
 BLOCK = 1_000_000
 
@@ -37,7 +37,7 @@ class Lines:
         begin, end, owner = word_spans(low, starts)
         line = np.searchsorted(line_starts, begin, "right") - 1
         token = span_hashes(prefix_sums(low), begin, end)
-        order = np.lexsort((token, line))
+        order = _within(line, token)
         token, line, owner = token[order], line[order], owner[order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
@@ -62,6 +62,22 @@ class Lines:
         return out
 
 
+def _within(row: np.ndarray, token: np.ndarray, count: np.ndarray | None = None) -> np.ndarray:
+    """An order by row, then count (those above 65,534 are alike), then the upper bits of the token, then the rest of it."""
+    if count is None:
+        key = (row.astype(np.uint64) << np.uint64(40)) | (token >> np.uint64(24))
+    else:
+        key = (row.astype(np.uint64) << np.uint64(40)) | (np.minimum(count, 65_535).astype(np.uint64) << np.uint64(24)) | (token >> np.uint64(40))
+    if len(row) and row[-1] >= 1 << 24:
+        return np.lexsort((token, key & u64((1 << 40) - 1), row))
+    order = np.argsort(key)
+    ranked = key[order]
+    tie = np.flatnonzero(ranked[1:] == ranked[:-1])
+    if (token[order[tie]] != token[order[tie + 1]]).any():
+        return np.lexsort((token, key))
+    return order
+
+
 def _bucket(token: np.ndarray) -> np.ndarray:
     return (token & np.uint64(BUCKETS - 1)).astype(np.int64)
 
@@ -79,28 +95,38 @@ def _each(df: DataFrame, text: str, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def rarity(docs: DataFrame, text: str) -> np.ndarray:
-    """Lines per token bucket over all texts: one array of fixed size."""
+def sets_and_counts(docs: DataFrame, text: str) -> DataFrame:
+    """One pass: a row ``(doc, line, k1, k2, n)`` for each line with words, and rows ``(null, bucket, .., lines)``."""
+    names = ["doc", "line", "k1", "k2", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for part in pieces(batch, text):
                 lines = Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
-                total += np.bincount(_bucket(lines.token), minlength=BUCKETS)
+                np.add.at(total, _bucket(lines.token), 1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lines.doc, lines.line, *lines.keys(), lines.size)], names)
         some = np.flatnonzero(total)
         for k in range(0, len(some), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(some[k : k + 100_000].astype(np.int32)), pa.array(total[some[k : k + 100_000]])], ["b", "n"])
+            at = some[k : k + 100_000]
+            none = pa.nulls(len(at), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(at), none, none, pa.array(total[at].astype(np.int64))], names)
+
+    return docs.mapInArrow(run, "doc long, line long, k1 long, k2 long, n long")
 
-    rows = docs.mapInArrow(run, "b int, n long").groupBy("b").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+
+def rarity(told: DataFrame) -> np.ndarray:
+    """Lines per token bucket over all texts: one array of fixed size."""
+    rows = told.filter("doc IS NULL").groupBy(F.col("line").cast("int").alias("b")).agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
     out = np.zeros(BUCKETS, np.int32)
     out[rows["b"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
 def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> DataFrame:
-    """``(tok, doc, line, n, pos, bits)``: the prefix tokens of every line.
+    """``(tok, doc, line, np, bits)``: the prefix tokens of every line; ``np`` is its size and the place.
 
+    A token that no other line has is left out: it makes no pair.
     Within a piece of the input a set is given once, by its first line. Lines too
     short to be similar to any other set have none.
     """
@@ -119,27 +145,27 @@ def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> D
         count = shared.value[_bucket(lines.token)]
         spread = np.left_shift(np.uint64(1), mixed(lines.token) >> np.uint64(58))
         bits = np.bitwise_or.reduceat(spread, lines.first) if len(lines.first) else np.zeros(0, np.uint64)
-        order = np.lexsort((lines.token, count, lines.row))
+        order = _within(lines.row, lines.token, count)
         pos = np.arange(len(order)) - lines.first[lines.row]
         length = n - (a * n + b - 1) // b + 1
-        keep = use[lines.row] & (pos < length[lines.row])
+        keep = use[lines.row] & (pos < length[lines.row]) & (count[order] > 1)
         row = lines.row[keep]
-        return lines.token[order][keep].view(np.int64), lines.doc[row], lines.line[row], n[row], pos[keep], bits[row].view(np.int64)
+        return lines.token[order][keep].view(np.int64), lines.doc[row], lines.line[row], n[row] << 32 | pos[keep], bits[row].view(np.int64)
 
-    return _each(docs, text, make, "tok long, doc long, line long, n long, pos long, bits long")
+    return _each(docs, text, make, "tok long, doc long, line long, np long, bits long")
 
 
 def _candidates(most: int, least: Fraction, only: bool):
-    """Pairs of lines of one token, rows sorted by (tok, n): at most ``most`` for each later line.
+    """Pairs of lines of one token, rows sorted by (tok, np): at most ``most`` for each later line.
 
     ``more`` tells that a later line had more of them. With ``only``, all pairs are
     given, but only for later lines marked ``open``.
     """
     a, b = least.numerator, least.denominator
-    names = ["tok", "doc", "line", "n", "pos", "bits"] + ["open"] * only
+    names = ["tok", "doc", "line", "np", "bits"] + ["open"] * only
 
     def pairs(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        n, tok = c["n"], c["tok"]
+        n, pos, tok = c["np"] >> 32, c["np"] & 0xFFFFFFFF, c["tok"]
         new = np.ones(len(tok), bool)
         new[1:] = tok[1:] != tok[:-1]
         group = np.cumsum(new) << 32
@@ -156,7 +182,7 @@ def _candidates(most: int, least: Fraction, only: bool):
             at = to
             both = n[i] + n[j]
             need = (a * both + a + b - 1) // (a + b)
-            ok = np.minimum(n[i] - c["pos"][i], n[j] - c["pos"][j]) >= need
+            ok = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
             i, j, both, need = i[ok], j[ok], both[ok], need[ok]
             off = np.bitwise_count((c["bits"][i] ^ c["bits"][j]).view(np.uint64)).astype(np.int64)
             ok = off <= both - 2 * need
@@ -249,43 +275,43 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     """
     least = Fraction(similarity)
     rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    rare = rarity(rows, "text")
-
-    def sets(lines: Lines):
-        k1, k2 = lines.keys()
-        return lines.doc, lines.line, k1, k2, lines.size
-
-    lines = written(_each(rows, "text", sets, "doc long, line long, k1 long, k2 long, n long"))
+    told = written(sets_and_counts(rows, "text"))
+    rare = rarity(told)
+    lines = told.filter("doc IS NOT NULL")
     firsts = written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            texts = [z.compress(t.encode()) if t else None for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "z"])
+            for part in pieces(batch, text):
+                texts = [None if t is None else z.compress(t.encode()) for t in part.column(text).to_pylist()]
+                columns = [pa.array(texts, pa.binary()) if c == text else part.column(c) for c in part.schema.names]
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
-    packed = rows.mapInArrow(pack, "doc_id long, z binary").filter("z IS NOT NULL")
+    kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
+    whole = docs.select([f.name for f in kept]).mapInArrow(pack, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in kept))
+    packed = whole.select("doc_id", F.col(text).alias("z")).filter("doc_id IS NOT NULL AND z IS NOT NULL")
     posted = postings(rows, "text", rare, least)
-    found = posted.repartition("tok").sortWithinPartitions("tok", "n").mapInArrow(_candidates(most, least, False), PAIR)
+    found = posted.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, False), PAIR)
     first = written(_similar(found, packed, least))
     again = first.filter("more AND NOT good").select("doc", "line")
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
         marked = posted.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        rest = marked.repartition("tok").sortWithinPartitions("tok", "n").mapInArrow(_candidates(most, least, True), PAIR)
+        rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
         repeated = repeated.union(_similar(rest, packed, least).filter("good").select("doc", "line"))
 
-    told = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
-    told = told.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
-    gone = lines.join(told, ["k1", "k2", "n"]).filter("again OR struct(doc, line) <> f")
+    known = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
+    known = known.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
+    gone = lines.join(known, ["k1", "k2", "n"]).filter("again OR struct(doc, line) <> f")
     gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias("gone")))  # no more than the lines of a document
-    kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
-    joined = docs.select([f.name for f in kept]).join(gone, "doc_id", "left")
+    joined = whole.join(gone, "doc_id", "left")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, text, 1 << 20)):
             out, n_lines, n_removed = [], [], []
-            for t, g in zip(batch.column(text).to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            for z, g in zip(batch.column(text).to_pylist(), batch.column("gone").to_pylist(), strict=True):
+                t = None if z is None else zstandard.decompress(z).decode()
                 parts = t.split("\n") if t else []
                 n_lines.append(len(parts))
                 g = set(g or ())
