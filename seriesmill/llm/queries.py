@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, decontamination, html_main, line_dedup, near_dups, quality, token_counts, toxicity
+from seriesmill.llm import bpe, decontamination, html_main, line_dedup, near_dups, quality, suffix_dedup, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -73,6 +73,11 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_leaks": benchmark_leaks,
     "op3_bpe_round_trip": bpe_round_trip,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": token_count,
     "op7_quality": quality_scores,
     "op8_main_text": page_text,
+    "op9_suffix_dedup": repeated_strings,
     "op10_near_duplicates": near_duplicate_groups,
 }
 
