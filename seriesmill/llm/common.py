@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,6 +135,16 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+#: Bytes that are not in words of letters and digits; all non-ASCII signs are, A-Z must be lowered before.
+WORD_BREAK = np.ones(256, bool)
+WORD_BREAK[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
+
+
+def lowered(texts: pa.Array) -> pa.Array:
+    """Texts in lower case; null becomes empty."""
+    return pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 

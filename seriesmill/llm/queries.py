@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, decontamination, html_main, line_dedup, near_dups, quality, suffix_dedup, token_counts, toxicity
+from seriesmill.llm import bpe, decontamination, html_main, line_dedup, near_dups, quality, search, suffix_dedup, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -22,6 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return search.top_k(docs, docs.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id"))
+
+
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of document and benchmark item; documents without a passage are not in it."""
     return decontamination.passages(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -79,6 +84,7 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": similar_documents,
     "op2_benchmark_leaks": benchmark_leaks,
     "op3_bpe_round_trip": bpe_round_trip,
     "op4_line_dedup": repeated_lines,
@@ -90,4 +96,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_duplicates": near_duplicate_groups,
 }
 
-ORACLES: dict[str, str] = {}
+#: BM25 in SQL: the terms, constants and ties of ``search.top_k``.
+TOP_K_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents WHERE doc_id IS NOT NULL
+), lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+totals AS (SELECT count(*) AS docs, avg(n) AS mean FROM lengths),
+idf AS (SELECT term, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM counts, totals GROUP BY term, docs),
+scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id, round(sum(idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * n / mean))), 6) AS score
+  FROM counts q JOIN counts d USING (term) JOIN idf USING (term) JOIN lengths l ON l.doc_id = d.doc_id, totals
+  WHERE q.doc_id % 20 = 0 GROUP BY q.doc_id, d.doc_id
+)
+SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, score
+FROM scored QUALIFY rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_top_k": TOP_K_SQL}

@@ -8,11 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import flat, labelled_sample, pieces, prefix_sums, span_hashes, word_spans
+from seriesmill.llm.common import WORD_BREAK, flat, labelled_sample, lowered, pieces, prefix_sums, span_hashes, word_spans
 
 #: Terms for groups of people that may be swapped for each other; the first are neutral.
 IDENTITY_TERMS = (
@@ -25,18 +24,12 @@ IDENTITY_TERMS = (
 _TERM = re.compile(r"\b(" + "|".join(IDENTITY_TERMS) + r")\b")
 #: Bytes of the word itself, then of its beginnings.
 PREFIXES = (0, 3, 4, 5, 6, 7)
-_BREAK = np.ones(256, bool)
-_BREAK[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
-
-
-def lowered(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
 
 
 def _hashes(texts: pa.Array, keep) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text index of the features: distinct words and word beginnings that ``keep`` lets pass."""
     data, starts = flat(texts)
-    begin, end, owner = word_spans(data, starts, _BREAK)
+    begin, end, owner = word_spans(data, starts, WORD_BREAK)
     sums = prefix_sums(data)
     values, owners = [], []
     for k in PREFIXES:
