@@ -15,6 +15,8 @@ from seriesmill.llm.components import components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Shingles are counted in so many buckets to put rare ones first.
+RARITY_BUCKETS = 1 << 22
 #: Elements that get a permutation of their own at once.
 BLOCK = 120_000
 
@@ -98,39 +100,93 @@ def described(docs: DataFrame, text: str, words: int, bands: int, rows: int) ->
     return rows_.mapInArrow(run, "doc_id long, th long, n long, k1 long, k2 long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, text: str, words: int, least: Fraction) -> DataFrame:
-    """The ``(a, b)`` of ``pairs(a, ta, b, tb)`` whose whole shingle sets are similar enough."""
-    texts = docs.select("doc_id", F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    left = texts.select(F.col("doc_id").alias("a"), F.col("th").alias("ta"), F.col("text").alias("x"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("th").alias("tb"), F.col("text").alias("y"))
-    both = pairs.join(left, ["a", "ta"]).join(right, ["b", "tb"]).select("a", "b", "x", "y")
+def whole_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> DataFrame:
+    """``(rep, th, s)``: the whole shingle sets of the documents in ``wanted(rep, th)``."""
+    texts = docs.select(F.col("doc_id").alias("rep"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "y", 1 << 20):
-                k = part.num_rows
-                # Texts that stand in several pairs are cut into shingles once.
-                names, place = np.unique(np.concatenate((part.column("a").to_numpy(), part.column("b").to_numpy())), return_inverse=True)
-                where = np.zeros(len(names), np.int64)
-                where[place] = np.arange(2 * k)
-                x, y = (part.column(c).cast(pa.large_string()) for c in "xy")
-                value, of = shingles(*hashed_words(pa.concat_arrays([x, y]).take(pa.array(where))), words, len(names))
-                starts = np.searchsorted(of, np.arange(len(names) + 1))
-                good = np.zeros(k, bool)
-                for i in range(k):
-                    p, q = place[i], place[k + i]
-                    s, t = value[starts[p] : starts[p + 1]], value[starts[q] : starts[q + 1]]
-                    if not len(s) or not len(t):
-                        continue
-                    at = np.minimum(np.searchsorted(s, t), len(s) - 1)
-                    same = int((s[at] == t).sum())
-                    good[i] = least.denominator * same >= least.numerator * (len(s) + len(t) - same)
-                yield pa.RecordBatch.from_arrays([part.column("a").filter(pa.array(good)), part.column("b").filter(pa.array(good))], ["u", "v"])
-
-    return both.mapInArrow(run, "u long, v long")
-
-
-def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, similarity: str = "0.8", bands: int = 32, rows: int = 5) -> DataFrame:
+            for part in pieces(batch, "text"):
+                value, of = shingles(*hashed_words(part.column("text")), words, part.num_rows)
+                cuts = pa.array(np.searchsorted(of, np.arange(part.num_rows + 1)).astype(np.int32))
+                lists = pa.ListArray.from_arrays(cuts, pa.array(value.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("th"), lists], ["rep", "th", "s"])
+
+    return texts.join(wanted, ["rep", "th"]).mapInArrow(run, "rep long, th long, s array<long>").dropDuplicates(["rep", "th"])
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """Edges for the ``pairs(a, ta, b, tb)`` whose whole sets are similar enough."""
+    left = sets.select(F.col("rep").alias("a"), F.col("th").alias("ta"), F.col("s").alias("x"))
+    right = sets.select(F.col("rep").alias("b"), F.col("th").alias("tb"), F.col("s").alias("y"))
+    both = pairs.join(left, ["a", "ta"]).join(right, ["b", "tb"])
+    same = F.size(F.array_intersect("x", "y"))
+    good = same * least.denominator >= (F.size("x") + F.size("y") - same) * least.numerator
+    return both.filter(good).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def prefix_pairs(rest: DataFrame, least: Fraction) -> DataFrame:
+    """Candidates ``(a, ta, b, tb)`` between components of ``rest(rep, th, comp, s)``.
+
+    Similar sets share a shingle within the first ``n - ceil(least * n) + 1`` of each,
+    whatever order all have in common; rare shingles come first, so that a passage
+    which many documents have gives no candidates. Place and bitmap bound the overlap
+    from above. Nothing is lost here.
+    """
+    a, b = least.numerator, least.denominator
+    names, bits = ["rep", "th", "comp"], [f"m{k}_" for k in range(16)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY_BUCKETS, np.int32)
+        for batch in batches:
+            np.add.at(total, batch.column("s").flatten().to_numpy() & (RARITY_BUCKETS - 1), 1)
+        some = np.flatnonzero(total)
+        for k in range(0, len(some), 100_000):
+            at = some[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["b", "n"])
+
+    counted = rest.select("s").mapInArrow(count, "b int, n int").groupBy("b").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+    rare = np.zeros(RARITY_BUCKETS, np.int32)
+    rare[counted["b"].to_numpy()] = counted["n"].to_numpy()
+    shared = rest.sparkSession.sparkContext.broadcast(rare)  # RARITY_BUCKETS numbers
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.diff(batch.column("s").offsets.to_numpy()).astype(np.int64)
+            value = batch.column("s").flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), size)
+            number = shared.value[value & (RARITY_BUCKETS - 1)]
+            order = np.lexsort((value, number, row))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            keep = (place < (size - (a * size + b - 1) // b + 1)[row]) & (number[order] > 1)
+            # A bitmap of the whole set: two sets differ at least where their bitmaps do.
+            bit = (mixed(value.view(np.uint64)) >> np.uint64(54)).astype(np.int64)
+            maps = np.zeros((batch.num_rows, 16), np.uint64)
+            np.bitwise_or.at(maps, (np.repeat(np.arange(batch.num_rows), size), bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+            row = row[keep]
+            columns = [pa.array(value[order][keep]), *(batch.column(c).take(pa.array(row)) for c in names), pa.array(size[row]), pa.array(place[keep])]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(maps[row, k].view(np.int64)) for k in range(16)], ["s", *names, "n", "at"] + bits)
+
+    posted = written(rest.mapInArrow(post, "s long, rep long, th long, comp long, n long, at long, " + ", ".join(f"{x} long" for x in bits)))
+    several = posted.groupBy("s").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("s")
+    posted = posted.join(several, "s")
+    renamed = {"rep": "b", "th": "tb"} | {c: f"{c}2" for c in ["comp", "n", "at", *bits]}
+    other = posted.withColumnsRenamed(renamed)
+    need = f"(({a} * (n + n2) + {a + b - 1}) div {a + b})"
+    differ = " + ".join(f"bit_count({x} ^ {x}2)" for x in bits)
+    close = f"rep > b AND comp <> comp2 AND least(n - at, n2 - at2) >= {need} AND {differ} <= n + n2 - 2 * {need}"
+    return posted.join(other, "s").filter(close).select(F.col("rep").alias("a"), F.col("th").alias("ta"), "b", "tb").distinct()
+
+
+def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with theirs."""
+    own = shared.join(found, shared["rep"] == found["vertex"], "left").withColumn("comp", F.coalesce("component", "rep"))
+    own = written(own.select("band", "key", "rep", "th", "n", "comp"))
+    several = own.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    return own.join(several.select("band", "key"), ["band", "key"])
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, similarity: str = "0.8", bands: int = 32, rows: int = 5, centres: int = 4) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row: the smallest doc_id reachable over links.
 
     Two documents are linked if their sets of ``words``-word shingles have a Jaccard
@@ -138,10 +194,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, similar
     Documents without words have an empty set and no links. A link at the limit is
     missed by all bands with probability (1 - similarity ** rows) ** bands, 3e-6 by default.
 
-    Equal sets are one vertex, so copies make no pairs. In each bucket of a band all
-    members are compared with its smallest one; only where that leaves more than one
-    component are the pairs between components compared. Rows of one doc_id with
-    different texts are vertices of the same name; a null doc_id gets no component.
+    Equal sets are one vertex, so copies make no pairs. The members of a bucket of a
+    band are compared with ``centres`` of them, chosen by a hash. Members of buckets
+    that still hold several components are joined by prefix filter, between
+    components only: that finds every link among them.
     """
     least = Fraction(similarity)
     told = written(described(docs, text, words, bands, rows))
@@ -149,25 +205,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 5, similar
     classes = written(classes.select("k1", "k2", "n", F.col("r.doc_id").alias("rep"), "r.th", "r.bands"))
     members = classes.select("rep", "th", "n", F.posexplode("bands").alias("band", "key"))
     close = f"least(n, n2) * {least.denominator} >= greatest(n, n2) * {least.numerator}"
-
-    centre = members.groupBy("band", "key").agg(F.min(F.struct("rep", "th", "n")).alias("c"), F.max("rep").alias("other"))
-    centre = centre.filter("other <> c.rep").select("band", "key", F.col("c.rep").alias("b"), F.col("c.th").alias("tb"), F.col("c.n").alias("n2"))
-    shared = written(members.join(centre, ["band", "key"]))
-    star = shared.filter("rep <> b").filter(close).select(F.col("rep").alias("a"), F.col("th").alias("ta"), "b", "tb").distinct()
-    first = written(confirmed(star, docs, text, words, least))
-    grouped = components(first)
-
-    # Buckets whose members are not all connected yet: every pair between components.
-    own = shared.join(grouped, shared["rep"] == grouped["vertex"], "left").withColumn("comp", F.coalesce("component", "rep"))
-    own = written(own.select("band", "key", "rep", "th", "n", "comp", "b"))
-    open_ = own.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("band", "key")
-    rest = own.join(open_, ["band", "key"])
-    other = rest.select("band", "key", F.col("rep").alias("rep2"), F.col("th").alias("th2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    cross = rest.join(other, ["band", "key"]).filter("rep > rep2 AND comp <> comp2 AND rep2 <> b").filter(close)
-    cross = cross.select(F.col("rep").alias("a"), F.col("th").alias("ta"), F.col("rep2").alias("b"), F.col("th2").alias("tb")).distinct()
-    second = confirmed(cross, docs, text, words, least)
-    edges = written(first.union(second))
-    final = components(edges)
+    several = members.groupBy("band", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
+    shared = written(members.join(several.select("band", "key"), ["band", "key"]))
+    sets = written(whole_sets(docs, shared.select("rep", "th").distinct(), text, words))
+    order = [F.min(F.struct(F.xxhash64("rep", F.lit(c)).alias("o"), "rep", "th", "n")) for c in range(centres)]
+    centre = shared.groupBy("band", "key").agg(F.array(*order).alias("cs")).select("band", "key", F.explode("cs").alias("c"))
+    centre = centre.select("band", "key", F.col("c.rep").alias("b"), F.col("c.th").alias("tb"), F.col("c.n").alias("n2"))
+    star = shared.join(centre, ["band", "key"]).filter("rep <> b").filter(close)
+    star = star.select(F.col("rep").alias("a"), F.col("th").alias("ta"), "b", "tb").distinct()
+    edges = written(confirmed(star, sets, least))
+
+    apart = _open(shared, components(edges)).select("rep", "th", "comp").distinct()
+    rest = written(sets.join(apart, ["rep", "th"]).select("rep", "th", "comp", "s"))
+    final = components(edges.union(confirmed(prefix_pairs(rest, least), sets, least)))
 
     named = classes.join(final, classes["rep"] == final["vertex"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     out = told.select("doc_id", "k1", "k2", "n").join(named, ["k1", "k2", "n"], "left")
