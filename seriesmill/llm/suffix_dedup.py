@@ -46,7 +46,7 @@ class Anchors:
     def __init__(self, data: np.ndarray, starts: np.ndarray, size: int, q: int):
         self.data, self.starts, self.size, self.q = data, starts, size, q
         self.w = size - q + 1
-        self.at, self.hash = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        self.at, self.hash, self.least = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         n = len(data) - size + 1
         if n <= 0:
             self.text = self.at
@@ -93,7 +93,7 @@ def packed(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, 1 << 20):
                 data, starts = flat(part.column(text))
                 ids = pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([np.diff(starts)], pa.list_(pa.int64())), pa.array([z.compress(data.tobytes())], pa.binary())], ["ids", "sizes", "z"])
