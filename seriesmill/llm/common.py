@@ -206,6 +206,16 @@ def shingles(words: np.ndarray, owner: np.ndarray, size: int, n_texts: int) -> t
     return value[new], of[new]
 
 
-def grouped(starts: np.ndarray, values: np.ndarray) -> pa.Array:
-    """A list array with ``values[starts[i]:starts[i + 1]]`` in row i."""
-    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values))
+def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Range of each hash, ascending with it."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Integers byte plane by byte plane: the planes of small ones are empty."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def unplanes(raw: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import flat, lower_ascii, mixed, pieces, prefix_sums, span_hashes, u64, word_spans, written
+from seriesmill.llm.common import flat, lower_ascii, mixed, pieces, planes, prefix_sums, ranges, span_hashes, u64, unplanes, word_spans, written
 
 #: Tokens are counted in so many buckets; any order is right, the counts make it a rare-first one.
 BUCKETS = 1 << 23
@@ -123,8 +123,14 @@ def rarity(told: DataFrame) -> np.ndarray:
     return out
 
 
+COLUMNS = ["tok", "doc", "line", "np", "bits"]
+
+
 def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> DataFrame:
-    """``(tok, doc, line, np, bits)``: the prefix tokens of every line; ``np`` is its size and the place.
+    """``(part, blob)``: packed runs of the prefix tokens of every line, by range of the token.
+
+    An entry has the token, the line's document and number, its size and the place of
+    the token in it, and a bitmap of all its tokens.
 
     A token that no other line has is left out: it makes no pair.
     Within a piece of the input a set is given once, by its first line. Lines too
@@ -149,10 +155,39 @@ def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> D
         pos = np.arange(len(order)) - lines.first[lines.row]
         length = n - (a * n + b - 1) // b + 1
         keep = use[lines.row] & (pos < length[lines.row]) & (count[order] > 1)
-        row = lines.row[keep]
-        return lines.token[order][keep].view(np.int64), lines.doc[row], lines.line[row], n[row] << 32 | pos[keep], bits[row].view(np.int64)
+        row, token = lines.row[keep], lines.token[order][keep]
+        by = np.argsort(token, kind="stable")
+        row, token = row[by], token[by]
+        columns = [lines.doc[row], lines.line[row], n[row] << 32 | pos[keep][by], bits[row]]
+        part = ranges(token, n_parts)
+        cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
+        blobs = [
+            zstandard.compress(b"".join([planes(np.diff(token[x:y], prepend=np.uint64(0))), *(planes(np.ascontiguousarray(c[x:y])) for c in columns)]), 1)
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+        ]
+        return part[cuts[:-1]], blobs
+
+    n_parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _each(docs, text, make, "part long, blob binary")
+
 
-    return _each(docs, text, make, "tok long, doc long, line long, np long, bits long")
+def unpacked(blob: bytes) -> dict[str, np.ndarray]:
+    """Entries of a run, tokens ascending."""
+    raw = zstandard.decompress(blob)
+    n = len(raw) // 40
+    out = {c: unplanes(raw[8 * n * k : 8 * n * (k + 1)], np.uint64) for k, c in enumerate(COLUMNS)}
+    out["tok"] = np.cumsum(out["tok"], dtype=np.uint64)
+    return {c: v.view(np.int64) for c, v in out.items()}
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column("blob").to_pylist():
+            e = unpacked(blob)
+            yield pa.RecordBatch.from_arrays([pa.array(e[c]) for c in COLUMNS], COLUMNS)
+
+
+ENTRY = ", ".join(f"{c} long" for c in COLUMNS)
 
 
 def _candidates(most: int, least: Fraction, only: bool):
@@ -162,7 +197,7 @@ def _candidates(most: int, least: Fraction, only: bool):
     given, but only for later lines marked ``open``.
     """
     a, b = least.numerator, least.denominator
-    names = ["tok", "doc", "line", "np", "bits"] + ["open"] * only
+    names = COLUMNS + ["open"] * only
 
     def pairs(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         n, pos, tok = c["np"] >> 32, c["np"] & 0xFFFFFFFF, c["tok"]
@@ -220,7 +255,14 @@ def _candidates(most: int, least: Fraction, only: bool):
         if held:
             yield from pairs(held)
 
-    return run
+    def combine(table: pa.Table) -> pa.Table:
+        """All entries of a range of tokens: a share of the tokens, not of the rows of one."""
+        all_ = [unpacked(x) for x in table["blob"].to_pylist()]
+        c = {k: np.concatenate([e[k] for e in all_]) for k in COLUMNS}
+        order = np.lexsort((c["np"], c["tok"]))
+        return pa.Table.from_batches(list(pairs({k: v[order] for k, v in c.items()})))
+
+    return run if only else combine
 
 
 PAIR = "xd long, xl long, yd long, yl long, more boolean"
@@ -292,12 +334,12 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     whole = docs.select([f.name for f in kept]).mapInArrow(pack, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in kept))
     packed = whole.select("doc_id", F.col(text).alias("z")).filter("doc_id IS NOT NULL AND z IS NOT NULL")
     posted = postings(rows, "text", rare, least)
-    found = posted.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, False), PAIR)
+    found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
     first = written(_similar(found, packed, least))
     again = first.filter("more AND NOT good").select("doc", "line")
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
-        marked = posted.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        marked = posted.mapInArrow(_entries, ENTRY).join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
         repeated = repeated.union(_similar(rest, packed, least).filter("good").select("doc", "line"))
 

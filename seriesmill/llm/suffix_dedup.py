@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import flat, mixed, pieces, prefix_sums, rolling, span_hashes, u64, written
+from seriesmill.llm.common import flat, mixed, pieces, planes, prefix_sums, ranges, rolling, span_hashes, u64, unplanes, written
 
 #: Runs that one loser tree combines.
 FAN_IN = 256
@@ -72,21 +72,6 @@ class Anchors:
         return out
 
 
-def _parts(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Range of each hash, ascending with it."""
-    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-
-
-def _planes(values: np.ndarray) -> bytes:
-    """Integers byte plane by byte plane: the planes of small ones are empty."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
-
-
-def _unplanes(raw: bytes, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
 def packed(docs: DataFrame, text: str) -> DataFrame:
     """Pieces ``(piece, ids, sizes, z)`` of the table: some documents' texts, compressed together."""
 
@@ -164,7 +149,7 @@ class Entries:
         for j in range(1, a.w):
             inside = self.at[first] - j >= self.starts[text]
             before[inside, j - 1] = self.data[self.at[first][inside] - j]
-        part = _parts(a.hash[use][first], n_parts)
+        part = ranges(a.hash[use][first], n_parts)
         order = np.lexsort((suffix.view(f"S{size}").ravel(), part)) if len(first) else first
         self.sent, self.part = first[order], part[order]
         self.suffix, self.before = suffix[order], before[order]
@@ -181,8 +166,8 @@ class Entries:
             [
                 np.array([b - a], "<u4").tobytes(),
                 common.tobytes(),
-                _planes(self.mask[self.sent[a:b]]),
-                _planes(self.doc[self.sent[a:b]]),
+                planes(self.mask[self.sent[a:b]]),
+                planes(self.doc[self.sent[a:b]]),
                 np.ascontiguousarray(self.before[a:b].T).tobytes(),
                 rest.tobytes(),
             ]
@@ -206,9 +191,9 @@ class Run:
         at = 4
         self.common = raw[at : at + n]
         at += n
-        self.mask = _unplanes(raw[at : at + 8 * n], np.int64)
+        self.mask = unplanes(raw[at : at + 8 * n], np.int64)
         at += 8 * n
-        self.doc = _unplanes(raw[at : at + 8 * n], np.int64)
+        self.doc = unplanes(raw[at : at + 8 * n], np.int64)
         at += 8 * n
         self.before = np.frombuffer(raw, np.uint8, n * (w - 1), at).reshape(w - 1, n)
         at += n * (w - 1)
@@ -358,10 +343,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
         for row in _rows(batches):
             data, starts, _ = _open(row)
             hashes, _, _ = Anchors(data, starts, size, q).distinct()
-            yield _send(z, row["piece"], _parts(hashes, n_parts), lambda a, b, h=hashes: _planes(np.diff(h[a:b], prepend=np.uint64(0))))
+            yield _send(z, row["piece"], ranges(hashes, n_parts), lambda a, b, h=hashes: planes(np.diff(h[a:b], prepend=np.uint64(0))))
 
     def count(table: pa.Table) -> pa.Table:
-        got = [np.cumsum(_unplanes(zstandard.decompress(x), np.uint64), dtype=np.uint64) for x in table["blob"].to_pylist()]
+        got = [np.cumsum(unplanes(zstandard.decompress(x), np.uint64), dtype=np.uint64) for x in table["blob"].to_pylist()]
         _, back, number = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
         seen = np.split((number > 1)[back].astype(np.uint8), np.cumsum([len(x) for x in got])[:-1])
         return pa.table({"part": table["part"], "piece": table["piece"], "blob": pa.array([zstandard.compress(x.tobytes(), 1) for x in seen], pa.binary())})
@@ -385,7 +370,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
         found = np.zeros(len(order), np.int64)
         found[order] = strings_covered(common, mask, doc, before, size)
         each = np.split(found, np.cumsum([len(r.value) for r in runs])[:-1])
-        return pa.table({"part": table["part"], "piece": table["piece"], "blob": pa.array([zstandard.compress(_planes(x), 1) for x in each], pa.binary())})
+        return pa.table({"part": table["part"], "piece": table["piece"], "blob": pa.array([zstandard.compress(planes(x), 1) for x in each], pa.binary())})
 
     found = asked.mapInArrow(exchange, row).groupBy("part").applyInArrow(combine, row)
     found = written(found.groupBy("piece").agg(F.collect_list(F.struct("part", "blob")).alias("found")))
@@ -393,7 +378,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             e = Entries(row, size, q, n_parts)
-            mask = e.covered(_answers(row["found"], lambda b: _unplanes(b, np.int64)))
+            mask = e.covered(_answers(row["found"], lambda b: unplanes(b, np.int64)))
             edge = np.zeros(len(e.data) + size + 1, np.int64)
             for j in range(w):
                 begin = e.at[mask >> j & 1 == 1] - j
