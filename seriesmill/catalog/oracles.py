@@ -280,9 +280,12 @@ q(
     "month_from_date",
     """t AS (SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 'no date'
     WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-13-01')
-    WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%-m/%-d/%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)""",
+    WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%-m/%-d/%Y') WHEN '2-HIGH' THEN strftime(o_orderdate, '%b %-d, %Y')
+    ELSE CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, '%Y%m%d') WHEN 'F' THEN strftime(o_orderdate, '%Y/%m/%d')
+      ELSE strftime(o_orderdate, '%Y-%m-%d') END END AS day
+  FROM orders)""",
     select="""SELECT o_orderkey, CAST(CAST(date_trunc('month',
-  coalesce(try_strptime(day, '%Y-%m-%d'), try_strptime(day, '%m/%d/%Y'))) AS DATE) AS VARCHAR) AS month FROM t""",
+  try_strptime(day, ['%Y-%m-%d', '%m/%d/%Y', '%b %d, %Y', '%Y%m%d', '%Y/%m/%d'])) AS DATE) AS VARCHAR) AS month FROM t""",
 )
 q(
     "month_from_parts",

@@ -148,6 +148,9 @@ def month_from_date(spark, sf_dir):
         F.when(F.col("o_orderpriority") == "5-LOW", "no date")
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.date_format(day, "yyyy-13-01"))
         .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format(day, "M/d/yyyy"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(day, "MMM d, yyyy"))
+        .when(F.col("o_orderstatus") == "O", F.date_format(day, "yyyyMMdd"))
+        .when(F.col("o_orderstatus") == "F", F.date_format(day, "yyyy/MM/dd"))
         .otherwise(F.date_format(day, "yyyy-MM-dd"))
     )
     rows = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day"))
@@ -171,8 +174,10 @@ def month_from_parts(spark, sf_dir):
 
 @query
 def count_coercion(spark, sf_dir):
-    text = F.when(F.col("l_returnflag") == "R", "x").when(
-        F.col("l_returnflag") == "A", F.col("l_quantity").cast("string")
+    text = (
+        F.when(F.col("l_returnflag") == "R", "x")
+        .when(F.col("l_returnflag") == "A", F.col("l_quantity").cast("string"))
+        .when(F.col("l_linestatus") == "O", "NaN")
     )
     rows = table(spark, sf_dir, "lineitem").select("l_linestatus", "l_shipdate", text.alias("amount"))
     return shown(monthly.rollup(monthly.typed_rows(rows, Roles("l_linestatus", date="l_shipdate", count="amount"))))

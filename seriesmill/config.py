@@ -115,6 +115,8 @@ class ForecastConfig:
     weight_floor: float = 0.001
     forest_trees: int = 300
     boost_rounds: int = 400
+    # Layouts of date text besides ISO, tried in order; empty means the usual ones.
+    date_layouts: tuple[str, ...] = ()
 
     def roles(self, columns: Sequence[str]) -> Roles:
         """P1 for every role; a date column wins over year + month."""

@@ -13,6 +13,7 @@ from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Significant bits of a cell: values in one cell differ by less than 0.002 percent.
 _CELL_BITS = 16
@@ -102,6 +103,26 @@ def exact_quantiles(
     return found.groupBy(*keys).agg(*outs)
 
 
+def _ranked(df: DataFrame, name: str, descending: bool) -> list[Column]:
+    """Columns that never are null or NaN and ascend in the order asked for."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if descending and not isinstance(kind, T.NumericType):
+        raise TypeError(f"{name} is {kind.simpleString()}; only numbers can be ranked downwards")
+    present = value.isNotNull()
+    first = (~present if descending else present).cast("int").alias(f"_p_{name}")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        odd = F.coalesce(F.isnan(value), F.lit(False))
+        plain = F.coalesce(F.nanvl(value, F.lit(0.0).cast(kind)), F.lit(0.0).cast(kind))
+        middle = (~odd if descending else odd).cast("int").alias(f"_n_{name}")
+        return [first, middle, (-plain if descending else plain).alias(f"_o_{name}")]
+    if descending and isinstance(kind, T.IntegralType):
+        value = F.bitwise_not(value)  # as -value, without overflow at the smallest number
+    elif descending:
+        value = -value
+    filler = F.lit(0) if isinstance(kind, T.NumericType) else F.lit("") if isinstance(kind, T.StringType) else None
+    return [first, (value if filler is None else F.coalesce(value, filler.cast(kind))).alias(f"_o_{name}")]
+
+
 def ordered_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -111,8 +132,9 @@ def ordered_position(
 ) -> DataFrame:
     """``row_number`` per key over groups of any size.
 
-    ``order`` lists ``(numeric-or-text column, descending)``; together with
-    ``keys`` it must identify a row. A hash-ordered sample of fixed size gives cut
+    ``order`` lists ``(column, descending)``; together with ``keys`` it must identify
+    a row. Nulls and NaN rank as in ``row_number``: null lowest, NaN highest. Only
+    numbers may be descending; other types raise ``TypeError``. A hash-ordered sample of fixed size gives cut
     points, rows are numbered inside the slice between two cuts, and the slice
     totals in front are added. Ties may be any share of the data: the cuts use the
     full order, so they run through tied values too. There are as many slices as
@@ -123,7 +145,7 @@ def ordered_position(
         slices = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = [F.col(k) for k in keys]
     for name, descending in order:
-        parts.append((-F.col(name) if descending else F.col(name)).alias(f"_o_{name}"))
+        parts += _ranked(df, name, descending)
     place = F.struct(*parts)
     hashed = F.xxhash64(*[F.col(n) for n in keys + [o for o, _ in order]])
     sample = df.select(place.alias("_p"), hashed.alias("_h")).orderBy("_h", "_p").limit(slices * 32)
@@ -149,9 +171,7 @@ def ordered_position(
     totals = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     ahead = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_slice", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(
-        *[F.col(n).desc() if d else F.col(n).asc() for n, d in order]
-    )
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*[c for n, d in order for c in _ranked(df, n, d)])
     numbered = sliced.withColumn("_row", F.row_number().over(inside))
     return (
         numbered.join(offsets, keys + ["_slice"])

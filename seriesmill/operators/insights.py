@@ -117,7 +117,7 @@ def deep_dive(monthly: DataFrame, view: DataFrame, category: str | None = None)
     Without a category, the one with the highest prediction.
     """
     chosen = view.where(F.col("category") == category) if category is not None else top_rows(view, 1)
-    history = monthly.join(F.broadcast(chosen.select("category")), "category", "left_semi")
+    history = monthly.join(chosen.select("category"), "category", "left_semi")
     facts = history.groupBy("category").agg(
         F.count(F.lit(1)).alias("months"),
         F.avg("count").alias("mean"),
@@ -193,7 +193,7 @@ def overall_trend(monthly: DataFrame) -> DataFrame:
 def all_others(monthly: DataFrame, top: DataFrame) -> DataFrame:
     """Monthly totals of everything outside the given categories."""
     return (
-        monthly.join(F.broadcast(top.select("category")), "category", "left_anti")
+        monthly.join(top.select("category"), "category", "left_anti")
         .groupBy("month")
         .agg(F.sum("count").alias("count"))
     )
@@ -208,7 +208,7 @@ def concentration(monthly: DataFrame, top: DataFrame) -> DataFrame:
     named = top.select("category", F.lit(True).alias("_named"))
     bucket = F.when(F.col("_named"), F.col("category")).otherwise(F.lit("All Others"))
     sums = (
-        monthly.join(F.broadcast(named), "category", "left")
+        monthly.join(named, "category", "left")
         .groupBy("month", bucket.alias("bucket"), F.coalesce("_named", F.lit(False)).alias("is_top"))
         .agg(F.sum("count").alias("count"))
     )
@@ -220,7 +220,7 @@ def concentration(monthly: DataFrame, top: DataFrame) -> DataFrame:
 
 def heatmap_cells(monthly: DataFrame, top: DataFrame) -> DataFrame:
     """Counts of the top categories by month, with labels."""
-    return monthly.join(F.broadcast(top.select("category")), "category", "left_semi").select(
+    return monthly.join(top.select("category"), "category", "left_semi").select(
         "category", "month", "count",
         short_label(F.col("category"), 32).alias("label"),
         month_label(F.col("month")).alias("month_label"),
@@ -229,7 +229,7 @@ def heatmap_cells(monthly: DataFrame, top: DataFrame) -> DataFrame:
 
 def sparklines(monthly: DataFrame, top: DataFrame, months: int = 12) -> DataFrame:
     """The last rows of the top categories."""
-    few = monthly.join(F.broadcast(top.select("category")), "category", "left_semi")
+    few = monthly.join(top.select("category"), "category", "left_semi")
     return with_recency(few).where(F.col("back") <= months).select(
         "category", "month", "count", short_label(F.col("category"), 34).alias("label")
     )
@@ -239,7 +239,7 @@ def model_compare(forecasts: DataFrame, top: DataFrame) -> DataFrame:
     """Every base model's prediction for the top categories."""
     return (
         forecasts.where(~F.col("model").isin(*ENSEMBLES))
-        .join(F.broadcast(top.select("category")), "category", "left_semi")
+        .join(top.select("category"), "category", "left_semi")
         .select(
             "category", "model", "predicted",
             model_label(F.col("model")).alias("model_label"),

@@ -12,7 +12,9 @@ from ..config import Material, Roles
 from ..functions.scalars import clean_text
 
 # Layouts tried, in this order, for date text that is not ISO.
-DATE_LAYOUTS = ("M/d/yyyy[ h:mm:ss a]",)
+DATE_LAYOUTS = (
+    "M/d/yyyy[ h:mm:ss a]", "yyyy/M/d", "yyyyMMdd", "MMM d, yyyy", "MMM yyyy", "M-d-yyyy", "d MMM yyyy",
+)
 
 
 def filter_material(df: DataFrame, column: str, words: Material = Material(), strict: bool = False) -> DataFrame:
@@ -68,16 +70,16 @@ def month_from_parts(year: Column, month: Column) -> Column:
 
 
 def count_value(column: Column | None) -> Column:
-    """The count as a number, 0 where it is none; 1 per row without a column."""
+    """The count as a number, 0 where it is none or NaN; 1 per row without a column."""
     if column is None:
         return F.lit(1.0)
-    return F.coalesce(column.try_cast("double"), F.lit(0.0))
+    return F.nanvl(F.coalesce(column.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def typed_rows(df: DataFrame, roles: Roles) -> DataFrame:
+def typed_rows(df: DataFrame, roles: Roles, layouts: Sequence[str] = DATE_LAYOUTS) -> DataFrame:
     """``category, month, count`` per raw row, rows lacking a key dropped."""
     if roles.date:
-        month = month_from_date(F.col(f"`{roles.date}`"), df.schema[roles.date].dataType)
+        month = month_from_date(F.col(f"`{roles.date}`"), df.schema[roles.date].dataType, layouts)
     else:
         month = month_from_parts(F.col(f"`{roles.year}`"), F.col(f"`{roles.month}`"))
     return df.select(
@@ -92,11 +94,13 @@ def rollup(rows: DataFrame) -> DataFrame:
     return rows.groupBy("category", "month").agg(F.sum("count").alias("count"))
 
 
-def monthly_series(df: DataFrame, roles: Roles, words: Material | None = None) -> DataFrame:
+def monthly_series(
+    df: DataFrame, roles: Roles, words: Material | None = None, layouts: Sequence[str] = DATE_LAYOUTS
+) -> DataFrame:
     """A1 over raw columns: material filter, typing and rollup."""
     if words is not None and roles.material:
         df = filter_material(df, roles.material, words)
-    return rollup(typed_rows(df, roles))
+    return rollup(typed_rows(df, roles, layouts))
 
 
 def gap_fill(monthly: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordered import exact_quantiles
@@ -128,8 +128,8 @@ def overall_average(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("category").agg(F.avg("count").alias("overall_avg"))
 
 
-def averages(monthly: DataFrame, window: int) -> DataFrame:
-    """A6 + A7 in one pass over the series."""
+def averages(monthly: DataFrame, window: int | Column) -> DataFrame:
+    """A6 + A7 in one pass over the series; the window may be a value of the row."""
     return (
         with_recency(monthly)
         .groupBy("category")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import ForecastConfig
 from ..operators import backtest, combine, insights, metrics, monthly, quality
@@ -50,7 +51,8 @@ def run(raw: DataFrame, config: ForecastConfig = ForecastConfig()) -> ForecastRu
     spark = raw.sparkSession
     use_shared_folder(spark)
     roles = config.roles(raw.columns)
-    rolled = monthly.monthly_series(raw, roles, config.only_material)
+    layouts = config.date_layouts or monthly.DATE_LAYOUTS
+    rolled = monthly.monthly_series(raw, roles, config.only_material, layouts)
     filled = monthly.gap_fill(rolled).checkpoint()
     if roles.material and filled.isEmpty():
         kept = monthly.filter_material(raw, roles.material, config.only_material)
@@ -72,7 +74,10 @@ def run(raw: DataFrame, config: ForecastConfig = ForecastConfig()) -> ForecastRu
         weights = combine.inverse_error_weights(scores, config.weight_floor)
 
     ranked = combine.multi_model(series, config.models, weights, **sizes)
-    means = quality.averages(series, config.recent_window)
+    # Loosened filters also shorten the recent window: to three months, or all there are.
+    span = kept.agg(F.count_distinct("month")).scalar()
+    window = F.when(F.col("relaxed"), F.least(F.lit(3), span)).otherwise(F.lit(config.recent_window))
+    means = quality.averages(series, window)
     if config.guardrail:
         ranked = combine.guardrail(ranked, means, config.guardrail)
     forecasts = combine.rank_forecasts(combine.repair_zeros(ranked, means), "final_rank").checkpoint()

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -51,9 +52,26 @@ def read_table(
 def read_pages(spark: SparkSession, directory: str, max_rows: int | None = None) -> DataFrame:
     """S3: page files landed in one directory, read as one table.
 
-    Every page carries its own header line; empty pages add no rows.
+    Every page carries its own header line; empty pages add no rows. Columns are
+    matched by header name: pages with the same header are read together, the groups
+    are put together by name, and a column a page lacks is null there. One job finds
+    the first line of every file; the driver gets a row per file.
     """
-    return read_table(spark, directory, "csv", max_rows)
+    if not path_exists(spark, directory):
+        raise FileNotFoundError(f"Data path not found: {directory}")
+    lines = spark.read.text(directory).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0 AND trim(value) <> ''")
+    heads = lines.withColumn("at", F.monotonically_increasing_id()).groupBy("file_path").agg(F.min_by("value", "at").alias("head"))
+    pages: dict[str, list[str]] = {}
+    for r in heads.orderBy("file_path").collect():
+        pages.setdefault(r["head"].removeprefix("\ufeff").rstrip("\r"), []).append(r["file_path"])
+    if not pages:
+        return read_table(spark, directory, "csv", max_rows)
+    whole = None
+    for files in pages.values():
+        part = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(files)
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return whole.limit(max_rows) if max_rows and max_rows > 0 else whole
 
 
 def snapshot(spark: SparkSession, path: str, load: Callable[[], DataFrame]) -> DataFrame:
