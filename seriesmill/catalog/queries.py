@@ -211,7 +211,7 @@ def gap_fill_part(spark, sf_dir):
 
 @query
 def exclude_latest(spark, sf_dir):
-    return shown(monthly.exclude_latest(brand(spark, sf_dir)))
+    return shown(monthly.exclude_latest(stored(brand(spark, sf_dir))))
 
 
 @query
@@ -221,7 +221,7 @@ def category_totals(spark, sf_dir):
 
 @query
 def top_items(spark, sf_dir):
-    return shown(quality.top_items(customer(spark, sf_dir), 20))
+    return shown(quality.top_items(stored(customer(spark, sf_dir)), 20))
 
 
 @query
@@ -256,12 +256,12 @@ def history_length(spark, sf_dir):
 
 @query
 def run_summary(spark, sf_dir):
-    return shown(quality.run_summary(customer(spark, sf_dir)))
+    return shown(quality.run_summary(stored(customer(spark, sf_dir))))
 
 
 @query
 def count_stats(spark, sf_dir):
-    return shown(quality.count_stats(part(spark, sf_dir)))
+    return shown(quality.count_stats(stored(part(spark, sf_dir))))
 
 
 @query
@@ -282,7 +282,7 @@ def overall_average(spark, sf_dir):
 
 @query
 def last_month_counts(spark, sf_dir):
-    return shown(quality.last_month_counts(customer(spark, sf_dir)))
+    return shown(quality.last_month_counts(stored(customer(spark, sf_dir))))
 
 
 @query
@@ -483,14 +483,14 @@ def ensemble_weighted(spark, sf_dir):
 
 @query
 def guardrail(spark, sf_dir):
-    series = customer(spark, sf_dir)
+    series = stored(customer(spark, sf_dir))
     forecasts = combine.blended_forecasts(series, ["naive"])
     return shown(combine.guardrail(forecasts, quality.recent_average(series, 12), 1.5))
 
 
 @query
 def zero_repair(spark, sf_dir):
-    series = customer(spark, sf_dir)
+    series = stored(customer(spark, sf_dir))
     live = combine.blended_forecasts(series, ["naive"])
     idle = live.withColumn("predicted", F.lit(0.0)).withColumn("model", F.lit("idle"))
     return shown(combine.repair_zeros(live.unionByName(idle), quality.averages(series, 3)))
@@ -506,7 +506,7 @@ def digest(spark, sf_dir):
 
 @query
 def backtest_folds(spark, sf_dir):
-    return shown(base.last_folds(customer(spark, sf_dir), 6))
+    return shown(base.last_folds(stored(customer(spark, sf_dir)), 6))
 
 
 @query
@@ -585,17 +585,17 @@ def backtest_scatter(spark, sf_dir):
 
 @query
 def hist_log_counts(spark, sf_dir):
-    return shown(metrics.log_count_histogram(part(spark, sf_dir)))
+    return shown(metrics.log_count_histogram(stored(part(spark, sf_dir))))
 
 
 @query
 def hist_history(spark, sf_dir):
-    return shown(metrics.history_histogram(customer(spark, sf_dir)))
+    return shown(metrics.history_histogram(stored(customer(spark, sf_dir))))
 
 
 @query
 def hist_zero_rate(spark, sf_dir):
-    return shown(metrics.zero_rate_histogram(customer(spark, sf_dir)))
+    return shown(metrics.zero_rate_histogram(stored(customer(spark, sf_dir))))
 
 
 @query
@@ -605,7 +605,7 @@ def zero_rate(spark, sf_dir):
 
 @query
 def season_by_series(spark, sf_dir):
-    return shown(metrics.season_by_series(customer(spark, sf_dir)))
+    return shown(metrics.season_by_series(stored(customer(spark, sf_dir))))
 
 
 # Planning views.

@@ -15,17 +15,18 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Significant bits of a cell: values in one cell differ by less than 0.002 percent.
-_CELL_BITS = 16
+# Significant bits of a cell and of the finer cells inside a needed one: a cell holds
+# at most some 2^19 of the next finer ones, or of single values, however close they lie.
+_CELL_BITS, _FINE_BITS = 16, 34
 
 
-def _cell(value: Column) -> Column:
-    """A double rounded to ``_CELL_BITS`` significant bits, never reversing an order.
+def _cell(value: Column, bits: int = _CELL_BITS) -> Column:
+    """A double rounded to so many significant bits, never reversing an order.
 
     Splitting by a factor of ``2^s + 1`` rounds to the nearest shorter number, so
     it is a plain arithmetic expression and needs no look at the exponent.
     """
-    scaled = value * F.lit(float(2 ** (53 - _CELL_BITS) + 1))
+    scaled = value * F.lit(float(2 ** (53 - bits) + 1))
     return scaled - (scaled - value)
 
 
@@ -47,7 +48,8 @@ def exact_quantiles(
     makes up a third of the rows is one row afterwards). The counts add up to
     cells of nearby values, of which a key has some ten thousand per doubling of
     the value range, however many rows there are. Cumulated cells tell which few
-    hold a wanted rank, and only their values are sorted. ``keys`` may be empty.
+    hold a wanted rank; these are counted by finer cells in the same way, and only the
+    values of one finer cell per wanted rank are sorted. ``keys`` may be empty.
     Nulls are ignored. ``weight`` names a column saying how often a row counts.
     """
     keys = list(keys)
@@ -88,10 +90,18 @@ def exact_quantiles(
         .where((F.col("_before") <= F.col("_w.rank")) & (F.col("_w.rank") < F.col("_before") + F.col("_c")))
         .select(*keys, "_cell", "_n", F.col("_before").alias("_skip"), "_w.*")
     )
-    inside = Window.partitionBy(*keys, "i", "upper").orderBy("_v")
+    picked = counts.join(needed, keys + ["_cell"]).withColumn("_fine", F.coalesce(_cell(F.col("_v"), _FINE_BITS), F.lit(0.0)))
+    rank_of = Window.partitionBy(*keys, "i", "upper")
+    fine = (
+        picked.groupBy(*keys, "i", "upper", "_fine")
+        .agg(F.sum("_c").alias("_c"), F.max("rank").alias("rank"), F.max("_skip").alias("_skip"))
+        .withColumn("_before", F.col("_skip") + _rows_before(rank_of.orderBy("_fine")))
+        .where((F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_before") + F.col("_c")))
+        .select(*keys, "i", "upper", "_fine", F.col("_before").alias("_skip"))
+    )
     found = (
-        counts.join(needed, keys + ["_cell"])
-        .withColumn("_before", F.col("_skip") + _rows_before(inside))
+        picked.drop("_skip").join(fine, keys + ["i", "upper", "_fine"])
+        .withColumn("_before", F.col("_skip") + _rows_before(rank_of.orderBy("_v")))
         .where((F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_before") + F.col("_c")))
     )
     outs = []

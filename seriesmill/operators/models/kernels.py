@@ -59,11 +59,13 @@ def apply_kernel(prefixes: DataFrame, kernel: Kernel) -> DataFrame:
     get the recent average (M4) with status ``short`` or ``error``.
 
     Range partitioning by length gives every task series of few distinct lengths
-    and splits a common length over many tasks. The partition count is explicit,
-    two per core, because the rows are small but the work per row is not; batches
-    stream through a task, so its memory does not depend on the count.
+    and splits a common length over many tasks. The partition count is explicit, at
+    least that of the session's shuffles, because the rows are small but the work per
+    row is not; batches stream through a task, so its memory does not depend on it.
     """
-    tasks = 2 * prefixes.sparkSession.sparkContext.defaultParallelism
+    session = prefixes.sparkSession
+    shuffles = int(session.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(2 * session.sparkContext.defaultParallelism, shuffles)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -63,3 +63,17 @@ def test_guardrail_uses_the_relaxed_window(spark):
     config = ForecastConfig(category="title", only_material=None, models=("naive",), backtest_months=0, exclude_latest=False, recent_window=6)
     top = run(raw, config).forecasts.agg(F.max("predicted")).first()[0]
     assert top == 18.0
+
+
+def test_quantiles_of_close_values(spark):
+    """Distinct values within a millionth of a large level share one or two coarse cells."""
+    from seriesmill.functions.ordered import exact_quantiles
+
+    df = spark.range(200_000).select((F.lit(1e9) + F.col("id") / 250).alias("v"), (F.col("id") % 2).alias("k"))
+    got = exact_quantiles(df, ["k"], "v", [0.0, 0.25, 0.5, 1.0]).collect()
+    for r in got:
+        values = [1e9 + i / 250 for i in range(r.k, 200_000, 2)]
+        n = len(values) - 1
+        for q, p in zip((r.q0, r.q1, r.q2, r.q3), (0.0, 0.25, 0.5, 1.0), strict=True):
+            low, part = int(n * p), n * p - int(n * p)
+            assert q == pytest.approx(values[low] + part * (values[min(low + 1, n)] - values[low]), abs=1e-6)
