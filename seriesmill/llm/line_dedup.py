@@ -236,8 +236,12 @@ def _candidates(most: int, least: Fraction, only: bool):
                 first = np.flatnonzero(opens)
                 number = np.diff(np.concatenate((first, [len(x)])))
                 place = np.arange(len(x)) - np.repeat(first, number)
-                more = np.repeat(number > most, number)
-                x, y, more = x[place < most], y[place < most], more[place < most]
+                # A partner whose bitmap is far closer than it must be most likely matches: two such do.
+                sure = 3 * off[order][first] <= (both - 2 * need)[ok][order][first]
+                limit = np.where(sure, 2, most)
+                more = np.repeat(number > limit, number)
+                keep = place < np.repeat(limit, number)
+                x, y, more = x[keep], y[keep], more[keep]
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (c["doc"][x], c["line"][x], c["doc"][y], c["line"][y], more)], ["xd", "xl", "yd", "yl", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +304,7 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction) -> DataFrame:
     return both.groupBy(F.col("xd").alias("doc"), F.col("xl").alias("line")).agg(F.max("more").alias("more"), F.max(good).alias("good"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", most: int = 8) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", most: int = 64) -> DataFrame:
     """``docs`` with ``text`` reduced to the lines kept, ``n_lines`` and ``n_removed``.
 
     A line is removed if an earlier line (smaller doc_id, or earlier in the same
@@ -312,8 +316,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     later lines of either came after the equally numbered of the other. Columns of
     ``docs`` named ``n_lines`` or ``n_removed`` are replaced.
 
-    A later line is first compared with at most ``most`` likely partners per token;
-    lines that had more and matched none are then compared with all of theirs.
+    A later line is first compared with its likeliest partners, two very likely ones or
+    else ``most`` for each token; lines that had more and matched none are then
+    compared with all of theirs.
     """
     least = Fraction(similarity)
     rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
@@ -336,10 +341,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     posted = postings(rows, "text", rare, least)
     found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
     first = written(_similar(found, packed, least))
-    again = first.filter("more AND NOT good").select("doc", "line")
+    again = written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
-        marked = posted.mapInArrow(_entries, ENTRY).join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        entries = posted.mapInArrow(_entries, ENTRY)
+        asked = written(entries.join(again, ["doc", "line"]).select("tok").distinct())
+        marked = entries.join(asked, "tok").join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
+        marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
         repeated = repeated.union(_similar(rest, packed, least).filter("good").select("doc", "line"))
 

@@ -172,7 +172,7 @@ def lines_by_force(rows):
     return kept
 
 
-@pytest.mark.parametrize("most", [1, 8])
+@pytest.mark.parametrize("most", [1, 64])
 def test_lines_by_force(docs, corpus, none, most):
     want = lines_by_force(corpus)
     for r in line_dedup.dedup_lines(docs, most=most).collect():
