@@ -335,7 +335,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
     range of the exchange grows with the number of its copies.
     """
     whole = packed(docs, text)
-    n_parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Four ranges for each task, one after another: a range is what a task holds at once.
+    n_parts = 4 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     w = size - q + 1
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
