@@ -146,7 +146,7 @@ class Encoder:
     in the task are looked up, new ones are encoded together.
     """
 
-    def __init__(self, v: Vocabulary, most: int = 600_000):
+    def __init__(self, v: Vocabulary, most: int = 400_000):
         self.v, self.most = v, most
         self.split = regex.compile(v.pattern)
         self.lines = regex.compile(v.pattern + r"|\n")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 from seriesmill.sources.shared import new_shared_path
 
+_LIBC = ctypes.CDLL(None)
+
 #: Bytes of text that one step of a task holds at once.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = (2 << 20) - 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +49,11 @@ def crc_bucket(doc_id, of: int = 5):
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with at most ``most`` bytes of ``column`` each, or one row."""
+    """Slices of a batch with at most ``most`` bytes of ``column`` each, or one row.
+
+    After the last one, memory that is free goes back to the system: the worker lives
+    on for other tasks.
+    """
     if not batch.num_rows:
         return
     ends = np.cumsum(lengths(batch.column(column)))
@@ -56,6 +63,8 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
         to = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def lengths(column: pa.Array) -> np.ndarray:
