@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +12,6 @@ from pyspark.sql import functions as F
 
 from seriesmill.sources.shared import new_shared_path
 
-_LIBC = ctypes.CDLL(None)
-
 #: Bytes of text that one step of a task holds at once.
 PIECE_BYTES = (2 << 20) - 16
 
@@ -63,8 +60,7 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
         to = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
         yield batch.slice(at, to - at)
         at = to
-    if hasattr(_LIBC, "malloc_trim"):
-        _LIBC.malloc_trim(0)
+    pa.default_memory_pool().release_unused()
 
 
 def lengths(column: pa.Array) -> np.ndarray:
