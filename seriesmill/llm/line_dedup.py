@@ -293,15 +293,30 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction) -> DataFrame:
                 at = np.arange(starts[-1]) + np.repeat(found.first[use] - starts[:-1], size)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(found.token[at].view(np.int64)))
                 docs = part.column("doc_id").to_numpy()[found.doc[use]]
-                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(found.line[use]), lists], ["doc", "line", "t"])
-
-    sets = written(texts.mapInArrow(cut, "doc long, line long, t array<long>"))
+                bit = (mixed(found.token[at]) >> np.uint64(55)).astype(np.int64)
+                maps = np.zeros((len(use), len(names)), np.uint64)
+                np.bitwise_or.at(maps, (np.repeat(np.arange(len(use)), size), bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+                columns = [pa.array(docs), pa.array(found.line[use]), lists, pa.array(size)]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(maps[:, k].view(np.int64)) for k in range(len(names))], ["doc", "line", "t", "n"] + names)
+
+    names = [f"m{k}_" for k in range(8)]
+    sets = written(texts.mapInArrow(cut, "doc long, line long, t array<long>, n long, " + ", ".join(f"{x} long" for x in names)))
+    # Wide bitmaps first: they are small and rule most pairs out.
+    slim = sets.drop("t")
+    other = slim.withColumnsRenamed({"doc": "yd", "line": "yl", "n": "n2"} | {x: f"{x}2" for x in names})
+    a, b = least.numerator, least.denominator
+    need = f"(({a} * (n + n2) + {a + b - 1}) div {a + b})"
+    differ = " + ".join(f"bit_count({x} ^ {x}2)" for x in names)
+    can = pairs.join(slim.withColumnsRenamed({"doc": "xd", "line": "xl"}), ["xd", "xl"]).join(other, ["yd", "yl"])
+    can = can.withColumn("can", F.expr(f"{differ} <= n + n2 - 2 * {need}")).select("xd", "xl", "yd", "yl", "more", "can")
+    pairs = written(can.filter("can OR more"))
     x = sets.select(F.col("doc").alias("xd"), F.col("line").alias("xl"), F.col("t").alias("s"))
     y = sets.select(F.col("doc").alias("yd"), F.col("line").alias("yl"), "t")
-    both = pairs.join(x, ["xd", "xl"]).join(y, ["yd", "yl"])
+    both = pairs.filter("can").join(x, ["xd", "xl"]).join(y, ["yd", "yl"])
     same = F.size(F.array_intersect("s", "t"))
     good = same * least.denominator >= (F.size("s") + F.size("t") - same) * least.numerator
-    return both.groupBy(F.col("xd").alias("doc"), F.col("xl").alias("line")).agg(F.max("more").alias("more"), F.max(good).alias("good"))
+    told = both.select("xd", "xl", "more", good.alias("good")).union(pairs.filter("NOT can").select("xd", "xl", "more", F.lit(False)))
+    return told.groupBy(F.col("xd").alias("doc"), F.col("xl").alias("line")).agg(F.max("more").alias("more"), F.max("good").alias("good"))
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", most: int = 64) -> DataFrame:
