@@ -4,7 +4,8 @@ Every string of ``size`` bytes has an anchor: the place of its smallest q-gram h
 Equal strings have equal anchors, so only suffixes that start at anchors are sorted.
 
 1. Fingerprints of the anchors' q-grams are exchanged in sorted, delta-coded runs;
-   only anchors whose q-gram stands in several documents go on.
+   only anchors whose q-gram stands in several documents go on. At q-grams with very
+   many occurrences the strings themselves go on, one by one.
 2. Each piece of the input sorts the suffixes at those anchors and exchanges them as
    front-coded runs (common prefix with the one before, and the rest).
 3. The runs of a range are combined by a loser tree that compares common-prefix
@@ -27,6 +28,10 @@ from seriesmill.llm.common import flat, mixed, pieces, planes, prefix_sums, rang
 
 #: Runs that one loser tree combines.
 FAN_IN = 256
+#: Bytes of text for each range of the exchanges.
+RANGE_BYTES = 4 << 20
+#: Occurrences of a q-gram from which its strings are sent one by one.
+OFTEN = 1 << 14
 
 
 def _slide(a: np.ndarray, w: int, op: np.ufunc) -> np.ndarray:
@@ -62,7 +67,8 @@ class Anchors:
         self.text = np.searchsorted(starts, self.at, "right") - 1
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.unique(self.hash, return_index=True, return_inverse=True)
+        """Keys of the q-grams, index of each anchor's, and occurrences. Smallest hashes lie low, their keys are spread."""
+        return np.unique(mixed(self.hash), return_inverse=True, return_counts=True)
 
     def masks(self, some: np.ndarray) -> np.ndarray:
         """Bit j: the anchor is that of the string that starts j bytes before it."""
@@ -112,27 +118,41 @@ def _answers(column: list[dict] | None, unpack) -> np.ndarray:
 
 
 class Entries:
-    """Anchors of a piece that go on, one for each context that its smallest document has."""
+    """Anchors of a piece that go on, one for each context that its smallest document has.
+
+    A string at a q-gram that stands very often is an entry of its own: its start takes
+    the place of the anchor, and its range is that of its own hash.
+    """
 
     def __init__(self, row: dict, size: int, q: int, n_parts: int):
         self.data, self.starts, self.ids = _open(row)
         a = Anchors(self.data, self.starts, size, q)
-        distinct, _, back = a.distinct()
+        distinct, back, _ = a.distinct()
         low, high = np.full(len(distinct), 2**62), np.full(len(distinct), -(2**62))
         np.minimum.at(low, back, self.ids[a.text])
         np.maximum.at(high, back, self.ids[a.text])
-        shared = (low != high) | _answers(row["seen"], lambda b: np.frombuffer(b, np.uint8)).astype(bool)
-        use = np.flatnonzero(shared[back]) if len(distinct) else np.zeros(0, np.int64)
-        self.at, self.doc = a.at[use], self.ids[a.text[use]]
+        seen = _answers(row["seen"], lambda b: np.frombuffer(b, np.uint8)).astype(np.uint8)
+        use = np.flatnonzero(((low != high) | (seen & 1 == 1))[back]) if len(distinct) else np.zeros(0, np.int64)
         self.mask = a.masks(use)
+        often = (seen > 1)[back[use]]
+        begins = np.zeros(len(self.data), bool)  # of strings at frequent q-grams, each once whatever its anchors
+        for j in range(a.w):
+            begins[a.at[use[often & (self.mask >> j & 1 == 1)]] - j] = True
+        own = np.flatnonzero(begins)
+        use, self.mask = use[~often], np.concatenate((self.mask[~often], np.ones(len(own), np.int64)))
+        self.at = np.concatenate((a.at[use], own))
+        texts = np.searchsorted(self.starts, self.at, "right") - 1
+        self.doc = self.ids[texts]
+        sums = prefix_sums(self.data)
+        key = np.concatenate((mixed(a.hash[use]), span_hashes(sums, own, own + size)))
         # Of equal contexts only that of the smallest document is sent.
-        far = np.zeros(len(use), np.int64)
-        near = np.zeros(len(use), np.int64)
+        far = np.zeros(len(self.at), np.int64)
+        near = np.zeros(len(self.at), np.int64)
         for j in range(a.w):
             has = self.mask >> j & 1 == 1
             far[has] = j
             near[has & (near == 0)] = j + 1
-        context = span_hashes(prefix_sums(self.data), self.at - far, self.at - near + 1 + size)
+        context = span_hashes(sums, self.at - far, self.at - near + 1 + size)
         context = mixed(context ^ mixed(self.mask.astype(np.uint64) + u64(77)))
         order = np.lexsort((self.doc, context))
         opens = np.ones(len(order), bool)
@@ -142,14 +162,14 @@ class Entries:
         self.group[order] = np.cumsum(opens) - 1
         suffix = np.zeros((len(first), size), np.uint8)
         before = np.zeros((len(first), a.w - 1), np.uint8)
-        text = a.text[use][first]
+        text = texts[first]
         for k in range(size):
             inside = self.at[first] + k < self.starts[text + 1]
             suffix[inside, k] = self.data[self.at[first][inside] + k]
         for j in range(1, a.w):
-            inside = self.at[first] - j >= self.starts[text]
+            inside = (self.at[first] - j >= self.starts[text]) & (first < len(use))
             before[inside, j - 1] = self.data[self.at[first][inside] - j]
-        part = ranges(a.hash[use][first], n_parts)
+        part = ranges(key[first], n_parts)
         order = np.lexsort((suffix.view(f"S{size}").ravel(), part)) if len(first) else first
         self.sent, self.part = first[order], part[order]
         self.suffix, self.before = suffix[order], before[order]
@@ -331,25 +351,35 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
     other's bytes. Strings are compared by 64-bit hashes left of their anchor and by
     their bytes from it on.
 
-    A string that many documents have is sent once by each piece of the input, so no
-    range of the exchange grows with the number of its copies.
+    A string is sent once by each piece of the input that has it. A range holds the
+    entries of a q-gram only up to ``OFTEN`` occurrences in the table; beyond, its
+    strings are dealt by their own hashes, whatever stands beside them.
     """
     whole = packed(docs, text)
-    # Four ranges for each task, one after another: a range is what a task holds at once.
-    n_parts = 4 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # A range is what a task holds at once: four for each task, more where the text asks for it.
+    n_bytes = whole.agg(F.expr("sum(aggregate(sizes, 0L, (a, b) -> a + b))")).first()[0] or 0
+    n_parts = max(4 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-n_bytes // RANGE_BYTES))
+    often = OFTEN
     w = size - q + 1
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for row in _rows(batches):
             data, starts, _ = _open(row)
-            hashes, _, _ = Anchors(data, starts, size, q).distinct()
-            yield _send(z, row["piece"], ranges(hashes, n_parts), lambda a, b, h=hashes: planes(np.diff(h[a:b], prepend=np.uint64(0))))
+            keys, _, times = Anchors(data, starts, size, q).distinct()
+            yield _send(z, row["piece"], ranges(keys, n_parts), lambda a, b, h=keys, t=times: planes(np.diff(h[a:b], prepend=np.uint64(0))) + planes(t[a:b]))
 
     def count(table: pa.Table) -> pa.Table:
-        got = [np.cumsum(unplanes(zstandard.decompress(x), np.uint64), dtype=np.uint64) for x in table["blob"].to_pylist()]
+        got, times = [], []
+        for x in table["blob"].to_pylist():
+            raw = zstandard.decompress(x)
+            got.append(np.cumsum(unplanes(raw[: len(raw) // 2], np.uint64), dtype=np.uint64))
+            times.append(unplanes(raw[len(raw) // 2 :], np.int64))
         _, back, number = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
-        seen = np.split((number > 1)[back].astype(np.uint8), np.cumsum([len(x) for x in got])[:-1])
+        total = np.bincount(back, np.concatenate(times))
+        # Bit 0: in several pieces. Bit 1: very often.
+        seen = (number > 1).astype(np.uint8) | (total > often).astype(np.uint8) << 1
+        seen = np.split(seen[back], np.cumsum([len(x) for x in got])[:-1])
         return pa.table({"part": table["part"], "piece": table["piece"], "blob": pa.array([zstandard.compress(x.tobytes(), 1) for x in seen], pa.binary())})
 
     row = "part long, piece long, blob binary"

@@ -12,6 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -204,6 +205,36 @@ def test_repeated_strings_by_force(docs, corpus, none):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_frequent_phrases_between_other_neighbours(spark, monkeypatch, docs, corpus):
+    """Strings at frequent q-grams are dealt by their own hashes, with the same result."""
+    rng = random.Random(14)
+    some = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    rows = [(k, some(40) + " a phrase that stands everywhere " + some(40)) for k in range(400)]
+    rows += [(500 + k, t[10:] + " " * 90) for k, (_, t) in enumerate(rows[:30])]
+    raw = [t.encode() for _, t in rows]
+    data, starts = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw])))
+    grams = len(np.unique(suffix_dedup.Anchors(data, starts, 50, 24).hash))
+    piece = {"z": zstandard.compress(data.tobytes()), "sizes": np.diff(starts).tolist(), "ids": [i for i, _ in rows]}
+    e = suffix_dedup.Entries(piece | {"seen": [{"part": 0, "blob": zstandard.compress(b"\3" * grams)}]}, 50, 24, 32)
+    loads = np.bincount(e.part, minlength=32)
+    assert loads.max() < 1.5 * loads.mean()
+    monkeypatch.setattr(suffix_dedup, "OFTEN", 5)
+    monkeypatch.setattr(suffix_dedup, "RANGE_BYTES", 1000)
+    for df, known in ((docs, corpus), (spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows)):
+        found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect()}
+        assert found == strings_by_force(known)
+
+
+def test_ranges_of_repeated_strings_are_even():
+    data = np.random.default_rng(5).integers(97, 123, 200_000).astype(np.uint8)
+    text = zstandard.compress(data.tobytes())
+    grams = len(np.unique(suffix_dedup.Anchors(data, np.array([0, len(data)]), 50, 24).hash))
+    for seen in (b"\1", b"\3"):
+        e = suffix_dedup.Entries({"z": text, "sizes": [len(data)], "ids": [1], "seen": [{"part": 0, "blob": zstandard.compress(seen * grams)}]}, 50, 24, 64)
+        loads = np.bincount(e.part, minlength=64)
+        assert loads.max() < 1.5 * loads.mean()
+
+
 def test_loser_tree_sorts_with_common_prefixes(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "FAN_IN", 4)
     rng = random.Random(6)
