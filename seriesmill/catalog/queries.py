@@ -28,10 +28,9 @@ QUERIES: dict[str, Query] = {}
 
 # Models that SQL can express exactly; the blends and reports below use these.
 SQL_MODELS = ("naive", "regression", "naive_bayes")
+# The seven built-in models, as the two queries ending in _all run them.
+ALL_MODELS = (*SQL_MODELS, "random_forest", "gradient_boost", "holt", "sarima")
 FOLDS = 3
-# Tree sizes of the registered queries; the library defaults are 300 and 400.
-QUERY_TREES = 20
-QUERY_ROUNDS = 10
 
 
 def query(fn: Query) -> Query:
@@ -425,17 +424,17 @@ def nb_forecast_cycle(spark, sf_dir):
 
 @query
 def random_forest(spark, sf_dir):
-    return _final(trees.random_forest(features.series_state(stored(brand(spark, sf_dir))), trees=QUERY_TREES))
+    return _final(trees.random_forest(features.series_state(stored(brand(spark, sf_dir)))))
 
 
 @query
 def gradient_boost(spark, sf_dir):
-    return _final(trees.gradient_boost(features.series_state(stored(brand(spark, sf_dir))), rounds=QUERY_ROUNDS))
+    return _final(trees.gradient_boost(features.series_state(stored(brand(spark, sf_dir)))))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return shown(trees.feature_importance(features.series_state(stored(brand(spark, sf_dir))), QUERY_TREES, QUERY_ROUNDS))
+    return shown(trees.feature_importance(features.series_state(stored(brand(spark, sf_dir)))))
 
 
 # Combination.
@@ -446,6 +445,11 @@ def multi_model_ranked(spark, sf_dir):
     return shown(combine.multi_model(stored(brand(spark, sf_dir)), SQL_MODELS))
 
 
+@query
+def multi_model_all(spark, sf_dir):
+    return shown(combine.multi_model(stored(brand(spark, sf_dir)), ALL_MODELS))
+
+
 @query
 def rank_with_ties(spark, sf_dir):
     state = features.series_state(customer(spark, sf_dir))
@@ -524,6 +528,11 @@ def backtest_kernels(spark, sf_dir):
     return shown(backtest.backtest_rows(brand(spark, sf_dir), ["holt", "sarima"], FOLDS))
 
 
+@query
+def backtest_rows_all(spark, sf_dir):
+    return shown(backtest.backtest_rows(stored(brand(spark, sf_dir)), ALL_MODELS, FOLDS))
+
+
 @query
 def metrics_core(spark, sf_dir):
     return shown(metrics.core_metrics(brand_backtest(spark, sf_dir)))
