@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesmill.sources.shared import new_shared_path
@@ -224,3 +224,27 @@ def planes(values: np.ndarray) -> bytes:
 def unplanes(raw: bytes, kind) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``at``, the place from 0 of a row among those of its ``keys`` by ``order``, and their number ``total``.
+
+    Nulls come first. Rows are sorted into ranges by everything, so any share of them
+    may have one key; places follow from the counts of the ranges. Rows that are equal
+    in ``order`` take the order they have in ``rows``, which should be a stored table.
+    """
+    spark = rows.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(c).asc_nulls_first() for c in keys + order + ["_tie"]]
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    in_ranges = tied.repartitionByRange(tasks, *by).sortWithinPartitions(*by).drop("_tie")
+    stored = written(in_ranges.withColumn("_row", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_row", 33))
+    counts = stored.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    ahead = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+    counts = counts.withColumn("total", F.sum("_n").over(Window.partitionBy(*keys))).alias("c")
+    same = F.col("r._part") == F.col("c._part")
+    for k in keys:
+        same &= F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}"))
+    at = (F.col("r._row") - F.col("c._first") + F.col("c._ahead")).alias("at")
+    return stored.alias("r").join(counts, same).select(*[F.col(f"r.{c}") for c in rows.columns], at, F.col("c.total").alias("total"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, decontamination, html_main, line_dedup, near_dups, quality, search, suffix_dedup, token_counts, toxicity
+from seriesmill.llm import bpe, decontamination, html_main, line_dedup, manifest, near_dups, oracles, quality, search, suffix_dedup, token_counts, toxicity
 from seriesmill.llm.common import crc_bucket, table
 from seriesmill.sources.shared import use_shared_folder
 
@@ -83,6 +83,11 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return manifest.manifest(docs, manifest.tampered(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": similar_documents,
     "op2_benchmark_leaks": benchmark_leaks,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": page_text,
     "op9_suffix_dedup": repeated_strings,
     "op10_near_duplicates": near_duplicate_groups,
+    "op13_merkle_manifest": dataset_manifest,
 }
 
 #: BM25 in SQL: the terms, constants and ties of ``search.top_k``.
@@ -113,4 +119,4 @@ SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score
 FROM scored QUALIFY rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op1_top_k": TOP_K_SQL}
+ORACLES: dict[str, str] = {"op1_top_k": TOP_K_SQL, "op13_merkle_manifest": oracles.MANIFEST_SQL}
