@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from seriesmill.llm import licenses
+
 
 def crc32(value: str) -> str:
     """Unsigned crc32 of an integer's decimal digits, bit by bit (0xEDB88320 is the polynomial of the checksum)."""
@@ -78,3 +80,70 @@ SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, x AS folded
 
 #: Up to 16 ** 5 rows of a source and 16 ** 3 sources.
 MANIFEST_SQL = _manifest()
+
+
+def _pattern(items: list) -> str:
+    """A template's items over words that are each followed by a space."""
+    out = ""
+    for item in items:
+        if isinstance(item, str):
+            out += f"{item} "
+        elif isinstance(item, list):
+            out += f"(?:{_pattern(item)})?"
+        else:
+            out += f"(?:[^ ]+ ){{{item[0]},{item[1]}}}"
+    return out
+
+
+def _licenses() -> str:
+    def with_label(kept: list[licenses.Template]) -> str:
+        each = [f"CASE WHEN found[{licenses_in.index(t) + 1}] THEN '{t.label}' END" for t in kept]
+        return f"coalesce(list_aggregate(list_sort(list_distinct(list_filter([{', '.join(each)}], lambda x: x IS NOT NULL))), 'string_agg', ','), '')"
+
+    licenses_in = list(licenses.PHRASES + licenses.TEMPLATES)
+    found = ", ".join(f"regexp_matches(flat, ' {_pattern(licenses.parsed(t.wording))}')" for t in licenses_in)
+    weights = ", ".join(f"CASE WHEN found[{k + 1}] THEN {licenses.mandatory(licenses.parsed(t.wording))} ELSE 0 END" for k, t in enumerate(licenses_in))
+    places = []
+    for t in licenses.PHRASES:
+        words = t.wording.split()
+        places.append("(" + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words)) + ")")
+    return rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), flat AS (SELECT doc_id, w, ' ' || coalesce(list_aggregate(w, 'string_agg', ' '), '') || ' ' AS flat FROM words),
+found AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, list_filter(range(len(w)), lambda i: {' OR '.join(places)}) AS places, [{found}] AS found FROM flat
+)
+SELECT doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+  {with_label(list(licenses.PHRASES))} AS base_labels, {with_label(licenses_in)} AS labels,
+  list_max([{weights}]) / (list_max([{weights}]) + 1.0)::DOUBLE AS score
+FROM found
+"""
+
+
+LICENSE_SQL = _licenses()
+
+
+TRIE_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS id,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(words ORDER BY turn NULLS FIRST, id) AS words, {crc32('conv_id')} % 4 AS h FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ids[1:c.h], []), c.ids[c.h + 1:]) AS ids, list_concat(coalesce(b.words[1:c.h], []), c.words[c.h + 1:]) AS words
+  FROM own AS c LEFT JOIN own AS b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+  SELECT conv_id, d, ids[1:d] AS key, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(ids) AS ends FROM rebuilt, unnest(range(len(ids) + 1)) AS u(d)
+), nodes AS MATERIALIZED (
+  SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, max(words) AS words, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY key, d
+), children AS MATERIALIZED (SELECT key[1:d - 1] AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT x.key[1:a] AS key, sum(CASE WHEN c.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((x.n - 1) * x.words) AS saved
+  FROM nodes AS x LEFT JOIN children AS c ON c.key = x.key, unnest(range(x.d + 1)) AS u(a) GROUP BY 1
+)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children, b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, x.ends_sha256
+FROM nodes AS x JOIN below AS b ON b.key = x.key LEFT JOIN children AS c ON c.key = x.key LEFT JOIN nodes AS p ON x.d > 0 AND p.key = x.key[1:x.d - 1]
+"""

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import bpe, decontamination, html_main, line_dedup, manifest, near_dups, oracles, quality, search, suffix_dedup, token_counts, toxicity
-from seriesmill.llm.common import crc_bucket, table
+from seriesmill.llm import bpe, decontamination, html_main, licenses, line_dedup, manifest, near_dups, oracles, prefix_trie, quality, search, suffix_dedup, token_counts, toxicity
+from seriesmill.llm.common import crc_bucket, table, written
 from seriesmill.sources.shared import use_shared_folder
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -83,6 +83,16 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_shared_folder(spark)
+    found = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(written(found)))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return manifest.manifest(docs, manifest.tampered(docs))
@@ -99,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": page_text,
     "op9_suffix_dedup": repeated_strings,
     "op10_near_duplicates": near_duplicate_groups,
+    "op11_prefix_trie": conversation_trie,
+    "op12_license_scan": license_scan,
     "op13_merkle_manifest": dataset_manifest,
 }
 
@@ -119,4 +131,4 @@ SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score
 FROM scored QUALIFY rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op1_top_k": TOP_K_SQL, "op13_merkle_manifest": oracles.MANIFEST_SQL}
+ORACLES: dict[str, str] = {"op1_top_k": TOP_K_SQL, "op11_prefix_trie": oracles.TRIE_SQL, "op12_license_scan": oracles.LICENSE_SQL, "op13_merkle_manifest": oracles.MANIFEST_SQL}
