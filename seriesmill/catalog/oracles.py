@@ -6,6 +6,8 @@ join, folds by comparison, ridge by elimination over sums, smoothing by recursio
 
 from __future__ import annotations
 
+from . import staged
+
 FINAL = "DATE '9999-12-01'"
 LABELS = (
     "CASE model WHEN 'naive' THEN 'Seasonal Naive' WHEN 'regression' THEN 'Ridge Regression' "
@@ -318,7 +320,14 @@ q("min_history", *CUSTOMER, select=_SERIES + f"g WHERE category IN {LONG.format(
 RECENT = """(SELECT category FROM (SELECT * FROM g {where}
   QUALIFY row_number() OVER (PARTITION BY category ORDER BY month DESC) <= {w}) WHERE count > 0
   GROUP BY category HAVING count(*) >= {k})"""
-q("recent_activity", *CUSTOMER, select=_SERIES + f"g WHERE category IN {RECENT.format(w=6, k=2, where='')}")
+q(
+    "recent_activity",
+    CUSTOMER_ROLLED,
+    FILLED.replace("g AS (", "g AS MATERIALIZED (", 1),
+    """back AS (SELECT category, count, row_number() OVER (PARTITION BY category ORDER BY month DESC) AS place FROM g),
+live AS MATERIALIZED (SELECT category FROM back WHERE place <= 6 GROUP BY category HAVING count(*) FILTER (WHERE count > 0) >= 2)""",
+    select="SELECT g.category, CAST(g.month AS VARCHAR) AS month, round(g.count, 6) + 0.0 AS count FROM g JOIN live ON live.category = g.category",
+)
 q(
     "filter_sparse",
     *CUSTOMER,
@@ -406,38 +415,33 @@ q(
     folds("_f", None),
     select=f"SELECT category, CAST(next_month AS VARCHAR) AS month, round(fallback, 6) + 0.0 AS predicted FROM an_f",
 )
-q("seasonal_naive", *CUSTOMER, STATE, folds("_f", None), naive("_f"), select=_PREDICTED + "naive_f")
+q(
+    "seasonal_naive",
+    CUSTOMER_ROLLED,
+    FILLED.replace("g AS (", "g AS MATERIALIZED (", 1),
+    f"""ends AS (SELECT category, month, row_number() OVER (PARTITION BY category ORDER BY month DESC) AS place, count(*) OVER (PARTITION BY category) AS n,
+  coalesce(lag(count, 11) OVER ({_W}), count) AS base, avg(count) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent FROM g)""",
+    select="""SELECT category, CAST(CAST(month + INTERVAL 1 MONTH AS DATE) AS VARCHAR) AS month,
+  round(CASE WHEN base = 0 AND n >= 3 AND recent > 0 THEN recent ELSE base END, 6) + 0.0 AS predicted FROM ends WHERE place = 1""",
+)
 for _name, _binding in (("ridge_brand", BRAND), ("ridge_cycle", CYCLE), ("ridge_part", PART)):
     q(_name, *_binding, STATE, folds("_f", None), ridge("_f"), select=_PREDICTED + "ridge_f")
 
-# Smoothing: per lane the data's and the two start values' responses run side by
-# side; the best start is the two-by-two (or one-by-one) least squares solution.
 q(
     "smoothing_cycle",
     *CYCLE,
-    "sq AS (SELECT category, month, count, row_number() OVER (PARTITION BY category ORDER BY month) AS t, "
-    "count(*) OVER (PARTITION BY category) AS n FROM g)",
-    """ln AS (SELECT 0 AS trended, i / 100.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM range(101) r(i)
-  UNION ALL SELECT DISTINCT 1, i / 20.0::DOUBLE, (i / 20.0::DOUBLE) * (j / 10.0::DOUBLE) FROM range(21) r(i), range(11) s(j))""",
-    """rn AS (
-  SELECT category, n, trended, a, b, 0::BIGINT AS t, 0.0::DOUBLE AS ly, 1.0::DOUBLE AS l1, 0.0::DOUBLE AS l2,
-    0.0::DOUBLE AS ty, 0.0::DOUBLE AS t1, CAST(trended AS DOUBLE) AS t2,
-    0.0::DOUBLE AS s11, 0.0::DOUBLE AS s12, 0.0::DOUBLE AS s22, 0.0::DOUBLE AS c1, 0.0::DOUBLE AS c2, 0.0::DOUBLE AS ss
-  FROM sq JOIN ln ON trended = (n >= 12)::INTEGER WHERE sq.t = 1 AND n >= 4 AND n < 24
-  UNION ALL
-  SELECT category, n, trended, a, b, t, nly, nl1, nl2,
-    trended * (b * (nly - ly) + (1 - b) * ty), trended * (b * (nl1 - l1) + (1 - b) * t1),
-    trended * (b * (nl2 - l2) + (1 - b) * t2),
-    s11 + p1 * p1, s12 + p1 * p2, s22 + p2 * p2, c1 + p1 * u, c2 + p2 * u, ss + u * u
-  FROM (SELECT r.* EXCLUDE (t), s.t, r.l1 + r.t1 AS p1, r.l2 + r.t2 AS p2, s.count - r.ly - r.ty AS u,
-          r.a * s.count + (1 - r.a) * (r.ly + r.ty) AS nly, (1 - r.a) * (r.l1 + r.t1) AS nl1,
-          (1 - r.a) * (r.l2 + r.t2) AS nl2
-        FROM rn r JOIN sq s ON s.category = r.category AND s.t = r.t + 1))""",
-    """sv AS (SELECT *, CASE WHEN trended = 1 THEN (c1 * s22 - c2 * s12) / (s11 * s22 - s12 * s12) ELSE c1 / s11 END AS v1,
-  CASE WHEN trended = 1 THEN (c2 * s11 - c1 * s12) / (s11 * s22 - s12 * s12) ELSE 0.0 END AS v2 FROM rn WHERE t = n)""",
-    """sc AS (SELECT *, ss - v1 * c1 - v2 * c2 AS sse, ly + ty + v1 * (l1 + t1) + v2 * (l2 + t2) AS predicted FROM sv)""",
-    """bs AS (SELECT category, predicted FROM (SELECT *, min(sse) OVER (PARTITION BY category) AS low FROM sc)
-  WHERE sse <= low * (1 + 1e-9) + 1e-9 QUALIFY row_number() OVER (PARTITION BY category ORDER BY a, b) = 1)""",
+    *staged.smoothing(),
+    STATE,
+    folds("_f", None),
+    select="""SELECT a.category, CAST(next_month AS VARCHAR) AS month, round(coalesce(bs.predicted, fallback), 6) + 0.0 AS predicted,
+  CASE WHEN bs.category IS NULL THEN 'short' ELSE 'model' END AS status
+FROM an_f a LEFT JOIN bs ON bs.category = a.category""",
+    recursive=True,
+)
+q(
+    "arima",
+    *CYCLE,
+    *staged.arima(),
     STATE,
     folds("_f", None),
     select="""SELECT a.category, CAST(next_month AS VARCHAR) AS month, round(coalesce(bs.predicted, fallback), 6) + 0.0 AS predicted,

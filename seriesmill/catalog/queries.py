@@ -387,29 +387,28 @@ def custom_model(spark, sf_dir):
 # Models over all series.
 
 
-def _nb_values(series: DataFrame) -> DataFrame:
-    return stored(bayes.value_moments(features.series_state(series)))
+def _nb_values(series: DataFrame) -> bayes.TrainingValues:
+    return bayes.training_values(features.series_state(series))
 
 
 @query
 def nb_bins(spark, sf_dir):
-    """Bins of two tables at once, kept apart by fold: dense and sparse series."""
-    values = _nb_values(customer(spark, sf_dir)).unionByName(
-        _nb_values(brand(spark, sf_dir)).withColumn("fold", F.lit("2000-01-01").cast("date"))
-    )
-    return shown(bayes.demand_bins(values))
+    """Bins of two tables, kept apart by fold: dense and sparse series."""
+    sparse = bayes.demand_bins(_nb_values(customer(spark, sf_dir)))
+    dense = bayes.demand_bins(_nb_values(brand(spark, sf_dir)))
+    return shown(sparse.unionByName(dense.withColumn("fold", F.lit("2000-01-01").cast("date"))))
 
 
 @query
 def nb_class_stats(spark, sf_dir):
     values = _nb_values(brand(spark, sf_dir))
-    return shown(bayes.class_stats(values, bayes.demand_bins(values)).drop("fold"))
+    return shown(bayes.class_stats(values, stored(bayes.demand_bins(values))).drop("fold"))
 
 
 @query
 def nb_medians(spark, sf_dir):
     values = _nb_values(brand(spark, sf_dir))
-    return shown(bayes.class_medians(values, bayes.demand_bins(values)).drop("fold"))
+    return shown(bayes.class_medians(values, stored(bayes.demand_bins(values))).drop("fold"))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import difflib
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 # The header names each role is looked up under, in priority order.
 DATE_NAMES = ("CheckoutDate", "Checkout Date", "checkoutdate", "Date", "date")
@@ -19,6 +19,9 @@ COUNT_NAMES = ("Checkouts", "checkouts", "CheckoutCount", "checkoutcount", "Coun
 MATERIAL_NAMES = ("MaterialType", "materialtype", "Format", "format", "ItemType", "itemtype")
 
 SEASON = 12
+# Orders of the seasonal model.
+ARIMA_ORDER = (1, 1, 1)
+SEASONAL_ORDER = (1, 1, 1)
 
 # Model names, their display labels.
 MODEL_LABELS = {
@@ -92,6 +95,25 @@ class Material:
     excludes: tuple[str, ...] = ("ebook", "audiobook")
 
 
+@dataclass(frozen=True)
+class ModelOptions:
+    """Settings of the single models.
+
+    ``season`` is the season length of smoothing and ARIMA, ``arima_order`` and
+    ``seasonal_order`` their (p, d, q) and (P, D, Q). ``fallback_window`` is the recent mean a
+    seasonal-naive zero gives way to. ``anchor`` says which month the inputs of naive Bayes,
+    forest and boosting describe, and the yearly lag of ridge: "last_row" or "next_month".
+    """
+
+    forest_trees: int = 300
+    boost_rounds: int = 400
+    season: int = SEASON
+    arima_order: tuple[int, int, int] = ARIMA_ORDER
+    seasonal_order: tuple[int, int, int] = SEASONAL_ORDER
+    fallback_window: int = 3
+    anchor: str = "last_row"
+
+
 @dataclass(frozen=True)
 class ForecastConfig:
     """Everything one run needs; defaults follow the interactive front end."""
@@ -115,9 +137,17 @@ class ForecastConfig:
     weight_floor: float = 0.001
     forest_trees: int = 300
     boost_rounds: int = 400
+    season: int = SEASON
+    arima_order: tuple[int, int, int] = ARIMA_ORDER
+    seasonal_order: tuple[int, int, int] = SEASONAL_ORDER
+    fallback_window: int = 3
+    anchor: str = "last_row"
     # Layouts of date text besides ISO, tried in order; empty means the usual ones.
     date_layouts: tuple[str, ...] = ()
 
+    def model_options(self) -> ModelOptions:
+        return ModelOptions(**{f.name: getattr(self, f.name) for f in fields(ModelOptions)})
+
     def roles(self, columns: Sequence[str]) -> Roles:
         """P1 for every role; a date column wins over year + month."""
         material = None

@@ -41,6 +41,7 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     weight: str | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, one column ``q0, q1, ...`` each.
 
@@ -51,26 +52,33 @@ def exact_quantiles(
     hold a wanted rank; these are counted by finer cells in the same way, and only the
     values of one finer cell per wanted rank are sorted. ``keys`` may be empty.
     Nulls are ignored. ``weight`` names a column saying how often a row counts.
+
+    ``groups`` holds ``keys`` and other columns, and asks for the quantiles per value of
+    those instead: rows belong to every group their keys are listed with. Rows are still
+    counted once; what is listed several times are cells.
     """
-    keys = list(keys)
+    keys = inner = list(keys)
+    if groups is not None:
+        inner, keys = keys, [c for c in groups.columns if c not in keys]
     # Never-null columns: a null check on one use of the counts would keep Spark
     # from computing them once for both uses.
     counts = (
         df.where(F.col(value).isNotNull())
         .select(
-            *keys,
+            *inner,
             F.coalesce(F.col(value).cast("double") + F.lit(0.0), F.lit(0.0)).alias("_v"),
             (F.col(weight) if weight else F.lit(1)).cast("long").alias("_c"),
         )
-        .groupBy(*keys, "_v")
+        .groupBy(*inner, "_v")
         .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_c"))
         .withColumn("_cell", F.coalesce(_cell(F.col("_v")), F.lit(0.0)))
     )
     whole = Window.partitionBy(*[F.col(k) for k in keys])
+    cells = counts.groupBy(*inner, "_cell").agg(F.sum("_c").alias("_c"))
+    if groups is not None:
+        cells = cells.join(groups, inner).groupBy(*keys, "_cell").agg(F.sum("_c").alias("_c"))
     cells = (
-        counts.groupBy(*keys, "_cell")
-        .agg(F.sum("_c").alias("_c"))
-        .withColumn("_before", _rows_before(whole.orderBy("_cell")))
+        cells.withColumn("_before", _rows_before(whole.orderBy("_cell")))
         .withColumn("_n", F.sum("_c").over(whole))
     )
     # Per quantile, the two ranks it lies between.
@@ -90,7 +98,9 @@ def exact_quantiles(
         .where((F.col("_before") <= F.col("_w.rank")) & (F.col("_w.rank") < F.col("_before") + F.col("_c")))
         .select(*keys, "_cell", "_n", F.col("_before").alias("_skip"), "_w.*")
     )
-    picked = counts.join(needed, keys + ["_cell"]).withColumn("_fine", F.coalesce(_cell(F.col("_v"), _FINE_BITS), F.lit(0.0)))
+    if groups is not None:
+        needed = needed.join(groups, keys)
+    picked = counts.join(needed, inner + ["_cell"]).withColumn("_fine", F.coalesce(_cell(F.col("_v"), _FINE_BITS), F.lit(0.0)))
     rank_of = Window.partitionBy(*keys, "i", "upper")
     fine = (
         picked.groupBy(*keys, "i", "upper", "_fine")

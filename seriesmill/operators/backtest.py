@@ -25,15 +25,15 @@ def with_errors(rows: DataFrame) -> DataFrame:
 
 
 def backtest_rows(
-    monthly: DataFrame, models: Iterable[str], months: int = 3, clip: bool = False, **sizes: int
+    monthly: DataFrame, models: Iterable[str], months: int = 3, clip: bool = False, **settings
 ) -> DataFrame:
     """Predicted against actual for every series, model and evaluation month.
 
     All folds are one plan: they are a grouping key, not a loop. ``months = 0``
-    means no backtest. ``clip`` cuts predictions at zero first.
+    means no backtest. ``clip`` cuts predictions at zero first. ``settings`` go to ``run_models``.
     """
     names = [m for m in models if m not in ENSEMBLES]
-    raw = run_models(monthly, names, folds=last_folds(monthly, months), **sizes)
+    raw = run_models(monthly, names, folds=last_folds(monthly, months), **settings)
     predicted = F.greatest("predicted", F.lit(0.0)) if clip else F.col("predicted")
     return with_errors(
         raw.where(F.col("predicted").isNotNull()).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordered import ordered_position
@@ -19,11 +19,17 @@ def clip_zero(forecasts: DataFrame) -> DataFrame:
     return forecasts.withColumn("predicted", F.greatest("predicted", F.lit(0.0)))
 
 
+def _joint_status(forecasts: DataFrame) -> list[Column]:
+    if "status" not in forecasts.columns:
+        return []
+    return [F.when(F.every(F.col("status") == "model"), "model").otherwise("part").alias("status")]
+
+
 def ensemble_average(forecasts: DataFrame) -> DataFrame:
     """Mean over the models, carrying each series' target month."""
     return (
         forecasts.groupBy("category")
-        .agg(F.max("month").alias("month"), F.avg("predicted").alias("predicted"))
+        .agg(F.max("month").alias("month"), F.avg("predicted").alias("predicted"), *_joint_status(forecasts))
         .withColumn("model", F.lit("ensemble"))
     )
 
@@ -39,7 +45,7 @@ def ensemble_weighted(forecasts: DataFrame, weights: DataFrame) -> DataFrame:
     return (
         forecasts.join(F.broadcast(weights), "model")
         .groupBy("category")
-        .agg(F.max("month").alias("month"), F.sum(F.col("predicted") * F.col("weight")).alias("predicted"))
+        .agg(F.max("month").alias("month"), F.sum(F.col("predicted") * F.col("weight")).alias("predicted"), *_joint_status(forecasts))
         .withColumn("model", F.lit("ensemble_w"))
     )
 
@@ -50,14 +56,16 @@ def rank_forecasts(forecasts: DataFrame, out: str = "rank") -> DataFrame:
 
 
 def blended_forecasts(
-    monthly: DataFrame, models: Iterable[str], weights: DataFrame | None = None, **sizes: int
+    monthly: DataFrame, models: Iterable[str], weights: DataFrame | None = None, with_status: bool = False, **settings
 ) -> DataFrame:
     """M19 + M20 + M22: clipped forecasts of all models and the ensembles, unranked.
 
-    Ensembles need at least two models; the weighted one also needs weights.
+    Ensembles need at least two models; the weighted one also needs weights. ``settings``
+    go to ``run_models``. ``with_status`` keeps where each prediction came from; an
+    ensemble is "model" if all it blends are.
     """
     names = list(dict.fromkeys(models))
-    base = clip_zero(run_models(monthly, names, **sizes)).select(*FORECAST)
+    base = clip_zero(run_models(monthly, names, **settings)).select(*FORECAST, *(["status"] if with_status else []))
     if len(names) < 2:
         return base
     blended = base.unionByName(ensemble_average(base))
@@ -67,14 +75,14 @@ def blended_forecasts(
 
 
 def multi_model(
-    monthly: DataFrame, models: Iterable[str], weights: DataFrame | None = None, **sizes: int
+    monthly: DataFrame, models: Iterable[str], weights: DataFrame | None = None, with_status: bool = False, **settings
 ) -> DataFrame:
     """The ranked forecast table of all models and ensembles.
 
     Ranking reads its input several times, so the models' output is stored first.
     """
     use_shared_folder(monthly.sparkSession)
-    return rank_forecasts(blended_forecasts(monthly, models, weights, **sizes).checkpoint())
+    return rank_forecasts(blended_forecasts(monthly, models, weights, with_status, **settings).checkpoint())
 
 
 def guardrail(forecasts: DataFrame, recent_avg: DataFrame, multiplier: float) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import month_cos, month_sin, next_month, year_offset
 
+# Names of the features, in the order models use them.
 CALENDAR = ("month_num", "year", "lag1", "avg3", "avg6", "lag12")
 CALENDAR_CORE = ("month_num", "year", "lag1", "avg3", "avg6")
 CYCLIC = ("month_sin", "month_cos", "year_norm", "lag1", "lag2", "lag3", "avg3", "avg6", "lag12")
@@ -68,12 +69,13 @@ def cyclic_features(monthly: DataFrame) -> DataFrame:
     )
 
 
-def series_state(monthly: DataFrame) -> DataFrame:
+def series_state(monthly: DataFrame, fallback_window: int = 3) -> DataFrame:
     """Both feature sets plus what forecasting needs, one row per series month.
 
     ``n`` rows so far, ``size`` rows in all and their mean ``level``, ``next_month`` and the count found
     there (``actual``, null on the last row), the value 12 months before the next
-    month (``lag11``) and the short-history default (``fallback``, M4).
+    month (``lag11``), the mean of the last ``fallback_window`` rows (``recent_mean``) and
+    the short-history default (``fallback``, M4).
     """
     return monthly.select(
         "category", "month", "count",
@@ -91,11 +93,38 @@ def series_state(monthly: DataFrame) -> DataFrame:
         rolling_mean(3).alias("avg3"),
         rolling_mean(6).alias("avg6"),
         tail_mean(3).alias("mean3"),
+        tail_mean(6).alias("mean6"),
+        tail_mean(fallback_window).alias("recent_mean"),
         F.avg("count").over(_series().rowsBetween(-2, 0)).alias("up_to_3"),
         F.coalesce(tail_mean(3), F.col("count")).alias("fallback"),
     )
 
 
+#: Which month the inputs of a forecast describe: the last one known, or the one to be predicted.
+ANCHORS = ("last_row", "next_month")
+
+
+def anchor_features(anchors: DataFrame, anchor: str = "last_row") -> DataFrame:
+    """The inputs a row of ``series_state`` is forecast from.
+
+    ``last_row`` keeps the row's own features, so the last known month is described
+    again. ``next_month`` is the feature row of the month that is not there yet: its
+    calendar, the row's count as lag 1, means that end with it, and the count a year before it.
+    """
+    if anchor not in ANCHORS:
+        raise ValueError(f"anchor must be one of {', '.join(ANCHORS)}, not {anchor}")
+    if anchor == "last_row":
+        return anchors
+    month = F.col("next_month")
+    ahead = {
+        "month_num": F.month(month).cast("double"), "year": F.year(month).cast("double"),
+        "month_sin": month_sin(month), "month_cos": month_cos(month), "year_norm": year_offset(month),
+        "lag1": F.col("count"), "lag2": F.col("lag1"), "lag3": F.col("lag2"),
+        "avg3": F.col("mean3"), "avg6": F.col("mean6"), "lag12": F.col("lag11"),
+    }
+    return anchors.withColumns(ahead)
+
+
 def training_rows(features: DataFrame, core: Sequence[str]) -> DataFrame:
     """M3: rows with every core feature present."""
     return features.dropna(subset=[*core, "count"])

@@ -126,8 +126,8 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density per key on an even grid, Scott bandwidth.
 
-    Equal values are counted first; each distinct value then adds to a fixed
-    number of grid points, and the sums combine before they are shuffled.
+    Equal values are counted first. One aggregation then keeps a sum for each grid point,
+    so no row is multiplied and a task sends one row for each key.
     """
     spread = rows.groupBy(key).agg(
         F.count(value).alias("n"),
@@ -145,17 +145,18 @@ def density(
     counted = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("v")).agg(
         F.count(F.lit(1)).alias("c")
     )
-    at = F.col("start") + F.col("point") * F.col("step")
-    bump = F.exp(-F.pow((F.col("x") - F.col("v")) / F.col("h"), 2) / 2)
-    return (
-        counted.join(scaled, key)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", at)
-        .groupBy(key, F.col("point").cast("long").alias("point"))
-        .agg(
-            F.max("x").alias("x"),
-            F.sum(F.col("c") * bump / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))).alias("density"),
-        )
+
+    def bump(point: int) -> Column:
+        away = (F.col("start") + point * F.col("step") - F.col("v")) / F.col("h")
+        return F.sum(F.col("c") * F.exp(-away * away / 2)).alias(f"_{point}")
+
+    sums = counted.join(scaled, key).groupBy(key, "n", "h", "start", "step").agg(*[bump(k) for k in range(points)])
+    grid = sums.select(key, "n", "h", "start", "step", F.posexplode(F.array(*[f"_{k}" for k in range(points)])).alias("point", "bumps"))
+    return grid.select(
+        key,
+        F.col("point").cast("long").alias("point"),
+        (F.col("start") + F.col("point") * F.col("step")).alias("x"),
+        (F.col("bumps") / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))).alias("density"),
     )
 
 

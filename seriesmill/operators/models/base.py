@@ -1,8 +1,10 @@
-"""Folds, anchors and training rows shared by all forecasters.
+"""Folds and anchors shared by all forecasters.
 
 A fold is a month to be predicted from the rows before it. The real forecast is
 the fold ``FINAL``, which every row precedes and whose target is each series' own
-next month. Forecasters return ``category, fold, month, actual, predicted``.
+next month. Forecasters return ``category, fold, month, actual, predicted, status``;
+``status`` is "model", or says why something simpler stands there: "short" (too few rows
+to learn from), "fallback" (the model's own default) or "error".
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FINAL = datetime.date(9999, 12, 1)
-OUTPUT = ("category", "fold", "month", "actual", "predicted")
+OUTPUT = ("category", "fold", "month", "actual", "predicted", "status")
 
 
 def last_folds(monthly: DataFrame, months: int) -> DataFrame:
@@ -46,19 +48,20 @@ def anchors(state: DataFrame, folds: DataFrame | None) -> DataFrame:
     )
 
 
-def training(state: DataFrame, folds: DataFrame | None) -> DataFrame:
-    """The rows each fold may learn from, all series, including ended ones."""
+def with_since(frame: DataFrame, folds: DataFrame | None, name: str = "since") -> DataFrame:
+    """Adds how many folds are not after a row's month: the position of the first one that may learn from it."""
     if folds is None:
-        return state.withColumn("fold", F.lit(FINAL))
-    later = F.filter("_folds", lambda fold: fold > F.col("month"))
-    return state.withColumn("_folds", fold_list(folds)).withColumn("fold", F.explode(later)).drop("_folds")
+        return frame.withColumn(name, F.lit(0))
+    seen = F.filter("_folds", lambda fold: fold <= F.col("month"))
+    return frame.withColumn("_folds", fold_list(folds)).withColumn(name, F.size(seen)).drop("_folds")
 
 
-def forecast_columns(frame: DataFrame, predicted: Column) -> DataFrame:
+def forecast_columns(frame: DataFrame, predicted: Column, status: Column | None = None) -> DataFrame:
     return frame.select(
         "category",
         "fold",
         F.col("next_month").alias("month"),
         "actual",
         predicted.cast("double").alias("predicted"),
+        (F.lit("model") if status is None else status).alias("status"),
     )

@@ -1,20 +1,23 @@
 """Gaussian naive Bayes over demand classes (M12-M15), in Spark expressions only.
 
-A class is a range of target values, so one pass that keeps the feature moments
-per distinct target value holds all the fit needs: bins, class statistics and
-medians are merged from that much smaller table. Like any model fit this runs
-when called; the result is four rows per fold.
+A class is a range of target values that each fold cuts elsewhere. All cuts together
+divide the values into a few intervals; one pass keeps the feature moments of each
+interval and period between folds. A fold's classes are merged from those rows, which are
+few whatever the values or the number of folds. Nothing comes to the driver: the
+fitted classes join the rows to be forecast as one small array for each fold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions.ordered import exact_quantiles
 from ...sources.shared import use_shared_folder
-from ..features import CALENDAR, CALENDAR_CORE, training_rows
-from .base import anchors, forecast_columns, training
+from ..features import CALENDAR, CALENDAR_CORE, anchor_features, training_rows
+from .base import FINAL, anchors, fold_list, forecast_columns, with_since
 
 # Edges used with few non-zero targets, and the row minimum.
 FEW_NONZERO = 20
@@ -23,37 +26,41 @@ MIN_ROWS = 20
 VARIANCE_SMOOTHING = 1e-9
 
 
-def value_moments(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
-    """Training rows and feature moments per fold and target value.
+@dataclass(frozen=True)
+class TrainingValues:
+    """Stored training rows ``(since, count, features)``, and the folds ``(at, fold)``.
 
-    ``moments`` holds one entry per feature: rows it is known in, mean, variance.
+    A row serves the folds from position ``since`` on.
     """
-    rows = training(state, folds).select("count", "fold", *CALENDAR)
-    wide = training_rows(rows, CALENDAR_CORE).groupBy("fold", "count").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("lag12").alias("known"),
-        *[F.avg(c).alias(f"mean_{c}") for c in CALENDAR],
-        *[F.var_pop(c).alias(f"var_{c}") for c in CALENDAR],
-    )
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col("known" if c == "lag12" else "rows").alias("weight"),
-            F.coalesce(f"mean_{c}", F.lit(0.0)).alias("mean"),
-            F.coalesce(f"var_{c}", F.lit(0.0)).alias("var"),
-        )
-        for c in CALENDAR
-    ]
-    return wide.select("fold", "count", "rows", F.array(*entries).alias("moments"))
+
+    rows: DataFrame
+    folds: DataFrame
+
+    def groups(self) -> DataFrame:
+        """``(since, fold)``: which rows each fold learns from."""
+        return self.folds.select(F.explode(F.sequence(F.lit(0), "at")).alias("since"), "fold")
+
+
+def training_values(state: DataFrame, folds: DataFrame | None = None) -> TrainingValues:
+    """Runs a job: the training rows are stored, for several passes read them."""
+    use_shared_folder(state.sparkSession)
+    one = state.sparkSession.range(1)
+    if folds is None:
+        numbered = one.select(F.lit(0).alias("at"), F.lit(FINAL).alias("fold"))
+    else:
+        numbered = one.select(F.posexplode(fold_list(folds)).alias("at", "fold"))
+    rows = with_since(training_rows(state, CALENDAR_CORE), folds).select("since", "count", *CALENDAR)
+    if folds is not None:
+        rows = rows.where(F.col("since") < F.size(fold_list(folds)))
+    return TrainingValues(rows.checkpoint(), numbered)
 
 
-def demand_bins(values: DataFrame) -> DataFrame:
+def demand_bins(values: TrainingValues) -> DataFrame:
     """Upper edges of the low and mid class per fold."""
-    nonzero = values.where(F.col("count") > 0)
-    cuts = exact_quantiles(nonzero, ["fold"], "count", [0.33, 0.66], weight="rows")
-    sizes = values.groupBy("fold").agg(
-        F.coalesce(F.sum(F.when(F.col("count") > 0, F.col("rows"))), F.lit(0)).alias("nonzero")
-    )
+    nonzero = values.rows.where(F.col("count") > 0)
+    cuts = exact_quantiles(nonzero, ["since"], "count", [0.33, 0.66], groups=values.groups())
+    sizes = values.rows.groupBy("since").agg(F.count(F.when(F.col("count") > 0, 1)).alias("nonzero"))
+    sizes = sizes.join(values.groups(), "since").groupBy("fold").agg(F.sum("nonzero").alias("nonzero"))
     low = F.greatest(F.col("q0"), F.lit(1.0))
     high = F.greatest(F.col("q1"), low + 1)
     enough = F.col("nonzero") >= FEW_NONZERO
@@ -65,127 +72,129 @@ def demand_bins(values: DataFrame) -> DataFrame:
     )
 
 
-def with_class(values: DataFrame, bins: DataFrame) -> DataFrame:
-    """Class 0 none, 1 low, 2 mid, 3 high; upper edges belong to the class."""
-    count = F.col("count")
+def _cuts(bins: DataFrame) -> Column:
+    """All edges of all folds and 0, ascending: at most two for each fold and one."""
+    edges = bins.select(F.explode(F.array("low_edge", "high_edge", F.lit(0.0))).alias("edge"))
+    return edges.agg(F.sort_array(F.collect_set("edge"))).scalar()
+
+
+def with_interval(rows: DataFrame, bins: DataFrame) -> DataFrame:
+    """Adds ``interval``, the number of edges below the count; an edge belongs to the values under it."""
+    below = F.filter("_cuts", lambda edge: edge < F.col("count"))
+    return rows.withColumn("_cuts", _cuts(bins)).withColumn("interval", F.size(below)).drop("_cuts")
+
+
+def interval_classes(values: TrainingValues, bins: DataFrame) -> DataFrame:
+    """``(since, interval, fold, class)``: 0 none, 1 low, 2 mid, 3 high. A few rows for each fold.
+
+    No edge of a fold lies inside an interval, so its upper end tells the class.
+    """
+    upper = F.get("_cuts", F.col("interval"))
     label = (
-        F.when(count <= 0, 0)
-        .when(count <= F.col("low_edge"), 1)
-        .when(count <= F.col("high_edge"), 2)
-        .otherwise(3)
+        F.when(upper <= 0, 0).when(upper <= F.col("low_edge"), 1).when(upper <= F.col("high_edge"), 2).otherwise(3)
     )
-    # One row of edges per fold.
-    return values.join(F.broadcast(bins), "fold").withColumn("class", label)
+    spread = values.folds.join(bins, "fold").withColumn("_cuts", _cuts(bins))
+    spread = spread.withColumn("interval", F.explode(F.sequence(F.lit(0), F.size("_cuts"))))
+    return spread.select(F.explode(F.sequence(F.lit(0), "at")).alias("since"), "interval", "fold", label.alias("class"))
 
 
-def class_moments(values: DataFrame, bins: DataFrame) -> DataFrame:
-    """Known rows, mean and variance per fold, class and feature, merged from value moments.
+def interval_moments(values: TrainingValues, bins: DataFrame) -> DataFrame:
+    """Feature moments per period and interval: rows a feature is known in, mean, variance.
 
-    Years enter relative to 2000; every other feature spreads as wide as it is large.
+    One aggregation over all training rows; the result has a few rows for each fold.
     """
-    shift = F.when(F.col("feature") == "year", F.lit(2000.0)).otherwise(F.lit(0.0))
-    mean = F.col("mean") - shift
-    parts = with_class(values, bins).select("fold", "class", "rows", F.inline("moments"))
-    sums = parts.groupBy("fold", "class", "feature").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("weight").alias("known"),
-        F.sum(F.col("weight") * mean).alias("_s1"),
-        F.sum(F.col("weight") * (F.col("var") + mean * mean)).alias("_s2"),
+    wide = with_interval(values.rows, bins).groupBy("since", "interval").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("lag12").alias("known"),
+        *[F.avg(c).alias(f"mean_{c}") for c in CALENDAR],
+        *[F.var_pop(c).alias(f"var_{c}") for c in CALENDAR],
     )
-    center = F.coalesce(F.try_divide(F.col("_s1"), F.col("known")), F.lit(0.0))
-    square = F.coalesce(F.try_divide(F.col("_s2"), F.col("known")), F.lit(0.0))
-    return sums.select(
-        "fold", "class", "feature", "rows", "known",
-        (center + shift).alias("mean"),
-        F.greatest(square - center * center, F.lit(0.0)).alias("var"),
+    entries = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.col("known" if c == "lag12" else "rows").alias("weight"),
+            F.coalesce(f"mean_{c}", F.lit(0.0)).alias("mean"),
+            F.coalesce(f"var_{c}", F.lit(0.0)).alias("var"),
+        )
+        for c in CALENDAR
+    ]
+    return wide.select("since", "interval", "rows", F.inline(F.array(*entries)))
+
+
+def _merged(parts: DataFrame, keys: list[str], *kept: Column) -> DataFrame:
+    """Weight, mean and variance of all parts with the same keys, taken around the common mean."""
+    lane = Window.partitionBy(*keys)
+    total = F.sum("weight").over(lane)
+    mean = F.coalesce(F.try_divide(F.sum(F.col("weight") * F.col("mean")).over(lane), total), F.lit(0.0))
+    around = parts.withColumn("_mean", mean)
+    spread = F.sum(F.col("weight") * (F.col("var") + F.pow(F.col("mean") - F.col("_mean"), 2)))
+    return around.groupBy(*keys).agg(
+        F.sum("weight").alias("weight"),
+        F.max("_mean").alias("mean"),
+        F.coalesce(F.try_divide(spread, F.sum("weight")), F.lit(0.0)).alias("var"),
+        *kept,
     )
 
 
-def _merged(parts: list[tuple[float, float, float]]) -> tuple[float, float, float]:
-    """Weight, mean and variance of several (weight, mean, variance) parts."""
-    weight = sum(w for w, _, _ in parts)
-    if not weight:
-        return 0.0, 0.0, 0.0
-    mean = sum(w * m for w, m, _ in parts) / weight
-    return weight, mean, sum(w * (v + (m - mean) ** 2) for w, m, v in parts) / weight
-
-
-def _class_rows(values: DataFrame, bins: DataFrame) -> list[tuple]:
-    """M13 as plain rows: fold, class, feature, class and training rows, lag12 mean, mean, variance."""
-    by_fold: dict = {}
-    for r in class_moments(values, bins).collect():
-        by_fold.setdefault(r.fold, []).append(r)
-    out = []
-    for fold, rows in by_fold.items():
-        lag12_mean = _merged([(r.known, r.mean, r.var) for r in rows if r.feature == "lag12"])[1]
-        filled = {
-            (r["class"], r.feature): _merged([(r.known, r.mean, r.var), (r.rows - r.known, lag12_mean, 0.0)])
-            for r in rows
-        }
-        overall = {f: _merged([p for (_, g), p in filled.items() if g == f]) for f in CALENDAR}
-        smoothing = VARIANCE_SMOOTHING * max(v for _, _, v in overall.values())
-        train_rows = int(overall["year"][0])
-        for (label, feature), (weight, mean, var) in filled.items():
-            out.append((fold, label, feature, int(weight), train_rows, lag12_mean, mean, var + smoothing))
-    return out
-
-
-def class_stats(values: DataFrame, bins: DataFrame) -> DataFrame:
-    """Rows, mean and smoothed variance per fold, class and feature. Runs a job.
-
-    The driver sees one row per fold, class and feature (24 per fold). A row
-    without a lag12 counts with the mean of the known ones, so all of them
+def class_stats(values: TrainingValues, bins: DataFrame) -> DataFrame:
+    """Rows, mean and smoothed variance per fold, class and feature.
+
+    A row without a lag12 counts with the mean of the known ones, so all of them
     together are one more part with that mean and no variance.
     """
-    return values.sparkSession.createDataFrame(
-        _class_rows(values, bins),
-        "fold date, class int, feature string, class_rows long, train_rows long, lag12_mean double, "
-        "mean double, var double",
+    parts = interval_moments(values, bins).join(interval_classes(values, bins), ["since", "interval"])
+    classes = _merged(parts, ["fold", "class", "feature"], F.sum("rows").alias("class_rows"))
+    known = F.when(F.col("feature") == "lag12", F.col("weight"))
+    by_fold = Window.partitionBy("fold")
+    lag12 = F.coalesce(F.try_divide(F.sum(known * F.col("mean")).over(by_fold), F.sum(known).over(by_fold)), F.lit(0.0))
+    classes = classes.withColumn("lag12_mean", lag12).withColumn(
+        "train_rows", F.sum(F.when(F.col("feature") == "year", F.col("class_rows"))).over(by_fold)
+    )
+    missing = classes.where(F.col("feature") == "lag12").select(
+        "fold", "class", "feature", "class_rows", "lag12_mean", "train_rows",
+        (F.col("class_rows") - F.col("weight")).alias("weight"), F.col("lag12_mean").alias("mean"), F.lit(0.0).alias("var"),
+    )
+    filled = _merged(
+        classes.unionByName(missing), ["fold", "class", "feature"],
+        *[F.max(c).alias(c) for c in ("class_rows", "lag12_mean", "train_rows")],
+    )
+    overall = _merged(filled.select("fold", "feature", "weight", "mean", "var"), ["fold", "feature"])
+    top = overall.groupBy("fold").agg((F.max("var") * VARIANCE_SMOOTHING).alias("_smoothing"))
+    return filled.join(top, "fold").select(
+        "fold", F.col("class").cast("int").alias("class"), "feature", "class_rows", "train_rows", "lag12_mean", "mean",
+        (F.col("var") + F.col("_smoothing")).alias("var"),
     )
 
 
-def present_medians(values: DataFrame, bins: DataFrame) -> DataFrame:
+def present_medians(values: TrainingValues, bins: DataFrame) -> DataFrame:
     """Median target of the classes that occur."""
-    middle = exact_quantiles(with_class(values, bins), ["fold", "class"], "count", [0.5], weight="rows")
-    return middle.withColumnRenamed("q0", "median")
+    rows = with_interval(values.rows.select("since", "count"), bins)
+    middle = exact_quantiles(rows, ["since", "interval"], "count", [0.5], groups=interval_classes(values, bins))
+    return middle.select("fold", "class", F.col("q0").alias("median"))
 
 
-def class_medians(values: DataFrame, bins: DataFrame) -> DataFrame:
+def class_medians(values: TrainingValues, bins: DataFrame) -> DataFrame:
     """Median target per fold and class; an empty class gets the overall one."""
-    overall = exact_quantiles(values, ["fold"], "count", [0.5], weight="rows")
+    overall = exact_quantiles(values.rows, ["since"], "count", [0.5], groups=values.groups())
     return (
         overall.select("fold", F.col("q0").alias("_all"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("class"))
-        .join(F.broadcast(present_medians(values, bins)), ["fold", "class"], "left")
+        .join(present_medians(values, bins), ["fold", "class"], "left")
         .select("fold", "class", F.coalesce("median", "_all").alias("median"))
     )
 
 
-_MODEL = (
-    "fold date, train_rows long, lag12_mean double, classes array<struct<"
-    "class: int, class_rows: long, train_rows: long, median: double, "
-    "stats: map<string, struct<mean: double, var: double>>>>"
-)
-
-
 def fit(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
-    """The fitted model, one row per fold with an array of classes. Runs jobs.
-
-    One pass over the series; the rest works on the value moments. The driver
-    sees the edges, medians and statistics of at most four classes per fold.
-    """
-    spark = state.sparkSession
-    use_shared_folder(spark)
-    values = value_moments(state, folds).checkpoint()
-    edges = demand_bins(values)
-    bins = spark.createDataFrame(edges.collect(), edges.schema)
-    medians = {(r.fold, r["class"]): r.median for r in present_medians(values, bins).collect()}
-    model: dict = {}
-    for fold, label, feature, rows, train_rows, lag12_mean, mean, var in _class_rows(values, bins):
-        classes = model.setdefault((fold, train_rows, lag12_mean), {})
-        stats = classes.setdefault((label, rows, train_rows, medians[fold, label]), {})
-        stats[feature] = (mean, var)
-    return spark.createDataFrame(
-        [(*key, [(*head, stats) for head, stats in classes.items()]) for key, classes in model.items()], _MODEL
+    """The fitted model, one row per fold with an array of at most four classes."""
+    values = training_values(state, folds)
+    # A row for each fold that all later steps read.
+    bins = demand_bins(values).checkpoint()
+    stats = F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "var"))))
+    classes = class_stats(values, bins).groupBy("fold", "class", "class_rows", "train_rows", "lag12_mean").agg(stats.alias("stats"))
+    entry = F.struct("class", "class_rows", "train_rows", "median", "stats")
+    return (
+        classes.join(present_medians(values, bins), ["fold", "class"])
+        .groupBy("fold", "train_rows", "lag12_mean")
+        .agg(F.collect_list(entry).alias("classes"))
     )
 
 
@@ -199,23 +208,23 @@ def _log_density(c: Column) -> Column:
     return total
 
 
-def naive_bayes(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
+def naive_bayes(state: DataFrame, folds: DataFrame | None = None, anchor: str = "last_row") -> DataFrame:
     """The median count of the most likely demand class.
 
     The fitted classes join the anchor rows as one small array per fold, so
     scoring needs no shuffle. Ties go to the lower class.
     """
-    scored = anchors(state, folds).join(F.broadcast(fit(state, folds)), "fold", "left")
+    targets = anchor_features(anchors(state, folds), anchor)
+    # One row for each fold, with four classes at most.
+    scored = targets.join(F.broadcast(fit(state, folds)), "fold", "left")
     best = F.array_max(
         F.transform(
             "classes",
             lambda c: F.struct(_log_density(c).alias("s"), (-c["class"]).alias("c"), c["median"].alias("m")),
         )
     )["m"]
-    short = F.when(F.col("up_to_3") > 0, F.col("up_to_3")).otherwise(F.col("count"))
-    predicted = (
-        F.when(F.coalesce(F.col("train_rows"), F.lit(0)) < MIN_ROWS, F.col("fallback"))
-        .when(F.col("avg6").isNull(), short)
-        .otherwise(best)
-    )
-    return forecast_columns(scored, predicted)
+    average = F.col("up_to_3")
+    short = F.when(average > 0, average).otherwise(F.col("count"))
+    few = F.coalesce(F.col("train_rows"), F.lit(0)) < MIN_ROWS
+    predicted = F.when(few, F.col("fallback")).when(F.col("avg6").isNull(), short).otherwise(best)
+    return forecast_columns(scored, predicted, F.when(few | F.col("avg6").isNull(), "short").otherwise("model"))

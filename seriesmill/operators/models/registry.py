@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import partial, reduce
+from collections.abc import Callable, Iterable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...config import ModelOptions
 from ..features import series_state
 from . import arima, bayes, naive, ridge, smoothing, trees
 from .kernels import Kernel, apply_kernel, series_prefixes
 
-# From the series state, in Spark expressions (or pyspark.ml).
-_STATE_MODELS = {
-    "naive": naive.seasonal_naive,
-    "regression": ridge.ridge,
-    "naive_bayes": bayes.naive_bayes,
-    "random_forest": trees.random_forest,
-    "gradient_boost": trees.gradient_boost,
-}
+# From the series state, in Spark expressions or, for trees, in one barrier stage.
+_STATE_MODELS = ("naive", "regression", "naive_bayes", "random_forest", "gradient_boost")
 # One solver call per block of equal-length series.
-_KERNELS: dict[str, Kernel] = {"holt": smoothing.smooth, "sarima": arima.sarima}
+_BUILT_IN_KERNELS = ("holt", "sarima")
+_KERNELS: dict[str, Kernel] = {}
 
 
 def register_model(name: str, kernel: Kernel) -> None:
@@ -37,35 +34,47 @@ def register_model(name: str, kernel: Kernel) -> None:
 
 def model_names() -> list[str]:
     """Every name ``run_models`` accepts."""
-    return [*_STATE_MODELS, *_KERNELS]
+    return list(dict.fromkeys([*_STATE_MODELS, *_BUILT_IN_KERNELS, *_KERNELS]))
+
+
+def _kernel(name: str, options: ModelOptions) -> Kernel:
+    if name in _KERNELS:
+        return _KERNELS[name]
+    if name == "holt":
+        return smoothing.smoother(options.season)
+    return arima.sarima_kernel(options.season, options.arima_order, options.seasonal_order)
 
 
 def run_models(
     monthly: DataFrame,
     names: Iterable[str],
     folds: DataFrame | None = None,
-    forest_trees: int = trees.FOREST_TREES,
-    boost_rounds: int = trees.BOOST_ROUNDS,
+    options: ModelOptions = ModelOptions(),
+    **sizes: int,
 ) -> DataFrame:
     """Raw forecasts of the named models, one row per category, fold and model.
 
-    Columns: ``category, fold, month, actual, predicted, status, model``.
+    Columns: ``category, fold, month, actual, predicted, status, model``. ``sizes`` are
+    single settings that replace those of ``options``.
     """
     names = list(dict.fromkeys(names))
-    unknown = [n for n in names if n not in _STATE_MODELS and n not in _KERNELS]
+    unknown = [n for n in names if n not in model_names()]
     if unknown or not names:
         raise ValueError(f"unknown models {unknown}; known: {', '.join(model_names())}")
-    sized = {
-        "random_forest": partial(trees.random_forest, trees=forest_trees),
-        "gradient_boost": partial(trees.gradient_boost, rounds=boost_rounds),
-    }
-    state = series_state(monthly)
+    options = replace(options, **sizes)
+    state = series_state(monthly, options.fallback_window)
     prefixes = series_prefixes(monthly, folds)
+    # Forest and boosting read the same binned rows.
+    rows = trees.training_table(state, folds) if {"random_forest", "gradient_boost"} & set(names) else None
+    run: dict[str, Callable[[], DataFrame]] = {
+        "naive": lambda: naive.seasonal_naive(state, folds),
+        "regression": lambda: ridge.ridge(state, folds, lag12_anchor=options.anchor),
+        "naive_bayes": lambda: bayes.naive_bayes(state, folds, options.anchor),
+        "random_forest": lambda: trees.random_forest(state, folds, options.forest_trees, options.anchor, rows),
+        "gradient_boost": lambda: trees.gradient_boost(state, folds, options.boost_rounds, options.anchor, rows),
+    }
     parts = []
     for name in names:
-        if name in _KERNELS:
-            part = apply_kernel(prefixes, _KERNELS[name])
-        else:
-            part = sized.get(name, _STATE_MODELS[name])(state, folds).withColumn("status", F.lit("model"))
+        part = run[name]() if name in run else apply_kernel(prefixes, _kernel(name, options))
         parts.append(part.withColumn("model", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)

@@ -1,8 +1,8 @@
 """Ridge regression per series (M6).
 
 The normal equations come from one grouped sum of products, taken around the
-level of the series so that nothing cancels; only the 5 x 5 solve is Python, in
-Arrow batches over all series.
+level of the series so that nothing cancels, and shared by all folds; only the 5 x 5
+solve is Python, in Arrow batches over all series.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import OUTPUT, training
+from .base import anchors, fold_list, with_since
 
 _X = ("x_month", "x_year", "x_lag1", "x_avg3", "x_lag12")
 _PAIRS = [(i, j) for i in range(5) for j in range(i, 5)]
@@ -33,56 +33,39 @@ def _solve(sums: pd.Series) -> pd.Series:
     return pd.Series(shift + y_mean + ((x_next - x_mean) * weights).sum(axis=1))
 
 
-def ridge_design(state: DataFrame, folds: DataFrame | None = None, lag12_anchor: str = "last_row") -> DataFrame:
-    """Training rows per (category, fold) with the features their length allows.
+#: Rows of a series by what they have: calendar only, also lag1 and avg3, also lag12.
+_LAGGED, _YEARLY = 4, 13
 
-    6 or 13-15 rows: calendar features on all rows. 7-12 rows: also lag1 and avg3,
-    on the rows that have them. From 16 rows: also lag12. A feature out of use is a
-    constant 0, which a penalised fit with free intercept leaves at weight 0, so one
-    system size serves every branch. The next month's inputs ride on the last row.
-    """
-    rows = training(state, folds)
-    if folds is None:
-        length = F.col("size")
-    else:
-        # Rows are contiguous, so the length at the fold follows from any row.
-        length = (F.col("n") + F.months_between("fold", "month") - 1).cast("int")
-        rows = rows.where(F.col("size") > length)
-    rows = rows.withColumn("rows_known", length)
-    known, n = F.col("rows_known"), F.col("n")
-    lags = ((known >= 7) & (known <= 12)) | (known >= 16)
-    yearly = known >= 16
-    used = F.when(yearly, n >= 13).when(lags, n >= 4).otherwise(F.lit(True))
-    last = n == known
 
-    # A shift of a feature leaves a fit with free intercept alone.
-    level, epoch = F.col("level"), F.lit(2000.0)
+def moments(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
+    """Sums of products per series, ``since`` and ``stratum``: at most three rows for each fold and one more time.
 
-    def gate(on: Column, value: Column) -> Column:
-        return F.when(on, value - level).otherwise(F.lit(0.0))
-
-    # The last row's lag12 is kept by default, one month older than the others.
-    lag12_next = F.col("lag12") if lag12_anchor == "last_row" else F.col("lag11")
-    return rows.where((used & (known >= 6)) | last).select(
+    ``since`` is the first fold (by position) that may learn from a row; a fold has the
+    sums of all up to its own, so rows are read once whatever the number of folds.
+    Everything is taken around the level of the series and the middle of the calendar: a
+    shift of a feature leaves a fit with free intercept alone.
+    """
+    level, n = F.col("level"), F.col("n")
+    lagged, yearly = n >= _LAGGED, n >= _YEARLY
+    rows = with_since(state, folds).select(
         "category",
-        "fold",
-        "rows_known",
-        last.alias("is_last"),
-        "level",
+        "since",
+        (lagged.cast("int") + yearly.cast("int")).alias("stratum"),
         (F.col("count") - level).alias("y"),
         (F.col("month_num") - 6.5).alias("x_month"),
-        (F.col("year") - epoch).alias("x_year"),
-        gate(lags, F.col("lag1")).alias("x_lag1"),
-        gate(lags, F.col("avg3")).alias("x_avg3"),
-        gate(yearly, F.col("lag12")).alias("x_lag12"),
-        (F.month("next_month") - 6.5).cast("double").alias("next_x_month"),
-        (F.year("next_month") - epoch).alias("next_x_year"),
-        gate(lags, F.col("count")).alias("next_x_lag1"),
-        gate(lags, F.col("mean3")).alias("next_x_avg3"),
-        gate(yearly, lag12_next).alias("next_x_lag12"),
-        "next_month",
-        "actual",
-        "fallback",
+        (F.col("year") - 2000.0).alias("x_year"),
+        F.when(lagged, F.col("lag1") - level).otherwise(0.0).alias("x_lag1"),
+        F.when(lagged, F.col("avg3") - level).otherwise(0.0).alias("x_avg3"),
+        F.when(yearly, F.col("lag12") - level).otherwise(0.0).alias("x_lag12"),
+    )
+    if folds is not None:
+        rows = rows.where(F.col("since") < F.size(fold_list(folds)))
+    return rows.groupBy("category", "since", "stratum").agg(
+        F.count(F.lit(1)).cast("double").alias("rows"),
+        F.sum("y").alias("y"),
+        *[F.sum(x).alias(x) for x in _X],
+        *[F.sum(F.col(x) * F.col("y")).alias(f"y_{x}") for x in _X],
+        *[F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"x_{i}{j}") for i, j in _PAIRS],
     )
 
 
@@ -92,23 +75,48 @@ def ridge(
     alpha: float = 1.0,
     lag12_anchor: str = "last_row",
 ) -> DataFrame:
-    """M6: ridge forecast of the next month, the recent average below six rows."""
-    design = ridge_design(state, folds, lag12_anchor)
-
-    def on_last(name: str) -> Column:
-        return F.max(F.when(F.col("is_last"), F.col(name))).alias(name)
+    """M6: ridge forecast of the next month, the recent average below six rows.
 
-    sums = design.groupBy("category", "fold").agg(
-        F.count(F.lit(1)).cast("double").alias("rows"),
-        F.sum("y").alias("y"),
-        *[F.sum(x).alias(x) for x in _X],
-        *[F.sum(F.col(x) * F.col("y")).alias(f"y_{x}") for x in _X],
-        *[F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"x_{i}{j}") for i, j in _PAIRS],
-        *[on_last(f"next_{x}") for x in _X],
-        *[on_last(c) for c in ("level", "next_month", "actual", "fallback", "rows_known")],
+    6 or 13-15 rows: calendar features on all rows. 7-12 rows: also lag1 and avg3,
+    on the rows that have them. From 16 rows: also lag12. A feature out of use is a
+    constant 0, which a penalised fit leaves at weight 0, so one system size serves
+    every branch.
+    """
+    targets = with_since(anchors(state, folds), folds, "at")
+    known, level = F.col("n"), F.col("level")
+    lags = ((known >= 7) & (known <= 12)) | (known >= 16)
+    yearly = known >= 16
+    # The last row's lag12 is kept by default, one month older than the others.
+    lag12_next = F.col("lag12") if lag12_anchor == "last_row" else F.col("lag11")
+    targets = targets.select(
+        "category", "fold", "next_month", "actual", "fallback", "level", known.alias("known"), lags.alias("lags"),
+        F.when(yearly, 2).when(lags, 1).otherwise(0).alias("least"),
+        "at",
+        (F.month("next_month") - 6.5).cast("double").alias("next_x_month"),
+        (F.year("next_month") - 2000.0).alias("next_x_year"),
+        F.when(lags, F.col("count") - level).otherwise(0.0).alias("next_x_lag1"),
+        F.when(lags, F.col("mean3") - level).otherwise(0.0).alias("next_x_avg3"),
+        F.when(yearly, lag12_next - level).otherwise(0.0).alias("next_x_lag12"),
+    )
+    head = targets.columns
+    cells = targets.join(moments(state, folds), "category")
+    used = (F.col("since") <= F.col("at")) & (F.col("stratum") >= F.col("least"))
+    lagging = {x for x in _X if x not in ("x_month", "x_year")}
+
+    def added(name: str, *features: str) -> Column:
+        on = used & F.col("lags") if lagging & set(features) else used
+        return F.coalesce(F.sum(F.when(on, F.col(name))), F.lit(0.0)).alias(name)
+
+    sums = cells.groupBy("category", "fold").agg(
+        *[F.max(c).alias(c) for c in head if c not in ("category", "fold")],
+        added("rows"),
+        added("y"),
+        *[added(x, x) for x in _X],
+        *[added(f"y_{x}", x) for x in _X],
+        *[added(f"x_{i}{j}", _X[i], _X[j]) for i, j in _PAIRS],
     )
     packed = F.array(
-        F.col("rows"),
+        F.greatest(F.col("rows"), F.lit(1.0)),
         F.lit(float(alpha)),
         F.col("level"),
         F.col("y"),
@@ -118,10 +126,12 @@ def ridge(
         *[F.col(f"x_{i}{j}") for i, j in _PAIRS],
     )
     solved = sums.withColumn("_fit", _solve(packed))
+    enough = F.col("known") >= 6
     return solved.select(
         "category",
         "fold",
         F.col("next_month").alias("month"),
         "actual",
-        F.when(F.col("rows_known") >= 6, F.col("_fit")).otherwise(F.col("fallback")).alias("predicted"),
-    ).select(*OUTPUT)
+        F.when(enough, F.col("_fit")).otherwise(F.col("fallback")).alias("predicted"),
+        F.when(enough, "model").otherwise("short").alias("status"),
+    )

@@ -14,7 +14,9 @@ from ..functions.scalars import clean_text
 # Layouts tried, in this order, for date text that is not ISO.
 DATE_LAYOUTS = (
     "M/d/yyyy[ h:mm:ss a]", "yyyy/M/d", "yyyyMMdd", "MMM d, yyyy", "MMM yyyy", "M-d-yyyy", "d MMM yyyy",
+    "d/M/yyyy[ H:mm:ss]", "d.M.yyyy", "d-M-yyyy", "MMMM d, yyyy", "d MMMM yyyy", "MMMM yyyy", "M/yyyy", "yyyy.M.d",
 )
+ISO = "ISO"
 
 
 def filter_material(df: DataFrame, column: str, words: Material = Material(), strict: bool = False) -> DataFrame:
@@ -45,13 +47,45 @@ def require_material(df: DataFrame, filtered: DataFrame, column: str) -> None:
     raise ValueError(f"no row of {column} fits the material words; it holds {', '.join(sample)}")
 
 
+def _has_time(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _read_as(text: Column, layout: str) -> Column:
+    return text.try_cast("timestamp") if layout == ISO else F.try_to_timestamp(text, F.lit(layout))
+
+
 def month_from_date(column: Column, dtype: T.DataType, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
-    """First of the month; text that is no date becomes null."""
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    """First of the month, each row by the first layout that reads it; text that is no date becomes null."""
+    if _has_time(dtype):
         return F.trunc(column, "MM")
-    parsed = [column.try_cast("timestamp")] + [
-        F.try_to_timestamp(column, F.lit(layout)) for layout in layouts
-    ]
+    return F.trunc(F.coalesce(*[_read_as(column, layout) for layout in (ISO, *layouts)]), "MM")
+
+
+def layout_counts(df: DataFrame, column: str, layouts: Sequence[str] = DATE_LAYOUTS) -> DataFrame:
+    """One row with the rows that each layout reads (``counts``) and the first that reads most (``layout``).
+
+    Equal texts are counted first, so a layout is tried once for each different text.
+    """
+    names = [ISO, *layouts]
+    texts = df.groupBy(F.col(f"`{column}`").cast("string").alias("text")).agg(F.count(F.lit(1)).alias("c"))
+    read = [F.coalesce(F.sum(F.when(_read_as(F.col("text"), n).isNotNull(), F.col("c"))), F.lit(0)) for n in names]
+    counts = texts.agg(F.array(*read).alias("counts"))
+    best = F.array_position("counts", F.array_max("counts")).cast("int")
+    return counts.select("counts", F.element_at(F.array(*[F.lit(n) for n in names]), best).alias("layout"))
+
+
+def month_in_column(df: DataFrame, column: str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
+    """First of the month, all rows by the one layout that reads most of the column.
+
+    So ``05/03/2020`` means what the rest of its column says. Text that the layout does not
+    read becomes null. Dates and timestamps need no layout.
+    """
+    text = F.col(f"`{column}`")
+    if _has_time(df.schema[column].dataType):
+        return F.trunc(text, "MM")
+    chosen = layout_counts(df, column, layouts).select("layout").scalar()
+    parsed = [F.when(chosen == layout, _read_as(text.cast("string"), layout)) for layout in (ISO, *layouts)]
     return F.trunc(F.coalesce(*parsed), "MM")
 
 
@@ -76,12 +110,20 @@ def count_value(column: Column | None) -> Column:
     return F.nanvl(F.coalesce(column.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def typed_rows(df: DataFrame, roles: Roles, layouts: Sequence[str] = DATE_LAYOUTS) -> DataFrame:
-    """``category, month, count`` per raw row, rows lacking a key dropped."""
-    if roles.date:
-        month = month_from_date(F.col(f"`{roles.date}`"), df.schema[roles.date].dataType, layouts)
-    else:
-        month = month_from_parts(F.col(f"`{roles.year}`"), F.col(f"`{roles.month}`"))
+def _month(df: DataFrame, roles: Roles, layouts: Sequence[str], by_row: bool) -> Column:
+    if not roles.date:
+        return month_from_parts(F.col(f"`{roles.year}`"), F.col(f"`{roles.month}`"))
+    if by_row:
+        return month_from_date(F.col(f"`{roles.date}`"), df.schema[roles.date].dataType, layouts)
+    return month_in_column(df, roles.date, layouts)
+
+
+def typed_rows(df: DataFrame, roles: Roles, layouts: Sequence[str] = DATE_LAYOUTS, by_row: bool = False) -> DataFrame:
+    """``category, month, count`` per raw row, rows lacking a key dropped.
+
+    Date text is read by one layout for the whole column, or ``by_row``, which a stream needs.
+    """
+    month = _month(df, roles, layouts, by_row)
     return df.select(
         F.col(f"`{roles.category}`").cast("string").alias("category"),
         month.alias("month"),
@@ -89,6 +131,26 @@ def typed_rows(df: DataFrame, roles: Roles, layouts: Sequence[str] = DATE_LAYOUT
     ).dropna(subset=["category", "month"])
 
 
+def read_report(df: DataFrame, roles: Roles, layouts: Sequence[str] = DATE_LAYOUTS) -> DataFrame:
+    """A5/P5: one row on how raw rows were read.
+
+    ``rows``, of these ``kept``, ``no_month`` and ``no_category`` (a row can lack both), ``no_count`` kept
+    rows whose count is no number and became 0, and the ``layout`` of the dates (null without date text).
+    """
+    month, category = _month(df, roles, layouts, False), F.col(f"`{roles.category}`")
+    no_number = F.col("_n").isNull() | F.isnan(F.col("_n"))
+    number = F.lit(0.0) if not roles.count else F.col(f"`{roles.count}`").try_cast("double")
+    seen = df.select(month.isNull().alias("_m"), category.isNull().alias("_c"), number.alias("_n"))
+    kept = ~F.col("_m") & ~F.col("_c")
+    totals = seen.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), F.count_if("_m").alias("no_month"),
+        F.count_if("_c").alias("no_category"), F.count_if(kept & no_number).alias("no_count"),
+    )
+    text = roles.date and not _has_time(df.schema[roles.date].dataType)
+    layout = layout_counts(df, roles.date, layouts).select("layout").scalar() if text else F.lit(None).cast("string")
+    return totals.withColumn("layout", layout)
+
+
 def rollup(rows: DataFrame) -> DataFrame:
     """A1: one row per category and month. Sums combine on the map side first."""
     return rows.groupBy("category", "month").agg(F.sum("count").alias("count"))

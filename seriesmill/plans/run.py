@@ -46,7 +46,8 @@ def run(raw: DataFrame, config: ForecastConfig = ForecastConfig()) -> ForecastRu
     """Raw rows to forecasts: rollup, filters, backtest, blend, guard, repair, rank.
 
     ``rank`` is taken before the guardrail and ``final_rank`` after the repair.
-    Tables that several later plans read are checkpointed.
+    ``status`` says where a prediction came from (see ``models.base``; an ensemble of which a
+    part is not from its model is "part"). Tables that several later plans read are checkpointed.
     """
     spark = raw.sparkSession
     use_shared_folder(spark)
@@ -66,14 +67,14 @@ def run(raw: DataFrame, config: ForecastConfig = ForecastConfig()) -> ForecastRu
     if series.isEmpty():
         raise ValueError("No series remained after filtering.")
 
-    sizes = {"forest_trees": config.forest_trees, "boost_rounds": config.boost_rounds}
+    options = config.model_options()
     rows = scores = weights = None
     if config.backtest_months > 0:
-        rows = backtest.backtest_rows(series, config.models, config.backtest_months, **sizes).checkpoint()
+        rows = backtest.backtest_rows(series, config.models, config.backtest_months, options=options).checkpoint()
         scores = metrics.core_metrics(rows)
         weights = combine.inverse_error_weights(scores, config.weight_floor)
 
-    ranked = combine.multi_model(series, config.models, weights, **sizes)
+    ranked = combine.multi_model(series, config.models, weights, with_status=True, options=options)
     # Loosened filters also shorten the recent window: to three months, or all there are.
     span = kept.agg(F.count_distinct("month")).scalar()
     window = F.when(F.col("relaxed"), F.least(F.lit(3), span)).otherwise(F.lit(config.recent_window))

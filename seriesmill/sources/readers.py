@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import csv
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,51 +31,105 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str | None = None, max_rows: int | None = None
+    spark: SparkSession, path: str, fmt: str | None = None, max_rows: int | None = None, multi_line: bool = False
 ) -> DataFrame:
     """A CSV (all columns text) or Parquet table, optionally limited.
 
     Text is typed later by the coercing expressions, so no inference pass is
     needed. Which rows a limit keeps is not defined, as in any distributed scan.
+    ``multi_line`` reads quoted line breaks in CSV; a file is then one task's work.
     """
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     try:
         if fmt == "csv":
-            df = spark.read.option("header", True).option("escape", '"').csv(path)
+            df = _csv(spark, multi_line).option("header", True).csv(path)
         else:
             df = spark.read.format(fmt).load(path)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err):
-            raise FileNotFoundError(f"Data path not found: {path}") from err
+            raise _no_data(path) from err
         raise
     return df.limit(max_rows) if max_rows and max_rows > 0 else df
 
 
-def read_pages(spark: SparkSession, directory: str, max_rows: int | None = None) -> DataFrame:
+def _csv(spark: SparkSession, multi_line: bool):
+    return spark.read.option("escape", '"').option("multiLine", multi_line)
+
+
+def _no_data(path: str) -> FileNotFoundError:
+    return FileNotFoundError(f"there is nothing to read at {path}")
+
+
+def _headers(spark: SparkSession, directory: str) -> list[list[str]]:
+    """The different headers of all files: the driver gets a line for each of them, not for each file."""
+    lines = spark.read.text(directory).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0 AND trim(value) <> ''").withColumn("at", F.monotonically_increasing_id())
+    firsts = lines.groupBy("file_path").agg(F.min_by("value", "at").alias("line")).select("line").distinct()
+    found = sorted({r.line.removeprefix("\ufeff").rstrip("\r") for r in firsts.collect()})
+    return [next(csv.reader([line])) for line in found]
+
+
+def read_pages(spark: SparkSession, directory: str, max_rows: int | None = None, multi_line: bool = True) -> DataFrame:
     """S3: page files landed in one directory, read as one table.
 
-    Every page carries its own header line; empty pages add no rows. Columns are
-    matched by header name: pages with the same header are read together, the groups
-    are put together by name, and a column a page lacks is null there. One job finds
-    the first line of every file; the driver gets a row per file.
+    Every page carries its own header line; empty pages add no rows. Columns are matched
+    by header name, a column that a page lacks is null there, and text may hold quoted line breaks
+    (without ``multi_line`` large files are split, and it may not). A header is one line.
+
+    A first pass over the text finds the names, which come in the order of the sorted headers.
+    Records are then read by place; a task knows the header of the file it is in, so no
+    file is listed on the driver and nothing is joined or shuffled.
     """
     if not path_exists(spark, directory):
-        raise FileNotFoundError(f"Data path not found: {directory}")
-    lines = spark.read.text(directory).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    lines = lines.where("file_block_start = 0 AND trim(value) <> ''")
-    heads = lines.withColumn("at", F.monotonically_increasing_id()).groupBy("file_path").agg(F.min_by("value", "at").alias("head"))
-    pages: dict[str, list[str]] = {}
-    for r in heads.orderBy("file_path").collect():
-        pages.setdefault(r["head"].removeprefix("\ufeff").rstrip("\r"), []).append(r["file_path"])
-    if not pages:
+        raise _no_data(directory)
+    headers = _headers(spark, directory)
+    if not headers:
         return read_table(spark, directory, "csv", max_rows)
-    whole = None
-    for files in pages.values():
-        part = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(files)
-        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    names = list(dict.fromkeys(name for header in headers for name in header))
+    if len(headers) == 1 and len(names) == len(headers[0]):
+        whole = _csv(spark, multi_line).option("header", True).schema(_text(names)).csv(directory)
+    else:
+        whole = _by_header(spark, directory, names, max(map(len, headers)), multi_line)
     return whole.limit(max_rows) if max_rows and max_rows > 0 else whole
 
 
+def _text(names: list[str]) -> str:
+    return ", ".join("`" + name.replace("`", "``") + "` string" for name in names)
+
+
+def _by_header(spark: SparkSession, directory: str, names: list[str], width: int, multi_line: bool) -> DataFrame:
+    """Records by place to columns by name. The first record of a file is its header."""
+    if not multi_line:
+        # A split file has its header in one task only.
+        raise ValueError("pages with different headers are read with multi_line")
+    places = [f"c{k}" for k in range(width)]
+    records = _csv(spark, True).option("header", False).schema(_text(places)).csv(directory)
+    records = records.select(*places, F.col("_metadata.file_path").alias("file"))
+
+    def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, at = None, {}
+        for batch in batches:
+            files = batch.column("file").to_pylist()
+            begin = 0
+            while begin < len(files):
+                end = begin + 1
+                while end < len(files) and files[end] == files[begin]:
+                    end += 1
+                part = batch.slice(begin, end - begin)
+                if files[begin] != file:
+                    file = files[begin]
+                    header = [part.column(p)[0].as_py() for p in places]
+                    # Of a name that stands twice in a header, the first place counts.
+                    at = {name.removeprefix("\ufeff"): p for p, name in reversed(list(zip(places, header, strict=True))) if name}
+                    part = part.slice(1)
+                empty = pa.nulls(part.num_rows, pa.string())
+                if part.num_rows:
+                    yield pa.RecordBatch.from_arrays([part.column(at[n]).cast(pa.string()) if n in at else empty for n in names], names)
+                begin = end
+
+    return records.mapInArrow(rename, _text(names))
+
+
 def snapshot(spark: SparkSession, path: str, load: Callable[[], DataFrame]) -> DataFrame:
     """The Parquet copy at ``path`` if one was completed, else load and write it."""
     if not path_exists(spark, path.rstrip("/") + "/_SUCCESS"):

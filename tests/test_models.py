@@ -98,11 +98,13 @@ def test_seasonal_naive_branches(make_series):
     assert got == {"year_ago": 1.0, "short": 5.0, "zero_live": 11.0, "zero_dead": 0.0, "zero_short": 0.0}
 
 
-def smooth_by_hand(y):
-    """Every lane by plain recursion, its best start by least squares."""
-    weights, trended, season = smoothing.lanes(len(y))
-    best = None
-    for a, b, g in weights:
+def smooth_by_hand(y, halvings=smoothing.HALVINGS):
+    """Every grid point by plain recursion, its best start by least squares, then the halved steps."""
+    trended, season = smoothing.form(len(y))
+
+    def fit(point):
+        a, b, g = point[0], point[0] * point[1], (1 - point[0]) * point[2]
+
         def errors(start):
             level, trend = start[0], start[1] if trended else 0.0
             waves = list(start[1 + trended :])
@@ -117,23 +119,63 @@ def smooth_by_hand(y):
                     waves[t % season] = g * (v - level - trend) + (1 - g) * wave
                 trend = b * (new - level) + (1 - b) * trend if trended else 0.0
                 level = new
+
         size = 1 + trended + season
         zero, _ = errors(np.zeros(size))
         slopes = np.column_stack([errors(e)[0] - zero for e in np.eye(size)])
         start = np.linalg.lstsq(slopes, -zero, rcond=1e-10)[0]
         e, ahead = errors(start)
-        score = float(e @ e)
+        return float(e @ e), ahead
+
+    best = None
+    for point in smoothing.grid(trended, season):
+        score, ahead = fit(point)
         if best is None or score < best[0] * (1 - 1e-9) - 1e-9:
-            best = (score, ahead)
+            best = (score, ahead, list(point))
+    for k in range(1, halvings + 1):
+        for axis in [0] + [1] * trended + [2] * bool(season):
+            moved = []
+            for side in (-1, 1):
+                point = list(best[2])
+                point[axis] = min(1.0, max(0.0, point[axis] + side * smoothing.STEPS[axis] / 2**k))
+                moved.append((*fit(point), point))
+            found = moved[1] if moved[1][0] < moved[0][0] * (1 - 1e-7) - 1e-9 else moved[0]
+            if found[0] < best[0] * (1 - 1e-7) - 1e-9:
+                best = found
     return best[1]
 
 
-@pytest.mark.parametrize("n", [4, 11, 12, 23, 26])
+@pytest.mark.parametrize("n", [4, 11, 12, 23, 26, 40])
 def test_smoothing_matches_recursion(n):
     y = counts_of(n)
     assert smoothing.smooth(y[None, :])[0] == pytest.approx(smooth_by_hand(y), rel=1e-6, abs=1e-6)
 
 
+@pytest.mark.parametrize("n", [8, 20, 60])
+def test_refined_points_are_close_to_the_best_there_is(n, monkeypatch):
+    """Against many random points: the fit is within a thousandth of the best of them."""
+    y, (trended, season) = counts_of(n, 3), smoothing.form(n)
+    rng = np.random.default_rng(n)
+    points = np.column_stack((rng.random(3000), rng.random(3000) * trended, rng.random(3000) * bool(season)))
+    best = smoothing.fit_points(np.repeat(y[None, :], 3000, axis=0), points, trended, season)[0].min()
+    start = smoothing._on_grid(y[None, :], trended, season)
+    coarse = smoothing.fit_points(y[None, :], start, trended, season)[0][0]
+    steps, scores, real = [], [], smoothing.fit_points
+    monkeypatch.setattr(smoothing, "fit_points", lambda *a: scores.append(real(*a)) or scores[-1])
+    for halvings in (0, 2, 6):
+        scores.clear()
+        smoothing.smooth(y[None, :], halvings=halvings)
+        steps.append(min(s[0][0] for s in scores))
+    assert steps[0] == coarse and steps[2] <= steps[1] <= steps[0]
+    assert steps[2] <= best * 1.001 + 1e-9
+
+
+def test_other_season_lengths():
+    week = np.tile([9.0, 1, 4, 7, 2, 8, 3], 4)
+    assert smoothing.smooth(week[None, :], season=7)[0] == pytest.approx(9.0)
+    assert smoothing.form(13, 7) == (1, 0) and smoothing.form(14, 7) == (1, 7) and smoothing.form(5, 7) == (0, 0)
+
+
 def test_smoothing_exact_cases():
     assert smoothing.smooth(np.full((2, 8), 5.0)) == pytest.approx([5.0, 5.0])
     line = 3.0 + 2.0 * np.arange(15)
@@ -289,6 +331,73 @@ def test_trees_learn_and_repeat(make_series):
         assert np.mean(errors) < 12
 
 
+def test_trees_are_the_same_on_any_number_of_tasks(make_series, monkeypatch):
+    series = {f"s{i}": (D(2015, 1, 1), counts_of(30 + i, i) + 40 * (i % 2)) for i in range(12)}
+    frame = make_series(series)
+    state, folds = features.series_state(frame), base.last_folds(frame, 3)
+    data = trees.training_table(state, folds)
+    assert (np.diff(data.rows) > 0).all() and len(data.months) == 3
+    for spec in (trees._forest(5), trees._boosting(5)):
+        monkeypatch.setattr(trees, "ONE_TASK", 1_000_000)
+        means, one = trees.fit(data, spec)
+        monkeypatch.setattr(trees, "ONE_TASK", 0)
+        monkeypatch.setattr(trees, "ROUNDS_STORED", 2)
+        monkeypatch.setattr(trees, "TREES_AT_ONCE", 3)
+        again, several = trees.fit(data, spec)
+        assert (means == again).all() and len(one) == len(several) == 5
+        for a, b in zip(one, several, strict=True):
+            for part in ("feature", "cut", "left", "value", "gain"):
+                assert (getattr(a, part) == getattr(b, part)).all()
+
+
+def test_folds_of_trees_see_only_the_past(make_series):
+    rows = {f"s{i}": counts_of(40, i) + 30 * i for i in range(4)}
+    frame = make_series({k: (D(2016, 1, 1), v) for k, v in rows.items()})
+    folds = base.last_folds(frame, 3)
+    other = make_series({k: (D(2016, 1, 1), np.concatenate((v[:38], 1e6 + v[38:]))) for k, v in rows.items()})
+    for model, size in ((trees.random_forest, {"trees": 4}), (trees.gradient_boost, {"rounds": 4})):
+        a = {(r.category, r.fold): r.predicted for r in model(features.series_state(frame), folds, **size).collect()}
+        b = {(r.category, r.fold): r.predicted for r in model(features.series_state(other), folds, **size).collect()}
+        assert len(a) == 12
+        assert {k: v for k, v in a.items() if k[1] < D(2019, 4, 1)} == {k: v for k, v in b.items() if k[1] < D(2019, 4, 1)}
+        assert a != b
+
+
+def test_inputs_of_the_month_to_come(make_series):
+    """The row appended by hand has the features that ``next_month`` works out."""
+    y = counts_of(30)
+    known = features.series_state(make_series({"a": (D(2018, 3, 1), y)})).where("n = size")
+    longer = features.series_state(make_series({"a": (D(2018, 3, 1), np.append(y, 7.0))})).where("n = size").first()
+    got = features.anchor_features(known, "next_month").first()
+    for name in (*features.CALENDAR, *features.CYCLIC):
+        assert got[name] == pytest.approx(longer[name])
+    last = features.anchor_features(known).first()
+    assert (last.lag1, last.month_num) == (y[28], 8.0) and got.lag1 == y[29]
+    with pytest.raises(ValueError, match="anchor"):
+        features.anchor_features(known, "tomorrow")
+
+
+def test_options_reach_the_models(make_series):
+    series = make_series({f"s{i}": (D(2015, 1, 1), counts_of(60, i) * (i != 2)) for i in range(4)} | {"new": (D(2019, 11, 1), [3.0, 0.0])})
+    names = ["naive", "regression", "naive_bayes", "random_forest", "gradient_boost", "holt", "sarima"]
+    small = dict(forest_trees=3, boost_rounds=3)
+
+    def run(**more):
+        return {(r.model, r.category): (r.predicted, r.status) for r in registry.run_models(series, names, **small, **more).collect()}
+
+    plain = run()
+    anchored = run(anchor="next_month")
+    for model in ("regression", "naive_bayes", "random_forest", "gradient_boost"):
+        assert any(plain[model, f"s{i}"] != anchored[model, f"s{i}"] for i in range(4)) or model == "naive_bayes"
+        assert plain[model, "new"][1] == "short" and plain[model, "s1"][1] == "model"
+    assert plain["naive", "s1"] == anchored["naive", "s1"]
+    other = run(season=6, arima_order=(0, 1, 1), seasonal_order=(0, 1, 1))
+    assert other["sarima", "s1"] != plain["sarima", "s1"] and other["holt", "s1"] != plain["holt", "s1"]
+    assert {m for (m, c), v in plain.items() if c == "new" and v[1] == "short"} == {*names} - {"naive"}
+    with pytest.raises(ValueError, match="orders"):
+        run(arima_order=(4, 1, 1))
+
+
 def test_trees_without_enough_rows(make_series):
     state = features.series_state(make_series({"a": (D(2020, 1, 1), [1.0, 2, 3, 4, 5, 6, 9])}))
     assert predictions(trees.random_forest(state, trees=2)) == {"a": pytest.approx(20 / 3)}
