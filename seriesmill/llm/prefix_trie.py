@@ -275,10 +275,11 @@ def prefix_trie(found: DataFrame, most: int = CONTAINER) -> DataFrame:
         F.when(last, F.col("sid")).alias("sid"),
     )
     parents = trails.select(F.col("head").alias("container"), F.try_element_at("trail", F.lit(-1)).alias("_up")).join(above, "_up").select("container", "_parent")
-    below_heads = nodes.join(parents, "container", "left").withColumn("parent_conv_id", F.coalesce("_parent", "parent_conv_id"))
-    every = below_heads.select(*head_nodes.columns).unionByName(head_nodes)
-    shas = _digests(members).withColumnRenamed("sid", "_sid")
-    empty = F.sha2(F.lit("").cast("binary"), 256)
-    return every.join(shas, F.col("sid") == F.col("_sid"), "left").select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", empty).alias("ends_sha256")
-    )
+    top_nodes = nodes.join(parents, "container").withColumn("parent_conv_id", F.col("_parent"))
+    # Only rows that have a key are joined by it: the others would meet in one task.
+    every = nodes.where(F.col("container").isNull()).unionByName(top_nodes, allowMissingColumns=True)
+    every = written(every.select(*head_nodes.columns).unionByName(head_nodes))
+    out = every.drop("sid").columns
+    ending = every.where(F.col("sid").isNotNull()).join(_digests(members), "sid")
+    others = every.where(F.col("sid").isNull()).withColumn("ends_sha256", F.sha2(F.lit("").cast("binary"), 256))
+    return ending.select(*out, "ends_sha256").unionByName(others.select(*out, "ends_sha256"))
