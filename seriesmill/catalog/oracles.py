@@ -296,6 +296,24 @@ q(
     select=f"""SELECT category, CAST(make_date(y, TRY_CAST(m AS INTEGER), 1) AS VARCHAR) AS month,
   CAST(count(*) AS DOUBLE) AS count FROM t WHERE TRY_CAST(m AS INTEGER) BETWEEN 1 AND 12 GROUP BY 1, 2""",
 )
+q(
+    "month_by_layout",
+    """t AS (SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 'no date' WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d')
+    ELSE strftime(o_orderdate, '%-d/%-m/%Y') END AS day FROM orders)""",
+    select="SELECT o_orderkey, CAST(CAST(date_trunc('month', try_strptime(day, '%d/%m/%Y')) AS DATE) AS VARCHAR) AS month FROM t",
+)
+q(
+    "read_report",
+    select="""SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (p <> '5-LOW' AND p <> '2-HIGH' AND s <> 'P') AS BIGINT) AS kept,
+  CAST(count(*) FILTER (p = '5-LOW' OR p = '2-HIGH') AS BIGINT) AS no_month, CAST(count(*) FILTER (s = 'P') AS BIGINT) AS no_category,
+  CAST(count(*) FILTER (p = '1-URGENT' AND s <> 'P') AS BIGINT) AS no_count, 'd/M/yyyy[ H:mm:ss]' AS layout
+FROM (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders)""",
+)
+q(
+    "landed_pages",
+    select="""SELECT CAST(o_orderkey AS VARCHAR) AS "key", CASE WHEN o_orderstatus IN ('F', 'O') THEN CAST(o_custkey AS VARCHAR) END AS customer,
+  o_orderpriority || chr(10) || '"' || o_orderstatus || '",' AS note FROM orders""",
+)
 q(
     "count_coercion",
     rolled("lineitem", "l_linestatus", "l_shipdate", "CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END"),
@@ -430,6 +448,7 @@ for _name, _binding in (("ridge_brand", BRAND), ("ridge_cycle", CYCLE), ("ridge_
 q(
     "smoothing_cycle",
     *CYCLE,
+    staged.SERIES,
     *staged.smoothing(),
     STATE,
     folds("_f", None),
@@ -441,6 +460,7 @@ FROM an_f a LEFT JOIN bs ON bs.category = a.category""",
 q(
     "arima",
     *CYCLE,
+    staged.SERIES,
     *staged.arima(),
     STATE,
     folds("_f", None),
@@ -449,6 +469,11 @@ q(
 FROM an_f a LEFT JOIN bs ON bs.category = a.category""",
     recursive=True,
 )
+q(
+    "stream_closed_months",
+    CUSTOMER_ROLLED,
+    select=_SERIES + "m WHERE month <= (SELECT max(month) FROM m) - INTERVAL 62 DAY",
+)
 q(
     "custom_model",
     *CUSTOMER,
@@ -459,8 +484,59 @@ q(
 FROM st l JOIN st f ON f.category = l.category AND f.n = 1 WHERE l.n = l.size""",
 )
 
+_FIVE = "SELECT category, month, greatest(predicted, 0.0) AS predicted, model FROM"
+q(
+    "blend_five_models",
+    *CYCLE,
+    staged.SERIES,
+    *staged.smoothing("hw"),
+    *staged.arima("sa"),
+    STATE,
+    *three_models("_f", None),
+    f"""base AS ({_FIVE} all_f UNION ALL
+  {_FIVE} (SELECT a.category, next_month AS month, coalesce(hw.predicted, fallback) AS predicted, 'holt' AS model FROM an_f a LEFT JOIN hw ON hw.category = a.category) UNION ALL
+  {_FIVE} (SELECT a.category, next_month AS month, coalesce(sa.predicted, fallback) AS predicted, 'sarima' AS model FROM an_f a LEFT JOIN sa ON sa.category = a.category))""",
+    select=f"""SELECT category, {day('month')}, {num('predicted')}, model FROM (
+  SELECT * FROM base UNION ALL SELECT category, max(month) AS month, avg(predicted) AS predicted, 'ensemble' AS model FROM base GROUP BY category)""",
+    recursive=True,
+)
+
 # Models over all series.
 
+_CYCLIC = ("month_sin", "month_cos", "year_norm", "lag1", "lag2", "lag3", "avg3", "avg6", "lag12")
+_CIRCLE = "sin(2 * pi() * month(month) / 12) AS month_sin, cos(2 * pi() * month(month) / 12) AS month_cos, CAST(year(month) - 2010 AS DOUBLE) AS year_norm"
+q(
+    "tree_one_split",
+    *BRAND,
+    STATE,
+    f"cy AS MATERIALIZED (SELECT *, {_CIRCLE} FROM st)",
+    "tn AS (SELECT * FROM cy WHERE avg6 IS NOT NULL)",
+    *staged.one_split(_CYCLIC),
+    select="""SELECT category, CAST(next_month AS VARCHAR) AS month, round(m + CASE WHEN coalesce(x <= c, s = 1) THEN below ELSE above END, 6) + 0.0 AS predicted
+FROM (SELECT *, CASE f """
+    + " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(_CYCLIC))
+    + " END AS x FROM cy, sp, mu WHERE cy.n = cy.size)",
+)
+# What must hold of all seven models whatever they learn.
+q(
+    "all_models_hold",
+    *BRAND,
+    """md AS (SELECT unnest(['naive', 'regression', 'naive_bayes', 'random_forest', 'gradient_boost', 'holt', 'sarima', 'ensemble']) AS model),
+nx AS (SELECT category, max(month) + INTERVAL 1 MONTH AS month FROM g GROUP BY category)""",
+    select="""SELECT model, CAST(count(*) AS BIGINT) AS series, CAST(CAST(min(month) AS DATE) AS VARCHAR) AS first_month,
+  CAST(CAST(max(month) AS DATE) AS VARCHAR) AS last_month, TRUE AS ranks_hold, TRUE AS no_negative, TRUE AS blend_holds, TRUE AS forest_in_range
+FROM md, nx GROUP BY model""",
+)
+q(
+    "all_backtests_hold",
+    *BRAND,
+    STATE,
+    folds("_b", 3),
+    """md AS (SELECT unnest(['naive', 'regression', 'naive_bayes', 'random_forest', 'gradient_boost', 'holt', 'sarima']) AS model)""",
+    select="""SELECT model, CAST(fold AS VARCHAR) AS eval_month, CAST(count(*) AS BIGINT) AS series, round(sum(act), 6) + 0.0 AS actual, TRUE AS errors_hold
+FROM md, an_b WHERE act IS NOT NULL GROUP BY model, fold""",
+)
+
 _BINS = "SELECT CAST(fold AS VARCHAR) AS fold, CAST(nonzero AS BIGINT) AS nonzero, " + num("low_edge", "high_edge") + " FROM nb_f"
 q(
     "nb_bins",

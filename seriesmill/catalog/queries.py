@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,11 @@ from ..functions import scalars
 from ..functions.ordered import exact_quantiles, ordered_position
 from ..operators import backtest, combine, features, insights, metrics, monthly, quality
 from ..operators.models import base, bayes, naive, registry, ridge, trees
+from ..operators.models.histograms import Spec
 from ..operators.models.kernels import apply_kernel, series_prefixes
 from ..operators.models.smoothing import smooth
 from ..operators.models.arima import sarima as sarima_kernel
-from ..sources.readers import is_folder
+from ..sources.readers import is_folder, read_pages
 from ..sources.shared import new_shared_path, use_shared_folder
 from ..sources.sinks import metrics_report
 from ..streaming.rollup import latest_sums, read_page_stream, stream_rollup, write_batches
@@ -157,6 +158,45 @@ def month_from_date(spark, sf_dir):
     return shown(rows.select("o_orderkey", month.alias("month")))
 
 
+def _day_month_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with dates as text, day first; some in another layout, some none."""
+    day, priority = F.col("o_orderdate"), F.col("o_orderpriority")
+    text = (
+        F.when(priority == "5-LOW", "no date")
+        .when(priority == "2-HIGH", F.date_format(day, "yyyy-MM-dd"))
+        .otherwise(F.date_format(day, "d/M/yyyy"))
+    )
+    return table(spark, sf_dir, "orders").withColumn("day", text)
+
+
+@query
+def month_by_layout(spark, sf_dir):
+    rows = _day_month_year(spark, sf_dir).select("o_orderkey", "day")
+    return shown(rows.select("o_orderkey", monthly.month_in_column(rows, "day").alias("month")))
+
+
+@query
+def read_report(spark, sf_dir):
+    """Categories that are missing, counts that are no numbers, dates in another layout."""
+    category = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    count = F.when(F.col("o_orderpriority") == "1-URGENT", "many").otherwise("2")
+    rows = _day_month_year(spark, sf_dir).select("day", category.alias("who"), count.alias("n"))
+    return shown(monthly.read_report(rows, Roles("who", date="day", count="n")))
+
+
+@query
+def landed_pages(spark, sf_dir):
+    """Orders written as pages with three headers and quoted line breaks, and read again."""
+    folder = new_shared_path(spark, "pages")
+    status = F.col("o_orderstatus")
+    note = F.concat("o_orderpriority", F.lit('\n"'), status, F.lit('",')).alias("note")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("customer"), note, status)
+    pages = ((status == "F", ("key", "customer", "note")), (status == "O", ("note", "key", "customer")), (~status.isin("F", "O"), ("key", "note")))
+    for kept, header in pages:
+        rows.where(kept).select(*header).write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    return read_pages(spark, folder).select("key", "customer", "note")
+
+
 @query
 def month_from_parts(spark, sf_dir):
     month = (
@@ -431,6 +471,13 @@ def gradient_boost(spark, sf_dir):
     return _final(trees.gradient_boost(features.series_state(stored(brand(spark, sf_dir)))))
 
 
+@query
+def tree_one_split(spark, sf_dir):
+    """One boosting round of one split, which SQL can search as well: bins, missing values, leaf sizes."""
+    spec = Spec(1, 1, trees.BOOST_LEAF, boosted=True, rate=trees.BOOST_RATE)
+    return _final(trees.tree_model(features.series_state(stored(brand(spark, sf_dir))), None, spec))
+
+
 @query
 def feature_importance(spark, sf_dir):
     return shown(trees.feature_importance(features.series_state(stored(brand(spark, sf_dir)))))
@@ -449,6 +496,46 @@ def multi_model_all(spark, sf_dir):
     return shown(combine.multi_model(stored(brand(spark, sf_dir)), ALL_MODELS))
 
 
+@query
+def blend_five_models(spark, sf_dir):
+    """Short series, for which SQL can express smoothing and ARIMA too."""
+    return shown(combine.blended_forecasts(stored(cycle(spark, sf_dir)), (*SQL_MODELS, "holt", "sarima")))
+
+
+@query
+def all_models_hold(spark, sf_dir):
+    """What must hold of the ranked table of all seven models, whatever they learn."""
+    series = stored(brand(spark, sf_dir))
+    ranked = stored(combine.multi_model(series, ALL_MODELS))
+    span = series.groupBy("category").agg(F.min("count").alias("lo"), F.max("count").alias("hi"))
+    mean = ranked.where(F.col("model") != "ensemble").groupBy("category").agg(F.avg("predicted").alias("mean"))
+    rows = ranked.join(span, "category").join(mean, "category")
+    by_rank = Window.partitionBy("model").orderBy("rank")
+    before = F.lag(F.struct(-F.col("predicted"), "category")).over(by_rank)
+    ordered = F.coalesce(before < F.struct(-F.col("predicted"), "category"), F.col("rank") == 1)
+    inside = F.col("predicted").between(F.col("lo") - 1e-6, F.col("hi") + 1e-6)
+    rows = rows.withColumn("ordered", ordered)
+    return shown(
+        rows.groupBy("model").agg(
+            F.count(F.lit(1)).alias("series"), F.min("month").alias("first_month"), F.max("month").alias("last_month"),
+            F.every("ordered").alias("ranks_hold"), F.every(F.col("predicted") >= 0).alias("no_negative"),
+            F.every((F.col("model") != "ensemble") | (F.abs(F.col("predicted") - F.col("mean")) < 1e-6)).alias("blend_holds"),
+            F.every((F.col("model") != "random_forest") | inside).alias("forest_in_range"),
+        )
+    )
+
+
+@query
+def all_backtests_hold(spark, sf_dir):
+    """Rows, actual counts and errors of the backtest of all seven models."""
+    rows = backtest.backtest_rows(stored(brand(spark, sf_dir)), ALL_MODELS, FOLDS)
+    right = (F.abs(F.col("predicted") - F.col("actual") - F.col("error")) < 1e-9) & (F.col("abs_error") == F.abs("error"))
+    right &= F.abs(F.col("ape") * F.greatest("actual", F.lit(1.0)) - F.col("abs_error")) < 1e-6
+    return shown(
+        rows.groupBy("model", "eval_month").agg(F.count(F.lit(1)).alias("series"), F.sum("actual").alias("actual"), F.every(right).alias("errors_hold"))
+    )
+
+
 @query
 def rank_with_ties(spark, sf_dir):
     state = features.series_state(customer(spark, sf_dir))
@@ -730,3 +817,14 @@ def stream_monthly(spark, sf_dir):
     target, state = new_shared_path(spark, "sums"), new_shared_path(spark, "state")
     write_batches(stream_rollup(rows, CUSTOMER), target, state, "complete").awaitTermination()
     return shown(latest_sums(spark, target))
+
+
+@query
+def stream_closed_months(spark, sf_dir):
+    """The same stream in append mode: months are written once, when data two months newer is there."""
+    path = os.path.join(sf_dir, "orders.parquet")
+    folder, only = (path, None) if is_folder(spark, path) else (sf_dir, "orders.parquet")
+    rows = read_page_stream(spark, folder, spark.read.parquet(path).schema, "parquet", pattern=only)
+    target, state = new_shared_path(spark, "closed"), new_shared_path(spark, "state")
+    write_batches(stream_rollup(rows, CUSTOMER), target, state, "append").awaitTermination()
+    return shown(latest_sums(spark, target))

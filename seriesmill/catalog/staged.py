@@ -33,10 +33,9 @@ def _smoothed(name: str, points: str) -> str:
 {name}s AS MATERIALIZED (SELECT category, n, trended, side, a, sh, ss - v1 * c1 - v2 * c2 AS sse, ly + ty + v1 * (l1 + t1) + v2 * (l2 + t2) AS predicted FROM {name}v)"""
 
 
-def smoothing(halvings: int = 6) -> list[str]:
+def smoothing(out_name: str = "bs", halvings: int = 6) -> list[str]:
     """``bs(category, predicted)``: the grid, then steps along level and trend share that are halved each time."""
     out = [
-        SERIES,
         """ln AS (SELECT 0 AS trended, i / 20.0::DOUBLE AS a, 0.0::DOUBLE AS sh FROM range(21) r(i)
   UNION ALL SELECT DISTINCT 1, i / 20.0::DOUBLE, CASE WHEN i = 0 THEN 0.0 ELSE j / 4.0 END::DOUBLE FROM range(21) r(i), range(5) s(j))""",
         _smoothed("p0", "SELECT category, n, ln.trended, 0 AS side, a, sh FROM sq JOIN ln ON ln.trended = (n >= 12)::INTEGER WHERE sq.t = 1 AND n >= 4 AND n < 24"),
@@ -58,7 +57,7 @@ def smoothing(halvings: int = 6) -> list[str]:
   CASE WHEN up THEN w.sse ELSE l.sse END AS sse, CASE WHEN up THEN w.predicted ELSE l.predicted END AS predicted
   FROM (SELECT l.*, w, coalesce(w.sse < l.sse * (1 - 1e-7) - 1e-9, FALSE) AS up FROM {last} l LEFT JOIN {p}c c ON c.category = l.category) l)""")
             last = b
-    out.append(f"bs AS (SELECT category, predicted FROM {last})")
+    out.append(f"{out_name} AS (SELECT category, predicted FROM {last})")
     return out
 
 
@@ -74,10 +73,9 @@ def _conditional(name: str, points: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY category ORDER BY i) = 1)"""
 
 
-def arima(halvings: int = 6) -> list[str]:
+def arima(out_name: str = "bs", halvings: int = 6) -> list[str]:
     """``bs(category, predicted)`` of ARIMA(1,1,1): 19 x 19 points, then the nine around the best at half the step."""
     out = [
-        SERIES,
         "df AS MATERIALIZED (SELECT category, t, n, count - lag(count) OVER (PARTITION BY category ORDER BY t) AS step FROM sq WHERE n >= 6 AND n < 24)",
         "mk AS (SELECT x * 19 + y AS i, (x - 9) / 10.0::DOUBLE AS ar, (y - 9) / 10.0::DOUBLE AS ma FROM range(19) a(x), range(19) b(y))",
         _conditional("a0", "SELECT category, n, mk.i, mk.ar, mk.ma FROM df, mk WHERE t = 1"),
@@ -91,5 +89,23 @@ def arima(halvings: int = 6) -> list[str]:
                 f"SELECT category, n, of.i, greatest(-0.99, least(0.99, ar + dx * {step})) AS ar, greatest(-0.99, least(0.99, ma + dy * {step})) AS ma FROM a{k - 1}b, of",
             )
         )
-    out.append(f"bs AS (SELECT b.category, sq.count + ahead AS predicted FROM a{halvings}b b JOIN sq ON sq.category = b.category AND sq.t = b.n)")
+    out.append(f"{out_name} AS (SELECT b.category, sq.count + ahead AS predicted FROM a{halvings}b b JOIN sq ON sq.category = b.category AND sq.t = b.n)")
     return out
+
+
+def one_split(features: tuple[str, ...], bins: int = 64, min_leaf: int = 10, rate: float = 0.05) -> list[str]:
+    """``sp(f, c, s, below, above)``: the split of training rows ``tn`` that leaves the least squares, and ``mu(m, n)``.
+
+    Cuts are the 1/64 quantiles of a feature; missing values go to the side where they fit better.
+    """
+    probs = ", ".join(f"{k}/{bins}::DOUBLE" for k in range(1, bins))
+    long = " UNION ALL ".join(f"SELECT {k} AS f, {name} AS x, count - m AS r FROM tn, mu" for k, name in enumerate(features))
+    return [
+        "mu AS MATERIALIZED (SELECT avg(count) AS m, count(*) AS n FROM tn)",
+        f"lo AS MATERIALIZED ({long})",
+        f"cu AS MATERIALIZED (SELECT DISTINCT f, unnest(quantile_disc(x, [{probs}])) AS c FROM lo WHERE x IS NOT NULL GROUP BY f)",
+        """ca AS (SELECT f, c, s, count(*) FILTER (l) AS nl, sum(r) FILTER (l) AS sl, count(*) FILTER (NOT l) AS nr, sum(r) FILTER (NOT l) AS sr
+  FROM (SELECT lo.f, c, s, r, coalesce(x <= c, s = 1) AS l FROM lo JOIN cu ON cu.f = lo.f, (VALUES (0), (1)) v(s)) GROUP BY f, c, s)""",
+        f"""sp AS MATERIALIZED (SELECT f, c, s, sl / nl * {rate} AS below, sr / nr * {rate} AS above FROM ca WHERE nl >= {min_leaf} AND nr >= {min_leaf}
+  ORDER BY round(sl * sl / nl + sr * sr / nr, 4) DESC, f, c, s LIMIT 1)""",
+    ]

@@ -55,7 +55,7 @@ def exact_quantiles(
 
     ``groups`` holds ``keys`` and other columns, and asks for the quantiles per value of
     those instead: rows belong to every group their keys are listed with. Rows are still
-    counted once; what is listed several times are cells.
+    counted once; what is listed several times are cells. It is broadcast, so it must be small.
     """
     keys = inner = list(keys)
     if groups is not None:
@@ -76,7 +76,7 @@ def exact_quantiles(
     whole = Window.partitionBy(*[F.col(k) for k in keys])
     cells = counts.groupBy(*inner, "_cell").agg(F.sum("_c").alias("_c"))
     if groups is not None:
-        cells = cells.join(groups, inner).groupBy(*keys, "_cell").agg(F.sum("_c").alias("_c"))
+        cells = cells.join(F.broadcast(groups), inner).groupBy(*keys, "_cell").agg(F.sum("_c").alias("_c"))
     cells = (
         cells.withColumn("_before", _rows_before(whole.orderBy("_cell")))
         .withColumn("_n", F.sum("_c").over(whole))
@@ -99,7 +99,7 @@ def exact_quantiles(
         .select(*keys, "_cell", "_n", F.col("_before").alias("_skip"), "_w.*")
     )
     if groups is not None:
-        needed = needed.join(groups, keys)
+        needed = needed.join(F.broadcast(groups), keys)
     picked = counts.join(needed, inner + ["_cell"]).withColumn("_fine", F.coalesce(_cell(F.col("_v"), _FINE_BITS), F.lit(0.0)))
     rank_of = Window.partitionBy(*keys, "i", "upper")
     fine = (

@@ -1,17 +1,19 @@
-"""Gaussian naive Bayes over demand classes (M12-M15), in Spark expressions only.
+"""Gaussian naive Bayes over demand classes.
 
 A class is a range of target values that each fold cuts elsewhere. All cuts together
 divide the values into a few intervals; one pass keeps the feature moments of each
 interval and period between folds. A fold's classes are merged from those rows, which are
-few whatever the values or the number of folds. Nothing comes to the driver: the
-fitted classes join the rows to be forecast as one small array for each fold.
+few whatever the values. Nothing comes to the driver: the fitted classes join the rows
+to be forecast as one small array for each fold.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.ordered import exact_quantiles
@@ -60,7 +62,7 @@ def demand_bins(values: TrainingValues) -> DataFrame:
     nonzero = values.rows.where(F.col("count") > 0)
     cuts = exact_quantiles(nonzero, ["since"], "count", [0.33, 0.66], groups=values.groups())
     sizes = values.rows.groupBy("since").agg(F.count(F.when(F.col("count") > 0, 1)).alias("nonzero"))
-    sizes = sizes.join(values.groups(), "since").groupBy("fold").agg(F.sum("nonzero").alias("nonzero"))
+    sizes = sizes.join(F.broadcast(values.groups()), "since").groupBy("fold").agg(F.sum("nonzero").alias("nonzero"))
     low = F.greatest(F.col("q0"), F.lit(1.0))
     high = F.greatest(F.col("q1"), low + 1)
     enough = F.col("nonzero") >= FEW_NONZERO
@@ -99,71 +101,75 @@ def interval_classes(values: TrainingValues, bins: DataFrame) -> DataFrame:
 
 
 def interval_moments(values: TrainingValues, bins: DataFrame) -> DataFrame:
-    """Feature moments per period and interval: rows a feature is known in, mean, variance.
+    """Rows, rows with lag12, mean and variance of each feature per period and interval.
 
     One aggregation over all training rows; the result has a few rows for each fold.
     """
-    wide = with_interval(values.rows, bins).groupBy("since", "interval").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("lag12").alias("known"),
-        *[F.avg(c).alias(f"mean_{c}") for c in CALENDAR],
-        *[F.var_pop(c).alias(f"var_{c}") for c in CALENDAR],
-    )
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col("known" if c == "lag12" else "rows").alias("weight"),
-            F.coalesce(f"mean_{c}", F.lit(0.0)).alias("mean"),
-            F.coalesce(f"var_{c}", F.lit(0.0)).alias("var"),
-        )
-        for c in CALENDAR
-    ]
-    return wide.select("since", "interval", "rows", F.inline(F.array(*entries)))
-
-
-def _merged(parts: DataFrame, keys: list[str], *kept: Column) -> DataFrame:
-    """Weight, mean and variance of all parts with the same keys, taken around the common mean."""
-    lane = Window.partitionBy(*keys)
-    total = F.sum("weight").over(lane)
-    mean = F.coalesce(F.try_divide(F.sum(F.col("weight") * F.col("mean")).over(lane), total), F.lit(0.0))
-    around = parts.withColumn("_mean", mean)
-    spread = F.sum(F.col("weight") * (F.col("var") + F.pow(F.col("mean") - F.col("_mean"), 2)))
-    return around.groupBy(*keys).agg(
-        F.sum("weight").alias("weight"),
-        F.max("_mean").alias("mean"),
-        F.coalesce(F.try_divide(spread, F.sum("weight")), F.lit(0.0)).alias("var"),
-        *kept,
+    return with_interval(values.rows, bins).groupBy("since", "interval").agg(
+        F.count(F.lit(1)).cast("double").alias("rows"),
+        F.count("lag12").cast("double").alias("known"),
+        *[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"mean_{c}") for c in CALENDAR],
+        *[F.coalesce(F.var_pop(c), F.lit(0.0)).alias(f"var_{c}") for c in CALENDAR],
     )
 
 
-def class_stats(values: TrainingValues, bins: DataFrame) -> DataFrame:
-    """Rows, mean and smoothed variance per fold, class and feature.
+_CLASSES = (
+    "fold date, train_rows long, lag12_mean double, classes array<struct<class: int, class_rows: long, "
+    "stats: map<string, struct<mean: double, var: double>>>>"
+)
+
+
+def _merged(weight: np.ndarray, mean: np.ndarray, var: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and variance of parts (rows) by feature (columns), around the common mean."""
+    total = np.maximum(weight.sum(axis=0), 1e-300)
+    common = (weight * mean).sum(axis=0) / total
+    return common, (weight * (var + (mean - common) ** 2)).sum(axis=0) / total
+
+
+def _fold_classes(parts: pd.DataFrame) -> tuple[int, float, list[dict]]:
+    """Rows, means and smoothed variances of the classes of one fold, and the mean of lag12.
 
     A row without a lag12 counts with the mean of the known ones, so all of them
     together are one more part with that mean and no variance.
     """
-    parts = interval_moments(values, bins).join(interval_classes(values, bins), ["since", "interval"])
-    classes = _merged(parts, ["fold", "class", "feature"], F.sum("rows").alias("class_rows"))
-    known = F.when(F.col("feature") == "lag12", F.col("weight"))
-    by_fold = Window.partitionBy("fold")
-    lag12 = F.coalesce(F.try_divide(F.sum(known * F.col("mean")).over(by_fold), F.sum(known).over(by_fold)), F.lit(0.0))
-    classes = classes.withColumn("lag12_mean", lag12).withColumn(
-        "train_rows", F.sum(F.when(F.col("feature") == "year", F.col("class_rows"))).over(by_fold)
-    )
-    missing = classes.where(F.col("feature") == "lag12").select(
-        "fold", "class", "feature", "class_rows", "lag12_mean", "train_rows",
-        (F.col("class_rows") - F.col("weight")).alias("weight"), F.col("lag12_mean").alias("mean"), F.lit(0.0).alias("var"),
-    )
-    filled = _merged(
-        classes.unionByName(missing), ["fold", "class", "feature"],
-        *[F.max(c).alias(c) for c in ("class_rows", "lag12_mean", "train_rows")],
-    )
-    overall = _merged(filled.select("fold", "feature", "weight", "mean", "var"), ["fold", "feature"])
-    top = overall.groupBy("fold").agg((F.max("var") * VARIANCE_SMOOTHING).alias("_smoothing"))
-    return filled.join(top, "fold").select(
-        "fold", F.col("class").cast("int").alias("class"), "feature", "class_rows", "train_rows", "lag12_mean", "mean",
-        (F.col("var") + F.col("_smoothing")).alias("var"),
-    )
+    rows, known = parts["rows"].to_numpy(float), parts["known"].to_numpy(float)
+    mean, var = (parts[[f"{m}_{c}" for c in CALENDAR]].to_numpy(float) for m in ("mean", "var"))
+    at = CALENDAR.index("lag12")
+    lag12_mean = float((known * mean[:, at]).sum() / known.sum()) if known.sum() else 0.0
+    weight = np.repeat(rows[:, None], len(CALENDAR), axis=1)
+    share = known / rows
+    filled = share * mean[:, at] + (1 - share) * lag12_mean
+    var[:, at] = share * (var[:, at] + (mean[:, at] - filled) ** 2) + (1 - share) * (lag12_mean - filled) ** 2
+    mean[:, at] = filled
+    smoothing = VARIANCE_SMOOTHING * _merged(weight, mean, var)[1].max()
+    classes = []
+    for label in sorted(parts["class"].unique()):
+        own = (parts["class"] == label).to_numpy()
+        m, v = _merged(weight[own], mean[own], var[own])
+        stats = {c: {"mean": float(m[k]), "var": float(v[k] + smoothing)} for k, c in enumerate(CALENDAR)}
+        classes.append({"class": int(label), "class_rows": int(rows[own].sum()), "stats": stats})
+    return int(rows.sum()), lag12_mean, classes
+
+
+def fold_classes(values: TrainingValues, bins: DataFrame) -> DataFrame:
+    """``fold, train_rows, lag12_mean, classes``: rows and, by feature, mean and smoothed variance of each class.
+
+    What is merged here are a few rows for each fold, whatever the table.
+    """
+    parts = interval_moments(values, bins).join(F.broadcast(interval_classes(values, bins)), ["since", "interval"])
+
+    def merge(of_fold: pd.DataFrame) -> pd.DataFrame:
+        rows, lag12_mean, classes = _fold_classes(of_fold)
+        return pd.DataFrame({"fold": of_fold["fold"].iloc[:1], "train_rows": [rows], "lag12_mean": [lag12_mean], "classes": [classes]})
+
+    return parts.groupBy("fold").applyInPandas(merge, _CLASSES)
+
+
+def class_stats(values: TrainingValues, bins: DataFrame) -> DataFrame:
+    """Rows, mean and smoothed variance per fold, class and feature."""
+    rows = fold_classes(values, bins).select("fold", "train_rows", "lag12_mean", F.inline("classes"))
+    rows = rows.select("fold", "class", "class_rows", "train_rows", "lag12_mean", F.explode("stats").alias("feature", "s"))
+    return rows.select("fold", "class", "feature", "class_rows", "train_rows", "lag12_mean", "s.mean", "s.var")
 
 
 def present_medians(values: TrainingValues, bins: DataFrame) -> DataFrame:
@@ -184,22 +190,16 @@ def class_medians(values: TrainingValues, bins: DataFrame) -> DataFrame:
 
 
 def fit(state: DataFrame, folds: DataFrame | None = None) -> DataFrame:
-    """The fitted model, one row per fold with an array of at most four classes."""
+    """The fitted model, one row per fold with an array of at most four classes and their medians."""
     values = training_values(state, folds)
     # A row for each fold that all later steps read.
     bins = demand_bins(values).checkpoint()
-    stats = F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "var"))))
-    classes = class_stats(values, bins).groupBy("fold", "class", "class_rows", "train_rows", "lag12_mean").agg(stats.alias("stats"))
-    entry = F.struct("class", "class_rows", "train_rows", "median", "stats")
-    return (
-        classes.join(present_medians(values, bins), ["fold", "class"])
-        .groupBy("fold", "train_rows", "lag12_mean")
-        .agg(F.collect_list(entry).alias("classes"))
-    )
+    medians = present_medians(values, bins).groupBy("fold").agg(F.map_from_entries(F.collect_list(F.struct("class", "median"))).alias("medians"))
+    return fold_classes(values, bins).join(F.broadcast(medians), "fold")
 
 
 def _log_density(c: Column) -> Column:
-    total = F.log(c["class_rows"] / c["train_rows"])
+    total = F.log(c["class_rows"] / F.col("train_rows"))
     for name in CALENDAR:
         x = F.coalesce(F.col("lag12"), F.col("lag12_mean")) if name == "lag12" else F.col(name)
         stats = c["stats"][name]
@@ -220,7 +220,7 @@ def naive_bayes(state: DataFrame, folds: DataFrame | None = None, anchor: str =
     best = F.array_max(
         F.transform(
             "classes",
-            lambda c: F.struct(_log_density(c).alias("s"), (-c["class"]).alias("c"), c["median"].alias("m")),
+            lambda c: F.struct(_log_density(c).alias("s"), (-c["class"]).alias("c"), F.element_at("medians", c["class"]).alias("m")),
         )
     )["m"]
     average = F.col("up_to_3")

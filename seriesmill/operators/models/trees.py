@@ -173,7 +173,10 @@ def _boosted(rows: DataFrame, task: Task) -> list[Trees]:
     return out
 
 
-def _predict_per_fold(state: DataFrame, folds: DataFrame | None, spec: Spec, data: TrainingTable | None, anchor: str) -> DataFrame:
+def tree_model(
+    state: DataFrame, folds: DataFrame | None, spec: Spec, anchor: str = "last_row", data: TrainingTable | None = None
+) -> DataFrame:
+    """Forecasts of the trees that ``spec`` describes; the recent average where rows or features are too few."""
     data = data or training_table(state, folds)
     means, trees = fit(data, spec)
     fitted = [m for m, n in zip(data.months, data.rows, strict=True) if n >= MIN_ROWS]
@@ -199,14 +202,14 @@ def random_forest(
     state: DataFrame, folds: DataFrame | None = None, trees: int = FOREST_TREES, anchor: str = "last_row", data: TrainingTable | None = None
 ) -> DataFrame:
     """Missing lag12 counts as 0 in training and as the training mean in prediction."""
-    return _predict_per_fold(state, folds, _forest(trees), data, anchor)
+    return tree_model(state, folds, _forest(trees), anchor, data)
 
 
 def gradient_boost(
     state: DataFrame, folds: DataFrame | None = None, rounds: int = BOOST_ROUNDS, anchor: str = "last_row", data: TrainingTable | None = None
 ) -> DataFrame:
     """Missing lag12 stays missing; each split says which way it goes."""
-    return _predict_per_fold(state, folds, _boosting(rounds), data, anchor)
+    return tree_model(state, folds, _boosting(rounds), anchor, data)
 
 
 def importances(trees: list[Trees], columns: list[int]) -> np.ndarray:
