@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,37 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that one operator writes, reads and removes again.
+
+    What a table was made from is let go at once: Spark removes shuffle files of plans that
+    nobody holds any more, but looks for them only when the driver collects garbage.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = new_shared_path(self._spark, "scratch")
+        df.write.parquet(path)
+        self._paths.append(path)
+        self.release()
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        gc.collect()
+        self._spark._jvm.java.lang.System.gc()
+
+    def drop(self) -> None:
+        """Only when all that was made from the tables is stored elsewhere."""
+        for path in self._paths:
+            at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+        self._paths.clear()
+        self.release()
+
+
 def labelled_sample(labels: DataFrame, label: str, most: int, doc_id: str = "doc_id") -> DataFrame:
     """At most ``most`` training rows: one label per id (the largest), fold 0 of 5 held out.
 

@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import pieces
 
-#: Elements whose content is never page text.
-_RAW = "script|style|template|noscript|iframe|svg|title|textarea|select|object|math"
+#: Elements that hold raw text up to their end tag; it is never page text.
+_RAW = "script|style|title|textarea|iframe|noembed|noframes|xmp"
+#: Elements with content of their own that is no page text. Without an end tag they hold nothing.
+_ASIDE = frozenset("template noscript svg select object math".split())
+_ASIDE_END = re.compile(rf"</({'|'.join(sorted(_ASIDE))})\b", re.I)
 _SCAN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+[^>]*+)>?",
@@ -46,7 +49,12 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order; an element of a path is its tag and name words, blank-separated."""
+    """Leaf blocks in page order; an element of a path is its tag and name words, blank-separated.
+
+    An element of ``_ASIDE`` that closes itself, or whose end tag the page does not have, is
+    empty: what follows is text again. A start tag of ``select`` ends an open one.
+    """
+    last_end = {m[1].lower(): m.start() for m in _ASIDE_END.finditer(page)}
     out: list[Block] = []
     path: list[str] = []
     tags: list[str] = []
@@ -56,7 +64,7 @@ def blocks(page: str) -> list[Block]:
 
     def flush() -> None:
         if held:
-            text = " ".join(entities.unescape("".join(held)).split())
+            text = "" if _ASIDE.intersection(tags) else " ".join(entities.unescape("".join(held)).split())
             if text:
                 link = len(" ".join(entities.unescape("".join(links)).split()))
                 out.append(Block(tuple(path), text, link))
@@ -101,6 +109,10 @@ def blocks(page: str) -> list[Block]:
                 if tags[k] in _ENDS[name]:
                     close(k)
                     break
+        if name == "select" and name in tags:
+            close(tags.index(name))
+        if name in _ASIDE and (m[4].rstrip().endswith("/") or last_end.get(name, -1) < m.end()):
+            continue
         if name not in _VOID:
             words = [name]
             if "=" in m[4]:

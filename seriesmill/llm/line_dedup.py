@@ -16,12 +16,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import flat, lower_ascii, mixed, pieces, planes, prefix_sums, ranges, span_hashes, u64, unplanes, word_spans, written
+from seriesmill.llm.common import flat, lower_ascii, mixed, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
 
 #: Tokens are counted in so many buckets; any order is right, the counts make it a rare-first one.
 BUCKETS = 1 << 23
+#: Ranges of buckets that counts travel in.
+COUNTED = 1 << 10
 #: Pairs looked at at once.
 BLOCK = 1_000_000
+#: Bytes of text that one step of a task holds.
+PIECE = 1 << 20
 
 
 class Lines:
@@ -88,7 +92,7 @@ def _each(df: DataFrame, text: str, make, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, PIECE):
                 docs = part.column("doc_id").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in make(Lines(part.column(text), docs))], names)
 
@@ -96,31 +100,44 @@ def _each(df: DataFrame, text: str, make, schema: str) -> DataFrame:
 
 
 def sets_and_counts(docs: DataFrame, text: str) -> DataFrame:
-    """One pass: a row ``(doc, line, k1, k2, n)`` for each line with words, and rows ``(null, bucket, .., lines)``."""
-    names = ["doc", "line", "k1", "k2", "n"]
+    """One pass: a row ``(doc, line, k1, k2, n)`` for each line with words, and a task's counts.
+
+    These are rows with the range of buckets in ``line`` and the counts, packed, in ``counts``.
+    """
+    names = ["doc", "line", "k1", "k2", "n", "counts"]
+    width = BUCKETS // COUNTED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int32)
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, PIECE):
                 lines = Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
                 np.add.at(total, _bucket(lines.token), 1)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lines.doc, lines.line, *lines.keys(), lines.size)], names)
-        some = np.flatnonzero(total)
-        for k in range(0, len(some), 100_000):
-            at = some[k : k + 100_000]
-            none = pa.nulls(len(at), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(at), none, none, pa.array(total[at].astype(np.int64))], names)
+                columns = [pa.array(x) for x in (lines.doc, lines.line, *lines.keys(), lines.size)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(lines.doc), pa.binary())], names)
+        if total.any():
+            blobs = [zstandard.compress(planes(total[k : k + width]), 1) for k in range(0, BUCKETS, width)]
+            none = pa.nulls(COUNTED, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(np.arange(COUNTED)), none, none, none, pa.array(blobs, pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc long, line long, k1 long, k2 long, n long")
+    return docs.mapInArrow(run, "doc long, line long, k1 long, k2 long, n long, counts binary")
 
 
 def rarity(told: DataFrame) -> np.ndarray:
     """Lines per token bucket over all texts: one array of fixed size."""
-    rows = told.filter("doc IS NULL").groupBy(F.col("line").cast("int").alias("b")).agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
-    out = np.zeros(BUCKETS, np.int32)
-    out[rows["b"].to_numpy()] = rows["n"].to_numpy()
-    return out
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(BUCKETS // COUNTED, np.int64)
+        for blob in table["counts"]:
+            total += unplanes(zstandard.decompress(blob.as_py()), np.int32)
+        packed = zstandard.compress(planes(np.minimum(total, 2**31 - 1).astype(np.int32)), 1)
+        return pa.table({"line": table["line"][:1], "counts": pa.array([packed], pa.binary())})
+
+    rows = told.filter("doc IS NULL").select("line", "counts").groupBy("line").applyInArrow(add, "line long, counts binary").collect()
+    out = np.zeros((COUNTED, BUCKETS // COUNTED), np.int32)
+    for r in rows:
+        out[r.line] = unplanes(zstandard.decompress(r.counts), np.int32)
+    return out.ravel()
 
 
 COLUMNS = ["tok", "doc", "line", "np", "bits"]
@@ -272,9 +289,9 @@ def _candidates(most: int, least: Fraction, only: bool):
 PAIR = "xd long, xl long, yd long, yl long, more boolean"
 
 
-def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction) -> DataFrame:
+def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction, scratch: Scratch) -> DataFrame:
     """Later lines ``(doc, line, more, good)``: whether one of its pairs is confirmed on whole sets."""
-    pairs = written(pairs.groupBy("xd", "xl", "yd", "yl").agg(F.max("more").alias("more")))
+    pairs = scratch.written(pairs.groupBy("xd", "xl", "yd", "yl").agg(F.max("more").alias("more")))
     ends = pairs.select(F.col("xd").alias("doc"), F.col("xl").alias("line")).union(pairs.select("yd", "yl")).distinct()
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("lines"))  # no more than the lines of a document
     texts = wanted.join(packed, wanted["doc"] == packed["doc_id"]).select("doc_id", "z", "lines")
@@ -300,7 +317,7 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(maps[:, k].view(np.int64)) for k in range(len(names))], ["doc", "line", "t", "n"] + names)
 
     names = [f"m{k}_" for k in range(8)]
-    sets = written(texts.mapInArrow(cut, "doc long, line long, t array<long>, n long, " + ", ".join(f"{x} long" for x in names)))
+    sets = scratch.written(texts.mapInArrow(cut, "doc long, line long, t array<long>, n long, " + ", ".join(f"{x} long" for x in names)))
     # Wide bitmaps first: they are small and rule most pairs out.
     slim = sets.drop("t")
     other = slim.withColumnsRenamed({"doc": "yd", "line": "yl", "n": "n2"} | {x: f"{x}2" for x in names})
@@ -309,7 +326,7 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction) -> DataFrame:
     differ = " + ".join(f"bit_count({x} ^ {x}2)" for x in names)
     can = pairs.join(slim.withColumnsRenamed({"doc": "xd", "line": "xl"}), ["xd", "xl"]).join(other, ["yd", "yl"])
     can = can.withColumn("can", F.expr(f"{differ} <= n + n2 - 2 * {need}")).select("xd", "xl", "yd", "yl", "more", "can")
-    pairs = written(can.filter("can OR more"))
+    pairs = scratch.written(can.filter("can OR more"))
     x = sets.select(F.col("doc").alias("xd"), F.col("line").alias("xl"), F.col("t").alias("s"))
     y = sets.select(F.col("doc").alias("yd"), F.col("line").alias("yl"), "t")
     both = pairs.filter("can").join(x, ["xd", "xl"]).join(y, ["yd", "yl"])
@@ -337,10 +354,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     """
     least = Fraction(similarity)
     rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    told = written(sets_and_counts(rows, "text"))
+    scratch = Scratch(docs.sparkSession)
+    told = scratch.written(sets_and_counts(rows, "text"))
     rare = rarity(told)
     lines = told.filter("doc IS NOT NULL")
-    firsts = written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
+    firsts = scratch.written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
@@ -355,35 +373,38 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     packed = whole.select("doc_id", F.col(text).alias("z")).filter("doc_id IS NOT NULL AND z IS NOT NULL")
     posted = postings(rows, "text", rare, least)
     found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
-    first = written(_similar(found, packed, least))
-    again = written(first.filter("more AND NOT good").select("doc", "line"))
+    first = scratch.written(_similar(found, packed, least, scratch))
+    again = scratch.written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
         entries = posted.mapInArrow(_entries, ENTRY)
-        asked = written(entries.join(again, ["doc", "line"]).select("tok").distinct())
+        asked = scratch.written(entries.join(again, ["doc", "line"]).select("tok").distinct())
         marked = entries.join(asked, "tok").join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
-        repeated = repeated.union(_similar(rest, packed, least).filter("good").select("doc", "line"))
+        repeated = repeated.union(_similar(rest, packed, least, scratch).filter("good").select("doc", "line"))
 
     known = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
     known = known.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
     gone = lines.join(known, ["k1", "k2", "n"]).filter("again OR struct(doc, line) <> f")
-    gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias("gone")))  # no more than the lines of a document
+    own = {f.name.lower() for f in docs.schema.fields}
+    out = next(name for k in range(len(own) + 1) if (name := f"gone{k}") not in own)
+    gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias(out)))  # no more than the lines of a document
+    scratch.drop()
     joined = whole.join(gone, "doc_id", "left")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b, text, 1 << 20)):
-            out, n_lines, n_removed = [], [], []
-            for z, g in zip(batch.column(text).to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            left_over, n_lines, n_removed = [], [], []
+            for z, g in zip(batch.column(text).to_pylist(), batch.column(out).to_pylist(), strict=True):
                 t = None if z is None else zstandard.decompress(z).decode()
                 parts = t.split("\n") if t else []
                 n_lines.append(len(parts))
                 g = set(g or ())
                 left = [x for k, x in enumerate(parts) if k not in g]
                 n_removed.append(len(parts) - len(left))
-                out.append("\n".join(left) if g else t)
-            columns = [pa.array(out, pa.string()) if f.name == text else batch.column(f.name) for f in kept]
+                left_over.append("\n".join(left) if g else t)
+            columns = [pa.array(left_over, pa.string()) if f.name == text else batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], [f.name for f in kept] + ["n_lines", "n_removed"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n_lines long", "n_removed long"])

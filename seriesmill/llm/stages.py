@@ -1,7 +1,9 @@
 """Stages of the corpus pipeline: ``(spark, docs, sf_dir)`` to a DataFrame.
 
-All but the last keep the columns of ``documents``. Rows without doc_id can't be
-compared with others: they pass, except through the quality filter.
+All but the last keep the columns of ``docs``, whatever their names. Rows without doc_id
+can't be compared with others: they pass, except through the quality filter. A null or
+empty text is scored as empty, has no lines, near duplicates or passages, and encodes to no
+tokens. Of rows that share a doc_id all stay or go together. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -17,17 +19,27 @@ from seriesmill.llm.queries import WORD_VOCABULARY
 from seriesmill.sources.shared import use_shared_folder
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """The first name made from ``name`` that no column has."""
+    own = {c.lower() for c in docs.columns}
+    return next(n for k in range(len(own) + 1) if (n := f"{name}_{k}") not in own)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     use_shared_folder(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, out="quality_score").filter("quality_score >= 0.3").drop("quality_score")
+    out = _unused(docs, "quality_score")
+    return quality.score(docs, model, out=out).filter(F.col(out) >= 0.3).drop(out)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines similar to an earlier one; documents of which no word is left go."""
     use_shared_folder(spark)
-    left = line_dedup.dedup_lines(docs).filter(r"n_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    # The operator's own columns replace those of their names: these take others meanwhile.
+    put_by = {c: _unused(docs, c) for c in docs.columns if c in ("n_lines", "n_removed")}
+    left = line_dedup.dedup_lines(docs.withColumnsRenamed(put_by)).filter(r"n_removed = 0 OR text RLIKE '[^\x20\x09-\x0D]'")
+    left = left.drop("n_lines", "n_removed").withColumnsRenamed({b: a for a, b in put_by.items()})
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
@@ -48,4 +60,5 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the text that they decode to."""
     use_shared_folder(spark)
-    return bpe.encode_decode(docs, Path(WORD_VOCABULARY).read_text()).select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
+    found = bpe.encode_decode(docs, Path(WORD_VOCABULARY).read_text())
+    return found.select("doc_id", *[c for c in ("lang", "source") if c in docs.columns], "n_tokens", "ids", "decoded")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,15 +14,22 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import WORD_BREAK, flat, labelled_sample, lowered, pieces, prefix_sums, span_hashes, word_spans
 
-#: Terms for groups of people that may be swapped for each other; the first are neutral.
+# Words for groups of people that may be swapped for each other, by language; the first are neutral.
 IDENTITY_TERMS = (
     "people", "persons", "women", "men", "girls", "boys", "gays", "lesbians", "straights", "christians", "muslims", "jews", "hindus",
     "buddhists", "atheists", "blacks", "whites", "asians", "africans", "americans", "europeans", "mexicans", "immigrants", "refugees",
     "foreigners", "blind", "deaf", "disabled", "old", "young", "woman", "man", "gay", "lesbian", "straight", "transgender", "christian",
     "muslim", "jewish", "hindu", "buddhist", "black", "white", "asian", "african", "american", "european", "mexican",
 )
-
-_TERM = re.compile(r"\b(" + "|".join(IDENTITY_TERMS) + r")\b")
+OTHER_TERMS = (
+    ("gens", "femmes", "hommes", "filles", "garçons", "homosexuels", "chrétiens", "musulmans", "juifs", "athées", "noirs", "blancs", "asiatiques", "africains", "américains", "européens", "immigrés", "réfugiés", "étrangers", "aveugles", "sourds", "handicapés", "vieux", "jeunes"),
+    ("leute", "frauen", "männer", "mädchen", "jungen", "homosexuelle", "christen", "muslime", "juden", "atheisten", "schwarze", "weiße", "asiaten", "afrikaner", "amerikaner", "europäer", "einwanderer", "flüchtlinge", "ausländer", "blinde", "gehörlose", "behinderte", "alte", "junge"),
+    ("gente", "mujeres", "hombres", "niñas", "niños", "homosexuales", "cristianos", "musulmanes", "judíos", "ateos", "negros", "blancos", "asiáticos", "africanos", "americanos", "europeos", "inmigrantes", "refugiados", "extranjeros", "ciegos", "sordos", "discapacitados", "viejos", "jóvenes"),
+)
+GROUPS = (IDENTITY_TERMS, *OTHER_TERMS)
+_ALL_TERMS = [t for g in GROUPS for t in g]
+_GROUP = {t: (k, i) for k, g in reversed(list(enumerate(GROUPS))) for i, t in enumerate(g)}
+_TERM = re.compile(r"\b(" + "|".join(sorted(_GROUP, key=len, reverse=True)) + r")\b")
 #: Bytes of the word itself, then of its beginnings.
 PREFIXES = (0, 3, 4, 5, 6, 7)
 
@@ -71,22 +79,66 @@ class Chosen:
 
 
 def swapped(texts: pa.Array, times: int) -> tuple[list[str], list[int]]:
-    """Counterfactuals of the texts that name a group: every term becomes another one."""
+    """Counterfactuals of the texts that name a group: every term becomes another one of its language."""
     out, of = [], []
     for i, t in enumerate(texts.to_pylist()):
         if _TERM.search(t):
             for k in range(times):
-                step = 0 if k == 0 else k * 7
-                out.append(_TERM.sub(lambda m, s=step: IDENTITY_TERMS[(IDENTITY_TERMS.index(m[0]) + s) % len(IDENTITY_TERMS)] if s else IDENTITY_TERMS[0], t))
+
+                def other(m: re.Match, k: int = k) -> str:
+                    group, at = _GROUP[m[0]]
+                    return GROUPS[group][(at + 7 * k) % len(GROUPS[group]) if k else 0]
+
+                out.append(_TERM.sub(other, t))
                 of.append(i)
     return out, of
 
 
+def named(texts: pa.Array, times: int) -> list[list[tuple[str, str]]]:
+    """For each text that names no group, pairs of terms of one language: a sentence of it that
+    names the one is the counterfactual of the same sentence with the other."""
+    out = []
+    for t in texts.to_pylist():
+        pairs = []
+        if t.strip() and not _TERM.search(t):
+            seed = zlib.crc32(t.encode())
+            for k in range(times):
+                group = GROUPS[(seed + k) % len(GROUPS)]
+                at = (seed >> 8) + 5 * k
+                pairs.append((group[at % len(group)], group[(at + 1 + (seed >> 16) % (len(group) - 1)) % len(group)]))
+        out.append(pairs)
+    return out
+
+
+class Changes:
+    """Sparse rows of -1 and 1: the features a counterfactual loses and gains."""
+
+    def __init__(self, rows: list[list[int]], width: int):
+        """A feature gained is its number plus one, one lost the negative of that."""
+        rows = [r for r in rows if r]
+        size = [len(r) for r in rows]
+        code = np.array([c for r in rows for c in r], np.int64)
+        self.n, self.width = len(rows), width
+        self.row, self.column, self.sign = np.repeat(np.arange(len(rows)), size), np.abs(code) - 1, np.sign(code).astype(float)
+
+    def scaled(self, by: np.ndarray) -> Changes:
+        out = Changes([], self.width)
+        out.n, out.row, out.column, out.sign = self.n, self.row, self.column, self.sign * by[self.column]
+        return out
+
+    def pull(self, w: np.ndarray) -> np.ndarray:
+        """Gradient of half the mean square of the score changes."""
+        change = np.bincount(self.row, self.sign * w[self.column], self.n)
+        return (np.bincount(self.column, self.sign * change[self.row], self.width) / max(1, self.n)).astype(np.float32)
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
+    #: Score changes the fit was held to: swapped terms that change a feature.
+    penalised: int = 0
 
     def score(self, texts: pa.Array, chosen: Chosen) -> np.ndarray:
         column, of = chosen.find(lowered(texts))
@@ -94,8 +146,8 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, delta: np.ndarray, ridge: float = 1e-3, swap_penalty: float = 1.0, steps: int = 800, weight: float = 2.0) -> tuple[np.ndarray, float]:
-    """Logistic loss (label 1 counts ``weight`` times), plus a ridge, plus ``swap_penalty`` times the mean square of the score changes ``delta @ w``.
+def fit_logistic(x: np.ndarray, y: np.ndarray, delta: Changes, ridge: float = 1e-3, swap_penalty: float = 1.0, steps: int = 800, weight: float = 2.0) -> tuple[np.ndarray, float]:
+    """Logistic loss (label 1 counts ``weight`` times), plus a ridge, plus ``swap_penalty`` times the mean square of the score changes.
 
     Gradient steps with momentum from zero; the step width follows from the data.
     """
@@ -103,16 +155,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, delta: np.ndarray, ridge: float =
     each = np.where(y == 1, weight, 1.0)
     w, b = np.zeros(m, np.float32), 0.0
     v, c = w.copy(), b
-    rows = max(1, len(delta))
     curve = np.ones(m, np.float32)
     for _ in range(12):  # largest curvature
         curve /= max(np.linalg.norm(curve), 1e-9)
-        curve = x.T @ (x @ curve) * np.float32(weight / (4 * n)) + swap_penalty * (delta.T @ (delta @ curve)) / rows
+        curve = x.T @ (x @ curve) * np.float32(weight / (4 * n)) + swap_penalty * delta.pull(curve)
     width = 1 / (1.2 * np.linalg.norm(curve) + ridge + weight / 4)
     for k in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ v + c, -30, 30)))
         off = ((p - y) * each).astype(np.float32)
-        g = x.T @ off / n + ridge * v + swap_penalty * (delta.T @ (delta @ v)) / rows
+        g = x.T @ off / n + ridge * v + swap_penalty * delta.pull(v)
         w2, b2 = v - width * g, c - width * float(off.mean())
         pull = k / (k + 3)
         v, c = w2 + pull * (w2 - w), b2 + pull * (b2 - b)
@@ -124,7 +175,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int
     """Learns from at most ``most_rows`` labelled documents outside the held-out fold.
 
     The features with the strongest association with the label are counted in tasks;
-    the driver gets their hashes and which of them each sampled row has.
+    the driver gets their hashes and which of them each sampled row has. Words for groups are
+    features in any case. Each sampled text has ``swaps`` counterfactuals: its own terms are
+    swapped for others, or, if it names no group, a sentence of it with one term added is set against
+    the same with another. The driver gets the features that differ.
+
+    Without rows of both labels nothing is learned: all texts have one score. A null text
+    counts as empty. Of several labels of a doc_id the largest counts, and rows that share
+    one are rows of their own.
     """
     sample = labelled_sample(labels, label, most_rows)
     chosen_docs = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most most_rows rows
@@ -151,39 +209,51 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int
     lift = (p1 + p0) * F.abs(F.log(p1 / p0))
     best = counted.filter("rows = 0 AND hit + miss >= 3").select("h", lift.alias("lift"), F.abs(F.log(p1 / p0)).alias("odds")).orderBy(F.desc("lift"), "h").limit(most_features).collect()
     hashes = np.array([r["h"] for r in best], np.int64).view(np.uint64)
+    odds = np.array([r["odds"] for r in best], np.float32)
+    # Features of the terms that are not chosen anyway, as telling as the median of those that are.
+    terms = np.setdiff1d(all_features(pa.array(_ALL_TERMS, pa.large_string()))[0], hashes)
+    hashes, odds = np.concatenate((hashes, terms)), np.concatenate((odds, np.full(len(terms), np.median(odds) if len(odds) else 1.0, np.float32)))
     order = np.argsort(hashes)
-    hashes, odds = hashes[order], np.array([r["odds"] for r in best], np.float32)[order]
+    hashes, odds = hashes[order], odds[order]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = Chosen(hashes)
+
+        def found(texts: pa.Array) -> list[set[int]]:
+            column, of = chosen.find(texts)
+            return [set(x.tolist()) for x in np.split(column, np.searchsorted(of, np.arange(1, len(texts))))] if len(texts) else []
+
+        of_term = dict(zip(_ALL_TERMS, found(pa.array(_ALL_TERMS, pa.large_string())), strict=True))
         for batch in batches:
             for p in pieces(batch, "text"):
                 texts = lowered(p.column("text"))
+                own = found(texts)
+                changes: list[list[list[int]]] = [[] for _ in own]
+
+                def differ(i: int, was: set[int], now: set[int], changes=changes) -> None:
+                    changes[i].append([c + 1 for c in sorted(now - was)] + [-c - 1 for c in sorted(was - now)])
+
                 changed, source = swapped(texts, swaps)
-                ids = np.concatenate((p.column("doc_id").to_numpy(), p.column("doc_id").to_numpy()[source] if source else np.zeros(0, np.int64)))
-                y = p.column(label).to_pylist()
-                whole = pa.concat_arrays([texts, pa.array(changed, pa.large_string())])
-                column, of = chosen.find(whole)
-                cuts = np.searchsorted(of, np.arange(len(whole) + 1))
-                lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(column.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(y + [-1] * len(source), pa.int32()), lists], ["doc_id", "y", "at"])
-
-    rows = chosen_docs.mapInArrow(mark, "doc_id long, y int, at array<int>").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], -r["y"], r["at"]))
-    real = [r for r in rows if r["y"] >= 0]
-    place = {r["doc_id"]: i for i, r in enumerate(real)}
-    x = np.zeros((len(real), len(hashes)), np.float32)
-    for i, r in enumerate(real):
+                for i, now in zip(source, found(pa.array(changed, pa.large_string())), strict=True):
+                    differ(i, own[i], now)
+                for i, pairs in enumerate(named(texts, swaps)):
+                    for a, b in pairs:
+                        differ(i, of_term[a] - own[i], of_term[b] - own[i])
+                yield pa.RecordBatch.from_arrays(
+                    [p.column("doc_id"), p.column(label).cast(pa.int32()), pa.array([sorted(x) for x in own], pa.list_(pa.int32())), pa.array(changes, pa.list_(pa.list_(pa.int32())))],
+                    ["doc_id", "y", "at", "changes"],
+                )
+
+    rows = chosen_docs.mapInArrow(mark, "doc_id long, y int, at array<int>, changes array<array<int>>").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["doc_id"], r["at"], r["changes"]))
+    x = np.zeros((len(rows), len(hashes)), np.float32)
+    for i, r in enumerate(rows):
         x[i, r["at"]] = 1
-    changes = [r for r in rows if r["y"] < 0]
-    delta = np.zeros((len(changes), len(hashes)), np.float32)
-    for i, r in enumerate(changes):
-        delta[i] = -x[place[r["doc_id"]]]
-        delta[i, r["at"]] += 1
-    delta = delta[np.abs(delta).sum(1) > 0]
+    delta = Changes([c for r in rows for c in r["changes"]], len(hashes))
     # Columns are scaled by their log odds: the ridge costs telling features less.
-    w, b = fit_logistic(x * odds, np.array([r["y"] for r in real], np.float32), delta * odds, swap_penalty=swap_penalty)
-    return ToxicityModel(hashes, w * odds, b)
+    x *= odds
+    w, b = fit_logistic(x, np.array([r["y"] for r in rows], np.float32), delta.scaled(odds), swap_penalty=swap_penalty)
+    return ToxicityModel(hashes, w * odds, b, delta.n)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:

@@ -344,6 +344,78 @@ def test_toxicity_ignores_group_names(spark):
     assert toxicity.score(test, toxicity.fit(docs, labels.limit(0))).filter("score >= 0.5").count() == 0
 
 
+def test_toxicity_holds_scores_of_texts_that_name_no_group(spark):
+    """Counterfactuals are made for them too, also for rows that share a doc_id; columns and empty tables."""
+    docs, labels = labelled(spark, lambda r: " ".join(r.choices(WORDS, k=12) + ["scum"]), lambda r: " ".join(r.choices(WORDS, k=20)))
+    model = toxicity.fit(docs, labels)
+    assert model.penalised > 100
+    column, of = toxicity.Chosen(model.hashes).find(pa.array(["muslims", "femmes", "ausländer", "judíos"], pa.large_string()))
+    assert set(of) == {0, 1, 2, 3}
+    twice = toxicity.fit(docs.union(docs), labels)
+    assert twice.penalised == 2 * model.penalised
+    odd = spark.createDataFrame([(1, "you scum", 9.0), (1, None, 9.0), (None, "", 9.0)], "doc_id long, text string, score double")
+    rows = toxicity.score(odd, model).collect()
+    assert [r.doc_id for r in rows] == [1, 1, None] and rows[0].score > 0.5 > rows[1].score == rows[2].score
+    assert toxicity.score(odd.limit(0), model).collect() == []
+    assert toxicity.fit(docs.limit(0), labels).penalised == 0
+
+
+def test_toxicity_gradient_and_optimum():
+    """Against central differences of the loss written out, and no better point nearby."""
+    rng = np.random.default_rng(8)
+    x, y = (rng.random((60, 6)) < 0.4).astype(np.float32), (rng.random(60) < 0.3).astype(np.float32)
+    changes = [[1, -3], [2, -1, 5], [-6], [], [4, -2]]
+    delta = toxicity.Changes(changes, 6)
+    dense = np.zeros((4, 6))
+    for i, r in enumerate([c for c in changes if c]):
+        for c in r:
+            dense[i, abs(c) - 1] = np.sign(c)
+    w = rng.normal(size=6)
+    assert delta.n == 4 and np.allclose(delta.pull(w), dense.T @ (dense @ w) / 4, atol=1e-6)
+    half = rng.random(6)
+    assert np.allclose(delta.scaled(half).pull(w), (dense * half).T @ ((dense * half) @ w) / 4, atol=1e-6)
+
+    def loss(w, b):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        each = np.where(y == 1, 2.0, 1.0)
+        return -(each * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean() + 0.5e-3 * w @ w + 0.5 * np.square(dense @ w).sum() / 4
+
+    best, b = toxicity.fit_logistic(x, y, delta, steps=4000)
+    for k in range(7):
+        for step in (-1e-2, 1e-2):
+            moved, c = best.copy(), b
+            if k < 6:
+                moved[k] += step
+            else:
+                c += step
+            assert loss(best, b) < loss(moved, c)
+
+
+def test_toxicity_query_has_penalised_rows(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("sample tables not here")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    assert toxicity.fit(docs.select("doc_id", "text"), labels).penalised > 100
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>One.</p><svg viewBox='0 0 1 1' /><p>Two.</p>", ["One.", "Two."]),
+        ("<p>One.</p><svg/><p>Two.</p><svg><title>x</title><text>no</text></svg><p>Three.</p>", ["One.", "Two.", "Three."]),
+        ("<div><object data=x><p>Two.</p></div><p>Three.</p>", ["Two.", "Three."]),
+        ("<p>One.</p><select><option>no<p>Two.</p>", ["One.", "no", "Two."]),
+        ("<form><select><option>no</select><select><option>no</form><p>Two.</p>", ["no", "Two."]),
+        ("<p>One.</p><SELECT><option>no</Select><p>Two.</p>", ["One.", "Two."]),
+        ("<noscript><p>no</p></noscript><template><p>no</p></template><math><mi>x</mi></math><p>Two.</p>", ["Two."]),
+        ("<p>One.</p><textarea>no</textarea><xmp><p>no</p></xmp><p>Two.</p><script>no", ["One.", "Two."]),
+    ],
+)
+def test_elements_that_hold_no_page_text(page, want):
+    assert [b.text for b in html_main.blocks(page)] == want
+
+
 PAGE = """<html><head><title>T &amp; t</title><script>var p="</p>";</script></head><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>
 <div class="ad">Buy now.</div><article><h1>A  title&nbsp;here</h1><p>First <b>bold&amp; text<br>goes on, as it does.<p>Second paragraph, with <a href="/x">a link</a> in it.
 <div class="comments"><p>Nice post, thanks.</p></div></article><form><label>Mail</label><input><button>Go</button></form><footer>&copy; site</footer></body>"""
@@ -409,6 +481,26 @@ def test_pipeline_on_the_sample(spark):
         assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(kept[r.doc_id], add_special_tokens=False).ids
 
 
+def test_stages_keep_odd_rows_and_columns(spark, corpus):
+    """Null, empty and repeated rows, columns named like those the operators make, an empty table."""
+    from seriesmill.llm import stages
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("sample tables not here")
+    schema = "doc_id long, text string, n_chars long, n_lines int, n_removed int, gone int, gone0 string, quality_score double, leaks int, component_id int"
+    rows = [(i, t, 7, 1, 7, 3, "g", 0.5, 4, 5) for i, t in corpus[:40]] + [(None, None, 0, 1, 7, 3, "g", 0.5, 4, 5), (None, "a b", 0, 1, 7, 3, "g", 0.5, 4, 5)]
+    docs = spark.createDataFrame(rows, schema)
+    for stage in (stages.keep_quality, stages.drop_repeated_lines, stages.one_of_each_group, stages.drop_leaked):
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        for r in kept.collect():
+            assert (r.n_lines, r.n_removed, r.gone, r.gone0, r.quality_score, r.leaks, r.component_id) == (1, 7, 3, "g", 0.5, 4, 5)
+        assert stage(spark, docs.limit(0), folder).count() == 0
+    assert stages.drop_repeated_lines(spark, docs, folder).filter("doc_id IS NULL").count() == 2
+    assert stages.encode(spark, docs, folder).columns == ["doc_id", "n_tokens", "ids", "decoded"]
+
+
 def test_digests_of_the_queries(spark):
     folder = "/root/testdata/sf0.001"
     if not os.path.isdir(folder):
