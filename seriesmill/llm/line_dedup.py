@@ -298,7 +298,7 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction, scratch: Scra
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "z", 1 << 20):
+            for part in pieces(batch, "z", PIECE // 4):  # compressed
                 text = pa.array([zstandard.decompress(z) for z in part.column("z").to_pylist()], pa.binary())
                 found = Lines(text, np.arange(part.num_rows))
                 asked = part.column("lines")
