@@ -309,6 +309,11 @@ q(
   CAST(count(*) FILTER (p = '1-URGENT' AND s <> 'P') AS BIGINT) AS no_count, 'd/M/yyyy[ H:mm:ss]' AS layout
 FROM (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders)""",
 )
+q(
+    "customer_csv",
+    select="""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment, (SELECT count(*) FROM customer) AS rows FROM customer""",
+)
+q("monthly_by_roles", rolled("orders", "o_orderpriority", "o_orderdate", "o_totalprice", where="o_orderstatus = 'F'"), select=f"SELECT category, {day('month')}, {num('count')} FROM m")
 q(
     "landed_pages",
     select="""SELECT CAST(o_orderkey AS VARCHAR) AS "key", CASE WHEN o_orderstatus IN ('F', 'O') THEN CAST(o_custkey AS VARCHAR) END AS customer,
@@ -505,6 +510,53 @@ q(
 
 _CYCLIC = ("month_sin", "month_cos", "year_norm", "lag1", "lag2", "lag3", "avg3", "avg6", "lag12")
 _CIRCLE = "sin(2 * pi() * month(month) / 12) AS month_sin, cos(2 * pi() * month(month) / 12) AS month_cos, CAST(year(month) - 2010 AS DOUBLE) AS year_norm"
+q(
+    "forecast_files",
+    *CUSTOMER,
+    STATE,
+    folds("_f", None),
+    naive("_f"),
+    select=f"SELECT category, {day('month')}, {num('predicted')}, 'naive' AS model FROM naive_f",
+)
+q(
+    "forecast_status",
+    *CYCLE,
+    STATE,
+    folds("_f", None),
+    naive("_f"),
+    """ln AS (SELECT a.category, a.n, v.base = 0 AND a.n >= 3 AND a.tail3 > 0 AS gave_way FROM an_f a JOIN (
+  SELECT an.category, coalesce(p.count, an.count) AS base FROM an_f an LEFT JOIN g p
+  ON p.category = an.category AND p.month = CAST(an.next_month - INTERVAL 12 MONTH AS DATE)) v ON v.category = a.category),
+wh AS (SELECT 'naive' AS model, n, CASE WHEN gave_way THEN 'fallback' ELSE 'model' END AS status FROM ln
+  UNION ALL SELECT 'regression', n, CASE WHEN n < 6 THEN 'short' ELSE 'model' END FROM ln
+  UNION ALL SELECT 'naive_bayes', n, CASE WHEN n < 7 THEN 'short' ELSE 'model' END FROM ln
+  UNION ALL SELECT 'holt', n, CASE WHEN n < 4 THEN 'short' ELSE 'model' END FROM ln
+  UNION ALL SELECT 'sarima', n, CASE WHEN n < 6 THEN 'short' ELSE 'model' END FROM ln)""",
+    select="SELECT model, CAST(n AS BIGINT) AS months, status, CAST(count(*) AS BIGINT) AS series FROM wh GROUP BY model, n, status",
+)
+q(
+    "nb_next_month",
+    *CUSTOMER,
+    STATE,
+    folds("_f", None),
+    f"""ax_f AS (SELECT * REPLACE (CAST(month(next_month) AS DOUBLE) AS month_num, CAST(year(next_month) AS DOUBLE) AS year, count AS lag1,
+    CASE WHEN n >= 3 THEN tail3 END AS avg3, CASE WHEN n >= 6 THEN tail6 END AS avg6, lag11 AS lag12)
+  FROM (SELECT an_f.*, avg(g.count) FILTER (back <= 6) OVER w AS tail6, max(g.count) FILTER (back = 12) OVER w AS lag11,
+      row_number() OVER (PARTITION BY an_f.category ORDER BY back) AS one
+    FROM an_f JOIN (SELECT category, count, row_number() OVER (PARTITION BY category ORDER BY month DESC) AS back FROM g) g ON g.category = an_f.category
+    WINDOW w AS (PARTITION BY an_f.category)) WHERE one = 1)""",
+    nb("_f").replace("an_f", "ax_f"),
+    select=_PREDICTED + "bayes_f",
+)
+q(
+    "ridge_next_month",
+    *PART,
+    STATE,
+    folds("_f", None),
+    "ax_f AS (SELECT a.* REPLACE (b.count AS lag12) FROM an_f a LEFT JOIN g b ON b.category = a.category AND b.month = CAST(a.next_month - INTERVAL 12 MONTH AS DATE))",
+    ridge("_f").replace("an_f", "ax_f"),
+    select=_PREDICTED + "ridge_f",
+)
 q(
     "tree_one_split",
     *BRAND,
@@ -759,6 +811,7 @@ q(
 # Planning views.
 
 _VIEW = f"SELECT category, {day('month')}, {num('predicted', 'last_month', 'hist_avg', 'delta', 'vs_avg_pct')} FROM vw"
+q("default_view", *BRAND_VIEW, select=f"SELECT category, {num('predicted')}, 'ensemble' AS model FROM vw")
 q("prediction_view", *BRAND_VIEW, select=_VIEW)
 q("prediction_view_customer", *CUSTOMER_VIEW, select=_VIEW)
 q(

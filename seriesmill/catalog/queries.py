@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import Material, Roles
+from ..config import ForecastConfig, Material, Roles
 from ..functions import scalars
 from ..functions.ordered import exact_quantiles, ordered_position
 from ..operators import backtest, combine, features, insights, metrics, monthly, quality
@@ -19,9 +19,9 @@ from ..operators.models.histograms import Spec
 from ..operators.models.kernels import apply_kernel, series_prefixes
 from ..operators.models.smoothing import smooth
 from ..operators.models.arima import sarima as sarima_kernel
-from ..sources.readers import is_folder, read_pages
+from ..sources.readers import is_folder, normalise_headers, read_pages, read_table, snapshot
 from ..sources.shared import new_shared_path, use_shared_folder
-from ..sources.sinks import metrics_report
+from ..sources.sinks import metrics_report, write_forecasts
 from ..streaming.rollup import latest_sums, read_page_stream, stream_rollup, write_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +197,42 @@ def landed_pages(spark, sf_dir):
     return read_pages(spark, folder).select("key", "customer", "note")
 
 
+@query
+def customer_csv(spark, sf_dir):
+    """A table written as CSV with untidy headers, read as text, headers tidied, and kept as a snapshot."""
+    folder = new_shared_path(spark, "csv")
+    names = {"c_custkey": " C_CustKey ", "c_name": "'C_Name'", "c_mktsegment": "C_MktSegment"}
+    rows = table(spark, sf_dir, "customer").select(*[F.col(c).alias(n) for c, n in names.items()])
+    rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    kept = new_shared_path(spark, "copy")
+    load = lambda: normalise_headers(read_table(spark, folder, "csv"))
+    first = snapshot(spark, kept, load).count()
+    # The second time the copy is read, with nothing to load it from.
+    again = snapshot(spark, kept, rows.limit(0).select)
+    return again.select("c_custkey", "c_name", "c_mktsegment", F.lit(first).alias("rows"))
+
+
+@query
+def monthly_by_roles(spark, sf_dir):
+    """Roles found by header name, some in other letters, one asked for; the material by its words."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").alias("CHECKOUT DATE"), F.year("o_orderdate").alias("checkoutyear"), F.month("o_orderdate").alias("checkoutmonth"),
+        F.col("o_orderstatus").alias("Material Type"), F.col("o_orderpriority").alias("Audience"), F.col("o_totalprice").alias("checkouts"),
+    )
+    config = ForecastConfig(material="material type", only_material=Material("f", "f", ()))
+    return shown(monthly.monthly_series(rows, config.roles(rows.columns), config.only_material))
+
+
+@query
+def forecast_files(spark, sf_dir):
+    """Forecasts written as CSV, sorted inside each file, and read again."""
+    path = new_shared_path(spark, "forecasts")
+    done = naive.seasonal_naive(features.series_state(customer(spark, sf_dir))).withColumn("model", F.lit("naive"))
+    write_forecasts(done.select("category", "month", "predicted", "model"), path)
+    back = read_table(spark, path, "csv")
+    return shown(back.select("category", "month", F.col("predicted").cast("double").alias("predicted"), "model"))
+
+
 @query
 def month_from_parts(spark, sf_dir):
     month = (
@@ -502,6 +538,35 @@ def blend_five_models(spark, sf_dir):
     return shown(combine.blended_forecasts(stored(cycle(spark, sf_dir)), (*SQL_MODELS, "holt", "sarima")))
 
 
+@query
+def forecast_status(spark, sf_dir):
+    """Where the forecasts of five models came from, by length of series up to 18 months."""
+    series = stored(cycle(spark, sf_dir))
+    done = registry.run_models(series, (*SQL_MODELS, "holt", "sarima"))
+    length = series.groupBy("category").agg(F.count(F.lit(1)).alias("months"))
+    return shown(done.join(length, "category").groupBy("model", "months", "status").agg(F.count(F.lit(1)).alias("series")))
+
+
+@query
+def nb_next_month(spark, sf_dir):
+    """Naive Bayes on the features of the month to come."""
+    return _final(bayes.naive_bayes(features.series_state(stored(customer(spark, sf_dir))), anchor="next_month"))
+
+
+@query
+def ridge_next_month(spark, sf_dir):
+    return _final(ridge.ridge(features.series_state(part(spark, sf_dir)), lag12_anchor="next_month"))
+
+
+@query
+def default_view(spark, sf_dir):
+    """The prediction view of the model shown where none is asked for."""
+    series = stored(brand(spark, sf_dir))
+    forecasts = brand_forecasts(spark, sf_dir)
+    model = insights.default_model(forecasts)
+    return shown(insights.prediction_view(forecasts, series, model).select("category", "predicted", F.lit(model).alias("model")))
+
+
 @query
 def all_models_hold(spark, sf_dir):
     """What must hold of the ranked table of all seven models, whatever they learn."""
