@@ -23,9 +23,9 @@ BUCKETS = 1 << 23
 #: Ranges of buckets that counts travel in.
 COUNTED = 1 << 10
 #: Pairs looked at at once.
-BLOCK = 1_000_000
+BLOCK = 250_000
 #: Bytes of text that one step of a task holds.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 
 class Lines:
@@ -184,7 +184,7 @@ def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> D
         ]
         return part[cuts[:-1]], blobs
 
-    n_parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = 2 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return _each(docs, text, make, "part long, blob binary")
 
 
@@ -298,7 +298,7 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction, scratch: Scra
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "z", PIECE // 4):  # compressed
+            for part in pieces(batch, "z", PIECE // 2):  # compressed
                 text = pa.array([zstandard.decompress(z) for z in part.column("z").to_pylist()], pa.binary())
                 found = Lines(text, np.arange(part.num_rows))
                 asked = part.column("lines")
