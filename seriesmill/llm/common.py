@@ -62,14 +62,18 @@ class Scratch:
         self.release()
 
 
+def labelled(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
+    """All training rows: one label per id (the largest), fold 0 of 5 held out."""
+    rows = labels.select(doc_id, F.col(label).cast("int").alias(label)).dropna()
+    return rows.filter(crc_bucket(doc_id) != 0).groupBy(doc_id).agg(F.max(label).alias(label))
+
+
 def labelled_sample(labels: DataFrame, label: str, most: int, doc_id: str = "doc_id") -> DataFrame:
-    """At most ``most`` training rows: one label per id (the largest), fold 0 of 5 held out.
+    """At most ``most`` of the training rows.
 
     Which rows is decided by a hash of the id, so it is the same in every run.
     """
-    rows = labels.select(doc_id, F.col(label).cast("int").alias(label)).dropna()
-    rows = rows.filter(crc_bucket(doc_id) != 0).groupBy(doc_id).agg(F.max(label).alias(label))
-    return rows.orderBy(F.xxhash64(doc_id), doc_id).limit(most)
+    return labelled(labels, label, doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(most)
 
 
 def crc_bucket(doc_id, of: int = 5):
