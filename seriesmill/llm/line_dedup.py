@@ -1,8 +1,8 @@
 """Line deduplication by an exact set-similarity join.
 
 Tokens of a line are ordered by rarity; only the tokens of its prefix are exchanged.
-Lines that share one are candidates if length, position and a 64-bit token bitmap
-allow the similarity; their whole token sets are compared afterwards.
+Lines that share one are candidates if length, position and a token bitmap as wide as
+their sizes ask for allow the similarity; their whole token sets are compared afterwards.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ COUNTED = 1 << 10
 BLOCK = 250_000
 #: Bytes of text that one step of a task holds.
 PIECE = 1 << 19
+#: Sets of at least so many tokens have bitmaps of two words of 64 bits, and of four.
+TWO, FOUR = 64, 192
 
 
 class Lines:
@@ -66,6 +69,20 @@ class Lines:
         return out
 
 
+def bitmaps(lines: Lines) -> list[np.ndarray]:
+    """Four words for each line: each bit tells whether the number of its tokens is odd.
+
+    A token in one of two sets changes one bit. Narrow bitmaps are wide ones whose words
+    are added up (without carry), and so are differences of them.
+    """
+    value = mixed(lines.token)
+    size = np.repeat(lines.size, lines.size)
+    word = (value >> np.uint64(56)) & np.where(size >= FOUR, 3, size >= TWO).astype(np.uint64)
+    bit = np.left_shift(np.uint64(1), value >> np.uint64(58))
+    none = np.uint64(0)
+    return [np.bitwise_xor.reduceat(np.where(word == np.uint64(k), bit, none), lines.first) if len(lines.first) else np.zeros(0, np.uint64) for k in range(4)]
+
+
 def _within(row: np.ndarray, token: np.ndarray, count: np.ndarray | None = None) -> np.ndarray:
     """An order by row, then count (those above 65,534 are alike), then the upper bits of the token, then the rest of it."""
     if count is None:
@@ -140,20 +157,20 @@ def rarity(told: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-COLUMNS = ["tok", "doc", "line", "np", "bits"]
+BITS = ["b0", "b1", "b2", "b3"]
+COLUMNS = ["tok", "doc", "line", "np", *BITS]
 
 
-def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> DataFrame:
+def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, copies: bool = False) -> DataFrame:
     """``(part, blob)``: packed runs of the prefix tokens of every line, by range of the token.
 
     An entry has the token, the line's document and number, its size and the place of
     the token in it, and a bitmap of all its tokens.
 
     A token that no other line has is left out: it makes no pair.
-    Within a piece of the input a set is given once, by its first line. Lines too
-    short to be similar to any other set have none.
+    Within a piece of the input a set is given once, by its first line, except with
+    ``copies``. Lines too short to be similar to any other set have none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(rare)  # BUCKETS numbers
     a, b = least.numerator, least.denominator
 
     def make(lines: Lines):
@@ -162,12 +179,10 @@ def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> D
         new = np.ones(len(order), bool)
         new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
         use = np.zeros(len(order), bool)
-        use[order[new]] = True
+        use[order if copies else order[new]] = True
         n = lines.size
         use &= (a * (n + 1) <= b * n) | (a * n <= b * (n - 1))  # a set one larger or one smaller may be similar
-        count = shared.value[_bucket(lines.token)]
-        spread = np.left_shift(np.uint64(1), mixed(lines.token) >> np.uint64(58))
-        bits = np.bitwise_or.reduceat(spread, lines.first) if len(lines.first) else np.zeros(0, np.uint64)
+        count = rare.value[_bucket(lines.token)]
         order = _within(lines.row, lines.token, count)
         pos = np.arange(len(order)) - lines.first[lines.row]
         length = n - (a * n + b - 1) // b + 1
@@ -175,7 +190,7 @@ def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> D
         row, token = lines.row[keep], lines.token[order][keep]
         by = np.argsort(token, kind="stable")
         row, token = row[by], token[by]
-        columns = [lines.doc[row], lines.line[row], n[row] << 32 | pos[keep][by], bits[row]]
+        columns = [lines.doc[row], lines.line[row], n[row] << 32 | pos[keep][by], *(x[row] for x in bitmaps(lines))]
         part = ranges(token, n_parts)
         cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
         blobs = [
@@ -191,7 +206,7 @@ def postings(docs: DataFrame, text: str, rare: np.ndarray, least: Fraction) -> D
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
     """Entries of a run, tokens ascending."""
     raw = zstandard.decompress(blob)
-    n = len(raw) // 40
+    n = len(raw) // (8 * len(COLUMNS))
     out = {c: unplanes(raw[8 * n * k : 8 * n * (k + 1)], np.uint64) for k, c in enumerate(COLUMNS)}
     out["tok"] = np.cumsum(out["tok"], dtype=np.uint64)
     return {c: v.view(np.int64) for c, v in out.items()}
@@ -207,6 +222,10 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 ENTRY = ", ".join(f"{c} long" for c in COLUMNS)
 
 
+def count_bits(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
+
+
 def _candidates(most: int, least: Fraction, only: bool):
     """Pairs of lines of one token, rows sorted by (tok, np): at most ``most`` for each later line.
 
@@ -221,6 +240,7 @@ def _candidates(most: int, least: Fraction, only: bool):
         new = np.ones(len(tok), bool)
         new[1:] = tok[1:] != tok[:-1]
         group = np.cumsum(new) << 32
+        folded = c["b0"] ^ c["b1"] ^ c["b2"] ^ c["b3"]
         low = np.searchsorted(group + n, group + (a * n + b - 1) // b)
         count = np.arange(len(n)) - low
         ends = np.cumsum(count)
@@ -236,9 +256,18 @@ def _candidates(most: int, least: Fraction, only: bool):
             need = (a * both + a + b - 1) // (a + b)
             ok = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
             i, j, both, need = i[ok], j[ok], both[ok], need[ok]
-            off = np.bitwise_count((c["bits"][i] ^ c["bits"][j]).view(np.uint64)).astype(np.int64)
-            ok = off <= both - 2 * need
-            i, j, off = i[ok], j[ok], off[ok]
+            most_off, least_n = both - 2 * need, np.minimum(n[i], n[j])
+            off = count_bits(folded[i] ^ folded[j])
+            ok = off <= most_off
+            i, j, off, most_off, least_n = i[ok], j[ok], off[ok], most_off[ok], least_n[ok]
+            for size in (TWO, FOUR):
+                wide = np.flatnonzero(least_n >= size)
+                p, q = i[wide], j[wide]
+                d = [c[x][p] ^ c[x][q] for x in BITS]
+                d = [d[0] ^ d[2], d[1] ^ d[3]] if size == TWO else d
+                off[wide] = sum(count_bits(x) for x in d)
+                ok = off <= most_off
+                i, j, off, most_off, least_n = i[ok], j[ok], off[ok], most_off[ok], least_n[ok]
             later = (c["doc"][i] > c["doc"][j]) | ((c["doc"][i] == c["doc"][j]) & (c["line"][i] > c["line"][j]))
             x, y = np.where(later, i, j), np.where(later, j, i)
             if only:
@@ -254,7 +283,7 @@ def _candidates(most: int, least: Fraction, only: bool):
                 number = np.diff(np.concatenate((first, [len(x)])))
                 place = np.arange(len(x)) - np.repeat(first, number)
                 # A partner whose bitmap is far closer than it must be most likely matches: two such do.
-                sure = 3 * off[order][first] <= (both - 2 * need)[ok][order][first]
+                sure = 3 * off[order][first] <= most_off[order][first]
                 limit = np.where(sure, 2, most)
                 more = np.repeat(number > limit, number)
                 keep = place < np.repeat(limit, number)
@@ -356,7 +385,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     scratch = Scratch(docs.sparkSession)
     told = scratch.written(sets_and_counts(rows, "text"))
-    rare = rarity(told)
+    rare = docs.sparkSession.sparkContext.broadcast(rarity(told))  # BUCKETS numbers
     lines = told.filter("doc IS NOT NULL")
     firsts = scratch.written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
 
@@ -377,9 +406,14 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     again = scratch.written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
-        entries = posted.mapInArrow(_entries, ENTRY)
-        asked = scratch.written(entries.join(again, ["doc", "line"]).select("tok").distinct())
-        marked = entries.join(asked, "tok").join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
+        own = rows.join(again.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+        own = postings(own, "text", rare, least, copies=True).mapInArrow(_entries, ENTRY).join(again, ["doc", "line"])
+        size = F.expr("np >> 32")
+        asked = scratch.written(own.groupBy("tok").agg(F.min(size).alias("lo"), F.max(size).alias("hi")))
+        a, b = least.numerator, least.denominator
+        # Of the lines of these tokens only those whose sizes allow the similarity.
+        entries = posted.mapInArrow(_entries, ENTRY).join(asked, "tok").filter((size * b >= F.col("lo") * a) & (size * a <= F.col("hi") * b)).drop("lo", "hi")
+        marked = entries.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
         repeated = repeated.union(_similar(rest, packed, least, scratch).filter("good").select("doc", "line"))
