@@ -111,7 +111,7 @@ def _each(df: DataFrame, text: str, make, schema: str) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, text, PIECE):
                 docs = part.column("doc_id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in make(Lines(part.column(text), docs))], names)
+                yield pa.RecordBatch.from_arrays(make(Lines(part.column(text), docs)), names)
 
     return df.mapInArrow(run, schema)
 
@@ -159,15 +159,19 @@ def rarity(told: DataFrame) -> np.ndarray:
 
 BITS = ["b0", "b1", "b2", "b3"]
 COLUMNS = ["tok", "doc", "line", "np", *BITS]
+ENTRY = ", ".join(f"{c} long" for c in COLUMNS)
 
 
-def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, copies: bool = False) -> DataFrame:
+def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked: Broadcast | None = None, copies: bool = False, plain: bool = False) -> DataFrame:
     """``(part, blob)``: packed runs of the prefix tokens of every line, by range of the token.
 
     An entry has the token, the line's document and number, its size and the place of
     the token in it, and a bitmap of all its tokens.
 
-    A token that no other line has is left out: it makes no pair.
+    A token that no other line has is left out: it makes no pair. So are those of buckets
+    not marked in the bits of ``asked``.
+    With ``plain`` rows are single entries, by ``COLUMNS``: few are asked for then.
+
     Within a piece of the input a set is given once, by its first line, except with
     ``copies``. Lines too short to be similar to any other set have none.
     """
@@ -187,20 +191,25 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, copie
         pos = np.arange(len(order)) - lines.first[lines.row]
         length = n - (a * n + b - 1) // b + 1
         keep = use[lines.row] & (pos < length[lines.row]) & (count[order] > 1)
+        if asked is not None:
+            bucket = _bucket(lines.token[order])
+            keep &= (asked.value[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).astype(bool)
         row, token = lines.row[keep], lines.token[order][keep]
         by = np.argsort(token, kind="stable")
         row, token = row[by], token[by]
         columns = [lines.doc[row], lines.line[row], n[row] << 32 | pos[keep][by], *(x[row] for x in bitmaps(lines))]
+        if plain:
+            return [pa.array(x.view(np.int64)) for x in (token, *columns)]
         part = ranges(token, n_parts)
         cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
         blobs = [
             zstandard.compress(b"".join([planes(np.diff(token[x:y], prepend=np.uint64(0))), *(planes(np.ascontiguousarray(c[x:y])) for c in columns)]), 1)
             for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
         ]
-        return part[cuts[:-1]], blobs
+        return [pa.array(part[cuts[:-1]]), pa.array(blobs, pa.binary())]
 
     n_parts = 2 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return _each(docs, text, make, "part long, blob binary")
+    return _each(docs, text, make, ENTRY if plain else "part long, blob binary")
 
 
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
@@ -212,16 +221,6 @@ def unpacked(blob: bytes) -> dict[str, np.ndarray]:
     return {c: v.view(np.int64) for c, v in out.items()}
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for blob in batch.column("blob").to_pylist():
-            e = unpacked(blob)
-            yield pa.RecordBatch.from_arrays([pa.array(e[c]) for c in COLUMNS], COLUMNS)
-
-
-ENTRY = ", ".join(f"{c} long" for c in COLUMNS)
-
-
 def count_bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
@@ -229,7 +228,7 @@ def count_bits(x: np.ndarray) -> np.ndarray:
 def _candidates(most: int, least: Fraction, only: bool):
     """Pairs of lines of one token, rows sorted by (tok, np): at most ``most`` for each later line.
 
-    ``more`` tells that a later line had more of them. With ``only``, all pairs are
+    ``off`` is the share of bits, of 1,000, by which they may differ that do. ``more`` tells that a later line had more of them. With ``only``, all pairs are
     given, but only for later lines marked ``open``.
     """
     a, b = least.numerator, least.denominator
@@ -268,15 +267,16 @@ def _candidates(most: int, least: Fraction, only: bool):
                 off[wide] = sum(count_bits(x) for x in d)
                 ok = off <= most_off
                 i, j, off, most_off, least_n = i[ok], j[ok], off[ok], most_off[ok], least_n[ok]
+            share = 1000 * off // np.maximum(most_off, 1)
             later = (c["doc"][i] > c["doc"][j]) | ((c["doc"][i] == c["doc"][j]) & (c["line"][i] > c["line"][j]))
             x, y = np.where(later, i, j), np.where(later, j, i)
             if only:
                 ok = c["open"][x]
-                x, y = x[ok], y[ok]
+                x, y, share = x[ok], y[ok], share[ok]
                 more = np.zeros(len(x), bool)
             else:
                 order = np.lexsort((y, off, x))
-                x, y = x[order], y[order]
+                x, y, share = x[order], y[order], share[order]
                 opens = np.ones(len(x), bool)
                 opens[1:] = x[1:] != x[:-1]
                 first = np.flatnonzero(opens)
@@ -287,8 +287,8 @@ def _candidates(most: int, least: Fraction, only: bool):
                 limit = np.where(sure, 2, most)
                 more = np.repeat(number > limit, number)
                 keep = place < np.repeat(limit, number)
-                x, y, more = x[keep], y[keep], more[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (c["doc"][x], c["line"][x], c["doc"][y], c["line"][y], more)], ["xd", "xl", "yd", "yl", "more"])
+                x, y, share, more = x[keep], y[keep], share[keep], more[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (c["doc"][x], c["line"][x], c["doc"][y], c["line"][y], share, more)], ["xd", "xl", "yd", "yl", "off", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
@@ -315,20 +315,28 @@ def _candidates(most: int, least: Fraction, only: bool):
     return run if only else combine
 
 
-PAIR = "xd long, xl long, yd long, yl long, more boolean"
+PAIR = "xd long, xl long, yd long, yl long, off long, more boolean"
+
 
+#: Pairs whose lines are sent to all tasks.
+FEW = 50_000
+#: Words of the wide bitmap of a set.
+WIDE = [f"m{k}_" for k in range(8)]
 
-def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction, scratch: Scratch) -> DataFrame:
-    """Later lines ``(doc, line, more, good)``: whether one of its pairs is confirmed on whole sets."""
-    pairs = scratch.written(pairs.groupBy("xd", "xl", "yd", "yl").agg(F.max("more").alias("more")))
+
+def _sets(pairs: DataFrame, rows: DataFrame, packed: DataFrame, wide: list[str], scratch: Scratch) -> DataFrame:
+    """``(doc, line, t, n, *wide)``: token sets of the lines of pairs, their sizes and wide bitmaps."""
     ends = pairs.select(F.col("xd").alias("doc"), F.col("xl").alias("line")).union(pairs.select("yd", "yl")).distinct()
+    few = pairs.count() <= FEW
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("lines"))  # no more than the lines of a document
-    texts = wanted.join(packed, wanted["doc"] == packed["doc_id"]).select("doc_id", "z", "lines")
+    # Few are sent to the texts as they are; else texts are packed, as they are exchanged.
+    texts = rows.select("doc_id", F.col("text").alias("z")).join(F.broadcast(wanted), F.col("doc") == F.col("doc_id")) if few else wanted.join(packed, wanted["doc"] == packed["doc_id"])
+    texts = texts.filter("z IS NOT NULL").select("doc_id", "z", "lines")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "z", PIECE // 2):  # compressed
-                text = pa.array([zstandard.decompress(z) for z in part.column("z").to_pylist()], pa.binary())
+            for part in pieces(batch, "z", PIECE if few else PIECE // 2):  # compressed
+                text = part.column("z") if few else pa.array([zstandard.decompress(z) for z in part.column("z").to_pylist()], pa.binary())
                 found = Lines(text, np.arange(part.num_rows))
                 asked = part.column("lines")
                 asked_row = np.repeat(np.arange(part.num_rows), np.diff(asked.offsets.to_numpy()))
@@ -339,29 +347,49 @@ def _similar(pairs: DataFrame, packed: DataFrame, least: Fraction, scratch: Scra
                 at = np.arange(starts[-1]) + np.repeat(found.first[use] - starts[:-1], size)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(found.token[at].view(np.int64)))
                 docs = part.column("doc_id").to_numpy()[found.doc[use]]
-                bit = (mixed(found.token[at]) >> np.uint64(55)).astype(np.int64)
-                maps = np.zeros((len(use), len(names)), np.uint64)
-                np.bitwise_or.at(maps, (np.repeat(np.arange(len(use)), size), bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
                 columns = [pa.array(docs), pa.array(found.line[use]), lists, pa.array(size)]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(maps[:, k].view(np.int64)) for k in range(len(names))], ["doc", "line", "t", "n"] + names)
+                if wide:
+                    bit = (mixed(found.token[at]) >> np.uint64(55)).astype(np.int64)
+                    maps = np.zeros((len(use), len(wide)), np.uint64)
+                    np.bitwise_or.at(maps, (np.repeat(np.arange(len(use)), size), bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+                    columns += [pa.array(maps[:, k].view(np.int64)) for k in range(len(wide))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "line", "t", "n"] + wide)
+
+    return scratch.written(texts.mapInArrow(cut, "doc long, line long, t array<long>, n long" + "".join(f", {x} long" for x in wide)))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """``(xd, xl, more, good)`` for each pair, by its whole sets."""
+    dealt = sets.select("doc", "line", "t").repartition("doc", "line")  # once for both sides
+    x = dealt.select(F.col("doc").alias("xd"), F.col("line").alias("xl"), F.col("t").alias("s"))
+    y = dealt.select(F.col("doc").alias("yd"), F.col("line").alias("yl"), "t")
+    both = pairs.join(x, ["xd", "xl"]).join(y, ["yd", "yl"])
+    same = F.size(F.array_intersect("s", "t"))
+    good = same * least.denominator >= (F.size("s") + F.size("t") - same) * least.numerator
+    return both.select("xd", "xl", "more", good.alias("good"))
+
 
-    names = [f"m{k}_" for k in range(8)]
-    sets = scratch.written(texts.mapInArrow(cut, "doc long, line long, t array<long>, n long, " + ", ".join(f"{x} long" for x in names)))
+def _similar(pairs: DataFrame, rows: DataFrame, packed: DataFrame, least: Fraction, scratch: Scratch) -> DataFrame:
+    """Later lines ``(doc, line, more, good)``: whether one of its pairs is confirmed on whole sets.
+
+    The likeliest partner of each line is compared first, all others of the lines that it does not confirm then.
+    """
+    pairs = scratch.written(pairs.groupBy("xd", "xl", "yd", "yl").agg(F.max("more").alias("more"), F.min("off").alias("off")))
+    likely = pairs.groupBy("xd", "xl").agg(F.max("more").alias("more"), F.min(F.struct("off", "yd", "yl")).alias("y"))
+    likely = scratch.written(likely.select("xd", "xl", "y.yd", "y.yl", "more"))
+    told = scratch.written(_confirmed(likely, _sets(likely, rows, packed, [], scratch), least))
+    rest = pairs.join(told.filter("NOT good").select("xd", "xl"), ["xd", "xl"], "left_semi")
+    rest = scratch.written(rest.join(likely, ["xd", "xl", "yd", "yl"], "left_anti").drop("off"))
+    sets = _sets(rest, rows, packed, WIDE, scratch)
     # Wide bitmaps first: they are small and rule most pairs out.
     slim = sets.drop("t")
-    other = slim.withColumnsRenamed({"doc": "yd", "line": "yl", "n": "n2"} | {x: f"{x}2" for x in names})
+    other = slim.withColumnsRenamed({"doc": "yd", "line": "yl", "n": "n2"} | {x: f"{x}2" for x in WIDE})
     a, b = least.numerator, least.denominator
     need = f"(({a} * (n + n2) + {a + b - 1}) div {a + b})"
-    differ = " + ".join(f"bit_count({x} ^ {x}2)" for x in names)
-    can = pairs.join(slim.withColumnsRenamed({"doc": "xd", "line": "xl"}), ["xd", "xl"]).join(other, ["yd", "yl"])
-    can = can.withColumn("can", F.expr(f"{differ} <= n + n2 - 2 * {need}")).select("xd", "xl", "yd", "yl", "more", "can")
-    pairs = scratch.written(can.filter("can OR more"))
-    x = sets.select(F.col("doc").alias("xd"), F.col("line").alias("xl"), F.col("t").alias("s"))
-    y = sets.select(F.col("doc").alias("yd"), F.col("line").alias("yl"), "t")
-    both = pairs.filter("can").join(x, ["xd", "xl"]).join(y, ["yd", "yl"])
-    same = F.size(F.array_intersect("s", "t"))
-    good = same * least.denominator >= (F.size("s") + F.size("t") - same) * least.numerator
-    told = both.select("xd", "xl", "more", good.alias("good")).union(pairs.filter("NOT can").select("xd", "xl", "more", F.lit(False)))
+    differ = " + ".join(f"bit_count({x} ^ {x}2)" for x in WIDE)
+    can = rest.join(slim.withColumnsRenamed({"doc": "xd", "line": "xl"}), ["xd", "xl"]).join(other, ["yd", "yl"])
+    can = scratch.written(can.filter(f"{differ} <= n + n2 - 2 * {need}").select("xd", "xl", "yd", "yl", "more"))
+    told = told.union(_confirmed(can, sets, least))
     return told.groupBy(F.col("xd").alias("doc"), F.col("xl").alias("line")).agg(F.max("more").alias("more"), F.max("good").alias("good"))
 
 
@@ -385,7 +413,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     scratch = Scratch(docs.sparkSession)
     told = scratch.written(sets_and_counts(rows, "text"))
-    rare = docs.sparkSession.sparkContext.broadcast(rarity(told))  # BUCKETS numbers
+    rare = docs.sparkSession.sparkContext.broadcast(np.minimum(rarity(told), 65_535).astype(np.uint16))  # BUCKETS numbers, larger ones are alike
     lines = told.filter("doc IS NOT NULL")
     firsts = scratch.written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
 
@@ -402,21 +430,27 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     packed = whole.select("doc_id", F.col(text).alias("z")).filter("doc_id IS NOT NULL AND z IS NOT NULL")
     posted = postings(rows, "text", rare, least)
     found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
-    first = scratch.written(_similar(found, packed, least, scratch))
+    first = scratch.written(_similar(found, rows, packed, least, scratch))
     again = scratch.written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
         own = rows.join(again.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
-        own = postings(own, "text", rare, least, copies=True).mapInArrow(_entries, ENTRY).join(again, ["doc", "line"])
+        own = postings(own, "text", rare, least, copies=True, plain=True).join(again, ["doc", "line"])
         size = F.expr("np >> 32")
         asked = scratch.written(own.groupBy("tok").agg(F.min(size).alias("lo"), F.max(size).alias("hi")))
         a, b = least.numerator, least.denominator
+        bucket = F.col("tok").bitwiseAND(BUCKETS - 1)
+        marks = np.zeros(BUCKETS >> 3, np.uint8)
+        bits = F.bit_or(F.expr("shiftleft(1L, cast(tok & 63 as int))"))
+        for r in asked.groupBy(F.shiftright(bucket, 6).alias("at")).agg(bits.alias("bits")).collect():  # a row for 64 buckets
+            marks[8 * r["at"] : 8 * r["at"] + 8] = np.frombuffer(np.int64(r["bits"]).tobytes(), np.uint8)
+        entries = postings(rows, "text", rare, least, docs.sparkSession.sparkContext.broadcast(marks), plain=True)  # a bit for each bucket
         # Of the lines of these tokens only those whose sizes allow the similarity.
-        entries = posted.mapInArrow(_entries, ENTRY).join(asked, "tok").filter((size * b >= F.col("lo") * a) & (size * a <= F.col("hi") * b)).drop("lo", "hi")
+        entries = entries.join(asked, "tok").filter((size * b >= F.col("lo") * a) & (size * a <= F.col("hi") * b)).drop("lo", "hi")
         marked = entries.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
-        repeated = repeated.union(_similar(rest, packed, least, scratch).filter("good").select("doc", "line"))
+        repeated = repeated.union(_similar(rest, rows, packed, least, scratch).filter("good").select("doc", "line"))
 
     known = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
     known = known.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
@@ -425,6 +459,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     out = next(name for k in range(len(own) + 1) if (name := f"gone{k}") not in own)
     gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias(out)))  # no more than the lines of a document
     scratch.drop()
+    rare.destroy()
     joined = whole.join(gone, "doc_id", "left")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,3 +41,11 @@ def test_long_lines_that_differ_are_no_candidates():
     entries = pa.RecordBatch.from_arrays([pa.array(c) for c in columns + [np.ones(60, bool)]], [*line_dedup.COLUMNS, "open"])
     found = line_dedup._candidates(64, Fraction("0.8"), True)(iter([entries]))
     assert sum(b.num_rows for b in found) < 10
+
+
+def test_texts_without_entries(spark):
+    """A piece of the input that has none follows one that has."""
+    line = " ".join(f"w{k}" for k in range(40))
+    texts = [line, line + " more", "x" * (line_dedup.PIECE + 1), "alone"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert [r.n_removed for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 0, 0]
