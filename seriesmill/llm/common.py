@@ -154,7 +154,10 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Sums from which ``span_hashes`` gets the hash of any stretch of ``data``."""
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    rest = sums[1:]  # no second array of this size
+    np.take(_BYTE, data, out=rest, mode="clip")
+    rest *= up[: len(data)]
+    np.cumsum(rest, out=rest)
     return sums
 
 
@@ -170,8 +173,6 @@ def rolling(data: np.ndarray, size: int) -> np.ndarray:
     return mixed((sums[size : size + n] - sums[:n]) * powers(len(sums))[1][:n] + u64(size))
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -187,7 +188,7 @@ def lowered(texts: pa.Array) -> pa.Array:
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
-    return _LOWER[data]
+    return data + ((data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
 
 
 def word_spans(data: np.ndarray, starts: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,7 +199,7 @@ def word_spans(data: np.ndarray, starts: np.ndarray, breaks: np.ndarray = _SPACE
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~breaks[data]
+    inside = (data != 32) & (data - np.uint8(9) > 4) if breaks is _SPACE else ~breaks[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     cut = starts[(starts > 0) & (starts < len(data))]

@@ -26,24 +26,40 @@ COUNTED = 1 << 10
 #: Pairs looked at at once.
 BLOCK = 250_000
 #: Bytes of text that one step of a task holds.
-PIECE = 1 << 19
+PIECE = (1 << 19) - 16
+#: Bits of the table that tells of which lines the sets are asked for.
+MARKS = 1 << 27
 #: Sets of at least so many tokens have bitmaps of two words of 64 bits, and of four.
 TWO, FOUR = 64, 192
 
 
+def _line_starts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each line begins, the index of its text and its number in it."""
+    ends = np.flatnonzero(data == 10)
+    at = np.unique(np.concatenate((starts[:-1][starts[1:] > starts[:-1]], ends + 1)))
+    at = at[at < len(data)]
+    text = np.searchsorted(starts, at, "right") - 1
+    return at, text, np.searchsorted(ends, at) - np.searchsorted(ends, starts[text])
+
+
 class Lines:
-    """Token sets of the lines of a batch of texts, one after another, each token once."""
+    """Token sets of the lines of a batch of texts, one after another, each token once.
 
-    def __init__(self, texts: pa.Array, docs: np.ndarray):
+    With ``asked`` only of lines that have a token whose bucket is marked in these bits.
+    """
+
+    def __init__(self, texts: pa.Array, docs: np.ndarray, asked: np.ndarray | None = None):
         data, starts = flat(texts)
-        breaks = data == 10
-        ends = np.flatnonzero(breaks)
-        line_starts = np.unique(np.concatenate((starts[:-1][starts[1:] > starts[:-1]], ends + 1)))
-        line_starts = line_starts[line_starts < len(data)]
+        line_starts, _, number = _line_starts(data, starts)
         low = lower_ascii(data)
         begin, end, owner = word_spans(low, starts)
         line = np.searchsorted(line_starts, begin, "right") - 1
         token = span_hashes(prefix_sums(low), begin, end)
+        if asked is not None:
+            has = np.zeros(len(line_starts), bool)
+            has[line[_marked(asked, _bucket(token))]] = True
+            use = has[line]
+            token, line, owner = token[use], line[use], owner[use]
         order = _within(line, token)
         token, line, owner = token[order], line[order], owner[order]
         new = np.ones(len(token), bool)
@@ -55,9 +71,7 @@ class Lines:
         self.size = np.diff(np.concatenate((self.first, [len(line)])))
         text = owner[self.first]
         self.doc = docs[text]
-        before = np.concatenate(([0], np.cumsum(breaks)))
-        at = line_starts[line[self.first]]
-        self.line = before[at] - before[starts[text]]
+        self.line = number[line[self.first]]
         self.row = np.repeat(np.arange(len(self.first)), self.size)
 
     def keys(self) -> list[np.ndarray]:
@@ -103,7 +117,11 @@ def _bucket(token: np.ndarray) -> np.ndarray:
     return (token & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _each(df: DataFrame, text: str, make, schema: str) -> DataFrame:
+def _marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _each(df: DataFrame, text: str, make, schema: str, asked: Broadcast | None = None) -> DataFrame:
     """``make(lines)`` gives the columns of each piece of ``df(doc_id, text)``."""
     names = [c.split()[0] for c in schema.split(", ")]
 
@@ -111,7 +129,7 @@ def _each(df: DataFrame, text: str, make, schema: str) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, text, PIECE):
                 docs = part.column("doc_id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays(make(Lines(part.column(text), docs)), names)
+                yield pa.RecordBatch.from_arrays(make(Lines(part.column(text), docs, asked and asked.value)), names)
 
     return df.mapInArrow(run, schema)
 
@@ -129,7 +147,8 @@ def sets_and_counts(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, text, PIECE):
                 lines = Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
-                np.add.at(total, _bucket(lines.token), 1)
+                bucket, times = np.unique(_bucket(lines.token), return_counts=True)
+                total[bucket] += times
                 columns = [pa.array(x) for x in (lines.doc, lines.line, *lines.keys(), lines.size)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(lines.doc), pa.binary())], names)
         if total.any():
@@ -192,8 +211,7 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked
         length = n - (a * n + b - 1) // b + 1
         keep = use[lines.row] & (pos < length[lines.row]) & (count[order] > 1)
         if asked is not None:
-            bucket = _bucket(lines.token[order])
-            keep &= (asked.value[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).astype(bool)
+            keep &= _marked(asked.value, _bucket(lines.token[order]))
         row, token = lines.row[keep], lines.token[order][keep]
         by = np.argsort(token, kind="stable")
         row, token = row[by], token[by]
@@ -209,7 +227,7 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked
         return [pa.array(part[cuts[:-1]]), pa.array(blobs, pa.binary())]
 
     n_parts = 2 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return _each(docs, text, make, ENTRY if plain else "part long, blob binary")
+    return _each(docs, text, make, ENTRY if plain else "part long, blob binary", asked)
 
 
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
@@ -318,44 +336,72 @@ def _candidates(most: int, least: Fraction, only: bool):
 PAIR = "xd long, xl long, yd long, yl long, off long, more boolean"
 
 
-#: Pairs whose lines are sent to all tasks.
-FEW = 50_000
 #: Words of the wide bitmap of a set.
 WIDE = [f"m{k}_" for k in range(8)]
 
 
-def _sets(pairs: DataFrame, rows: DataFrame, packed: DataFrame, wide: list[str], scratch: Scratch) -> DataFrame:
-    """``(doc, line, t, n, *wide)``: token sets of the lines of pairs, their sizes and wide bitmaps."""
-    ends = pairs.select(F.col("xd").alias("doc"), F.col("xl").alias("line")).union(pairs.select("yd", "yl")).distinct()
-    few = pairs.count() <= FEW
-    wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("lines"))  # no more than the lines of a document
-    # Few are sent to the texts as they are; else texts are packed, as they are exchanged.
-    texts = rows.select("doc_id", F.col("text").alias("z")).join(F.broadcast(wanted), F.col("doc") == F.col("doc_id")) if few else wanted.join(packed, wanted["doc"] == packed["doc_id"])
-    texts = texts.filter("z IS NOT NULL").select("doc_id", "z", "lines")
+def _mark(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The bit of a line in the table of marks."""
+    both = mixed(doc.astype(np.int64).view(np.uint64)) + line.astype(np.int64).view(np.uint64)
+    return (mixed(both) >> np.uint64(64 - MARKS.bit_length() + 1)).astype(np.int64)
+
+
+def _marks(pairs: DataFrame) -> np.ndarray:
+    """The bits of all lines of pairs: one table of fixed size."""
+    width = MARKS // 8 // COUNTED
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(MARKS >> 3, np.uint8)
+        for batch in batches:
+            for doc, line in (("xd", "xl"), ("yd", "yl")):
+                at = _mark(batch.column(doc).to_numpy(), batch.column(line).to_numpy())
+                np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        some = np.flatnonzero(bits.reshape(COUNTED, width).any(axis=1))
+        blobs = [zstandard.compress(bits[k * width : (k + 1) * width].tobytes(), 1) for k in some.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(blobs, pa.binary())], ["at", "bits"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.uint8)
+        for blob in table["bits"]:
+            total |= np.frombuffer(zstandard.decompress(blob.as_py()), np.uint8)
+        return pa.table({"at": table["at"][:1], "bits": pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())})
+
+    told = pairs.select("xd", "xl", "yd", "yl").mapInArrow(mark, "at long, bits binary")
+    out = np.zeros((COUNTED, width), np.uint8)
+    for r in told.groupBy("at").applyInArrow(add, "at long, bits binary").collect():
+        out[r["at"]] = np.frombuffer(zstandard.decompress(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def _sets(rows: DataFrame, marks: Broadcast, wide: list[str]) -> DataFrame:
+    """``(doc, line, t, n, *wide)``: token sets of the lines that are marked, their sizes and wide bitmaps.
+
+    Other lines may have the bit of a marked one: joins with the pairs leave them out.
+    Texts are read where they are, only sets are exchanged.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "z", PIECE if few else PIECE // 2):  # compressed
-                text = part.column("z") if few else pa.array([zstandard.decompress(z) for z in part.column("z").to_pylist()], pa.binary())
-                found = Lines(text, np.arange(part.num_rows))
-                asked = part.column("lines")
-                asked_row = np.repeat(np.arange(part.num_rows), np.diff(asked.offsets.to_numpy()))
-                key = asked_row << 32 | asked.flatten().to_numpy()
-                use = np.flatnonzero(np.isin(found.doc << 32 | found.line, key))
-                size = found.size[use]
-                starts = np.concatenate(([0], np.cumsum(size)))
-                at = np.arange(starts[-1]) + np.repeat(found.first[use] - starts[:-1], size)
-                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(found.token[at].view(np.int64)))
-                docs = part.column("doc_id").to_numpy()[found.doc[use]]
-                columns = [pa.array(docs), pa.array(found.line[use]), lists, pa.array(size)]
+            for part in pieces(batch, "text", PIECE):
+                data, starts = flat(part.column("text"))
+                at, text, number = _line_starts(data, starts)
+                doc = part.column("doc_id").to_numpy()[text]
+                asked = _marked(marks.value, _mark(doc, number))
+                size = np.diff(np.concatenate((at, [len(data)])))
+                data, doc, number, size = data[np.repeat(asked, size)], doc[asked], number[asked], size[asked]
+                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                each = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+                found = Lines(each, np.arange(len(size)))  # every line a text
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate((found.first, [len(found.token)])).astype(np.int32)), pa.array(found.token.view(np.int64)))
+                columns = [pa.array(doc[found.doc]), pa.array(number[found.doc]), lists, pa.array(found.size)]
                 if wide:
-                    bit = (mixed(found.token[at]) >> np.uint64(55)).astype(np.int64)
-                    maps = np.zeros((len(use), len(wide)), np.uint64)
-                    np.bitwise_or.at(maps, (np.repeat(np.arange(len(use)), size), bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+                    bit = (mixed(found.token) >> np.uint64(55)).astype(np.int64)
+                    maps = np.zeros((len(found.first), len(wide)), np.uint64)
+                    np.bitwise_or.at(maps, (found.row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
                     columns += [pa.array(maps[:, k].view(np.int64)) for k in range(len(wide))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "line", "t", "n"] + wide)
 
-    return scratch.written(texts.mapInArrow(cut, "doc long, line long, t array<long>, n long" + "".join(f", {x} long" for x in wide)))
+    return rows.filter("text IS NOT NULL").mapInArrow(cut, "doc long, line long, t array<long>, n long" + "".join(f", {x} long" for x in wide))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -369,18 +415,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
     return both.select("xd", "xl", "more", good.alias("good"))
 
 
-def _similar(pairs: DataFrame, rows: DataFrame, packed: DataFrame, least: Fraction, scratch: Scratch) -> DataFrame:
+def _similar(pairs: DataFrame, rows: DataFrame, least: Fraction, scratch: Scratch, guess: bool) -> DataFrame:
     """Later lines ``(doc, line, more, good)``: whether one of its pairs is confirmed on whole sets.
 
-    The likeliest partner of each line is compared first, all others of the lines that it does not confirm then.
+    With ``guess`` the likeliest partner of each line is compared first, all others of the lines that it does not confirm then.
     """
+    context = rows.sparkSession.sparkContext
     pairs = scratch.written(pairs.groupBy("xd", "xl", "yd", "yl").agg(F.max("more").alias("more"), F.min("off").alias("off")))
-    likely = pairs.groupBy("xd", "xl").agg(F.max("more").alias("more"), F.min(F.struct("off", "yd", "yl")).alias("y"))
-    likely = scratch.written(likely.select("xd", "xl", "y.yd", "y.yl", "more"))
-    told = scratch.written(_confirmed(likely, _sets(likely, rows, packed, [], scratch), least))
-    rest = pairs.join(told.filter("NOT good").select("xd", "xl"), ["xd", "xl"], "left_semi")
-    rest = scratch.written(rest.join(likely, ["xd", "xl", "yd", "yl"], "left_anti").drop("off"))
-    sets = _sets(rest, rows, packed, WIDE, scratch)
+    told, rest = None, pairs.drop("off")
+    if guess:
+        likely = pairs.groupBy("xd", "xl").agg(F.max("more").alias("more"), F.min(F.struct("off", "yd", "yl")).alias("y"))
+        likely = scratch.written(likely.select("xd", "xl", "y.yd", "y.yl", "more"))
+        marks = context.broadcast(_marks(likely))
+        told = scratch.written(_confirmed(likely, _sets(rows, marks, []), least))
+        marks.destroy()
+        rest = rest.join(told.filter("NOT good").select("xd", "xl"), ["xd", "xl"], "left_semi")
+        rest = scratch.written(rest.join(likely, ["xd", "xl", "yd", "yl"], "left_anti"))
+    marks = context.broadcast(_marks(rest))
+    sets = scratch.written(_sets(rows, marks, WIDE))
+    marks.destroy()
     # Wide bitmaps first: they are small and rule most pairs out.
     slim = sets.drop("t")
     other = slim.withColumnsRenamed({"doc": "yd", "line": "yl", "n": "n2"} | {x: f"{x}2" for x in WIDE})
@@ -389,7 +442,8 @@ def _similar(pairs: DataFrame, rows: DataFrame, packed: DataFrame, least: Fracti
     differ = " + ".join(f"bit_count({x} ^ {x}2)" for x in WIDE)
     can = rest.join(slim.withColumnsRenamed({"doc": "xd", "line": "xl"}), ["xd", "xl"]).join(other, ["yd", "yl"])
     can = scratch.written(can.filter(f"{differ} <= n + n2 - 2 * {need}").select("xd", "xl", "yd", "yl", "more"))
-    told = told.union(_confirmed(can, sets, least))
+    found = _confirmed(can, sets, least)
+    told = told.union(found) if guess else found
     return told.groupBy(F.col("xd").alias("doc"), F.col("xl").alias("line")).agg(F.max("more").alias("more"), F.max("good").alias("good"))
 
 
@@ -427,10 +481,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
 
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     whole = docs.select([f.name for f in kept]).mapInArrow(pack, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in kept))
-    packed = whole.select("doc_id", F.col(text).alias("z")).filter("doc_id IS NOT NULL AND z IS NOT NULL")
     posted = postings(rows, "text", rare, least)
     found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
-    first = scratch.written(_similar(found, rows, packed, least, scratch))
+    first = scratch.written(_similar(found, rows, least, scratch, True))
     again = scratch.written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
@@ -450,7 +503,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
         marked = entries.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
-        repeated = repeated.union(_similar(rest, rows, packed, least, scratch).filter("good").select("doc", "line"))
+        repeated = repeated.union(_similar(rest, rows, least, scratch, False).filter("good").select("doc", "line"))
 
     known = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
     known = known.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
@@ -460,7 +513,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias(out)))  # no more than the lines of a document
     scratch.drop()
     rare.destroy()
-    joined = whole.join(gone, "doc_id", "left")
+    joined = whole.join(gone.hint("merge"), "doc_id", "left")  # else a task packs and unpacks at once, in two Python workers
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b, text, 1 << 20)):

@@ -49,3 +49,26 @@ def test_texts_without_entries(spark):
     texts = [line, line + " more", "x" * (line_dedup.PIECE + 1), "alone"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     assert [r.n_removed for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, 1, 0, 0]
+
+
+def test_sets_of_marked_lines(spark):
+    """They are those of the lines of the whole texts; lines that are not marked have none."""
+    texts = ["a b\n\nB a c\n", None, "", "\n", "x y\n \nz", "last é É\tA"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    lines = line_dedup.Lines(pa.array(texts), np.arange(len(texts)))
+    want = {(d, k): set(lines.token[f : f + n].view(np.int64).tolist()) for d, k, f, n in zip(lines.doc, lines.line, lines.first, lines.size, strict=True)}
+    assert sorted(want) == [(0, 0), (0, 2), (4, 0), (4, 2), (5, 0)]
+    every = spark.sparkContext.broadcast(np.full(line_dedup.MARKS >> 3, 255, np.uint8))
+    found = line_dedup._sets(docs, every, line_dedup.WIDE).collect()
+    assert {(r.doc, r.line): set(r.t) for r in found} == want
+    assert all(r.n == len(r.t) and sum(bin(r[m] & (1 << 64) - 1).count("1") for m in line_dedup.WIDE) <= r.n for r in found)
+    pairs = spark.createDataFrame([(4, 2, 0, 2)], "xd long, xl long, yd long, yl long")
+    some = spark.sparkContext.broadcast(line_dedup._marks(pairs))
+    assert sorted((r.doc, r.line) for r in line_dedup._sets(docs, some, []).collect()) == [(0, 2), (4, 2)]
+
+
+def test_one_python_worker_a_task(spark):
+    """Packing and unpacking of texts stand in different stages, also where the lines to drop are few."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id long, text string")
+    plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
