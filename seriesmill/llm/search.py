@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,14 @@ from seriesmill.llm.common import WORD_BREAK, flat, lowered, pieces, prefix_sums
 
 #: Documents whose impacts on a term share one maximum.
 BLOCK_DOCS = 64
+#: Terms with a row of their own in a shard: at most so many, in over one of so many documents.
+MOST_ROWS, LEAST_SHARE = 512, 16
+#: Terms and axes by which documents are put in order.
+ORDER_TERMS, ORDER_AXES = 128, 5
+#: Blocks opened at first, rows of blocks read and documents scored exactly at once.
+FIRST_BLOCKS, OPEN_ROWS, EXACT_DOCS = 8, 1 << 14, 1_024
+#: Queries looked up at once.
+ASKED = 512
 #: Scores have so many decimals: sums that differ by less are ties.
 DECIMALS = 6
 
@@ -48,35 +57,51 @@ def vectors(docs: DataFrame, text: str, n_shards: int) -> DataFrame:
 
 
 class Shard:
-    """Inverted index of some documents, with the largest impact of each term in each block of documents."""
+    """Inverted index of some documents, in blocks of similar ones.
+
+    The most frequent terms have a row each of a table: their impacts on all documents,
+    and the largest one of each block. All other terms have lists of postings. Both are
+    rounded; whole vectors with exact impacts serve the documents that may be among the best.
+    """
 
     def __init__(self, ids, words, term, count, starts, known, df, n_docs: int, mean: float, k1: float, b: float):
-        order = np.argsort(ids, kind="stable")
-        size = np.diff(starts)[order]
-        at = np.repeat(starts[:-1][order] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        self.ids, words, term, count = ids[order], words[order], term[at], count[at]
-        self.starts = np.concatenate(([0], np.cumsum(size)))
-        doc = np.repeat(np.arange(len(ids)), size)
+        n = len(ids)
         sort = np.argsort(known)
-        self.known = known[sort]
-        df = df[sort]
-        self.term = np.searchsorted(self.known, term)
+        self.known, df, self.starts = known[sort], df[sort], starts
+        self.term = np.searchsorted(self.known, term).astype(np.int32)
+        doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
         idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-        self.impact = idf[self.term] * count * (k1 + 1) / (count + k1 * (1 - b + b * words[doc] / mean))
-        by = np.argsort(self.term, kind="stable")  # documents stay ascending within a term
-        self.post_doc, self.post_impact = doc[by], self.impact[by]
-        post_term = self.term[by]
-        self.post_starts = np.searchsorted(post_term, np.arange(len(self.known) + 1))
-        block = self.post_doc // BLOCK_DOCS
-        new = np.ones(len(by), bool)
-        new[1:] = (block[1:] != block[:-1]) | (post_term[1:] != post_term[:-1])
-        self.block_first = np.flatnonzero(new)
-        self.block_size = np.diff(np.concatenate((self.block_first, [len(by)])))
-        self.block = block[self.block_first]
-        self.block_max = np.maximum.reduceat(self.post_impact, self.block_first) if len(by) else np.zeros(0)
-        self.block_starts = np.searchsorted(post_term[self.block_first], np.arange(len(self.known) + 1))
-        self.most = np.maximum.reduceat(self.post_impact, self.post_starts[:-1]) if len(by) else np.zeros(0)
-        self.n_blocks = len(ids) // BLOCK_DOCS + 1
+        self.impact = idf[self.term]
+        self.impact *= count
+        self.impact *= k1 + 1
+        weight = (k1 * (1 - b + b * words / mean))[doc]
+        weight += count
+        self.impact /= weight
+        del weight
+        often = np.bincount(self.term, minlength=len(self.known))
+        frequent = np.argsort(-often, kind="stable")[:MOST_ROWS]
+        frequent = frequent[often[frequent] > n / LEAST_SHARE]
+        self.row_of = np.full(len(self.known), -1, np.int32)
+        self.row_of[frequent] = np.arange(len(frequent))
+        row = self.row_of[self.term]
+        at = np.flatnonzero(row >= 0)
+        self.n_blocks = max(1, -(-n // BLOCK_DOCS))
+        rows = np.zeros((len(frequent), self.n_blocks * BLOCK_DOCS), np.float32)
+        rows[row[at], doc[at]] = self.impact[at]
+        self.back = similar_first(rows[:, :n])  # documents in the order of the blocks
+        rows[:, :n] = rows[:, self.back]
+        self.row_max = rows.reshape(len(frequent), self.n_blocks, BLOCK_DOCS).max(2)
+        self.rows = rows.reshape(-1, BLOCK_DOCS)  # the blocks of a term one after another
+        self.held = np.empty((max(OPEN_ROWS, len(frequent)), BLOCK_DOCS), np.float32)
+        place = np.empty(n, np.int32)
+        place[self.back] = np.arange(n)
+        at = np.flatnonzero(row < 0)
+        del row
+        at = at[np.argsort(self.term[at], kind="stable")]
+        self.post_doc, self.post_impact = place[doc[at]], self.impact[at].astype(np.float32)
+        often[frequent] = 0
+        self.post_starts = np.concatenate(([0], np.cumsum(often)))
+        self.ids = ids[self.back]
         self.wanted = np.zeros(len(self.known), bool)
 
     def spread(self, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -84,52 +109,72 @@ class Shard:
 
     def exact(self, docs: np.ndarray) -> np.ndarray:
         """Whole scores of documents for the terms marked in ``wanted``."""
-        size = self.starts[docs + 1] - self.starts[docs]
-        at = self.spread(self.starts[docs], size)
-        owner = np.repeat(np.arange(len(docs)), size)
-        hit = self.wanted[self.term[at]]
-        return np.round(np.bincount(owner[hit], weights=self.impact[at[hit]], minlength=len(docs)), DECIMALS)
+        out = []
+        for a in range(0, len(docs), EXACT_DOCS):
+            own = self.back[docs[a : a + EXACT_DOCS]]
+            size = self.starts[own + 1] - self.starts[own]
+            at = self.spread(self.starts[own], size)
+            owner = np.repeat(np.arange(len(own)), size)
+            hit = self.wanted[self.term[at]]
+            out.append(np.bincount(owner[hit], weights=self.impact[at[hit]], minlength=len(own)))
+        return np.round(np.concatenate(out), DECIMALS) if out else np.zeros(0)
+
+    def added(self, row: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Sums of rows over the documents of some blocks."""
+        held = self.held[: len(row) * len(blocks)]  # the same memory for all queries
+        np.take(self.rows, (row[:, None] * self.n_blocks + blocks).ravel(), axis=0, out=held, mode="clip")
+        return held.reshape(len(row), len(blocks), BLOCK_DOCS).sum(0)
 
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best documents for a set of terms (places in ``known``) and their scores.
 
-        A first threshold comes from the documents that score best on the query's
-        strongest terms. Terms that together can't reach it are left to the end; of
-        the others only blocks whose maxima can are opened, and only documents that
-        still can are scored in full.
+        Postings are added up first. A block's bound is the largest of these sums in it
+        and the block's maxima of the query's frequent terms. Blocks are opened with the
+        highest bound first, which raises the threshold, until no other can reach it. Only
+        documents whose rounded score does are scored exactly.
         """
-        slack = 10.0**-DECIMALS
-        query = query[np.argsort(self.most[query], kind="stable")]
-        df = self.post_starts[query + 1] - self.post_starts[query]
+        row = self.row_of[query]
+        rare, row = query[row < 0], row[row >= 0]
+        at = self.spread(self.post_starts[rare], self.post_starts[rare + 1] - self.post_starts[rare])
+        sums = np.bincount(self.post_doc[at], weights=self.post_impact[at], minlength=self.n_blocks * BLOCK_DOCS).reshape(-1, BLOCK_DOCS)
+        bound = sums.max(1) + self.row_max[row].sum(0, dtype=np.float64)
+        order = np.argsort(-bound)
+        keep = 1 - (len(query) + 4) * 2.0**-23  # sums of so many rounded numbers are within this of each other
+        best, docs, score, least, a = np.zeros(0), [], [], 0.0, 0
+        while a < len(order) and bound[order[a]] > 0 and bound[order[a]] >= least:
+            step = min(max(FIRST_BLOCKS, a), max(1, OPEN_ROWS // max(1, len(row))))
+            opened = order[a : a + step]
+            opened = opened[bound[opened] >= least]
+            a += step
+            now = sums[opened] + self.added(row, opened)
+            now, place = now.ravel(), (opened[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
+            some = np.flatnonzero((now > 0) & (now >= least))
+            docs.append(place[some])
+            score.append(now[some])
+            best = np.concatenate((best, now[some]))
+            if len(best) >= k:
+                best = np.partition(best, len(best) - k)[-k:]
+                least = best[0] * keep - 2 * 10.0**-DECIMALS
+        if not docs:
+            return np.zeros(0, np.int64), np.zeros(0)
+        docs = np.concatenate(docs)[np.concatenate(score) >= least]
         self.wanted[query] = True
-        strong = max(1, int(np.searchsorted(np.cumsum(df[::-1]), 4_000, "right")))
-        rare = query[-strong:]
-        at = self.spread(self.post_starts[rare], df[-strong:])
-        partial = np.bincount(self.post_doc[at], weights=self.post_impact[at], minlength=len(self.ids))
-        docs = np.argpartition(-partial, 3 * k)[: 3 * k] if len(partial) > 3 * k else np.arange(len(partial))
-        docs = docs[partial[docs] > 0]
-        score = self.exact(docs)
-        if len(docs) >= k:
-            least = np.partition(score, len(score) - k)[len(score) - k]
-            sums = np.cumsum(self.most[query])
-            light = int(np.searchsorted(sums, least - 2 * slack, "left"))
-            rest = sums[light - 1] if light else 0.0
-            heavy = query[light:]
-        else:
-            least, rest, heavy = 0.0, 0.0, query
-        size = self.block_starts[heavy + 1] - self.block_starts[heavy]
-        block = self.spread(self.block_starts[heavy], size)
-        bound = np.bincount(self.block[block], weights=self.block_max[block], minlength=self.n_blocks) + rest
-        block = block[(bound >= least - 2 * slack)[self.block[block]]]
-        at = self.spread(self.block_first[block], self.block_size[block])
-        partial = np.bincount(self.post_doc[at], weights=self.post_impact[at], minlength=len(self.ids))
-        docs = np.flatnonzero((partial > 0) & (partial + rest >= least - 2 * slack))
         score = self.exact(docs)
         self.wanted[query] = False
-        order = np.lexsort((docs, -score))[:k]
+        order = np.lexsort((self.ids[docs], -score))[:k]
         return docs[order], score[order]
 
 
+def similar_first(rows: np.ndarray) -> np.ndarray:
+    """An order of documents in which those with the same frequent terms lie together, by the main axes of their presence."""
+    has = (rows[:ORDER_TERMS] > 0).T.astype(np.float32)
+    if not has.size:
+        return np.arange(rows.shape[1])
+    has -= has.mean(0)
+    axes = has @ np.linalg.eigh(has.T @ has)[1][:, ::-1][:, :ORDER_AXES]
+    return np.lexsort((axes[:, 0], *(axes > 0).T[::-1]))
+
+
 def top_k(docs: DataFrame, queries: DataFrame, text: str = "text", k: int = 10, k1: float = 1.2, b: float = 0.75, shard_docs: int = 16_000, block_queries: int = 20_000) -> DataFrame:
     """``(query_id, doc_id, rank, score)``: the k best documents for each row of ``queries(query_id, text)``.
 
@@ -175,32 +220,39 @@ def top_k(docs: DataFrame, queries: DataFrame, text: str = "text", k: int = 10,
     right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("block"), "query_id", "terms")
 
     def run(index: pa.Table, wanted: pa.Table) -> pa.Table:
-        index = index.combine_chunks()
-        words = index["words"].to_numpy()
         names = ["query_id", "doc_id", "score"]
         none = pa.table({"query_id": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if (words >= 0).sum() == 0 or not wanted.num_rows:
+        is_row = pc.greater_equal(index["words"], 0)
+        rows, stats = index.filter(is_row), index.filter(pc.invert(is_row))
+        if not rows.num_rows or not wanted.num_rows:
             return none
-        stats, rows = index.filter(pa.array(words < 0)), index.filter(pa.array(words >= 0)).combine_chunks()
-        lists = rows["terms"].combine_chunks() if isinstance(rows["terms"], pa.ChunkedArray) else rows["terms"]
-        counts = rows["counts"].combine_chunks()
-        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        shard = Shard(
-            rows["doc_id"].to_numpy(), rows["words"].to_numpy(), lists.flatten().to_numpy(), counts.flatten().to_numpy(), starts.astype(np.int64),
-            stats["terms"].combine_chunks().flatten().to_numpy(), stats["counts"].combine_chunks().flatten().to_numpy(), n_docs, mean, k1, b,
-        )
-        q = wanted["terms"].combine_chunks()
-        value, cuts = q.flatten().to_numpy(), q.offsets.to_numpy() - q.offsets[0].as_py()
-        at = np.minimum(np.searchsorted(shard.known, value), len(shard.known) - 1)
-        here = shard.known[at] == value
+
+        def joined(table: pa.Table, name: str) -> np.ndarray:
+            return np.concatenate([x.flatten().to_numpy() for x in table[name].chunks])
+
+        size = np.concatenate([np.diff(x.offsets.to_numpy()) for x in rows["terms"].chunks])
+        starts = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+        columns = [rows["doc_id"].to_numpy(), rows["words"].to_numpy(), joined(rows, "terms"), joined(rows, "counts")]
+        known = [joined(stats, "terms"), joined(stats, "counts")]
+        del index, rows, stats
+        shard = Shard(*columns, starts, *known, n_docs, mean, k1, b)
+        del columns, known
         of, found, scores = [], [], []
-        for i, name in enumerate(wanted["query_id"].to_pylist()):
-            query = at[cuts[i] : cuts[i + 1]][here[cuts[i] : cuts[i + 1]]]
-            if len(query):
-                docs_, score = shard.search(query, k)
-                of.append(np.full(len(docs_), name))
-                found.append(shard.ids[docs_])
-                scores.append(score)
+        for a in range(0, wanted.num_rows, ASKED):
+            some = wanted.slice(a, ASKED)
+            value = joined(some, "terms")
+            at = np.minimum(np.searchsorted(shard.known, value), len(shard.known) - 1)
+            here = shard.known[at] == value
+            cuts = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(x.offsets.to_numpy()) for x in some["terms"].chunks]))))
+            for i, name in enumerate(some["query_id"].to_pylist()):
+                query = at[cuts[i] : cuts[i + 1]][here[cuts[i] : cuts[i + 1]]]
+                if len(query):
+                    docs_, score = shard.search(query, k)
+                    of.append(np.full(len(docs_), name))
+                    found.append(shard.ids[docs_])
+                    scores.append(score)
+        del shard, wanted
+        pa.default_memory_pool().release_unused()
         if not of:
             return none
         return pa.table([pa.array(np.concatenate(x)) for x in (of, found, scores)], names=names)
