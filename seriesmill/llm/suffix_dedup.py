@@ -35,14 +35,23 @@ OFTEN = 1 << 14
 
 
 def _slide(a: np.ndarray, w: int, op: np.ufunc) -> np.ndarray:
-    """``op`` over every ``w`` neighbours, with two passes of ``accumulate`` over blocks."""
-    n = len(a) - w + 1
+    """``op`` (a minimum or maximum) over every ``w`` neighbours: stretches are doubled, the last two overlap."""
+    n, have = len(a) - w + 1, 1
     if n <= 0:
         return a[:0]
-    rows = np.concatenate((a, np.full(-len(a) % w, a[-1]))).reshape(-1, w)
-    ahead = op.accumulate(rows, axis=1).ravel()
-    back = op.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return op(back[:n], ahead[w - 1 : w - 1 + n])
+    while 2 * have <= w:
+        a = op(a[:-have], a[have:])
+        have *= 2
+    return op(a[:n], a[w - have : w - have + n])
+
+
+def _rows_at(data: np.ndarray, at: np.ndarray, size: int, here: np.ndarray) -> np.ndarray:
+    """``size`` bytes from each place on, of which the first ``here`` count; the others are 0."""
+    padded = np.concatenate((data, np.zeros(size, np.uint8)))
+    rows = np.lib.stride_tricks.sliding_window_view(padded, size)[at]
+    short = np.flatnonzero(here < size)
+    rows[short] *= np.arange(size) < here[short, None]
+    return rows
 
 
 class Anchors:
@@ -58,8 +67,8 @@ class Anchors:
             return
         grams = rolling(data, q) | np.uint64(1)
         least = _slide(grams, self.w, np.minimum)
-        text_end = np.repeat(starts[1:], np.diff(starts))[:n]
-        least[np.arange(n) + size > text_end] = 0  # a string never crosses texts
+        for end in starts[1:].tolist():
+            least[max(0, end - size + 1) : end] = 0  # a string never crosses texts
         edge = np.zeros(self.w - 1, np.uint64)
         self.least = np.concatenate((edge, least, edge))
         self.at = np.flatnonzero(_slide(self.least, self.w, np.maximum) == grams)
@@ -160,15 +169,10 @@ class Entries:
         first = order[opens]
         self.group = np.zeros(len(order), np.int64)
         self.group[order] = np.cumsum(opens) - 1
-        suffix = np.zeros((len(first), size), np.uint8)
-        before = np.zeros((len(first), a.w - 1), np.uint8)
-        text = texts[first]
-        for k in range(size):
-            inside = self.at[first] + k < self.starts[text + 1]
-            suffix[inside, k] = self.data[self.at[first][inside] + k]
-        for j in range(1, a.w):
-            inside = (self.at[first] - j >= self.starts[text]) & (first < len(use))
-            before[inside, j - 1] = self.data[self.at[first][inside] - j]
+        at, text = self.at[first], texts[first]
+        suffix = _rows_at(self.data, at, size, self.starts[text + 1] - at)
+        inside = np.where(first < len(use), at - self.starts[text], 0)
+        before = _rows_at(self.data[::-1], len(self.data) - at, a.w - 1, inside)
         part = ranges(key[first], n_parts)
         order = np.lexsort((suffix.view(f"S{size}").ravel(), part)) if len(first) else first
         self.sent, self.part = first[order], part[order]
@@ -193,14 +197,22 @@ class Entries:
             ]
         )
 
-    def covered(self, answer: np.ndarray) -> np.ndarray:
-        """Mask of the covered strings of each anchor, from the answers to those sent."""
+    def kept(self) -> bytes:
+        """What ``covered`` needs besides the answers: places, strings and numbers of the entries sent for them."""
         if not len(self.at):
-            return self.mask
+            return b""
         rank = self.number[self.group]
-        of_first = np.zeros(len(self.sent), np.int64)
-        of_first[:] = self.doc[self.sent]
-        return np.where(self.doc > of_first[rank], self.mask, answer[rank])
+        later = self.doc > self.doc[self.sent][rank]
+        return planes(np.diff(self.at, prepend=0)) + planes(self.mask) + planes(2 * rank + later)
+
+
+def covered(kept: bytes, answer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a piece's anchors and masks of their covered strings, from the answers to those sent."""
+    n = len(kept) // 24
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, mask, rank = (unplanes(kept[8 * n * k : 8 * n * (k + 1)], np.int64) for k in range(3))
+    return np.cumsum(at), np.where(rank & 1 == 1, mask, answer[rank >> 1])
 
 
 class Run:
@@ -332,13 +344,17 @@ def strings_covered(common: np.ndarray, mask: np.ndarray, doc: np.ndarray, befor
             left = mixed(left * np.uint64(3) + before[j - 1].astype(np.uint64) + np.uint64(1))
         some = np.flatnonzero(mask >> j & 1)
         right = np.cumsum(common < size - j)[some]
-        order = np.lexsort((doc[some], left[some], right))
-        l, r, d = left[some][order], right[order], doc[some][order]
+        alike = np.zeros(len(some) + 1, bool)
+        alike[1:-1] = right[1:] == right[:-1]
+        alike = alike[1:] | alike[:-1]  # others stand alone
+        some, right = some[alike], right[alike]
+        order = np.lexsort((left[some], right))
+        some, right = some[order], right[order]
+        l, d = left[some], doc[some]
         opens = np.ones(len(order), bool)
-        opens[1:] = (l[1:] != l[:-1]) | (r[1:] != r[:-1])
-        first = np.flatnonzero(opens)
-        least = d[first][np.cumsum(opens) - 1]
-        out[some[order[d > least]]] |= 1 << j
+        opens[1:] = (l[1:] != l[:-1]) | (right[1:] != right[:-1])
+        least = np.minimum.reduceat(d, np.flatnonzero(opens))[np.cumsum(opens) - 1] if len(d) else d
+        out[some[d > least]] |= 1 << j
     return out
 
 
@@ -392,8 +408,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
         for row in _rows(batches):
             e = Entries(row, size, q, n_parts)
             yield _send(z, row["piece"], e.part, e.run)
+            own = n_parts + row["piece"] % n_parts  # comes back to the piece as it is
+            yield _send(z, row["piece"], np.array([own]), lambda a, b, e=e: e.kept())
 
     def combine(table: pa.Table) -> pa.Table:
+        if table["part"][0].as_py() >= n_parts:
+            return table.select(["part", "piece", "blob"])
         runs = [Run(zstandard.decompress(x), size, w) for x in table["blob"].to_pylist()]
         order, common = merge_all(runs, size)
         mask, doc = (np.concatenate([getattr(r, c) for r in runs])[order] for c in ("mask", "doc"))
@@ -408,23 +428,26 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = 50, q: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            e = Entries(row, size, q, n_parts)
-            mask = e.covered(_answers(row["found"], lambda b: unplanes(b, np.int64)))
-            edge = np.zeros(len(e.data) + size + 1, np.int64)
+            data, starts, ids = _open(row)
+            answers = [x for x in row["found"] if x["part"] < n_parts]
+            kept = next(x["blob"] for x in row["found"] if x["part"] >= n_parts)
+            at, mask = covered(zstandard.decompress(kept), _answers(answers, lambda b: unplanes(b, np.int64)))
+            edge = np.zeros(len(data) + size + 1, np.int8)
             for j in range(w):
-                begin = e.at[mask >> j & 1 == 1] - j
-                edge[begin] = 1  # whether a covered string starts here
-            gone = np.cumsum(edge - np.concatenate((np.zeros(size, np.int64), edge[:-size])))[: len(e.data)] > 0
+                edge[at[mask >> j & 1 == 1] - j] = 1  # whether a covered string starts here
+            begins = np.flatnonzero(edge)
+            edge[begins + size] -= 1  # 0 where the next string starts
+            gone = np.cumsum(edge, dtype=np.int32)[: len(data)] > 0
             opens = gone.copy()
             opens[1:] &= ~gone[:-1]
-            inner = e.starts[(e.starts > 0) & (e.starts < len(gone))]
+            inner = starts[(starts > 0) & (starts < len(gone))]
             opens[inner] = gone[inner]
             sums, runs = np.concatenate(([0], np.cumsum(gone))), np.concatenate(([0], np.cumsum(opens)))
-            left = e.data[~gone].tobytes()
-            to = (e.starts - sums[e.starts]).tolist()
+            left = data[~gone].tobytes()
+            to = (starts - sums[starts]).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(e.ids), pa.array(np.diff(e.starts)), pa.array(np.diff(sums[e.starts])), pa.array(np.diff(runs[e.starts])), pa.array([left[a:b] for a, b in zip(to[:-1], to[1:], strict=True)], pa.binary())],
+                [pa.array(ids), pa.array(np.diff(starts)), pa.array(np.diff(sums[starts])), pa.array(np.diff(runs[starts])), pa.array([left[a:b] for a, b in zip(to[:-1], to[1:], strict=True)], pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    return asked.join(found, "piece", "left").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return whole.join(found, "piece").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
