@@ -127,6 +127,8 @@ def u64(x: int) -> np.uint64:
 
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+#: The values of two bytes at once, by both as a 16-bit number; complex numbers are only 16 bytes to copy.
+_TWO_BYTES = np.stack((np.tile(_BYTE, 256), np.repeat(_BYTE, 256)), axis=1).view(np.complex128).ravel()
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -155,7 +157,9 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     rest = sums[1:]  # no second array of this size
-    np.take(_BYTE, data, out=rest, mode="clip")
+    even = len(data) & ~1
+    np.take(_TWO_BYTES, np.ascontiguousarray(data[:even]).view("<u2"), out=rest[:even].view(np.complex128), mode="clip")
+    rest[even:] = _BYTE[data[even:]]
     rest *= up[: len(data)]
     np.cumsum(rest, out=rest)
     return sums
@@ -208,7 +212,13 @@ def word_spans(data: np.ndarray, starts: np.ndarray, breaks: np.ndarray = _SPACE
     closes[:-1] &= ~inside[1:]
     closes[cut - 1] = inside[cut - 1]
     begin = np.flatnonzero(opens)
-    return begin, np.flatnonzero(closes) + 1, np.searchsorted(starts, begin, "right") - 1
+    return begin, np.flatnonzero(closes) + 1, owners(begin, starts)
+
+
+def owners(places: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Index of the stretch, from one start to the next, of each of ascending places, the first start not behind them."""
+    ends = np.concatenate((np.searchsorted(places, starts[1:]), [len(places)]))
+    return np.repeat(np.arange(len(starts)), np.diff(ends, prepend=0))
 
 
 def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +265,13 @@ def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
 
 def planes(values: np.ndarray) -> bytes:
     """Integers byte plane by byte plane: the planes of small ones are empty."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    if len(values) < 128:
+        return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    rest = values.view(f"u{values.dtype.itemsize}")
+    out = np.zeros((rest.itemsize, len(rest)), np.uint8)
+    for k in range(-(-int(rest.max()).bit_length() // 8)):
+        out[k] = rest >> rest.dtype.type(8 * k)  # the lowest byte is kept
+    return out.tobytes()
 
 
 def unplanes(raw: bytes, kind) -> np.ndarray:

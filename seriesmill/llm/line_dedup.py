@@ -17,7 +17,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import flat, lower_ascii, mixed, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
+from seriesmill.llm.common import flat, lower_ascii, mixed, owners, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
 
 #: Tokens are counted in so many buckets; any order is right, the counts make it a rare-first one.
 BUCKETS = 1 << 23
@@ -27,6 +27,8 @@ COUNTED = 1 << 10
 BLOCK = 250_000
 #: Bytes of text that one step of a task holds.
 PIECE = (1 << 19) - 16
+#: Entries of prefix tokens that are packed together.
+PACKED = 1 << 16
 #: Bits of the table that tells of which lines the sets are asked for.
 MARKS = 1 << 27
 #: Sets of at least so many tokens have bitmaps of two words of 64 bits, and of four.
@@ -53,7 +55,7 @@ class Lines:
         line_starts, _, number = _line_starts(data, starts)
         low = lower_ascii(data)
         begin, end, owner = word_spans(low, starts)
-        line = np.searchsorted(line_starts, begin, "right") - 1
+        line = owners(begin, line_starts) if len(begin) else begin
         token = span_hashes(prefix_sums(low), begin, end)
         if asked is not None:
             has = np.zeros(len(line_starts), bool)
@@ -147,8 +149,7 @@ def sets_and_counts(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, text, PIECE):
                 lines = Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
-                bucket, times = np.unique(_bucket(lines.token), return_counts=True)
-                total[bucket] += times
+                np.add.at(total, _bucket(lines.token), np.int32(1))
                 columns = [pa.array(x) for x in (lines.doc, lines.line, *lines.keys(), lines.size)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(lines.doc), pa.binary())], names)
         if total.any():
@@ -213,21 +214,36 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked
         if asked is not None:
             keep &= _marked(asked.value, _bucket(lines.token[order]))
         row, token = lines.row[keep], lines.token[order][keep]
+        columns = [token, lines.doc[row], lines.line[row], n[row] << 32 | pos[keep], *(x[row] for x in bitmaps(lines))]
+        return [pa.array(x.view(np.int64)) for x in columns] if plain else columns
+
+    def packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        """Entries of some pieces, in runs by range."""
+        token, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
         by = np.argsort(token, kind="stable")
-        row, token = row[by], token[by]
-        columns = [lines.doc[row], lines.line[row], n[row] << 32 | pos[keep][by], *(x[row] for x in bitmaps(lines))]
-        if plain:
-            return [pa.array(x.view(np.int64)) for x in (token, *columns)]
+        token, columns = token[by], [c[by] for c in columns]
         part = ranges(token, n_parts)
         cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
         blobs = [
             zstandard.compress(b"".join([planes(np.diff(token[x:y], prepend=np.uint64(0))), *(planes(np.ascontiguousarray(c[x:y])) for c in columns)]), 1)
             for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
         ]
-        return [pa.array(part[cuts[:-1]]), pa.array(blobs, pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array(blobs, pa.binary())], ["part", "blob"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for part in pieces(batch, text, PIECE):
+                held.append(make(Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))))
+                n += len(held[-1][0])
+                if n >= PACKED:
+                    yield packed(held)
+                    held, n = [], 0
+        if n:
+            yield packed(held)
 
     n_parts = 2 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return _each(docs, text, make, ENTRY if plain else "part long, blob binary", asked)
+    return _each(docs, text, make, ENTRY, asked) if plain else docs.mapInArrow(run, "part long, blob binary")
 
 
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
@@ -475,7 +491,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in pieces(batch, text):
-                texts = [None if t is None else z.compress(t.encode()) for t in part.column(text).to_pylist()]
+                texts = [None if t is None else z.compress(t) for t in part.column(text).cast(pa.binary()).to_pylist()]
                 columns = [pa.array(texts, pa.binary()) if c == text else part.column(c) for c in part.schema.names]
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
@@ -517,16 +533,18 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (p for b in batches for p in pieces(b, text, 1 << 20)):
-            left_over, n_lines, n_removed = [], [], []
+            left_over, n_lines, n_removed, opened = [], [], [], zstandard.ZstdDecompressor()
             for z, g in zip(batch.column(text).to_pylist(), batch.column(out).to_pylist(), strict=True):
-                t = None if z is None else zstandard.decompress(z).decode()
-                parts = t.split("\n") if t else []
-                n_lines.append(len(parts))
-                g = set(g or ())
-                left = [x for k, x in enumerate(parts) if k not in g]
-                n_removed.append(len(parts) - len(left))
-                left_over.append("\n".join(left) if g else t)
-            columns = [pa.array(left_over, pa.string()) if f.name == text else batch.column(f.name) for f in kept]
+                t = None if z is None else opened.decompress(z)
+                n_lines.append(t.count(b"\n") + 1 if t else 0)
+                n_left = n_lines[-1]
+                if g and t:  # of rows that share a doc_id one may have fewer lines
+                    g = set(g)
+                    left = [x for k, x in enumerate(t.split(b"\n")) if k not in g]
+                    t, n_left = b"\n".join(left), len(left)
+                n_removed.append(n_lines[-1] - n_left)
+                left_over.append(t)
+            columns = [pa.array(left_over, pa.binary()).cast(pa.string()) if f.name == text else batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], [f.name for f in kept] + ["n_lines", "n_removed"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n_lines long", "n_removed long"])
