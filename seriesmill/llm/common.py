@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,9 @@ from seriesmill.sources.shared import new_shared_path
 
 #: Bytes of text that one step of a task holds at once.
 PIECE_BYTES = (2 << 20) - 16
+#: Bits of a table that tells which rows or terms are asked for, and the ranges it travels in.
+MARKS = 1 << 27
+_BIT_RANGES = 1 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -279,6 +283,32 @@ def unplanes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def bit_table(rows: DataFrame, places: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+    """One table of ``size`` bits, in bytes, with the bits at the ``places`` of all rows."""
+    width = size // 8 // _BIT_RANGES
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size >> 3, np.uint8)
+        for batch in batches:
+            if batch.num_rows:
+                at = places(batch)
+                np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        some = np.flatnonzero(bits.reshape(_BIT_RANGES, width).any(axis=1))
+        blobs = [zstandard.compress(bits[k * width : (k + 1) * width].tobytes(), 1) for k in some.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(blobs, pa.binary())], ["at", "bits"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.uint8)
+        for blob in table["bits"]:
+            total |= np.frombuffer(zstandard.decompress(blob.as_py()), np.uint8)
+        return pa.table({"at": table["at"][:1], "bits": pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())})
+
+    out = np.zeros((_BIT_RANGES, width), np.uint8)
+    for r in rows.mapInArrow(mark, "at long, bits binary").groupBy("at").applyInArrow(add, "at long, bits binary").collect():
+        out[r["at"]] = np.frombuffer(zstandard.decompress(r["bits"]), np.uint8)
+    return out.ravel()
+
+
 def numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``rows`` with ``at``, the place from 0 of a row among those of its ``keys`` by ``order``, and their number ``total``.
 

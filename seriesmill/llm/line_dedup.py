@@ -17,7 +17,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import flat, lower_ascii, mixed, owners, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
+from seriesmill.llm.common import bit_table, flat, lower_ascii, MARKS, mixed, owners, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
 
 #: Tokens are counted in so many buckets; any order is right, the counts make it a rare-first one.
 BUCKETS = 1 << 23
@@ -29,8 +29,6 @@ BLOCK = 250_000
 PIECE = (1 << 19) - 16
 #: Entries of prefix tokens that are packed together.
 PACKED = 1 << 16
-#: Bits of the table that tells of which lines the sets are asked for.
-MARKS = 1 << 27
 #: Sets of at least so many tokens have bitmaps of two words of 64 bits, and of four.
 TWO, FOUR = 64, 192
 
@@ -364,29 +362,11 @@ def _mark(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 def _marks(pairs: DataFrame) -> np.ndarray:
     """The bits of all lines of pairs: one table of fixed size."""
-    width = MARKS // 8 // COUNTED
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(MARKS >> 3, np.uint8)
-        for batch in batches:
-            for doc, line in (("xd", "xl"), ("yd", "yl")):
-                at = _mark(batch.column(doc).to_numpy(), batch.column(line).to_numpy())
-                np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-        some = np.flatnonzero(bits.reshape(COUNTED, width).any(axis=1))
-        blobs = [zstandard.compress(bits[k * width : (k + 1) * width].tobytes(), 1) for k in some.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(blobs, pa.binary())], ["at", "bits"])
+    def places(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate([_mark(batch.column(doc).to_numpy(), batch.column(line).to_numpy()) for doc, line in (("xd", "xl"), ("yd", "yl"))])
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(width, np.uint8)
-        for blob in table["bits"]:
-            total |= np.frombuffer(zstandard.decompress(blob.as_py()), np.uint8)
-        return pa.table({"at": table["at"][:1], "bits": pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())})
-
-    told = pairs.select("xd", "xl", "yd", "yl").mapInArrow(mark, "at long, bits binary")
-    out = np.zeros((COUNTED, width), np.uint8)
-    for r in told.groupBy("at").applyInArrow(add, "at long, bits binary").collect():
-        out[r["at"]] = np.frombuffer(zstandard.decompress(r["bits"]), np.uint8)
-    return out.ravel()
+    return bit_table(pairs.select("xd", "xl", "yd", "yl"), places, MARKS)
 
 
 def _sets(rows: DataFrame, marks: Broadcast, wide: list[str]) -> DataFrame:

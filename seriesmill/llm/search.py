@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import WORD_BREAK, flat, lowered, pieces, prefix_sums, span_hashes, word_spans, written
+from seriesmill.llm.common import bit_table, flat, lowered, MARKS, pieces, planes, prefix_sums, span_hashes, unplanes, word_spans, WORD_BREAK, written
 
 #: Documents whose impacts on a term share one maximum.
 BLOCK_DOCS = 64
@@ -19,10 +20,12 @@ BLOCK_DOCS = 64
 MOST_ROWS, LEAST_SHARE = 512, 16
 #: Terms and axes by which documents are put in order.
 ORDER_TERMS, ORDER_AXES = 128, 5
-#: Blocks opened at first, rows of blocks read and documents scored exactly at once.
+#: Blocks opened at first, pairs of a query and a block opened and documents scored exactly at once.
 FIRST_BLOCKS, OPEN_ROWS, EXACT_DOCS = 8, 1 << 14, 1_024
 #: Queries looked up at once.
 ASKED = 512
+#: What a row of a cell holds, in the order in which a task reads them.
+FREQUENCIES, QUERIES, DOCUMENTS = range(3)
 #: Scores have so many decimals: sums that differ by less are ties.
 DECIMALS = 6
 
@@ -40,20 +43,67 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return value[first].view(np.int64), np.diff(np.concatenate((first, [len(value)]))), of[first], np.bincount(owner, minlength=len(texts))
 
 
-def vectors(docs: DataFrame, text: str, n_shards: int) -> DataFrame:
-    """``(doc_id, shard, words, terms, counts)``: the term vector of each whole text."""
+#: Columns of packed term vectors: integers in planes, compressed.
+PACKED = ("ids", "words", "sizes", "known", "often", "terms", "counts")
+CHUNK = ", ".join(f"{c} binary" for c in PACKED)
+
+
+def packed(**arrays: np.ndarray) -> list[pa.Array]:
+    blobs = [zstandard.compress(planes(arrays[c]), 1) if len(arrays.get(c, ())) else b"" for c in PACKED]
+    return [pa.array([blob], pa.binary()) for blob in blobs]
+
+
+def unpacked(row: dict, name: str) -> np.ndarray:
+    kind = np.int32 if name in ("terms", "counts") else np.int64
+    return unplanes(zstandard.decompress(row[name]), kind) if row[name] else np.zeros(0, kind)
+
+
+def _bucket(value: np.ndarray) -> np.ndarray:
+    return (value.view(np.uint64) >> np.uint64(64 - MARKS.bit_length() + 1)).astype(np.int64)
+
+
+def vectors(docs: DataFrame, text: str, marks: Broadcast | None = None) -> DataFrame:
+    """Term vectors of whole texts, a row for some documents: ``(n, total, ids, words, sizes, known, often, terms, counts)``.
+
+    ``n`` documents have words, ``total`` words in all. ``known`` are the distinct terms of
+    these documents, ``often`` how many of them each is in; ``terms`` are differences of
+    places in ``known``. With ``marks`` only terms whose bucket is marked are kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, text):
                 value, count, of, words = terms(part.column(text))
-                cuts = pa.array(np.searchsorted(of, np.arange(part.num_rows + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(cuts, pa.array(value)), pa.ListArray.from_arrays(cuts, pa.array(count.astype(np.int32)))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("shard"), pa.array(words), *lists], ["doc_id", "shard", "words", "terms", "counts"])
-
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int")
-    rows = docs.select("doc_id", text).filter("doc_id IS NOT NULL").withColumn("shard", shard)
-    return rows.mapInArrow(run, "doc_id long, shard int, words long, terms array<long>, counts array<int>")
+                if marks is not None:
+                    at = _bucket(value)
+                    asked = marks.value[at >> 3] >> (at & 7) & 1 > 0
+                    value, count, of = value[asked], count[asked], of[asked]
+                some = np.flatnonzero(words > 0)
+                known, term, often = np.unique(value, return_inverse=True, return_counts=True)
+                size = np.bincount(of, minlength=part.num_rows)[some]
+                step = np.diff(term, prepend=0)
+                first = np.flatnonzero(np.diff(of, prepend=-1))
+                step[first] = term[first]
+                ids = part.column(0).to_numpy()[some]
+                columns = packed(ids=ids, words=words[some], sizes=size, known=known, often=often, terms=step.astype(np.int32), counts=count.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([len(some)]), pa.array([int(words.sum())]), *columns], ["n", "total", *PACKED])
+
+    rows = docs.select("doc_id", text).filter("doc_id IS NOT NULL")
+    return rows.mapInArrow(run, f"n long, total long, {CHUNK}").filter("n > 0")
+
+
+def places(row: dict, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``known`` of the terms of a row of ``vectors``, their counts and the number of each document's; other terms are left out."""
+    size, own = unpacked(row, "sizes"), unpacked(row, "known")
+    ends = np.cumsum(size)
+    sums = np.concatenate(([0], np.cumsum(unpacked(row, "terms"), dtype=np.int64)))
+    term = sums[1:] - np.repeat(sums[ends - size], size)
+    if not len(known):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros_like(size)
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    here = (known[at] == own)[term]
+    owner = np.repeat(np.arange(len(size)), size)[here]
+    return at[term[here]], unpacked(row, "counts")[here], np.bincount(owner, minlength=len(size))
 
 
 class Shard:
@@ -64,11 +114,15 @@ class Shard:
     rounded; whole vectors with exact impacts serve the documents that may be among the best.
     """
 
-    def __init__(self, ids, words, term, count, starts, known, df, n_docs: int, mean: float, k1: float, b: float):
+    def __init__(self, ids, words, term, count, starts, known, df, n_docs: int, mean: float, k1: float, b: float, placed: bool = False):
+        """With ``placed``, ``term`` are places in the ascending ``known``."""
         n = len(ids)
-        sort = np.argsort(known)
-        self.known, df, self.starts = known[sort], df[sort], starts
-        self.term = np.searchsorted(self.known, term).astype(np.int32)
+        if not placed:
+            sort = np.argsort(known)
+            known, df = known[sort], df[sort]
+            term = np.searchsorted(known, term)
+        self.known, self.starts = known, starts
+        self.term = term.astype(np.int32)
         doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
         idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
         self.impact = idf[self.term]
@@ -91,8 +145,9 @@ class Shard:
         self.back = similar_first(rows[:, :n])  # documents in the order of the blocks
         rows[:, :n] = rows[:, self.back]
         self.row_max = rows.reshape(len(frequent), self.n_blocks, BLOCK_DOCS).max(2)
-        self.rows = rows.reshape(-1, BLOCK_DOCS)  # the blocks of a term one after another
-        self.held = np.empty((max(OPEN_ROWS, len(frequent)), BLOCK_DOCS), np.float32)
+        # The terms of a block one after another.
+        self.rows = np.ascontiguousarray(rows.reshape(len(frequent), self.n_blocks, BLOCK_DOCS).transpose(1, 0, 2))
+        del rows
         place = np.empty(n, np.int32)
         place[self.back] = np.arange(n)
         at = np.flatnonzero(row < 0)
@@ -119,50 +174,139 @@ class Shard:
             out.append(np.bincount(owner[hit], weights=self.impact[at[hit]], minlength=len(own)))
         return np.round(np.concatenate(out), DECIMALS) if out else np.zeros(0)
 
-    def added(self, row: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Sums of rows over the documents of some blocks."""
-        held = self.held[: len(row) * len(blocks)]  # the same memory for all queries
-        np.take(self.rows, (row[:, None] * self.n_blocks + blocks).ravel(), axis=0, out=held, mode="clip")
-        return held.reshape(len(row), len(blocks), BLOCK_DOCS).sum(0)
-
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents for a set of terms (places in ``known``) and their scores.
-
-        Postings are added up first. A block's bound is the largest of these sums in it
-        and the block's maxima of the query's frequent terms. Blocks are opened with the
-        highest bound first, which raises the threshold, until no other can reach it. Only
-        documents whose rounded score does are scored exactly.
+        """The k best documents for a set of terms (places in ``known``) and their scores."""
+        _, docs, score = self.search_all(query, np.array([0, len(query)]), k, np.zeros(1))
+        return docs, score
+
+    def search_all(self, query: np.ndarray, cuts: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best documents for several sets of terms, between ``cuts``: set, document and score, k at most for each.
+
+        Only documents that score ``floor`` at least are sought. Postings are added up
+        first. A block's bound is the largest of these sums in it and the block's maxima
+        of the query's frequent terms. Blocks are opened with the highest bound first, for
+        all queries that open one at once; this raises the thresholds, until no other can
+        reach them. Only documents whose rounded score does are scored exactly.
         """
-        row = self.row_of[query]
-        rare, row = query[row < 0], row[row >= 0]
-        at = self.spread(self.post_starts[rare], self.post_starts[rare + 1] - self.post_starts[rare])
-        sums = np.bincount(self.post_doc[at], weights=self.post_impact[at], minlength=self.n_blocks * BLOCK_DOCS).reshape(-1, BLOCK_DOCS)
-        bound = sums.max(1) + self.row_max[row].sum(0, dtype=np.float64)
-        order = np.argsort(-bound)
-        keep = 1 - (len(query) + 4) * 2.0**-23  # sums of so many rounded numbers are within this of each other
-        best, docs, score, least, a = np.zeros(0), [], [], 0.0, 0
-        while a < len(order) and bound[order[a]] > 0 and bound[order[a]] >= least:
-            step = min(max(FIRST_BLOCKS, a), max(1, OPEN_ROWS // max(1, len(row))))
-            opened = order[a : a + step]
-            opened = opened[bound[opened] >= least]
+        n, size = len(cuts) - 1, np.diff(cuts)
+        row, of = self.row_of[query], np.repeat(np.arange(n), size)
+        sums = np.empty((n, self.n_blocks, BLOCK_DOCS), np.float32)
+        for i in range(n):
+            own = query[cuts[i] : cuts[i + 1]]
+            rare = own[row[cuts[i] : cuts[i + 1]] < 0]
+            at = self.spread(self.post_starts[rare], self.post_starts[rare + 1] - self.post_starts[rare])
+            sums[i] = np.bincount(self.post_doc[at], weights=self.post_impact[at], minlength=self.n_blocks * BLOCK_DOCS).reshape(-1, BLOCK_DOCS)
+        has = np.zeros((n, len(self.row_max)), np.float32)
+        has[of[row >= 0], row[row >= 0]] = 1
+        bound = sums.max(2) + has @ self.row_max
+        order = np.argsort(-bound, axis=1)
+        keep = 1 - (size + 4) * 2.0**-23  # sums of so many rounded numbers are within this of each other
+        least = np.where(floor > 0, floor * keep - 2 * 10.0**-DECIMALS, 0)
+        asked, docs, score, a = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), 0
+        while a < self.n_blocks:
+            step = max(1, min(max(FIRST_BLOCKS, 3 * a), OPEN_ROWS // max(1, n)))
+            block = order[:, a : a + step]
+            reach = np.take_along_axis(bound, block, 1)
+            of, at = np.nonzero((reach > 0) & (reach >= least[:, None]))
+            if not len(of):
+                break
             a += step
-            now = sums[opened] + self.added(row, opened)
-            now, place = now.ravel(), (opened[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
-            some = np.flatnonzero((now > 0) & (now >= least))
-            docs.append(place[some])
-            score.append(now[some])
-            best = np.concatenate((best, now[some]))
-            if len(best) >= k:
-                best = np.partition(best, len(best) - k)[-k:]
-                least = best[0] * keep - 2 * 10.0**-DECIMALS
-        if not docs:
-            return np.zeros(0, np.int64), np.zeros(0)
-        docs = np.concatenate(docs)[np.concatenate(score) >= least]
-        self.wanted[query] = True
-        score = self.exact(docs)
-        self.wanted[query] = False
-        order = np.lexsort((self.ids[docs], -score))[:k]
-        return docs[order], score[order]
+            block = block[of, at]
+            sort = np.argsort(block, kind="stable")
+            of, block = of[sort], block[sort]
+            now = sums[of, block]
+            first = np.flatnonzero(np.diff(block, prepend=-1))
+            for lo, hi in zip(first, [*first[1:], len(block)], strict=True):
+                now[lo:hi] += has[of[lo:hi]] @ self.rows[block[lo]]
+            pair, place = np.nonzero((now > 0) & (now >= least[of][:, None]))
+            asked = np.concatenate((asked, of[pair]))
+            docs = np.concatenate((docs, block[pair] * BLOCK_DOCS + place))
+            score = np.concatenate((score, now[pair, place]))
+            sort = np.lexsort((-score, asked))
+            asked, docs, score = asked[sort], docs[sort], score[sort]
+            starts = np.searchsorted(asked, np.arange(n + 1))
+            full = np.flatnonzero(np.diff(starts) >= k)
+            least[full] = np.maximum(least[full], score[starts[full] + k - 1] * keep[full] - 2 * 10.0**-DECIMALS)
+            some = score >= least[asked]
+            asked, docs, score = asked[some], docs[some], score[some]
+        starts = np.searchsorted(asked, np.arange(n + 1))
+        found = []
+        for i in np.flatnonzero(np.diff(starts)).tolist():
+            own, query_i = docs[starts[i] : starts[i + 1]], query[cuts[i] : cuts[i + 1]]
+            self.wanted[query_i] = True
+            exact = self.exact(own)
+            self.wanted[query_i] = False
+            best = np.lexsort((self.ids[own], -exact))[:k]
+            found.append((np.full(len(best), i), own[best], exact[best]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+class Cell:
+    """A block of queries that meets a group of documents, shard by shard.
+
+    Carries the k best of each query, so that a later shard only looks for better ones.
+    """
+
+    def __init__(self, k: int, shard_docs: int, *collection: float):
+        self.k, self.shard_docs, self.collection = k, shard_docs, collection
+        self.stats, self.asked, self.held, self.n_held = [], [], [], 0
+        self.of, self.found, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.known = None
+
+    def add(self, kind: int, row: dict) -> None:
+        """Takes a row: of frequencies, of queries or of documents; all of one kind before those of the next."""
+        if kind == FREQUENCIES:
+            self.stats.append((unpacked(row, "known"), unpacked(row, "often")))
+            return
+        if self.known is None:
+            self.known, self.df = (np.concatenate(x) for x in zip(*self.stats, strict=True)) if self.stats else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            order = np.argsort(self.known)
+            self.known, self.df, self.stats = self.known[order], self.df[order], []
+        term, count, size = places(row, self.known)
+        if kind == QUERIES:
+            self.asked.append((unpacked(row, "ids"), term, size))
+            return
+        self.held.append((unpacked(row, "ids"), unpacked(row, "words"), term.astype(np.int32), count, size))
+        self.n_held += len(size)
+        if self.n_held >= self.shard_docs:
+            self.search()
+
+    def search(self) -> None:
+        """Searches the documents held and lets them go."""
+        if len(self.asked) > 1:
+            self.asked = [tuple(np.concatenate(x) for x in zip(*self.asked, strict=True))]
+        held, self.held, self.n_held = self.held, [], 0
+        if not held or not self.asked:
+            return
+        ids, words, term, count, size = (np.concatenate(x) for x in zip(*held, strict=True))
+        del held
+        shard = Shard(ids, words, term, count, np.concatenate(([0], np.cumsum(size))), self.known, self.df, *self.collection, placed=True)
+        del term, count
+        _, query, size = self.asked[0]
+        cuts = np.concatenate(([0], np.cumsum(size)))
+        starts = np.searchsorted(self.of, np.arange(len(size) + 1))
+        floor = np.zeros(len(size))
+        full = np.flatnonzero(np.diff(starts) >= self.k)
+        floor[full] = self.score[starts[full] + self.k - 1]
+        of, found, score = [self.of], [self.found], [self.score]
+        for a in range(0, len(size), ASKED):
+            z = min(len(size), a + ASKED)
+            i, docs, exact = shard.search_all(query[cuts[a] : cuts[z]], cuts[a : z + 1] - cuts[a], self.k, floor[a:z])
+            of.append(i + a)
+            found.append(shard.ids[docs])
+            score.append(exact)
+        of, found, score = np.concatenate(of), np.concatenate(found), np.concatenate(score)
+        order = np.lexsort((found, -score, of))
+        of = of[order]
+        best = np.arange(len(of)) - np.searchsorted(of, of) < self.k
+        self.of, self.found, self.score = of[best], found[order][best], score[order][best]
+
+    def best(self) -> list[pa.Array]:
+        """Query, document and score of the k best, when all rows were added."""
+        self.search()
+        return [pa.array(self.asked[0][0][self.of] if self.asked else self.of), pa.array(self.found), pa.array(self.score)]
 
 
 def similar_first(rows: np.ndarray) -> np.ndarray:
@@ -175,7 +319,9 @@ def similar_first(rows: np.ndarray) -> np.ndarray:
     return np.lexsort((axes[:, 0], *(axes > 0).T[::-1]))
 
 
-def top_k(docs: DataFrame, queries: DataFrame, text: str = "text", k: int = 10, k1: float = 1.2, b: float = 0.75, shard_docs: int = 16_000, block_queries: int = 20_000) -> DataFrame:
+def top_k(
+    docs: DataFrame, queries: DataFrame, text: str = "text", k: int = 10, k1: float = 1.2, b: float = 0.75, shard_docs: int = 16_000, block_queries: int = 100_000, group_docs: int = 1_000_000
+) -> DataFrame:
     """``(query_id, doc_id, rank, score)``: the k best documents for each row of ``queries(query_id, text)``.
 
     BM25 over the distinct terms of the whole query text; terms are runs of ASCII
@@ -185,78 +331,76 @@ def top_k(docs: DataFrame, queries: DataFrame, text: str = "text", k: int = 10,
     one result each and are told apart by nothing.
 
     Document counts, document frequencies and the mean length are those of the whole
-    table, so scores from different shards can be merged. A shard holds about
-    ``shard_docs`` documents; it meets the queries in blocks of ``block_queries``.
+    table, so scores from different shards can be merged. Each group of about
+    ``group_docs`` documents at most, but no fewer groups than tasks run at once, meets
+    each block of about ``block_queries`` queries. A task streams the documents past the
+    queries in shards of about ``shard_docs``, and gives k rows a query. Only terms that
+    a query has are sent.
     """
+    spark = docs.sparkSession
     total = docs.filter("doc_id IS NOT NULL").count()
-    n_shards = max(1, math.ceil(total / shard_docs))
-    told = written(vectors(docs, text, n_shards))
-    n_docs, mean = told.filter("words > 0").agg(F.count("*"), F.avg("words")).first()
-    asked = queries.select(F.col("query_id").alias("doc_id"), text)
-    asked = written(vectors(asked, text, 1).filter("words > 0").select(F.col("doc_id").alias("query_id"), "terms"))
-    n_blocks = max(1, math.ceil(asked.count() / block_queries))
+    asked = written(vectors(queries.select(F.col("query_id").alias("doc_id"), text), text))
+    marks = spark.sparkContext.broadcast(bit_table(asked.select("known"), lambda batch: _bucket(_all_known(batch)), MARKS))
+    told = written(vectors(docs, text, marks))
+    n_docs, words = told.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
+    n_asked = asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_blocks = max(1, math.ceil(n_asked / block_queries))
+    tasks = min(spark.sparkContext.defaultParallelism, math.ceil(4 * total / shard_docs))
+    n_groups = max(1, math.ceil(total / group_docs), math.ceil(tasks / n_blocks))
+    collection = (n_docs, words / max(1, n_docs), k1, b)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shard = batch.column("shard").to_numpy()
-            lists = batch.column("terms")
-            term, of = lists.flatten().to_numpy(), np.repeat(shard, np.diff(lists.offsets.to_numpy()))
-            order = np.lexsort((term, of))
-            term, of = term[order], of[order]
-            new = np.ones(len(term), bool)
-            new[1:] = (term[1:] != term[:-1]) | (of[1:] != of[:-1])
-            first = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays([pa.array(of[first]), pa.array(term[first]), pa.array(np.diff(np.concatenate((first, [len(term)]))))], ["shard", "term", "n"])
-
-    local = told.select("shard", "terms").mapInArrow(frequencies, "shard int, term long, n long").groupBy("shard", "term").agg(F.sum("n").alias("n"))
-    local = written(local)
-    df = local.groupBy("term").agg(F.sum("n").alias("df"))
-    df = local.join(df, "term").groupBy("shard").agg(F.collect_list("term").alias("known"), F.collect_list("df").alias("df"))  # terms of a shard
-
-    each = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
-    left = told.filter("words > 0").select("shard", each, "doc_id", "words", "terms", "counts")
-    known = df.select("shard", each, F.lit(None).cast("long").alias("doc_id"), F.lit(-1).cast("long").alias("words"), F.col("known").alias("terms"), F.col("df").cast("array<int>").alias("counts"))
-    # Every shard gets every block of the stated queries.
-    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("block"), "query_id", "terms")
-
-    def run(index: pa.Table, wanted: pa.Table) -> pa.Table:
-        names = ["query_id", "doc_id", "score"]
-        none = pa.table({"query_id": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        is_row = pc.greater_equal(index["words"], 0)
-        rows, stats = index.filter(is_row), index.filter(pc.invert(is_row))
-        if not rows.num_rows or not wanted.num_rows:
-            return none
-
-        def joined(table: pa.Table, name: str) -> np.ndarray:
-            return np.concatenate([x.flatten().to_numpy() for x in table[name].chunks])
-
-        size = np.concatenate([np.diff(x.offsets.to_numpy()) for x in rows["terms"].chunks])
-        starts = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
-        columns = [rows["doc_id"].to_numpy(), rows["words"].to_numpy(), joined(rows, "terms"), joined(rows, "counts")]
-        known = [joined(stats, "terms"), joined(stats, "counts")]
-        del index, rows, stats
-        shard = Shard(*columns, starts, *known, n_docs, mean, k1, b)
-        del columns, known
-        of, found, scores = [], [], []
-        for a in range(0, wanted.num_rows, ASKED):
-            some = wanted.slice(a, ASKED)
-            value = joined(some, "terms")
-            at = np.minimum(np.searchsorted(shard.known, value), len(shard.known) - 1)
-            here = shard.known[at] == value
-            cuts = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(x.offsets.to_numpy()) for x in some["terms"].chunks]))))
-            for i, name in enumerate(some["query_id"].to_pylist()):
-                query = at[cuts[i] : cuts[i + 1]][here[cuts[i] : cuts[i + 1]]]
-                if len(query):
-                    docs_, score = shard.search(query, k)
-                    of.append(np.full(len(docs_), name))
-                    found.append(shard.ids[docs_])
-                    scores.append(score)
-        del shard, wanted
+            each = batch.to_pylist()
+            term, at = np.unique(np.concatenate([unpacked(r, "known") for r in each]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([unpacked(r, "often") for r in each]), minlength=len(term))
+            yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n.astype(np.int64))], ["term", "n"])
+
+    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                known = unpacked(r, "known")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(known), r["block"])), pa.array(known)], ["block", "term"])
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, term, df = (batch.column(c).to_numpy() for c in ("block", "term", "df"))
+            for one in np.unique(block):
+                columns = packed(known=term[block == one], often=df[block == one])
+                yield pa.RecordBatch.from_arrays([pa.array([one]), *columns], ["block", *PACKED])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, at = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["cell"] != at:
+                    if cell:
+                        yield pa.RecordBatch.from_arrays(cell.best(), ["query_id", "doc_id", "score"])
+                    cell, at = Cell(k, shard_docs, *collection), row["cell"]
+                cell.add(row["kind"], row)
+        if cell:
+            yield pa.RecordBatch.from_arrays(cell.best(), ["query_id", "doc_id", "score"])
         pa.default_memory_pool().release_unused()
-        if not of:
-            return none
-        return pa.table([pa.array(np.concatenate(x)) for x in (of, found, scores)], names=names)
 
-    best = left.union(known).groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run, "query_id long, doc_id long, score double")
+    def each(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    # Rows of stored tables are dealt in turn.
+    turn = F.monotonically_increasing_id()
+    in_blocks = asked.withColumn("block", F.pmod(turn, F.lit(n_blocks)))
+    df = told.select("known", "often").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    terms_of = in_blocks.select("block", "known").mapInArrow(vocabulary, "block long, term long").distinct()
+    stats = terms_of.join(df, "term").select("block", "term", "df").mapInArrow(together, f"block long, {CHUNK}")
+    in_groups = told.withColumn("group", F.pmod(turn, F.lit(n_groups))).withColumn("block", each(n_blocks))
+    rows = [stats.withColumn("group", each(n_groups)), in_blocks.withColumn("group", each(n_groups)), in_groups]
+    cell = (F.col("block") * n_groups + F.col("group")).cast("int").alias("cell")
+    rows = [x.select(cell, F.lit(kind).alias("kind"), *PACKED) for kind, x in zip((FREQUENCIES, QUERIES, DOCUMENTS), rows, strict=True)]
+    rows = rows[0].union(rows[1]).union(rows[2]).repartitionById(n_blocks * n_groups, F.col("cell")).sortWithinPartitions("cell", "kind")
+    best = rows.mapInArrow(run, "query_id long, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "doc_id", "rank", "score")
+
+
+def _all_known(batch: pa.RecordBatch) -> np.ndarray:
+    return np.concatenate([unpacked(r, "known") for r in batch.to_pylist()])
