@@ -25,8 +25,9 @@ BUCKETS = 1 << 23
 COUNTED = 1 << 10
 #: Pairs looked at at once.
 BLOCK = 250_000
-#: Bytes of text that one step of a task holds.
+#: Bytes of text that one step of a task holds, and of those whose lines are stored together.
 PIECE = (1 << 19) - 16
+STORED = (1 << 20) - 16
 #: Entries of prefix tokens that are packed together.
 PACKED = 1 << 16
 #: Sets of at least so many tokens have bitmaps of two words of 64 bits, and of four.
@@ -45,72 +46,122 @@ def _line_starts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 class Lines:
     """Token sets of the lines of a batch of texts, one after another, each token once.
 
-    With ``asked`` only of lines that have a token whose bucket is marked in these bits.
+    ``known`` are the distinct tokens of the batch, ascending, ``id`` the place in it of each
+    token of a set, ascending within the set.
     """
 
-    def __init__(self, texts: pa.Array, docs: np.ndarray, asked: np.ndarray | None = None):
+    def __init__(self, texts: pa.Array, docs: np.ndarray):
         data, starts = flat(texts)
-        line_starts, _, number = _line_starts(data, starts)
+        line_starts, text, number = _line_starts(data, starts)
         low = lower_ascii(data)
-        begin, end, owner = word_spans(low, starts)
+        begin, end, _ = word_spans(low, starts)
         line = owners(begin, line_starts) if len(begin) else begin
         token = span_hashes(prefix_sums(low), begin, end)
-        if asked is not None:
-            has = np.zeros(len(line_starts), bool)
-            has[line[_marked(asked, _bucket(token))]] = True
-            use = has[line]
-            token, line, owner = token[use], line[use], owner[use]
-        order = _within(line, token)
-        token, line, owner = token[order], line[order], owner[order]
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
-        self.token, line, owner = token[new], line[new], owner[new]
-        opens = np.ones(len(line), bool)
-        opens[1:] = line[1:] != line[:-1]
-        self.first = np.flatnonzero(opens)
-        self.size = np.diff(np.concatenate((self.first, [len(line)])))
-        text = owner[self.first]
-        self.doc = docs[text]
-        self.line = number[line[self.first]]
-        self.row = np.repeat(np.arange(len(self.first)), self.size)
+        order = _order(token)
+        ranked = token[order]
+        new = _changes(ranked)
+        id_ = np.empty(len(token), np.int64)
+        id_[order] = np.cumsum(new) - 1
+        line, id_ = _sorted(line, id_)
+        new = _changes(line) | _changes(id_)
+        line, id_ = line[new], id_[new]
+        first = np.flatnonzero(_changes(line))
+        line = line[first]
+        self._take(ranked[_changes(ranked)], id_, np.diff(np.concatenate((first, [len(id_)]))), docs[text[line]], number[line])
+
+    def _take(self, known: np.ndarray, id_: np.ndarray, size: np.ndarray, doc: np.ndarray, line: np.ndarray) -> None:
+        self.known, self.id, self.size, self.doc, self.line = known, id_, size, doc, line
+        self.first = np.cumsum(size) - size
+        self.row = np.repeat(np.arange(len(size)), size)
+
+    @property
+    def token(self) -> np.ndarray:
+        return self.known[self.id]
+
+    def only(self, some: np.ndarray) -> Lines:
+        """Those of the lines that are marked."""
+        out = Lines.__new__(Lines)
+        out._take(self.known, self.id[some[self.row]], self.size[some], self.doc[some], self.line[some])
+        return out
+
+    def packed(self) -> bytes:
+        step = np.diff(self.id, prepend=0)
+        step[self.first] = self.id[self.first]
+        arrays = [np.diff(self.known, prepend=np.uint64(0)), step.astype(np.int32), self.size.astype(np.int32), np.diff(self.doc, prepend=0), np.diff(self.line, prepend=0)]
+        head = np.array([len(self.known), len(self.id), len(self.size)], np.int64).tobytes()
+        return zstandard.compress(head + b"".join(planes(x) for x in arrays), 1)
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> Lines:
+        raw = zstandard.decompress(blob)
+        n_known, n, n_lines = np.frombuffer(raw, np.int64, 3).tolist()
+        found, at = [], 24
+        for count, kind in ((n_known, np.uint64), (n, np.int32), (n_lines, np.int32), (n_lines, np.int64), (n_lines, np.int64)):
+            to = at + count * np.dtype(kind).itemsize
+            found.append(unplanes(raw[at:to], kind))
+            at = to
+        known, step, size, doc, line = found
+        sums = np.concatenate(([0], np.cumsum(step, dtype=np.int64)))
+        size = size.astype(np.int64)
+        id_ = sums[1:] - np.repeat(sums[np.cumsum(size) - size], size)
+        out = cls.__new__(cls)
+        out._take(np.cumsum(known, dtype=np.uint64), id_, size, np.cumsum(doc), np.cumsum(line))
+        return out
 
     def keys(self) -> list[np.ndarray]:
         """128-bit hash of each set."""
         out = []
         for salt in (3, 4):
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(self.token + u64(salt * 0x9E3779B97F4A7C15)))))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(self.known + u64(salt * 0x9E3779B97F4A7C15))[self.id])))
             out.append(mixed(sums[self.first + self.size] - sums[self.first] + self.size.astype(np.uint64)).view(np.int64))
         return out
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before; the first does."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+def _order(token: np.ndarray) -> np.ndarray:
+    """An ascending order: sorting numbers is faster than sorting places by them."""
+    low = np.uint64((1 << 20) - 1)
+    if len(token) <= int(low):
+        order = (np.sort(token & ~low | np.arange(len(token), dtype=np.uint64)) & low).astype(np.int64)
+        ranked = token[order]
+        if (ranked[1:] >= ranked[:-1]).all():  # else two differ in the lower bits only
+            return order
+    return np.argsort(token)
+
+
+def _sorted(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both by row, then value; neither is as large as 2^31."""
+    key = np.sort(row << 32 | value)
+    return key >> 32, key & 0xFFFFFFFF
+
+
 def bitmaps(lines: Lines) -> list[np.ndarray]:
     """Four words for each line: each bit tells whether the number of its tokens is odd.
 
     A token in one of two sets changes one bit. Narrow bitmaps are wide ones whose words
     are added up (without carry), and so are differences of them.
     """
-    value = mixed(lines.token)
-    size = np.repeat(lines.size, lines.size)
-    word = (value >> np.uint64(56)) & np.where(size >= FOUR, 3, size >= TWO).astype(np.uint64)
-    bit = np.left_shift(np.uint64(1), value >> np.uint64(58))
-    none = np.uint64(0)
-    return [np.bitwise_xor.reduceat(np.where(word == np.uint64(k), bit, none), lines.first) if len(lines.first) else np.zeros(0, np.uint64) for k in range(4)]
-
-
-def _within(row: np.ndarray, token: np.ndarray, count: np.ndarray | None = None) -> np.ndarray:
-    """An order by row, then count (those above 65,534 are alike), then the upper bits of the token, then the rest of it."""
-    if count is None:
-        key = (row.astype(np.uint64) << np.uint64(40)) | (token >> np.uint64(24))
-    else:
-        key = (row.astype(np.uint64) << np.uint64(40)) | (np.minimum(count, 65_535).astype(np.uint64) << np.uint64(24)) | (token >> np.uint64(40))
-    if len(row) and row[-1] >= 1 << 24:
-        return np.lexsort((token, key & u64((1 << 40) - 1), row))
-    order = np.argsort(key)
-    ranked = key[order]
-    tie = np.flatnonzero(ranked[1:] == ranked[:-1])
-    if (token[order[tie]] != token[order[tie + 1]]).any():
-        return np.lexsort((token, key))
-    return order
+    none, out = np.uint64(0), [np.zeros(len(lines.size), np.uint64) for _ in range(4)]
+    if not len(lines.size):
+        return out
+    value = mixed(lines.known)
+    bit = np.left_shift(np.uint64(1), value >> np.uint64(58))[lines.id]
+    out[0] = np.bitwise_xor.reduceat(bit, lines.first)
+    wide = np.flatnonzero(lines.size >= TWO)  # all others have one word
+    if len(wide):
+        size = lines.size[wide]
+        first, at = np.cumsum(size) - size, np.flatnonzero((lines.size >= TWO)[lines.row])
+        word = (value >> np.uint64(56))[lines.id[at]] & np.repeat(np.where(size >= FOUR, 3, 1).astype(np.uint64), size)
+        bit = bit[at]
+        for k in range(4):
+            out[k][wide] = np.bitwise_xor.reduceat(np.where(word == np.uint64(k), bit, none), first)
+    return out
 
 
 def _bucket(token: np.ndarray) -> np.ndarray:
@@ -121,41 +172,45 @@ def _marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _each(df: DataFrame, text: str, make, schema: str, asked: Broadcast | None = None) -> DataFrame:
-    """``make(lines)`` gives the columns of each piece of ``df(doc_id, text)``."""
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, text, PIECE):
-                docs = part.column("doc_id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays(make(Lines(part.column(text), docs, asked and asked.value)), names)
-
-    return df.mapInArrow(run, schema)
+def _read(batch: pa.RecordBatch, text: str) -> Iterator[Lines]:
+    """The lines of a batch of texts, or of packed pieces in ``lines``."""
+    if "lines" in batch.schema.names:
+        for blob in batch.column("lines"):
+            yield Lines.unpacked(blob.as_py())
+        pa.default_memory_pool().release_unused()
+        return
+    for part in pieces(batch, text, PIECE):
+        yield Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
 
 
 def sets_and_counts(docs: DataFrame, text: str) -> DataFrame:
-    """One pass: a row ``(doc, line, k1, k2, n)`` for each line with words, and a task's counts.
+    """One pass: a row ``(doc, line, k1, k2, n)`` for each line with words, the lines of each piece and a task's counts.
 
-    These are rows with the range of buckets in ``line`` and the counts, packed, in ``counts``.
+    Lines are packed in ``lines``, so that texts are cut only here. Counts are rows with the
+    range of buckets in ``line`` and the counts, packed, in ``counts``.
     """
-    names = ["doc", "line", "k1", "k2", "n", "counts"]
+    names = ["doc", "line", "k1", "k2", "n", "counts", "lines"]
     width = BUCKETS // COUNTED
 
+    def rows(n_rows: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n_rows, pa.binary() if c in names[5:] else pa.int64())) for c in names], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int32)
         for batch in batches:
-            for part in pieces(batch, text, PIECE):
+            for part in pieces(batch, text, STORED):
                 lines = Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
-                np.add.at(total, _bucket(lines.token), np.int32(1))
-                columns = [pa.array(x) for x in (lines.doc, lines.line, *lines.keys(), lines.size)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(lines.doc), pa.binary())], names)
+                if not len(lines.id):
+                    continue
+                np.add.at(total, _bucket(lines.known), np.bincount(lines.id, minlength=len(lines.known)).astype(np.int32))
+                k1, k2 = lines.keys()
+                yield rows(len(k1), doc=pa.array(lines.doc), line=pa.array(lines.line), k1=pa.array(k1), k2=pa.array(k2), n=pa.array(lines.size))
+                yield rows(1, lines=pa.array([lines.packed()], pa.binary()))
         if total.any():
             blobs = [zstandard.compress(planes(total[k : k + width]), 1) for k in range(0, BUCKETS, width)]
-            none = pa.nulls(COUNTED, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(np.arange(COUNTED)), none, none, none, pa.array(blobs, pa.binary())], names)
+            yield rows(COUNTED, line=pa.array(np.arange(COUNTED)), counts=pa.array(blobs, pa.binary()))
 
-    return docs.mapInArrow(run, "doc long, line long, k1 long, k2 long, n long, counts binary")
+    return docs.mapInArrow(run, "doc long, line long, k1 long, k2 long, n long, counts binary, lines binary")
 
 
 def rarity(told: DataFrame) -> np.ndarray:
@@ -168,7 +223,7 @@ def rarity(told: DataFrame) -> np.ndarray:
         packed = zstandard.compress(planes(np.minimum(total, 2**31 - 1).astype(np.int32)), 1)
         return pa.table({"line": table["line"][:1], "counts": pa.array([packed], pa.binary())})
 
-    rows = told.filter("doc IS NULL").select("line", "counts").groupBy("line").applyInArrow(add, "line long, counts binary").collect()
+    rows = told.filter("counts IS NOT NULL").select("line", "counts").groupBy("line").applyInArrow(add, "line long, counts binary").collect()
     out = np.zeros((COUNTED, BUCKETS // COUNTED), np.int32)
     for r in rows:
         out[r.line] = unplanes(zstandard.decompress(r.counts), np.int32)
@@ -180,14 +235,14 @@ COLUMNS = ["tok", "doc", "line", "np", *BITS]
 ENTRY = ", ".join(f"{c} long" for c in COLUMNS)
 
 
-def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked: Broadcast | None = None, copies: bool = False, plain: bool = False) -> DataFrame:
+def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked: Broadcast | None = None, copies: bool = False, plain: bool = False, among: Broadcast | None = None) -> DataFrame:
     """``(part, blob)``: packed runs of the prefix tokens of every line, by range of the token.
 
     An entry has the token, the line's document and number, its size and the place of
-    the token in it, and a bitmap of all its tokens.
+    the token in it, and a bitmap of all its tokens. ``docs`` are texts or packed lines.
 
     A token that no other line has is left out: it makes no pair. So are those of buckets
-    not marked in the bits of ``asked``.
+    not marked in the bits of ``asked``, and lines not marked in those of ``among``.
     With ``plain`` rows are single entries, by ``COLUMNS``: few are asked for then.
 
     Within a piece of the input a set is given once, by its first line, except with
@@ -196,25 +251,41 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked
     a, b = least.numerator, least.denominator
 
     def make(lines: Lines):
-        k1, k2 = lines.keys()
-        order = np.lexsort((lines.line, lines.doc, k2, k1))
-        new = np.ones(len(order), bool)
-        new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
-        use = np.zeros(len(order), bool)
-        use[order if copies else order[new]] = True
+        if among is not None:
+            lines = lines.only(_marked(among.value, _mark(lines.doc, lines.line)))
+        count = np.minimum(rare.value[_bucket(lines.known)], 65_535).astype(np.uint16)
+        serves = count > 1
+        if asked is not None:
+            serves &= _marked(asked.value, _bucket(lines.known))
+            has = np.zeros(len(lines.size), bool)
+            has[lines.row[serves[lines.id]]] = True
+            lines = lines.only(has)
+        use = np.ones(len(lines.size), bool)
+        if not copies:
+            k1, k2 = lines.keys()
+            order = np.lexsort((lines.line, lines.doc, k2, k1))
+            use[order] = _changes(k1[order]) | _changes(k2[order])
         n = lines.size
         use &= (a * (n + 1) <= b * n) | (a * n <= b * (n - 1))  # a set one larger or one smaller may be similar
-        count = rare.value[_bucket(lines.token)]
-        order = _within(lines.row, lines.token, count)
-        pos = np.arange(len(order)) - lines.first[lines.row]
+        lines = lines.only(use)
+        n = lines.size
+        by = np.argsort(count, kind="stable")  # rare ones first, those above 65,534 alike, then by token
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        row, place = _sorted(lines.row, rank[lines.id])
+        id_ = by[place]
+        pos = np.arange(len(row)) - lines.first[row]
         length = n - (a * n + b - 1) // b + 1
-        keep = use[lines.row] & (pos < length[lines.row]) & (count[order] > 1)
-        if asked is not None:
-            keep &= _marked(asked.value, _bucket(lines.token[order]))
-        row, token = lines.row[keep], lines.token[order][keep]
-        columns = [token, lines.doc[row], lines.line[row], n[row] << 32 | pos[keep], *(x[row] for x in bitmaps(lines))]
+        keep = (pos < length[row]) & serves[id_]
+        row = row[keep]
+        columns = [lines.known[id_[keep]], lines.doc[row], lines.line[row], n[row] << 32 | pos[keep], *(x[row] for x in bitmaps(lines))]
         return [pa.array(x.view(np.int64)) for x in columns] if plain else columns
 
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lines in _read(batch, text):
+                yield pa.RecordBatch.from_arrays(make(lines), COLUMNS)
+
     def packed(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         """Entries of some pieces, in runs by range."""
         token, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -231,8 +302,8 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            for part in pieces(batch, text, PIECE):
-                held.append(make(Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))))
+            for lines in _read(batch, text):
+                held.append(make(lines))
                 n += len(held[-1][0])
                 if n >= PACKED:
                     yield packed(held)
@@ -241,7 +312,7 @@ def postings(docs: DataFrame, text: str, rare: Broadcast, least: Fraction, asked
             yield packed(held)
 
     n_parts = 2 * max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return _each(docs, text, make, ENTRY, asked) if plain else docs.mapInArrow(run, "part long, blob binary")
+    return docs.mapInArrow(single, ENTRY) if plain else docs.mapInArrow(run, "part long, blob binary")
 
 
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
@@ -373,31 +444,23 @@ def _sets(rows: DataFrame, marks: Broadcast, wide: list[str]) -> DataFrame:
     """``(doc, line, t, n, *wide)``: token sets of the lines that are marked, their sizes and wide bitmaps.
 
     Other lines may have the bit of a marked one: joins with the pairs leave them out.
-    Texts are read where they are, only sets are exchanged.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text", PIECE):
-                data, starts = flat(part.column("text"))
-                at, text, number = _line_starts(data, starts)
-                doc = part.column("doc_id").to_numpy()[text]
-                asked = _marked(marks.value, _mark(doc, number))
-                size = np.diff(np.concatenate((at, [len(data)])))
-                data, doc, number, size = data[np.repeat(asked, size)], doc[asked], number[asked], size[asked]
-                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-                each = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-                found = Lines(each, np.arange(len(size)))  # every line a text
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate((found.first, [len(found.token)])).astype(np.int32)), pa.array(found.token.view(np.int64)))
-                columns = [pa.array(doc[found.doc]), pa.array(number[found.doc]), lists, pa.array(found.size)]
+            for lines in _read(batch, "text"):
+                found = lines.only(_marked(marks.value, _mark(lines.doc, lines.line)))
+                token = found.token
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate((found.first, [len(token)])).astype(np.int32)), pa.array(token.view(np.int64)))
+                columns = [pa.array(found.doc), pa.array(found.line), lists, pa.array(found.size)]
                 if wide:
-                    bit = (mixed(found.token) >> np.uint64(55)).astype(np.int64)
+                    bit = (mixed(token) >> np.uint64(55)).astype(np.int64)
                     maps = np.zeros((len(found.first), len(wide)), np.uint64)
                     np.bitwise_or.at(maps, (found.row, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
                     columns += [pa.array(maps[:, k].view(np.int64)) for k in range(len(wide))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "line", "t", "n"] + wide)
 
-    return rows.filter("text IS NOT NULL").mapInArrow(cut, "doc long, line long, t array<long>, n long" + "".join(f", {x} long" for x in wide))
+    return rows.mapInArrow(cut, "doc long, line long, t array<long>, n long" + "".join(f", {x} long" for x in wide))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -465,6 +528,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     told = scratch.written(sets_and_counts(rows, "text"))
     rare = docs.sparkSession.sparkContext.broadcast(np.minimum(rarity(told), 65_535).astype(np.uint16))  # BUCKETS numbers, larger ones are alike
     lines = told.filter("doc IS NOT NULL")
+    sets = told.filter("lines IS NOT NULL").select("lines")
     firsts = scratch.written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -477,14 +541,14 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
 
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     whole = docs.select([f.name for f in kept]).mapInArrow(pack, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in kept))
-    posted = postings(rows, "text", rare, least)
+    posted = postings(sets, "text", rare, least)
     found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
-    first = scratch.written(_similar(found, rows, least, scratch, True))
+    first = scratch.written(_similar(found, sets, least, scratch, True))
     again = scratch.written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
-        own = rows.join(again.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
-        own = postings(own, "text", rare, least, copies=True, plain=True).join(again, ["doc", "line"])
+        among = docs.sparkSession.sparkContext.broadcast(_marks(again.selectExpr("doc AS xd", "line AS xl", "doc AS yd", "line AS yl")))
+        own = postings(sets, "text", rare, least, copies=True, plain=True, among=among).join(again, ["doc", "line"])
         size = F.expr("np >> 32")
         asked = scratch.written(own.groupBy("tok").agg(F.min(size).alias("lo"), F.max(size).alias("hi")))
         a, b = least.numerator, least.denominator
@@ -493,13 +557,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
         bits = F.bit_or(F.expr("shiftleft(1L, cast(tok & 63 as int))"))
         for r in asked.groupBy(F.shiftright(bucket, 6).alias("at")).agg(bits.alias("bits")).collect():  # a row for 64 buckets
             marks[8 * r["at"] : 8 * r["at"] + 8] = np.frombuffer(np.int64(r["bits"]).tobytes(), np.uint8)
-        entries = postings(rows, "text", rare, least, docs.sparkSession.sparkContext.broadcast(marks), plain=True)  # a bit for each bucket
+        entries = postings(sets, "text", rare, least, docs.sparkSession.sparkContext.broadcast(marks), plain=True)  # a bit for each bucket
         # Of the lines of these tokens only those whose sizes allow the similarity.
         entries = entries.join(asked, "tok").filter((size * b >= F.col("lo") * a) & (size * a <= F.col("hi") * b)).drop("lo", "hi")
         marked = entries.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = marked.repartition("tok").sortWithinPartitions("tok", "np").mapInArrow(_candidates(most, least, True), PAIR)
-        repeated = repeated.union(_similar(rest, rows, least, scratch, False).filter("good").select("doc", "line"))
+        repeated = repeated.union(_similar(rest, sets, least, scratch, False).filter("good").select("doc", "line"))
 
     known = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
     known = known.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
