@@ -14,14 +14,24 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import bit_table, flat, lowered, MARKS, pieces, planes, prefix_sums, span_hashes, unplanes, word_spans, WORD_BREAK, written
 
-#: Documents whose impacts on a term share one maximum.
-BLOCK_DOCS = 64
 #: Terms with a row of their own in a shard: at most so many, in over one of so many documents.
-MOST_ROWS, LEAST_SHARE = 512, 16
-#: Terms and axes by which documents are put in order.
-ORDER_TERMS, ORDER_AXES = 128, 5
-#: Blocks opened at first, pairs of a query and a block opened and documents scored exactly at once.
-FIRST_BLOCKS, OPEN_ROWS, EXACT_DOCS = 8, 1 << 14, 1_024
+MOST_ROWS, LEAST_SHARE = 1_024, 32
+#: A document's whole numbers in these rows add up to less.
+SUMS = 1 << 12
+#: Documents with fewer of these terms, on average, share numbers.
+SHARED = 128
+#: Lists of so many postings are taken one by one, shorter ones together; postings whose impacts are worked out at once.
+LONG, STEP = 24, 1 << 20
+#: Documents whose terms are looked through at once.
+STEP_DOCS = 1 << 12
+#: Terms by which similar documents are found, and the share of all variance that an axis has which parts them.
+ORDER_TERMS, AXIS = 128, 0.1
+#: Shards, and terms of documents, held before they are searched; terms and documents of a shard at most.
+HELD, HELD_TERMS, SHARD_TERMS, MOST_DOCS = 3, 1 << 24, 1 << 22, 1 << 16
+#: Queries whose bounds are unpacked, and documents scored exactly, at once.
+OPEN_ROWS, EXACT_DOCS = 32, 1_024
+#: Sums of postings, of some queries, worked out at once.
+SUMMED = 1 << 14
 #: Queries looked up at once.
 ASKED = 512
 #: What a row of a cell holds, in the order in which a task reads them.
@@ -107,11 +117,12 @@ def places(row: dict, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 class Shard:
-    """Inverted index of some documents, in blocks of similar ones.
+    """Inverted index of some documents.
 
-    The most frequent terms have a row each of a table: their impacts on all documents,
-    and the largest one of each block. All other terms have lists of postings. Both are
-    rounded; whole vectors with exact impacts serve the documents that may be among the best.
+    The most frequent terms have a row each of a table: their impacts on all documents. Those
+    of short documents are rounded up to whole numbers so small that two documents share a number
+    and a matrix product adds both up at once. All other terms have lists of postings. Both give upper bounds of all
+    scores; whole vectors with exact impacts serve the documents that may be among the best.
     """
 
     def __init__(self, ids, words, term, count, starts, known, df, n_docs: int, mean: float, k1: float, b: float, placed: bool = False):
@@ -121,43 +132,69 @@ class Shard:
             sort = np.argsort(known)
             known, df = known[sort], df[sort]
             term = np.searchsorted(known, term)
-        self.known, self.starts = known, starts
-        self.term = term.astype(np.int32)
+        self.known, self.starts, self.ids = known, starts, ids
+        self.term, self.count, self.gain = term.astype(np.int32, copy=False), count, k1 + 1
+        self.idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+        self.weight = k1 * (1 - b + b * words / mean)
         doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
-        idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-        self.impact = idf[self.term]
-        self.impact *= count
-        self.impact *= k1 + 1
-        weight = (k1 * (1 - b + b * words / mean))[doc]
-        weight += count
-        self.impact /= weight
-        del weight
-        often = np.bincount(self.term, minlength=len(self.known))
-        frequent = np.argsort(-often, kind="stable")[:MOST_ROWS]
-        frequent = frequent[often[frequent] > n / LEAST_SHARE]
-        self.row_of = np.full(len(self.known), -1, np.int32)
-        self.row_of[frequent] = np.arange(len(frequent))
-        row = self.row_of[self.term]
+        impact = np.empty(len(self.term), np.float32)
+        for x in range(0, len(impact), STEP):
+            own = slice(x, x + STEP)
+            impact[own] = self.impacts(self.term[own], self.count[own], doc[own])
+        often = np.bincount(self.term, minlength=len(known))
+        frequent = np.flatnonzero(often > n / LEAST_SHARE)
+        frequent = frequent[np.argsort(-often[frequent], kind="stable")[:MOST_ROWS]]
+        # The terms that are here: those with rows come first, the others have their postings one after another.
+        others = often > 0
+        others[frequent] = False
+        others = np.flatnonzero(others)
+        self.slot = np.full(len(known), -1, np.int32)
+        self.slot[frequent] = np.arange(len(frequent))
+        self.slot[others] = np.arange(len(frequent), len(frequent) + len(others))
+        row = self.slot[self.term]
+        row[row >= len(frequent)] = -1
         at = np.flatnonzero(row >= 0)
-        self.n_blocks = max(1, -(-n // BLOCK_DOCS))
-        rows = np.zeros((len(frequent), self.n_blocks * BLOCK_DOCS), np.float32)
-        rows[row[at], doc[at]] = self.impact[at]
-        self.back = similar_first(rows[:, :n])  # documents in the order of the blocks
-        rows[:, :n] = rows[:, self.back]
-        self.row_max = rows.reshape(len(frequent), self.n_blocks, BLOCK_DOCS).max(2)
-        # The terms of a block one after another.
-        self.rows = np.ascontiguousarray(rows.reshape(len(frequent), self.n_blocks, BLOCK_DOCS).transpose(1, 0, 2))
-        del rows
-        place = np.empty(n, np.int32)
-        place[self.back] = np.arange(n)
+        self._table(row[at], doc[at], impact[at], len(frequent), n)
         at = np.flatnonzero(row < 0)
         del row
         at = at[np.argsort(self.term[at], kind="stable")]
-        self.post_doc, self.post_impact = place[doc[at]], self.impact[at].astype(np.float32)
-        often[frequent] = 0
-        self.post_starts = np.concatenate(([0], np.cumsum(often)))
-        self.ids = ids[self.back]
-        self.wanted = np.zeros(len(self.known), bool)
+        # A number is a float, larger than the impact by 1.6 % at most, whose lower half is the document.
+        self.post = (impact[at].view(np.uint32) + np.uint32(MOST_DOCS - 1) & ~np.uint32(MOST_DOCS - 1)) | doc[at].astype(np.uint32)
+        del doc, impact, at
+        self.post_starts = np.concatenate(([0], np.cumsum(often[others])))
+        self.wanted = np.zeros(len(known), bool)
+
+    def impacts(self, term: np.ndarray, count: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        impact = self.idf[term]
+        impact *= count
+        impact *= self.gain
+        weight = self.weight[doc]
+        weight += count
+        impact /= weight
+        return impact
+
+    def _table(self, row: np.ndarray, doc: np.ndarray, impact: np.ndarray, n_rows: int, n: int) -> None:
+        """The table of frequent terms: column ``j`` has document ``j`` and, if they share it, 2^12 times document ``j + half``.
+
+        A document's whole numbers add up to less than 2^12, so sums are exact in the 24 bits of a float.
+        Documents with many of the terms would be rounded too much: they have a column each.
+        """
+        self.row_max = np.zeros(n_rows, np.float32)
+        np.maximum.at(self.row_max, row, impact)
+        self.shared = len(row) < SHARED * n
+        self.half = half = -(-n // 2) if self.shared else n
+        self.rows = np.zeros((n_rows, half), np.float32)
+        if not self.shared:
+            self.rows[row, doc] = impact
+            return
+        size, total = np.bincount(doc, minlength=n), np.bincount(doc, weights=impact, minlength=n)
+        step = np.maximum(total / (SUMS - 2 - 2 * size), 1e-30).astype(np.float32)
+        whole = np.ceil(impact / step[doc])
+        whole += whole * step[doc] < impact  # quotients are rounded: no product may fall short of its impact
+        for hi in (False, True):
+            own = (doc >= half) == hi
+            self.rows[row[own], doc[own] - half * hi] += whole[own] * np.float32(SUMS if hi else 1)
+        self.low, self.high = step[:half], step[half:]
 
     def spread(self, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
         return np.repeat(starts - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -166,12 +203,14 @@ class Shard:
         """Whole scores of documents for the terms marked in ``wanted``."""
         out = []
         for a in range(0, len(docs), EXACT_DOCS):
-            own = self.back[docs[a : a + EXACT_DOCS]]
-            size = self.starts[own + 1] - self.starts[own]
-            at = self.spread(self.starts[own], size)
-            owner = np.repeat(np.arange(len(own)), size)
-            hit = self.wanted[self.term[at]]
-            out.append(np.bincount(owner[hit], weights=self.impact[at[hit]], minlength=len(own)))
+            own = docs[a : a + EXACT_DOCS]
+            starts, ends = self.starts[own], self.starts[own + 1]
+            hit = np.flatnonzero(self.wanted[np.concatenate([self.term[x:y] for x, y in zip(starts.tolist(), ends.tolist(), strict=True)])])
+            past = np.cumsum(ends - starts)
+            owner = np.searchsorted(past, hit, "right")
+            at = hit + (ends - past)[owner]
+            impact = self.impacts(self.term[at], self.count[at], own[owner])
+            out.append(np.bincount(owner, weights=impact, minlength=len(own)))
         return np.round(np.concatenate(out), DECIMALS) if out else np.zeros(0)
 
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,66 +221,110 @@ class Shard:
     def search_all(self, query: np.ndarray, cuts: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The best documents for several sets of terms, between ``cuts``: set, document and score, k at most for each.
 
-        Only documents that score ``floor`` at least are sought. Postings are added up
-        first. A block's bound is the largest of these sums in it and the block's maxima
-        of the query's frequent terms. Blocks are opened with the highest bound first, for
-        all queries that open one at once; this raises the thresholds, until no other can
-        reach them. Only documents whose rounded score does are scored exactly.
+        Only documents that score ``floor`` at least are sought. Postings are added up first;
+        a set that does not reach its floor with the best of these sums and all maxima of its
+        rows is done. For all others rows are added: these are bounds of all documents.
+        Those that can be among the best are scored exactly.
         """
         n, size = len(cuts) - 1, np.diff(cuts)
-        row, of = self.row_of[query], np.repeat(np.arange(n), size)
-        sums = np.empty((n, self.n_blocks, BLOCK_DOCS), np.float32)
-        for i in range(n):
-            own = query[cuts[i] : cuts[i + 1]]
-            rare = own[row[cuts[i] : cuts[i + 1]] < 0]
-            at = self.spread(self.post_starts[rare], self.post_starts[rare + 1] - self.post_starts[rare])
-            sums[i] = np.bincount(self.post_doc[at], weights=self.post_impact[at], minlength=self.n_blocks * BLOCK_DOCS).reshape(-1, BLOCK_DOCS)
-        has = np.zeros((n, len(self.row_max)), np.float32)
-        has[of[row >= 0], row[row >= 0]] = 1
-        bound = sums.max(2) + has @ self.row_max
-        order = np.argsort(-bound, axis=1)
         keep = 1 - (size + 4) * 2.0**-23  # sums of so many rounded numbers are within this of each other
-        least = np.where(floor > 0, floor * keep - 2 * 10.0**-DECIMALS, 0)
-        asked, docs, score, a = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), 0
-        while a < self.n_blocks:
-            step = max(1, min(max(FIRST_BLOCKS, 3 * a), OPEN_ROWS // max(1, n)))
-            block = order[:, a : a + step]
-            reach = np.take_along_axis(bound, block, 1)
-            of, at = np.nonzero((reach > 0) & (reach >= least[:, None]))
-            if not len(of):
-                break
-            a += step
-            block = block[of, at]
-            sort = np.argsort(block, kind="stable")
-            of, block = of[sort], block[sort]
-            now = sums[of, block]
-            first = np.flatnonzero(np.diff(block, prepend=-1))
-            for lo, hi in zip(first, [*first[1:], len(block)], strict=True):
-                now[lo:hi] += has[of[lo:hi]] @ self.rows[block[lo]]
-            pair, place = np.nonzero((now > 0) & (now >= least[of][:, None]))
-            asked = np.concatenate((asked, of[pair]))
-            docs = np.concatenate((docs, block[pair] * BLOCK_DOCS + place))
-            score = np.concatenate((score, now[pair, place]))
-            sort = np.lexsort((-score, asked))
-            asked, docs, score = asked[sort], docs[sort], score[sort]
-            starts = np.searchsorted(asked, np.arange(n + 1))
-            full = np.flatnonzero(np.diff(starts) >= k)
-            least[full] = np.maximum(least[full], score[starts[full] + k - 1] * keep[full] - 2 * 10.0**-DECIMALS)
-            some = score >= least[asked]
-            asked, docs, score = asked[some], docs[some], score[some]
-        starts = np.searchsorted(asked, np.arange(n + 1))
+        least = np.maximum(np.where(floor > 0, floor * keep - 2 * 10.0**-DECIMALS, 0), 1e-30)
+        slot = self.slot[query]
+        here = np.flatnonzero(slot >= 0)
+        slot, of = slot[here], np.repeat(np.arange(n), size)[here]
+        rare = slot >= len(self.rows)
+        bound = self.sums(slot[rare] - len(self.rows), of[rare], n)
+        row, of = slot[~rare], of[~rare]
+        reach = bound.max(1, initial=0) + np.bincount(of, weights=self.row_max[row], minlength=n) * (2 - keep)
+        open_ = np.flatnonzero(reach >= least)
+        at = np.full(n, -1)
+        at[open_] = np.arange(len(open_))
+        at = at[of]
+        has = np.zeros((len(open_), len(self.rows)), np.float32)
+        has[at[at >= 0], row[at >= 0]] = 1
+        both = has @ self.rows
         found = []
-        for i in np.flatnonzero(np.diff(starts)).tolist():
-            own, query_i = docs[starts[i] : starts[i + 1]], query[cuts[i] : cuts[i + 1]]
-            self.wanted[query_i] = True
-            exact = self.exact(own)
-            self.wanted[query_i] = False
-            best = np.lexsort((self.ids[own], -exact))[:k]
-            found.append((np.full(len(best), i), own[best], exact[best]))
+        for a in range(0, len(open_), OPEN_ROWS):
+            some = open_[a : a + OPEN_ROWS]
+            now = bound[some]
+            self.unpack(both[a : a + OPEN_ROWS], now)
+            for j in np.flatnonzero(now.max(1) >= least[some]).tolist():
+                i = some[j]
+                docs = np.flatnonzero(now[j] >= least[i])
+                own, score = self.best(query[cuts[i] : cuts[i + 1]], docs, now[j, docs], k, floor[i], keep[i])
+                found.append((np.full(len(own), i), own, score))
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
+    def sums(self, term: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+        """The postings of some terms, by place in ``post_starts``, added up in ``n`` rows, ``of`` which the terms are."""
+        n_docs, starts = len(self.ids), self.post_starts[term]
+        size = self.post_starts[term + 1] - starts
+        long = size > LONG
+        few = self.post[self.spread(starts[~long], size[~long])]
+        total = np.bincount(of, weights=size, minlength=n).astype(np.int64)
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(of[~long], weights=size[~long], minlength=n)))).astype(np.int64).tolist()
+        ends = np.searchsorted(of[long], np.arange(n + 1)).tolist()
+        spans = list(zip(starts[long].tolist(), (starts + size)[long].tolist(), strict=True))
+        out, post = np.empty((n, n_docs), np.float32), self.post
+        step = max(1, SUMMED // max(1, n_docs))
+        most = max((int(total[a : a + step].sum()) for a in range(0, n, step)), default=0)
+        # Memory that is used again is not cleared each time.
+        both, docs, impact = np.empty(most, np.uint32), np.empty(most, np.int64), np.empty(most, np.float64)
+        for a in range(0, n, step):
+            z, at = min(n, a + step), 0
+            lists = []
+            for i in range(a, z):
+                lists.append(few[cuts[i] : cuts[i + 1]])
+                lists += [post[x:y] for x, y in spans[ends[i] : ends[i + 1]]]
+            m = int(total[a:z].sum())
+            np.concatenate(lists, out=both[:m])
+            np.bitwise_and(both[:m], np.uint32(MOST_DOCS - 1), out=docs[:m], casting="unsafe")
+            for i in range(a, z):
+                docs[at : at + total[i]] += (i - a) * n_docs
+                at += total[i]
+            impact[:m] = both[:m].view(np.float32)
+            out[a:z] = np.bincount(docs[:m], weights=impact[:m], minlength=(z - a) * n_docs).reshape(z - a, n_docs)
+        return out
+
+    def unpack(self, both: np.ndarray, bound: np.ndarray) -> None:
+        """Adds what products with the rows stand for; these are changed."""
+        if not self.shared:
+            bound += both
+            return
+        high = both * np.float32(1 / SUMS)
+        np.floor(high, out=high)
+        whole = high * np.float32(SUMS)
+        both -= whole
+        both *= self.low
+        bound[:, : self.half] += both
+        high = high[:, : bound.shape[1] - self.half]
+        high *= self.high
+        bound[:, self.half :] += high
+
+    def best(self, query: np.ndarray, docs: np.ndarray, bound: np.ndarray, k: int, floor: float, keep: float) -> tuple[np.ndarray, np.ndarray]:
+        """Of these documents, whose scores are at most ``bound``, the k best that score ``floor`` at least."""
+        self.wanted[query] = True
+        kept, score, step = np.zeros(0, np.int64), np.zeros(0), k + 4
+        while len(docs):
+            if len(docs) > step:
+                part = np.argpartition(-bound, step - 1)
+                now, rest = part[:step], part[step:]
+            else:
+                now, rest = np.arange(len(docs)), np.zeros(0, np.int64)
+            kept, score = np.concatenate((kept, docs[now])), np.concatenate((score, self.exact(docs[now])))
+            docs, bound, step = docs[rest], bound[rest], 2 * step
+            good = np.lexsort((self.ids[kept], -score))[:k]
+            good = good[score[good] >= floor]
+            kept, score = kept[good], score[good]
+            if len(kept) == k:
+                rest = bound >= score[-1] * keep - 2 * 10.0**-DECIMALS
+                docs, bound = docs[rest], bound[rest]
+        self.wanted[query] = False
+        some = score > 0
+        return kept[some], score[some]
+
 
 class Cell:
     """A block of queries that meets a group of documents, shard by shard.
@@ -251,9 +334,9 @@ class Cell:
 
     def __init__(self, k: int, shard_docs: int, *collection: float):
         self.k, self.shard_docs, self.collection = k, shard_docs, collection
-        self.stats, self.asked, self.held, self.n_held = [], [], [], 0
+        self.stats, self.asked, self.held, self.n_held, self.n_terms = [], [], [], 0, 0
         self.of, self.found, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        self.known = None
+        self.known, self.together = None, False
 
     def add(self, kind: int, row: dict) -> None:
         """Takes a row: of frequencies, of queries or of documents; all of one kind before those of the next."""
@@ -265,25 +348,57 @@ class Cell:
             order = np.argsort(self.known)
             self.known, self.df, self.stats = self.known[order], self.df[order], []
         term, count, size = places(row, self.known)
+        term = term.astype(np.int32)
         if kind == QUERIES:
             self.asked.append((unpacked(row, "ids"), term, size))
             return
-        self.held.append((unpacked(row, "ids"), unpacked(row, "words"), term.astype(np.int32), count, size))
+        self.hold(unpacked(row, "ids"), unpacked(row, "words"), term, count, size)
+
+    def hold(self, ids: np.ndarray, words: np.ndarray, term: np.ndarray, count: np.ndarray, size: np.ndarray) -> None:
+        if not count.size or count.max() < 1 << 16:
+            count = count.astype(np.uint16)
+        self.held.append((ids, words, term, count, size))
         self.n_held += len(size)
-        if self.n_held >= self.shard_docs:
+        self.n_terms += len(term)
+        if self.n_held >= HELD * self.shard_docs or self.n_terms >= HELD_TERMS:
             self.search()
 
-    def search(self) -> None:
-        """Searches the documents held and lets them go."""
-        if len(self.asked) > 1:
-            self.asked = [tuple(np.concatenate(x) for x in zip(*self.asked, strict=True))]
-        held, self.held, self.n_held = self.held, [], 0
+    def search(self, last: bool = False) -> None:
+        """Searches the documents held, similar ones together, and lets them go.
+
+        Sets much smaller than a shard wait for more like them, if it isn't the ``last`` time.
+        """
+        if not self.together and self.asked:
+            ids, query, size = _joined(self.asked)
+            starts = np.concatenate(([0], np.cumsum(size)))
+            order = np.concatenate(similar(query, starts, len(size), len(query)))
+            query = np.concatenate([query[_terms_of(starts, order[a : a + STEP_DOCS])] for a in range(0, len(order), STEP_DOCS)])
+            self.asked, self.together = [(ids[order], query, size[order])], True
+        held, self.held, self.n_held, self.n_terms = self.held, [], 0, 0
         if not held or not self.asked:
             return
-        ids, words, term, count, size = (np.concatenate(x) for x in zip(*held, strict=True))
-        del held
-        shard = Shard(ids, words, term, count, np.concatenate(([0], np.cumsum(size))), self.known, self.df, *self.collection, placed=True)
-        del term, count
+        ids, words, term, count, size = _joined(held)
+        starts = np.concatenate(([0], np.cumsum(size)))
+        sets = similar(term, starts, min(self.shard_docs, MOST_DOCS), SHARD_TERMS)
+        by_size, wait = sorted(sets, key=len), []
+        while not last and len(by_size) > 1 and 2 * len(by_size[0]) < self.shard_docs and 4 * size[by_size[0]].sum() < SHARD_TERMS and 3 * sum(map(len, [*wait, by_size[0]])) < len(size):
+            wait.append(by_size.pop(0))
+        for own in sets:
+            if any(own is x for x in wait):
+                continue
+            at = _terms_of(starts, own)
+            shard = Shard(ids[own], words[own], term[at], count[at], np.concatenate(([0], np.cumsum(size[own]))), self.known, self.df, *self.collection, placed=True)
+            del at
+            self.ask(shard)
+            del shard
+        for own in wait:
+            at = _terms_of(starts, own)
+            self.held.append((ids[own], words[own], term[at], count[at], size[own]))
+            self.n_held += len(own)
+            self.n_terms += len(at)
+
+    def ask(self, shard: Shard) -> None:
+        """All queries of one shard."""
         _, query, size = self.asked[0]
         cuts = np.concatenate(([0], np.cumsum(size)))
         starts = np.searchsorted(self.of, np.arange(len(size) + 1))
@@ -305,18 +420,64 @@ class Cell:
 
     def best(self) -> list[pa.Array]:
         """Query, document and score of the k best, when all rows were added."""
-        self.search()
+        self.search(last=True)
         return [pa.array(self.asked[0][0][self.of] if self.asked else self.of), pa.array(self.found), pa.array(self.score)]
 
 
-def similar_first(rows: np.ndarray) -> np.ndarray:
-    """An order of documents in which those with the same frequent terms lie together, by the main axes of their presence."""
-    has = (rows[:ORDER_TERMS] > 0).T.astype(np.float32)
-    if not has.size:
-        return np.arange(rows.shape[1])
-    has -= has.mean(0)
-    axes = has @ np.linalg.eigh(has.T @ has)[1][:, ::-1][:, :ORDER_AXES]
-    return np.lexsort((axes[:, 0], *(axes > 0).T[::-1]))
+def _joined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """The arrays of all parts, one after another. The parts are let go."""
+    out = []
+    for k in range(len(parts[0])):
+        out.append(np.concatenate([x[k] for x in parts]))
+        parts[:] = [(*x[:k], None, *x[k + 1 :]) for x in parts]
+    return tuple(out)
+
+
+def _terms_of(starts: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The places of all terms of some documents."""
+    size = starts[docs + 1] - starts[docs]
+    at = np.repeat(starts[docs] - np.cumsum(size) + size, size)
+    at += np.arange(len(at))
+    return at
+
+
+def similar(term: np.ndarray, starts: np.ndarray, most: int, most_terms: int) -> list[np.ndarray]:
+    """Documents in sets of at most ``most`` with ``most_terms`` or one, those with the same frequent terms together and long ones first.
+
+    A set is cut at zero of the main axis of the presence of frequent terms if that stands
+    out, as languages do. Else one that is too large is cut by the number of terms.
+    """
+    size = np.diff(starts)
+    often = np.bincount(term)
+    frequent = np.argsort(-often, kind="stable")[: 4 * ORDER_TERMS]
+    row = np.full(len(often) + 1, -1, np.int16)
+    row[frequent] = np.arange(len(frequent))
+    all_ = np.zeros((len(size), len(frequent)), bool)
+    for a in range(0, len(size), STEP_DOCS):
+        z = min(len(size), a + STEP_DOCS)
+        own = row[term[starts[a] : starts[z]]]
+        of = np.repeat(np.arange(a, z), size[a:z])
+        all_[of[own >= 0], own[own >= 0]] = True
+    done, todo = [], [np.arange(len(size))]
+    while todo:
+        own = todo.pop()
+        left = np.zeros(len(own), bool)
+        if len(own) > 1 and len(own) > most // 4:
+            has = all_[own]
+            has = has[:, np.argsort(-has.sum(0), kind="stable")[:ORDER_TERMS]].astype(np.float32)
+            has /= np.sqrt(np.maximum(has.sum(1), 1))[:, None]
+            has -= has.mean(0)
+            share, axes = np.linalg.eigh(has.T @ has)
+            if len(share) and share[-1] > AXIS * share.sum():
+                left = has @ axes[:, -1] < 0
+        if not len(own) / 32 <= left.sum() <= len(own) * 31 / 32:
+            if len(own) <= most and size[own].sum() <= most_terms or len(own) < 2:
+                done.append(own)
+                continue
+            left = np.arange(len(own)) < len(own) // 2
+            own = own[np.argsort(size[own], kind="stable")]
+        todo += [own[left], own[~left]]
+    return sorted(done, key=lambda own: -size[own].sum() / max(1, len(own)))
 
 
 def top_k(
