@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,24 @@ class Scratch:
         self.release()
 
 
+#: Bytes of an Arrow batch sent to a Python worker: the JVM and the worker hold it at once, the JVM in memory beside its heap.
+BATCH_BYTES = 4 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """From now on plans of the session send rows to Python in batches of ``BATCH_BYTES`` at most, unless it has a limit of its own."""
+    if spark.conf.get(_BATCHES, None) is None:
+        spark.conf.set(_BATCHES, BATCH_BYTES)
+
+
+def free_memory() -> None:
+    """Gives memory that is free back to the system: a worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # the C library may not have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def labelled(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
     """All training rows: one label per id (the largest), fold 0 of 5 held out."""
     rows = labels.select(doc_id, F.col(label).cast("int").alias(label)).dropna()

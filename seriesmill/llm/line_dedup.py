@@ -17,14 +17,14 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import bit_table, flat, lower_ascii, MARKS, mixed, owners, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
+from seriesmill.llm.common import bit_table, flat, free_memory, lean_batches, lower_ascii, MARKS, mixed, owners, pieces, planes, prefix_sums, ranges, span_hashes, Scratch, u64, unplanes, word_spans, written
 
 #: Tokens are counted in so many buckets; any order is right, the counts make it a rare-first one.
 BUCKETS = 1 << 23
 #: Ranges of buckets that counts travel in.
 COUNTED = 1 << 10
 #: Pairs looked at at once.
-BLOCK = 250_000
+BLOCK = 100_000
 #: Bytes of text that one step of a task holds, and of those whose lines are stored together.
 PIECE = (1 << 19) - 16
 STORED = (1 << 20) - 16
@@ -177,7 +177,7 @@ def _read(batch: pa.RecordBatch, text: str) -> Iterator[Lines]:
     if "lines" in batch.schema.names:
         for blob in batch.column("lines"):
             yield Lines.unpacked(blob.as_py())
-        pa.default_memory_pool().release_unused()
+        free_memory()
         return
     for part in pieces(batch, text, PIECE):
         yield Lines(part.column(text), part.column("doc_id").to_numpy(zero_copy_only=False))
@@ -208,7 +208,9 @@ def sets_and_counts(docs: DataFrame, text: str) -> DataFrame:
                 yield rows(1, lines=pa.array([lines.packed()], pa.binary()))
         if total.any():
             blobs = [zstandard.compress(planes(total[k : k + width]), 1) for k in range(0, BUCKETS, width)]
+            del total
             yield rows(COUNTED, line=pa.array(np.arange(COUNTED)), counts=pa.array(blobs, pa.binary()))
+        free_memory()
 
     return docs.mapInArrow(run, "doc long, line long, k1 long, k2 long, n long, counts binary, lines binary")
 
@@ -410,10 +412,15 @@ def _candidates(most: int, least: Fraction, only: bool):
 
     def combine(table: pa.Table) -> pa.Table:
         """All entries of a range of tokens: a share of the tokens, not of the rows of one."""
-        all_ = [unpacked(x) for x in table["blob"].to_pylist()]
-        c = {k: np.concatenate([e[k] for e in all_]) for k in COLUMNS}
+        all_ = [unpacked(x.as_py()) for x in table["blob"]]
+        c = {k: np.concatenate([e.pop(k) for e in all_]) for k in COLUMNS}  # no column is held twice
         order = np.lexsort((c["np"], c["tok"]))
-        return pa.Table.from_batches(list(pairs({k: v[order] for k, v in c.items()})))
+        for k in COLUMNS:
+            c[k] = c[k][order]
+        found = pa.Table.from_batches(list(pairs(c)))
+        del c, order, all_
+        free_memory()
+        return found
 
     return run if only else combine
 
@@ -506,48 +513,23 @@ def _similar(pairs: DataFrame, rows: DataFrame, least: Fraction, scratch: Scratc
     return told.groupBy(F.col("xd").alias("doc"), F.col("xl").alias("line")).agg(F.max("more").alias("more"), F.max("good").alias("good"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", most: int = 64) -> DataFrame:
-    """``docs`` with ``text`` reduced to the lines kept, ``n_lines`` and ``n_removed``.
-
-    A line is removed if an earlier line (smaller doc_id, or earlier in the same
-    document) has a token set with a Jaccard similarity of ``similarity`` or more;
-    lines are judged on the input, not on what is left. Tokens are the distinct words
-    between ASCII white space, A-Z in lower case. Lines without words stay. Lines end
-    at line feeds; a null text stays null, with no lines. doc_id must be unique and
-    not null for rows to be told apart; rows that share one are compared as if the
-    later lines of either came after the equally numbered of the other. Columns of
-    ``docs`` named ``n_lines`` or ``n_removed`` are replaced.
-
-    A later line is first compared with its likeliest partners, two very likely ones or
-    else ``most`` for each token; lines that had more and matched none are then
-    compared with all of theirs.
-    """
-    least = Fraction(similarity)
-    rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    scratch = Scratch(docs.sparkSession)
+def _gone(rows: DataFrame, least: Fraction, most: int) -> DataFrame:
+    """``(doc_id, gone)``: numbers of the lines of ``rows(doc_id, text)`` to be removed, stored."""
+    spark = rows.sparkSession
+    scratch = Scratch(spark)
     told = scratch.written(sets_and_counts(rows, "text"))
-    rare = docs.sparkSession.sparkContext.broadcast(np.minimum(rarity(told), 65_535).astype(np.uint16))  # BUCKETS numbers, larger ones are alike
+    rare = spark.sparkContext.broadcast(np.minimum(rarity(told), 65_535).astype(np.uint16))  # BUCKETS numbers, larger ones are alike
     lines = told.filter("doc IS NOT NULL")
     sets = told.filter("lines IS NOT NULL").select("lines")
     firsts = scratch.written(lines.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc", "line")).alias("f")).select("k1", "k2", "n", "f.doc", "f.line"))
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for part in pieces(batch, text):
-                texts = [None if t is None else z.compress(t) for t in part.column(text).cast(pa.binary()).to_pylist()]
-                columns = [pa.array(texts, pa.binary()) if c == text else part.column(c) for c in part.schema.names]
-                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
-
-    kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
-    whole = docs.select([f.name for f in kept]).mapInArrow(pack, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in kept))
     posted = postings(sets, "text", rare, least)
     found = posted.groupBy("part").applyInArrow(_candidates(most, least, False), PAIR)
     first = scratch.written(_similar(found, sets, least, scratch, True))
     again = scratch.written(first.filter("more AND NOT good").select("doc", "line"))
     repeated = first.filter("good").select("doc", "line")
     if not again.isEmpty():
-        among = docs.sparkSession.sparkContext.broadcast(_marks(again.selectExpr("doc AS xd", "line AS xl", "doc AS yd", "line AS yl")))
+        among = spark.sparkContext.broadcast(_marks(again.selectExpr("doc AS xd", "line AS xl", "doc AS yd", "line AS yl")))
         own = postings(sets, "text", rare, least, copies=True, plain=True, among=among).join(again, ["doc", "line"])
         size = F.expr("np >> 32")
         asked = scratch.written(own.groupBy("tok").agg(F.min(size).alias("lo"), F.max(size).alias("hi")))
@@ -557,7 +539,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
         bits = F.bit_or(F.expr("shiftleft(1L, cast(tok & 63 as int))"))
         for r in asked.groupBy(F.shiftright(bucket, 6).alias("at")).agg(bits.alias("bits")).collect():  # a row for 64 buckets
             marks[8 * r["at"] : 8 * r["at"] + 8] = np.frombuffer(np.int64(r["bits"]).tobytes(), np.uint8)
-        entries = postings(sets, "text", rare, least, docs.sparkSession.sparkContext.broadcast(marks), plain=True)  # a bit for each bucket
+        entries = postings(sets, "text", rare, least, spark.sparkContext.broadcast(marks), plain=True)  # a bit for each bucket
         # Of the lines of these tokens only those whose sizes allow the similarity.
         entries = entries.join(asked, "tok").filter((size * b >= F.col("lo") * a) & (size * a <= F.col("hi") * b)).drop("lo", "hi")
         marked = entries.join(again.withColumn("open", F.lit(True)), ["doc", "line"], "left")
@@ -568,11 +550,54 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
     known = firsts.join(repeated.withColumn("again", F.lit(True)), ["doc", "line"], "left")
     known = known.select("k1", "k2", "n", F.struct("doc", "line").alias("f"), F.coalesce("again", F.lit(False)).alias("again"))
     gone = lines.join(known, ["k1", "k2", "n"]).filter("again OR struct(doc, line) <> f")
-    own = {f.name.lower() for f in docs.schema.fields}
-    out = next(name for k in range(len(own) + 1) if (name := f"gone{k}") not in own)
-    gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias(out)))  # no more than the lines of a document
+    gone = written(gone.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias("gone")))  # no more than the lines of a document
     scratch.drop()
     rare.destroy()
+    return gone
+
+
+def _packed(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with compressed texts: they are exchanged so."""
+    kept = docs.schema.fields
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for part in pieces(batch, text):
+                texts = [None if t is None else z.compress(t) for t in part.column(text).cast(pa.binary()).to_pylist()]
+                columns = [pa.array(texts, pa.binary()) if c == text else part.column(c) for c in part.schema.names]
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+        free_memory()
+
+    return docs.mapInArrow(pack, ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in kept))
+
+
+def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", most: int = 64) -> DataFrame:
+    """``docs`` with ``text`` reduced to the lines kept, ``n_lines`` and ``n_removed``.
+
+    A line is removed if an earlier line (smaller doc_id, or earlier in the same
+    document) has a token set with a Jaccard similarity of ``similarity`` or more;
+    lines are judged on the input, not on what is left. Tokens are the distinct words
+    between ASCII white space, A-Z in lower case. Lines without words stay. Lines end
+    at line feeds; a null text stays null, with no lines. doc_id must be unique and
+    not null for rows to be told apart; rows that share one are compared as if the
+    later lines of either came after the equally numbered of the other. Columns of
+    ``docs`` named ``n_lines`` or ``n_removed`` are replaced.
+
+    A later line is first compared with its likeliest partners, two very likely ones or
+    else ``most`` for each token; lines that had more and matched none are then
+    compared with all of theirs.
+
+    The session keeps small Arrow batches, as the rows returned are made by Python too.
+    """
+    least = Fraction(similarity)
+    rows = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
+    own = {f.name.lower() for f in docs.schema.fields}
+    out = next(name for k in range(len(own) + 1) if (name := f"gone{k}") not in own)
+    lean_batches(docs.sparkSession)
+    gone = _gone(rows, least, most).withColumnRenamed("gone", out)
+    whole = _packed(docs.select([f.name for f in kept]), text)
     joined = whole.join(gone.hint("merge"), "doc_id", "left")  # else a task packs and unpacks at once, in two Python workers
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -590,6 +615,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", similarity: str = "0.8", mo
                 left_over.append(t)
             columns = [pa.array(left_over, pa.binary()).cast(pa.string()) if f.name == text else batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], [f.name for f in kept] + ["n_lines", "n_removed"])
+        free_memory()
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n_lines long", "n_removed long"])
     return joined.mapInArrow(drop, schema)
